@@ -48,7 +48,7 @@ def null_false(pred: Column) -> Column:
 def full_years(start, end) -> Column:
     """Whole years from ``start`` to ``end`` (``TIMESTAMPDIFF(YEAR, …)``):
     a birthday on Feb 29 is reached on Mar 1 in common years (F1)."""
-    return F.timestampdiff("YEAR", as_date(start).cast("timestamp"),
+    return F.timestamp_diff("YEAR", as_date(start).cast("timestamp"),
                            as_date(end).cast("timestamp")).cast("int")
 
 
@@ -78,9 +78,21 @@ def numeric_prefix_int(x) -> Column:
 
 
 def pct(num, den, scale: int = 1) -> Column:
-    """``ROUND(100.0 * num / NULLIF(den, 0), scale)`` as double."""
-    return F.round(F.lit(100.0) * _c(num).cast("double")
-                   / F.nullif(_c(den).cast("double"), F.lit(0.0)), scale)
+    """``ROUND(100.0 * num / NULLIF(den, 0), scale)`` with exact half-up
+    rounding (MySQL DECIMAL semantics), as double (A7).
+
+    Rounding the binary double ``100*num/den`` would turn 0.285 into 0.28 in
+    some engines and 0.29 in others, so the rounding is done on integers:
+    ``floor((2*100*10^s*num + den) / (2*den))`` with the sign moved to the
+    numerator; the division by zero guard is mandatory under ANSI mode."""
+    n, d = _c(num).cast("long"), _c(den).cast("long")
+    sgn = F.signum(d).cast("long")
+    nn, dd = n * sgn, F.abs(d)
+    m = 10 ** scale
+    a = nn * F.lit(200 * m) + dd
+    b = dd * F.lit(2)
+    q = ((a - F.pmod(a, b)) / b).cast("long")
+    return F.when(d != 0, q.cast("double") / F.lit(float(m)))
 
 
 def scaled_round(x, factor: str, scale: int, src: str = "decimal(18,2)") -> Column:

@@ -213,3 +213,314 @@ def flag_latest_score(spark, sf_dir) -> DataFrame:
     return last.select("origid", F.col("yr").alias("score_year"),
                        F.col("mo").alias("score_month"),
                        C.scaled_round("o_totalprice", "0.001", 4).alias("score"))
+
+
+# ── care team, visits, encounter spine ─────────────────────────────────────
+
+def roster_latest(spark, sf_dir) -> DataFrame:
+    """Base join of the document (J1 T3 T6 P5): the latest aligned roster
+    row per person (status IN a list), inner-joined to the person."""
+    t = _t(spark, sf_dir)
+    roster = t.orders.filter(F.col("o_orderstatus").isin("F", "O")).select(
+        F.col("o_custkey").alias("origid"), "o_orderkey",
+        F.to_date("o_orderdate").alias("mm_date"), "o_orderpriority")
+    latest = latest_row(roster, ["origid"], ["mm_date", "o_orderkey"])
+    c = t.customer.select(F.col("c_custkey").alias("origid"), "c_name")
+    return c.join(latest, "origid", "inner").select(
+        "origid", "c_name", F.col("o_orderkey").alias("roster_key"),
+        C.iso_date("mm_date").alias("roster_date"), F.col("o_orderpriority").alias("market"))
+
+
+# The four care-team roles resolved through the role mapping.
+CARE_ROLES = ["CCM_MNGT", "Outreach", "census_notes", "census_mos"]
+
+
+def role_lookup(spark, sf_dir) -> DataFrame:
+    """Care-team roles (J2 J13 T4 F14): mapping ⋈ personnel, one pivot over
+    the four roles with ``min(name)`` as the deterministic "any row", then a
+    left join from each person's provider (here: nation)."""
+    t = _t(spark, sf_dir)
+    s = t.supplier
+    role = C.map_label(F.col("s_suppkey") % 4, {i: r for i, r in enumerate(CARE_ROLES)})
+    mapping = s.select(F.col("s_nationkey").alias("provider"), F.col("s_suppkey").alias("cm_nr"),
+                       role.alias("type"))
+    personnel = s.select(F.col("s_suppkey").alias("nr"), F.col("s_name").alias("name"))
+    named = mapping.join(personnel, mapping.cm_nr == personnel.nr)
+    roles = named.groupBy("provider").pivot("type", CARE_ROLES).agg(F.min("name"))
+    c = t.customer.select(F.col("c_custkey").alias("origid"), F.col("c_nationkey").alias("provider"))
+    return c.join(roles, "provider", "left").select(
+        "origid", F.col("CCM_MNGT").alias("care_manager"), F.col("Outreach").alias("outreach"),
+        F.col("census_notes").alias("census_notes"), F.col("census_mos").alias("census_mos"))
+
+
+def visits_by_setting(spark, sf_dir) -> DataFrame:
+    """Visit listing (P1 P4 P6 P15 S3 S4) through :func:`visits`: three
+    settings in one pass, the date window only on the dated ones."""
+    from carelake.plans.visits import visits
+    t = _t(spark, sf_dir)
+    ev = t.events.withColumn("disch_date", F.to_date("ts"))
+    cols = [("event_id", "EncounterNr"), ("user_id", "patientId"),
+            ("disch_date", "dischargeDate"), ("value", "amount")]
+    v = visits(ev, ["purchase", "view", "signup"], "2024-01-08", "2024-01-21",
+               columns=cols, setting_col="event_type", date_col="disch_date",
+               patient_col="user_id", dated=["purchase", "view"])
+    return v.withColumn("dischargeDate", C.iso_date("dischargeDate"))
+
+
+def spine_union(spark, sf_dir, as_of: str = EVENTS_AS_OF) -> DataFrame:
+    """Encounter spine (U1 P3 F2 F3): clinical and claim branches shaped to
+    one layout, tagged with ``source_system``, missing columns NULL."""
+    t = _t(spark, sf_dir)
+    e = encounters(t).select(
+        F.lit("orders").alias("source_system"), "encounter_nr", "origid", "enc_date",
+        "discharge_date", F.col("priority").alias("setting"), "status", "amount")
+    ev = t.events.select(
+        F.lit("events").alias("source_system"), F.col("event_id").alias("encounter_nr"),
+        F.col("user_id").alias("origid"), F.to_date("ts").alias("enc_date"),
+        F.to_date("ts").alias("discharge_date"), F.col("event_type").alias("setting"),
+        F.col("value").alias("amount"))
+    u = e.unionByName(ev, allowMissingColumns=True)
+    return u.select(
+        "source_system", "encounter_nr", "origid", C.iso_date("enc_date").alias("enc_date"),
+        C.iso_date("discharge_date").alias("discharge_date"), "setting", "status",
+        F.round("amount", 2).alias("amount"),
+        F.datediff(F.coalesce("discharge_date", C.as_date(as_of)), "enc_date").alias("los_days"),
+        C.iso_date(F.date_add("discharge_date", 7)).alias("tcm_7day"),
+        C.iso_date(F.date_add("discharge_date", 14)).alias("tcm_14day"))
+
+
+def child_arrays(spark, sf_dir) -> DataFrame:
+    """Children embedded per encounter (J14 A12 A13 T5): newest first,
+    ``[]`` (here '') for an encounter without children."""
+    t = _t(spark, sf_dir)
+    l = t.lineitem
+    arr = ordered_array(l, ["l_orderkey"],
+                        [F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_partkey"),
+                         F.col("l_suppkey")],
+                        [F.col("l_partkey")], "children")
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    j = attach(o, "l_orderkey", [arr], {"children": F.array().cast("array<struct<l_partkey:bigint>>")})
+    return j.select(
+        F.col("l_orderkey").alias("o_orderkey"), F.size("children").alias("n_lines"),
+        F.array_join(F.transform("children", lambda x: x["l_partkey"].cast("string")), ",")
+        .alias("parts"))
+
+
+# ── conditions, scores, capture ────────────────────────────────────────────
+
+def chronic(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Chronic conditions (J4 A4 J5 J6 J7 A10 F5): one aggregate per (person,
+    code) — first/last seen, distinct encounters — plus the code lookup
+    (left join) and ``recapture_needed``."""
+    t = _t(spark, sf_dir)
+    d = coded_diagnoses(t)
+    cc = d.groupBy("origid", "code").agg(
+        F.min("enc_date").alias("first_date"), F.max("enc_date").alias("last_date"),
+        F.count_distinct("encounter_nr").alias("encounter_count"))
+    j = cc.join(code_lookup(t), "code", "left")
+    return j.select(
+        "origid", "code", C.iso_date("first_date").alias("first_seen"),
+        C.iso_date("last_date").alias("last_seen"), "encounter_count",
+        C.days_between(as_of, "last_date").alias("days_since_last_seen"),
+        "hcc", "coefficient",
+        C.null_false(F.col("hcc").isNotNull()
+                     & (F.year("last_date") < F.year(C.as_date(as_of)))).alias("recapture_needed"))
+
+
+# The three score types (priorities) pivoted into the profile.
+RAF_TYPES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium"}
+
+
+def raf_pivot(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Score profile (W1 A8 A11): latest month per (person, type) in the
+    year of ``as_of``, pivoted into one row; persons without rows keep an
+    object with NULL scores."""
+    t = _t(spark, sf_dir)
+    o = t.orders.filter((F.year("o_orderdate") == F.year(C.as_date(as_of)))
+                        & F.col("o_orderpriority").isin(list(RAF_TYPES))).select(
+        F.col("o_custkey").alias("origid"), F.col("o_orderpriority").alias("type"),
+        F.month("o_orderdate").alias("month"), "o_orderkey",
+        C.scaled_round("o_totalprice", "0.001", 4).alias("score"))
+    latest = latest_row(o, ["origid", "type"], ["month", "o_orderkey"], ["month", "score"])
+    piv = pivot_latest(latest, ["origid"], "type", list(RAF_TYPES), ["score", "month"])
+    out = attach(patients(t), "origid", [piv])
+    cols = ["origid"]
+    for ty, name in RAF_TYPES.items():
+        cols += [F.col(f"`{ty}`.score").alias(f"{name}_score"),
+                 F.col(f"`{ty}`.month").alias(f"{name}_month")]
+    return out.select(*cols)
+
+
+def _seen_codes(t: Tables, as_of: str):
+    d = coded_diagnoses(t).select("origid", "code", "enc_date")
+    ever = d.select("origid", "code").distinct()
+    this_year = d.filter(F.year("enc_date") == F.year(C.as_date(as_of))) \
+        .groupBy("origid", "code").agg(F.count("*").alias("cnt"))
+    return ever, this_year
+
+
+def hcc_capture(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Condition-group capture (S2 J6 J8 A3 A5 A6 A7 U2, decision D4):
+    eligible = distinct groups of the person's codes, captured = groups with
+    a code seen this year, pct with a zero guard, gap list."""
+    t = _t(spark, sf_dir)
+    ever, this_year = _seen_codes(t, as_of)
+    coded = ever.join(code_lookup(t), "code").join(this_year, ["origid", "code"], "left")
+    per_group = coded.groupBy("origid", "hcc").agg(
+        F.bool_or(F.coalesce(F.col("cnt") > 0, F.lit(False))).alias("seen"))
+    gaps = F.array_sort(F.collect_list(F.when(~F.col("seen"), F.concat(F.lit("HCC-"), "hcc"))))
+    agg = per_group.groupBy("origid").agg(
+        F.count("*").alias("eligible"), F.count_if("seen").alias("captured"),
+        F.when(F.size(gaps) > 0, F.array_join(gaps, ",")).alias("gap_hccs"))
+    out = attach(patients(t), "origid", [agg], {"eligible": 0, "captured": 0})
+    return out.select("origid", "eligible", "captured",
+                      C.pct("captured", "eligible", 1).alias("capture_pct"), "gap_hccs")
+
+
+def hcc_gaps(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Code-level gaps (J10 J11 F23): codes with a lookup row (semi-join)
+    and no diagnosis this year (anti-join), labelled ``HCC-<code>``."""
+    t = _t(spark, sf_dir)
+    ever, this_year = _seen_codes(t, as_of)
+    eligible = ever.join(code_lookup(t), "code", "left_semi")
+    gaps = eligible.join(this_year, ["origid", "code"], "left_anti")
+    return gaps.select("origid", F.concat(F.lit("HCC-"), "code").alias("gap"))
+
+
+def uamcc_summary(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Multiple-condition summary (A14 A18 F9) over the last year of
+    details: distinct categories, distinct 3-character prefixes, count and
+    eligibility at two."""
+    t = _t(spark, sf_dir)
+    a = C.as_date(as_of)
+    d = coded_diagnoses(t).filter((F.col("ship_date") > F.date_sub(a, 365))
+                                  & (F.col("ship_date") <= a))
+    agg = d.groupBy("origid").agg(
+        F.count_distinct("p_type").alias("n_categories"),
+        F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("categories"),
+        F.array_join(F.array_sort(F.collect_set(F.left("p_name", F.lit(3)))), ",").alias("prefixes"))
+    out = attach(patients(t), "origid", [agg], {"n_categories": 0})
+    return out.select("origid", "n_categories", "categories", "prefixes",
+                      (F.col("n_categories") >= 2).alias("eligible"))
+
+
+def adherence(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Medication adherence (A9 A7 F12 F15): covered days = sum of spans
+    clipped at ``as_of`` (open spans run to ``as_of``), over the days since
+    the first start; label at 80."""
+    t = _t(spark, sf_dir)
+    a = C.as_date(as_of)
+    d = diagnoses(t).filter((F.col("l_returnflag") != "R") & F.col("ship_date").isNotNull())
+    stop = F.when(F.col("l_linestatus") == "F",
+                  F.date_add("ship_date", F.col("l_quantity").cast("int")))
+    span = F.datediff(F.least(F.coalesce(stop, a), a), F.col("ship_date"))
+    agg = d.groupBy("origid").agg(F.sum(span).alias("covered"),
+                                  F.min("ship_date").alias("first_start"))
+    out = attach(patients(t), "origid", [agg], {"covered": 0})
+    p = C.pct("covered", F.datediff(a, "first_start"), 2)
+    return out.select("origid", F.col("covered").alias("covered_days"), p.alias("adherence_pct"),
+                      F.when(p >= 80, "Adequate").otherwise("Inadequate").alias("adherence_label"))
+
+
+def hedis_status(spark, sf_dir) -> DataFrame:
+    """Quality measures (F11 F14 U3 P9): open-status alerts as measures,
+    de-duplicated per (person, name, year, id) keeping the latest, labelled
+    Compliant / Gap."""
+    t = _t(spark, sf_dir)
+    al = alerts(t).filter(~F.col("original_status").isin(4, 5)).select(
+        "origid", F.col("type").alias("measure_name"), F.year("ts").alias("measure_year"),
+        F.col("ref_id").alias("frows_nr"), "nr", "ts", "resolved_date")
+    last = latest_row(al, ["origid", "measure_name", "measure_year", "frows_nr"], ["ts", "nr"])
+    return last.select(
+        "origid", "measure_name", "measure_year", "frows_nr", F.col("nr").alias("event_id"),
+        F.concat(F.coalesce(F.col("frows_nr"), F.lit("")), F.lit("_"),
+                 F.col("measure_year").cast("string")).alias("measure_id"),
+        F.when(F.col("resolved_date").isNotNull(), "Compliant").otherwise("Gap").alias("status"),
+        F.col("resolved_date").isNull().alias("gap_open"),
+        C.iso_date(F.to_date("ts")).alias("last_date"))
+
+
+# Flags counted as abnormal (the analogue of H/L/HH/LL/A/AA).
+ABNORMAL_FLAGS = ["A", "R"]
+
+
+def labs_chain(spark, sf_dir) -> DataFrame:
+    """Labs (J9 F17): result ⋈ encounter ⟕ values ⟕ item, abnormal by set
+    membership (NULL → false)."""
+    t = _t(spark, sf_dir)
+    l = t.lineitem
+    o = t.orders.select("o_orderkey", "o_custkey")
+    p = t.part.select("p_partkey", "p_name")
+    s = t.supplier.select("s_suppkey", "s_name")
+    j = (l.join(o, l.l_orderkey == o.o_orderkey)
+         .join(p, l.l_partkey == p.p_partkey, "left")
+         .join(s, l.l_suppkey == s.s_suppkey, "left"))
+    return j.select(F.col("o_custkey").alias("origid"), "l_orderkey", "l_linenumber",
+                    "l_partkey", "l_suppkey", C.iso_date(F.to_date("l_shipdate")).alias("result_date"),
+                    F.col("p_name").alias("test_name"), F.col("s_name").alias("item_name"),
+                    C.in_set("l_returnflag", ABNORMAL_FLAGS).alias("abnormal"))
+
+
+# Alert status code → description (anything else "Unknown").
+ALERT_STATUS = {0: "New", 1: "Red", 2: "Yellow", 3: "Acknowledged", 4: "Resolved"}
+
+
+def alerts_map(spark, sf_dir) -> DataFrame:
+    """Alerts (F14 F16 P12): status description map, open flag, status as
+    text, original status NOT IN (4, 5)."""
+    t = _t(spark, sf_dir)
+    a = alerts(t).filter(~F.col("original_status").isin(4, 5))
+    return a.select("nr", "origid", "type", F.col("current_status").alias("status_code"),
+                    C.map_label("current_status", ALERT_STATUS, "Unknown").alias("status_desc"),
+                    F.col("resolved_date").isNull().alias("open"),
+                    F.col("original_status").cast("string").alias("original_status"))
+
+
+def food_by_year(spark, sf_dir) -> DataFrame:
+    """Yearly answers (A15 A16): per (person, year) the distinct answers
+    ordered by their latest date, newest first, joined with ', '."""
+    t = _t(spark, sf_dir)
+    h = t.orders.filter(F.col("o_orderstatus").isin("F", "O")
+                        & F.col("o_orderpriority").isNotNull()
+                        & (F.col("o_orderpriority") != "")).select(
+        F.col("o_custkey").alias("origid"), F.year("o_orderdate").alias("assessment_year"),
+        F.col("o_orderpriority").alias("answer"), F.to_date("o_orderdate").alias("d"))
+    out = ordered_distinct_concat(h, ["origid", "assessment_year"], "answer", "d", "responses",
+                                  latest_alias="latest")
+    return out.select("origid", "assessment_year", C.iso_date("latest").alias("latest_date"),
+                      "responses")
+
+
+# Patient statuses that count as a completed appointment.
+COMPLETED_STATUSES = ["Checked Out", "Completed", "checked_out"]
+
+
+def appointments(spark, sf_dir) -> DataFrame:
+    """Appointments (J12 F9 F10 F17): type filter, person join, start time
+    text trimmed to 19 characters, completed by status set."""
+    t = _t(spark, sf_dir)
+    k3 = F.get_json_object("props", "$.k").cast("int") % 3
+    status = C.map_label(k3, {0: "Completed", 1: "checked_out"}, "Scheduled")
+    ev = t.events.filter(F.col("event_type").isin("click", "view")).select(
+        "event_id", F.col("user_id").alias("origid"), "ts", status.alias("patient_status"))
+    c = t.customer.select(F.col("c_custkey").alias("origid"), F.col("c_name").alias("account_id"))
+    return ev.join(c, "origid").select(
+        "event_id", "origid", "account_id", C.trim_ts_text("ts").alias("appointment_start"),
+        "patient_status", C.in_set("patient_status", COMPLETED_STATUSES).alias("completed"))
+
+
+def demographics(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Demographics fields (F1 F6 F7 F8 F11 F13): whole years to ``as_of``,
+    ISO date text, NULL-propagating and NULL-safe concatenation, defaults."""
+    t = _t(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dob"))
+    c = t.customer
+    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))  # 25 rows by definition
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey, "left")
+    return j.select(
+        "o_orderkey", F.col("o_custkey").alias("origid"), C.iso_date("dob").alias("dob"),
+        C.full_years("dob", as_of).alias("age"),
+        F.concat("c_name", F.lit(" ("), "c_mktsegment", F.lit(")")).alias("display_name"),
+        C.concat_nonnull("c_nationkey", "c_mktsegment").alias("phone_primary"),
+        F.coalesce("n_name", F.lit("US")).alias("country"),
+        C.scaled_round("c_acctbal", "1", 1).alias("balance"))

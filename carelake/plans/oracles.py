@@ -126,3 +126,202 @@ SELECT origid, score_year, score_month, score FROM (
                             ORDER BY year(o_orderdate) DESC, month(o_orderdate) DESC,
                                      o_orderkey DESC) AS rn
   FROM orders) WHERE rn = 1"""
+
+
+def pct_sql(num: str, den: str, scale: int = 1) -> str:
+    """Exact half-up ROUND(100*num/den, scale) on integers; NULL when den=0."""
+    m = 10 ** scale
+    nn = f"(CAST({num} AS BIGINT) * sign(CAST({den} AS BIGINT)))"
+    dd = f"abs(CAST({den} AS BIGINT))"
+    a = f"({nn} * {200 * m} + {dd})"
+    b = f"(2 * {dd})"
+    return (f"CASE WHEN CAST({den} AS BIGINT) <> 0 THEN "
+            f"CAST((({a}) - ((({a}) % {b}) + {b}) % {b}) // {b} AS DOUBLE) / {m}.0 END")
+
+
+SQL["roster_latest"] = """
+SELECT c.c_custkey AS origid, c.c_name, r.o_orderkey AS roster_key,
+       strftime(CAST(r.o_orderdate AS DATE), '%Y-%m-%d') AS roster_date, r.o_orderpriority AS market
+FROM customer c
+JOIN (SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                   ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn
+      FROM orders WHERE o_orderstatus IN ('F', 'O')) r
+  ON r.o_custkey = c.c_custkey AND r.rn = 1"""
+
+_ROLE = """(SELECT min(p.s_name) FROM supplier m JOIN supplier p ON p.s_suppkey = m.s_suppkey
+   WHERE m.s_nationkey = c.c_nationkey AND m.s_suppkey % 4 = {i})"""
+SQL["roster_latest"] = SQL["roster_latest"]
+SQL["role_lookup"] = f"""
+SELECT c.c_custkey AS origid, {_ROLE.format(i=0)} AS care_manager, {_ROLE.format(i=1)} AS outreach,
+       {_ROLE.format(i=2)} AS census_notes, {_ROLE.format(i=3)} AS census_mos
+FROM customer c"""
+
+SQL["visits_by_setting"] = """
+SELECT event_id AS "EncounterNr", user_id AS "patientId",
+       strftime(CAST(ts AS DATE), '%Y-%m-%d') AS "dischargeDate", value AS amount,
+       event_type AS setting
+FROM events
+WHERE event_type IN ('purchase', 'view', 'signup')
+  AND (event_type NOT IN ('purchase', 'view')
+       OR CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21')"""
+
+SQL["spine_union"] = f"""
+WITH {ENC}
+SELECT 'orders' AS source_system, encounter_nr, origid,
+       strftime(enc_date, '%Y-%m-%d') AS enc_date, strftime(discharge_date, '%Y-%m-%d') AS discharge_date,
+       priority AS setting, status, round(amount, 2) AS amount,
+       date_diff('day', enc.enc_date, COALESCE(enc.discharge_date, {EV_AS_OF})) AS los_days,
+       strftime(enc.discharge_date + 7, '%Y-%m-%d') AS tcm_7day,
+       strftime(enc.discharge_date + 14, '%Y-%m-%d') AS tcm_14day
+FROM enc
+UNION ALL
+SELECT 'events', event_id, user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d'),
+       strftime(CAST(ts AS DATE), '%Y-%m-%d'), event_type, NULL, round(value, 2), 0,
+       strftime(CAST(ts AS DATE) + 7, '%Y-%m-%d'), strftime(CAST(ts AS DATE) + 14, '%Y-%m-%d')
+FROM events"""
+
+SQL["child_arrays"] = """
+SELECT o.o_orderkey, COALESCE(c.n, 0) AS n_lines, COALESCE(c.parts, '') AS parts
+FROM orders o LEFT JOIN (
+  SELECT l_orderkey, count(*) AS n,
+         string_agg(CAST(l_partkey AS VARCHAR), ','
+                    ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS parts
+  FROM lineitem GROUP BY l_orderkey) c ON c.l_orderkey = o.o_orderkey"""
+
+SQL["chronic"] = f"""
+WITH {DX}, {LOOKUP},
+cc AS (SELECT origid, code, min(enc_date) AS f, max(enc_date) AS l,
+              count(DISTINCT encounter_nr) AS n FROM dx GROUP BY origid, code)
+SELECT cc.origid, cc.code, strftime(cc.f, '%Y-%m-%d') AS first_seen,
+       strftime(cc.l, '%Y-%m-%d') AS last_seen, cc.n AS encounter_count,
+       date_diff('day', cc.l, {AS_OF}) AS days_since_last_seen, lk.hcc, lk.coefficient,
+       (lk.hcc IS NOT NULL AND year(cc.l) < year({AS_OF})) AS recapture_needed
+FROM cc LEFT JOIN lookup lk ON lk.code = cc.code"""
+
+_RAF = ""
+for _ty, _nm in (("1-URGENT", "urgent"), ("2-HIGH", "high"), ("3-MEDIUM", "medium")):
+    _RAF += (f", max(CASE WHEN r.type = '{_ty}' THEN r.score END) AS {_nm}_score"
+             f", max(CASE WHEN r.type = '{_ty}' THEN r.month END) AS {_nm}_month")
+SQL["raf_pivot"] = f"""
+WITH r AS (
+  SELECT o_custkey AS origid, o_orderpriority AS type, month(o_orderdate) AS month,
+         CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001, 4) AS DOUBLE) AS score,
+         row_number() OVER (PARTITION BY o_custkey, o_orderpriority
+                            ORDER BY month(o_orderdate) DESC, o_orderkey DESC) AS rn
+  FROM orders
+  WHERE year(o_orderdate) = year({AS_OF}) AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
+SELECT c.c_custkey AS origid{_RAF}
+FROM customer c LEFT JOIN r ON r.origid = c.c_custkey AND r.rn = 1
+GROUP BY c.c_custkey"""
+
+SQL["hcc_capture"] = f"""
+WITH {DX}, {LOOKUP},
+el AS (SELECT DISTINCT d.origid, lk.hcc FROM dx d JOIN lookup lk ON lk.code = d.code),
+cap AS (SELECT DISTINCT d.origid, lk.hcc FROM dx d JOIN lookup lk ON lk.code = d.code
+        WHERE year(d.enc_date) = year({AS_OF})),
+s AS (
+  SELECT c.c_custkey AS origid,
+         (SELECT count(*) FROM el WHERE el.origid = c.c_custkey) AS eligible,
+         (SELECT count(*) FROM cap WHERE cap.origid = c.c_custkey) AS captured,
+         (SELECT string_agg('HCC-' || el.hcc, ',' ORDER BY 'HCC-' || el.hcc) FROM el
+          WHERE el.origid = c.c_custkey
+            AND NOT EXISTS (SELECT 1 FROM cap WHERE cap.origid = el.origid AND cap.hcc = el.hcc))
+           AS gap_hccs
+  FROM customer c)
+SELECT origid, eligible, captured, {pct_sql('captured', 'eligible', 1)} AS capture_pct, gap_hccs FROM s"""
+
+SQL["hcc_gaps"] = f"""
+WITH {DX}, {LOOKUP}
+SELECT DISTINCT d.origid, 'HCC-' || d.code AS gap
+FROM dx d
+WHERE d.code IN (SELECT code FROM lookup)
+  AND NOT EXISTS (SELECT 1 FROM dx d2 WHERE d2.origid = d.origid AND d2.code = d.code
+                  AND year(d2.enc_date) = year({AS_OF}))"""
+
+SQL["uamcc_summary"] = f"""
+WITH {DX},
+u AS (SELECT * FROM dx WHERE ship_date > {AS_OF} - 365 AND ship_date <= {AS_OF}),
+agg AS (SELECT origid, count(DISTINCT p_type) AS n,
+               string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS categories,
+               string_agg(DISTINCT left(p_name, 3), ',' ORDER BY left(p_name, 3)) AS prefixes
+        FROM u GROUP BY origid)
+SELECT c.c_custkey AS origid, COALESCE(agg.n, 0) AS n_categories, agg.categories, agg.prefixes,
+       COALESCE(agg.n, 0) >= 2 AS eligible
+FROM customer c LEFT JOIN agg ON agg.origid = c.c_custkey"""
+
+SQL["adherence"] = f"""
+WITH m AS (
+  SELECT o.o_custkey AS origid, CAST(l.l_shipdate AS DATE) AS start_date,
+         CASE WHEN l.l_linestatus = 'F'
+              THEN CAST(l.l_shipdate AS DATE) + CAST(l.l_quantity AS INTEGER) END AS stop_date
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  WHERE l.l_returnflag <> 'R' AND l.l_shipdate IS NOT NULL),
+agg AS (SELECT origid,
+               COALESCE(sum(date_diff('day', start_date, least(COALESCE(stop_date, {AS_OF}), {AS_OF}))), 0) AS covered,
+               date_diff('day', min(start_date), {AS_OF}) AS span
+        FROM m GROUP BY origid),
+s AS (SELECT c.c_custkey AS origid, COALESCE(agg.covered, 0) AS covered, agg.span
+      FROM customer c LEFT JOIN agg ON agg.origid = c.c_custkey)
+SELECT origid, covered AS covered_days, {pct_sql('covered', 'span', 2)} AS adherence_pct,
+       CASE WHEN {pct_sql('covered', 'span', 2)} >= 80 THEN 'Adequate' ELSE 'Inadequate' END AS adherence_label
+FROM s"""
+
+SQL["hedis_status"] = f"""
+WITH {ALERTS},
+h AS (SELECT origid, type AS measure_name, year(ts) AS measure_year, ref_id AS frows_nr, nr, ts,
+             resolved_date,
+             row_number() OVER (PARTITION BY origid, type, year(ts), ref_id ORDER BY ts DESC, nr DESC) AS rn
+      FROM alerts WHERE original_status NOT IN (4, 5))
+SELECT origid, measure_name, measure_year, frows_nr, nr AS event_id,
+       COALESCE(frows_nr, '') || '_' || CAST(measure_year AS VARCHAR) AS measure_id,
+       CASE WHEN resolved_date IS NOT NULL THEN 'Compliant' ELSE 'Gap' END AS status,
+       resolved_date IS NULL AS gap_open, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS last_date
+FROM h WHERE rn = 1"""
+
+SQL["labs_chain"] = """
+SELECT o.o_custkey AS origid, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+       strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d') AS result_date, p.p_name AS test_name,
+       s.s_name AS item_name, COALESCE(l.l_returnflag IN ('A', 'R'), false) AS abnormal
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN part p ON p.p_partkey = l.l_partkey
+LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey"""
+
+SQL["alerts_map"] = f"""
+WITH {ALERTS}
+SELECT nr, origid, type, current_status AS status_code,
+       CASE current_status WHEN 0 THEN 'New' WHEN 1 THEN 'Red' WHEN 2 THEN 'Yellow'
+            WHEN 3 THEN 'Acknowledged' WHEN 4 THEN 'Resolved' ELSE 'Unknown' END AS status_desc,
+       resolved_date IS NULL AS open, CAST(original_status AS VARCHAR) AS original_status
+FROM alerts WHERE original_status NOT IN (4, 5)"""
+
+SQL["food_by_year"] = """
+WITH h AS (SELECT o_custkey AS origid, year(o_orderdate) AS y, o_orderpriority AS v,
+                  CAST(o_orderdate AS DATE) AS d
+           FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority IS NOT NULL
+             AND o_orderpriority <> ''),
+pv AS (SELECT origid, y, v, max(d) AS last_d FROM h GROUP BY origid, y, v)
+SELECT origid, y AS assessment_year, strftime(max(last_d), '%Y-%m-%d') AS latest_date,
+       string_agg(v, ', ' ORDER BY last_d DESC, v DESC) AS responses
+FROM pv GROUP BY origid, y"""
+
+SQL["appointments"] = """
+SELECT e.event_id, e.user_id AS origid, c.c_name AS account_id,
+       NULLIF(left(CAST(e.ts AS VARCHAR), 19), '') AS appointment_start,
+       CASE CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 3
+            WHEN 0 THEN 'Completed' WHEN 1 THEN 'checked_out' ELSE 'Scheduled' END AS patient_status,
+       (CASE CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 3
+            WHEN 0 THEN 'Completed' WHEN 1 THEN 'checked_out' ELSE 'Scheduled' END)
+         IN ('Checked Out', 'Completed', 'checked_out') AS completed
+FROM events e JOIN customer c ON c.c_custkey = e.user_id
+WHERE e.event_type IN ('click', 'view')"""
+
+SQL["demographics"] = f"""
+SELECT o.o_orderkey, o.o_custkey AS origid, strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d') AS dob,
+       year({AS_OF}) - year(o.o_orderdate)
+         - CAST(strftime({AS_OF}, '%m%d') < strftime(o.o_orderdate, '%m%d') AS INTEGER) AS age,
+       c.c_name || ' (' || c.c_mktsegment || ')' AS display_name,
+       COALESCE(CAST(c.c_nationkey AS VARCHAR), '') || COALESCE(c.c_mktsegment, '') AS phone_primary,
+       COALESCE(n.n_name, 'US') AS country,
+       CAST(round(CAST(c.c_acctbal AS DECIMAL(18,2)), 1) AS DOUBLE) AS balance
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"""

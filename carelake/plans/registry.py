@@ -14,6 +14,23 @@ QUERIES = {
     "flag_overdue_interval": A.flag_overdue_interval,
     "flag_distinct_threshold": A.flag_distinct_threshold,
     "flag_latest_score": A.flag_latest_score,
+    "roster_latest": A.roster_latest,
+    "role_lookup": A.role_lookup,
+    "visits_by_setting": A.visits_by_setting,
+    "spine_union": A.spine_union,
+    "child_arrays": A.child_arrays,
+    "chronic": A.chronic,
+    "raf_pivot": A.raf_pivot,
+    "hcc_capture": A.hcc_capture,
+    "hcc_gaps": A.hcc_gaps,
+    "uamcc_summary": A.uamcc_summary,
+    "adherence": A.adherence,
+    "hedis_status": A.hedis_status,
+    "labs_chain": A.labs_chain,
+    "alerts_map": A.alerts_map,
+    "food_by_year": A.food_by_year,
+    "appointments": A.appointments,
+    "demographics": A.demographics,
 }
 
 ORACLES = dict(SQL)
