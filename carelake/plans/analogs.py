@@ -524,3 +524,172 @@ def demographics(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
         C.concat_nonnull("c_nationkey", "c_mktsegment").alias("phone_primary"),
         F.coalesce("n_name", F.lit("US")).alias("country"),
         C.scaled_round("c_acctbal", "1", 1).alias("balance"))
+
+
+# ── nested person records and measures ────────────────────────────────────
+
+def person_records(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """One nested record per person, built set-based: children aggregated
+    per encounter (shuffle on the encounter key), encounters per person
+    (shuffle on the person key), then left joins of person-keyed parts.
+
+    Shape: origid, demographics{age, dob}, care_team{market, nation},
+    encounters[{id, enc_date, setting, status, diagnoses[{icd_code,
+    onset_date, status}], procedures[{billing_code, procedure_date}]}],
+    chronic_conditions[{icd_code, last_seen_date}],
+    hedis_measures[{measure_name, measure_year, gap_open}]."""
+    lines = coded_diagnoses(t)
+    per_enc = ordered_array(
+        lines, ["encounter_nr"], ["ship_date", "l_linenumber", "l_partkey", "l_suppkey"],
+        [F.col("code").alias("icd_code"), F.col("ship_date").alias("onset_date"),
+         F.col("l_linestatus").alias("status"), F.col("p_type").alias("billing_code")], "lines")
+    enc = attach(encounters(t).select("origid", "encounter_nr", "enc_date", "priority", "status"),
+                 "encounter_nr", [per_enc])
+    diag = F.coalesce(F.transform("lines", lambda x: F.struct(
+        x["icd_code"].alias("icd_code"), x["onset_date"].alias("onset_date"),
+        x["status"].alias("status"))), F.array().cast(
+        "array<struct<icd_code:string,onset_date:date,status:string>>"))
+    proc = F.coalesce(F.transform("lines", lambda x: F.struct(
+        x["billing_code"].alias("billing_code"), x["onset_date"].alias("procedure_date"))),
+        F.array().cast("array<struct<billing_code:string,procedure_date:date>>"))
+    enc = enc.select("origid", "enc_date", "encounter_nr",
+                     F.struct(F.col("encounter_nr").alias("id"), "enc_date",
+                              F.col("priority").alias("setting"), "status",
+                              diag.alias("diagnoses"), proc.alias("procedures")).alias("e"))
+    enc_arr = ordered_array(enc, ["origid"], ["enc_date", "encounter_nr"], ["e.*"], "encounters")
+    cc = lines.groupBy("origid", "code").agg(F.max("enc_date").alias("last_seen_date"))
+    cc_arr = ordered_array(cc, ["origid"], ["last_seen_date", "code"],
+                           [F.col("code").alias("icd_code"), "last_seen_date"], "chronic_conditions")
+    al = alerts(t).filter(~F.col("original_status").isin(4, 5))
+    hed_arr = ordered_array(al, ["origid"], ["ts", "nr"],
+                            [F.col("type").alias("measure_name"),
+                             F.year("ts").alias("measure_year"),
+                             F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures")
+    first = t.orders.groupBy(F.col("o_custkey").alias("origid")).agg(
+        F.min(F.to_date("o_orderdate")).alias("first_date"))
+    c = t.customer.select(
+        F.col("c_custkey").alias("origid"),
+        F.struct(F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("int"))
+                 .alias("age")).alias("demo0"),
+        F.struct(F.col("c_mktsegment").alias("market"),
+                 F.col("c_nationkey").alias("nation")).alias("care_team"))
+    out = attach(c, "origid", [first, enc_arr, cc_arr, hed_arr])
+    return out.select(
+        "origid",
+        F.struct(F.col("demo0.age").alias("age"), C.iso_date("first_date").alias("dob"))
+        .alias("demographics"),
+        "care_team", "encounters", "chronic_conditions", "hedis_measures")
+
+
+def _defs():
+    from carelake.plans import measure_defs as MD
+    return MD
+
+
+def _evaluated(spark, sf_dir, measure=None, as_of: str = ORDERS_AS_OF):
+    from carelake.plans import measures as M
+    t = _t(spark, sf_dir)
+    docs = M.enrich_age(person_records(t, as_of), as_of, root=None)
+    m = measure or _defs().analog_measure()
+    keep = ["origid", F.col("demographics.age").alias("age"),
+            F.col("care_team.market").alias("market")]
+    return M, m, M.evaluate(docs, m, as_of, keep=keep)
+
+
+def measure_range(spark, sf_dir) -> DataFrame:
+    """Numeric range rule on a flat path after age enrichment."""
+    M, m, ev = _evaluated(spark, sf_dir)
+    return ev.select("origid", "age", F.col("de-age").alias("age_ok"))
+
+
+def measure_any_of(spark, sf_dir) -> DataFrame:
+    """Any-of-codes over two nested sources, case-insensitive."""
+    M, m, ev = _evaluated(spark, sf_dir)
+    return ev.select("origid", F.col("de-dx").alias("has_dx"))
+
+
+def measure_none_of(spark, sf_dir) -> DataFrame:
+    """None-of-codes in ``single`` mode: passes on no data."""
+    from carelake.plans import measures as M
+    MD = _defs()
+    m = M.Measure(id="none-of", title="", elements=[MD.exclusion_element(mode="single")])
+    _, _, ev = _evaluated(spark, sf_dir, m)
+    return ev.select("origid", F.col("de-excl").alias("no_exclusion"))
+
+
+def measure_nested2(spark, sf_dir) -> DataFrame:
+    """Two-level nested match; same-element conjunction vs two separate
+    tests (M4 M5 M6)."""
+    from carelake.plans import measures as M
+    MD = _defs()
+    same = M.Element(id="same", name="same element", paths=[M.Path("encounters[].diagnoses[].icd_code")],
+                     operator="contains", value=MD.ANALOG_DX_CODES, case_sensitive=False,
+                     also=[("status", "eq", "F")])
+    code_only = M.Element(id="code", name="code", paths=[M.Path("encounters[].diagnoses[].icd_code")],
+                          operator="contains", value=MD.ANALOG_DX_CODES, case_sensitive=False)
+    status_only = M.Element(id="status", name="status", paths=[M.Path("encounters[].diagnoses[].status")],
+                            operator="eq", value="F")
+    m = M.Measure(id="nested", title="", elements=[same, code_only, status_only])
+    _, _, ev = _evaluated(spark, sf_dir, m)
+    return ev.select("origid", F.col("same").alias("same_element"),
+                     (F.col("code") & F.col("status")).alias("separate"))
+
+
+def measure_should(spark, sf_dir) -> DataFrame:
+    """At least two of three predicates (M7)."""
+    from carelake.plans import measures as M
+    _, _, ev = _evaluated(spark, sf_dir)
+    preds = [F.col("de-age"), F.col("de-dx"), F.col("de-proc__match")]
+    n = sum(F.coalesce(p, F.lit(False)).cast("int") for p in preds)
+    return ev.select("origid", n.alias("n_true"), M.should(preds, 2).alias("passes"))
+
+
+def measure_latest_mode(spark, sf_dir) -> DataFrame:
+    """``latest`` vs ``single`` mode, case-insensitive codes and an element
+    date window (M15 M16 M17 M19 P14)."""
+    from carelake.plans import measures as M
+    MD = _defs()
+    window = MD.procedure_element(mode="single", el_id="since", date_from="2000-01-01")
+    m = M.Measure(id="latest", title="", elements=[
+        MD.procedure_element(mode="latest"), MD.exclusion_element(mode="latest"), window])
+    _, _, ev = _evaluated(spark, sf_dir, m)
+    return ev.select("origid", F.col("de-proc").alias("latest_promo"),
+                     F.col("de-excl").alias("no_exclusion_latest"),
+                     F.col("since").alias("promo_since_2000"))
+
+
+def measure_full(spark, sf_dir) -> DataFrame:
+    """The full definition parsed from its JSON layout (M8 M10 M12 M13 M14
+    M18 M20 F19 F20 F21): five flags per person."""
+    _, m, ev = _evaluated(spark, sf_dir)
+    return ev.select("origid", "age_eligible", "has_dx", "has_exclusion", "proc_present",
+                     "candidate")
+
+
+def measure_report(spark, sf_dir) -> DataFrame:
+    """Per-element outcome: pass / fail / blocked."""
+    M, m, ev = _evaluated(spark, sf_dir)
+    return M.report(ev, m)
+
+
+def measure_rate(spark, sf_dir) -> DataFrame:
+    """Performance rate per market vs the goal."""
+    M, m, ev = _evaluated(spark, sf_dir)
+    return M.rate(ev, m, ["market"])
+
+
+def measure_worklist(spark, sf_dir) -> DataFrame:
+    """Population worklist with the elements each person passes."""
+    M, m, ev = _evaluated(spark, sf_dir)
+    return M.worklist(ev, m).select("origid", F.array_join("passed_elements", ",")
+                                    .alias("passed_elements"))
+
+
+def measure_gap_check(spark, sf_dir) -> DataFrame:
+    """Corroborating check: an open gap of a named measure, both tests on
+    the same array element (M11 M6 M9)."""
+    from carelake.plans import measures as M
+    el = M.Element(id="gap", name="open gap", paths=[M.Path("hedis_measures[].measure_name")],
+                   operator="eq", value="error", also=[("gap_open", "eq", True)])
+    _, _, ev = _evaluated(spark, sf_dir, M.Measure(id="gap", title="", elements=[el]))
+    return ev.select("origid", F.col("gap").alias("corroborated"))

@@ -325,3 +325,84 @@ SELECT o.o_orderkey, o.o_custkey AS origid, strftime(CAST(o.o_orderdate AS DATE)
        CAST(round(CAST(c.c_acctbal AS DECIMAL(18,2)), 1) AS DOUBLE) AS balance
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"""
+
+
+# ── measures: written relationally (EXISTS / latest row) over the lines ───
+MEAS = f"""lines AS (
+  SELECT o.o_custkey AS origid, upper(p.p_brand) AS ucode, upper(p.p_type) AS utype,
+         CAST(l.l_shipdate AS DATE) AS sd, l.l_linestatus AS status
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey),
+first_o AS (SELECT o_custkey AS origid, min(CAST(o_orderdate AS DATE)) AS fd FROM orders GROUP BY 1),
+person AS (
+  SELECT c.c_custkey AS origid, c.c_mktsegment AS market,
+         COALESCE(CASE WHEN c.c_acctbal >= 0 THEN CAST(floor(c.c_acctbal / 100) AS INTEGER) END,
+                  year({AS_OF}) - year(f.fd) - CAST(strftime({AS_OF}, '%m%d') < strftime(f.fd, '%m%d') AS INTEGER)) AS age
+  FROM customer c LEFT JOIN first_o f ON f.origid = c.c_custkey),
+latest AS (
+  SELECT origid, utype FROM (
+    SELECT origid, utype, row_number() OVER (PARTITION BY origid ORDER BY sd DESC, utype DESC) AS rn
+    FROM lines) WHERE rn = 1),
+ev AS (
+  SELECT p.origid, p.market, p.age,
+         COALESCE(p.age BETWEEN 18 AND 85, false) AS de_age,
+         EXISTS (SELECT 1 FROM lines l WHERE l.origid = p.origid
+                 AND l.ucode IN ('BRAND#1', 'BRAND#2', 'BRAND#3')) AS de_dx,
+         COALESCE((SELECT utype = 'PROMO' FROM latest lt WHERE lt.origid = p.origid), false) AS de_proc,
+         COALESCE((SELECT utype IN ('ECONOMY', 'SMALL') FROM latest lt WHERE lt.origid = p.origid), false) AS excl_match,
+         EXISTS (SELECT 1 FROM lines l WHERE l.origid = p.origid) AS has_lines
+  FROM person p)"""
+
+SQL["measure_range"] = f"WITH {MEAS} SELECT origid, age, de_age AS age_ok FROM ev"
+SQL["measure_any_of"] = f"WITH {MEAS} SELECT origid, de_dx AS has_dx FROM ev"
+SQL["measure_none_of"] = f"""WITH {MEAS}
+SELECT origid, NOT EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid
+                           AND l.utype IN ('ECONOMY', 'SMALL')) AS no_exclusion FROM ev"""
+SQL["measure_nested2"] = f"""WITH {MEAS}
+SELECT origid,
+  EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid
+          AND l.ucode IN ('BRAND#1', 'BRAND#2', 'BRAND#3') AND l.status = 'F') AS same_element,
+  (EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid AND l.ucode IN ('BRAND#1', 'BRAND#2', 'BRAND#3'))
+   AND EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid AND l.status = 'F')) AS separate
+FROM ev"""
+SQL["measure_should"] = f"""WITH {MEAS}
+SELECT origid, CAST(de_age AS INTEGER) + CAST(de_dx AS INTEGER) + CAST(de_proc AS INTEGER) AS n_true,
+       CAST(de_age AS INTEGER) + CAST(de_dx AS INTEGER) + CAST(de_proc AS INTEGER) >= 2 AS passes
+FROM ev"""
+SQL["measure_latest_mode"] = f"""WITH {MEAS}
+SELECT origid, de_proc AS latest_promo, NOT excl_match AS no_exclusion_latest,
+  EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid AND l.utype = 'PROMO'
+          AND l.sd >= DATE '2000-01-01') AS promo_since_2000
+FROM ev"""
+SQL["measure_full"] = f"""WITH {MEAS}
+SELECT origid, de_age AS age_eligible, de_dx AS has_dx, excl_match AS has_exclusion,
+       de_proc AS proc_present, de_age AND de_dx AND NOT excl_match AS candidate
+FROM ev"""
+SQL["measure_report"] = f"""WITH {MEAS}
+SELECT origid, 'de-age' AS element_id, 'Age' AS element_name, true AS required,
+       CASE WHEN age IS NULL THEN 'blocked' WHEN de_age THEN 'pass' ELSE 'fail' END AS outcome FROM ev
+UNION ALL
+SELECT origid, 'de-dx', 'Problem/Diagnosis Code', true,
+       CASE WHEN NOT has_lines THEN 'blocked' WHEN de_dx THEN 'pass' ELSE 'fail' END FROM ev
+UNION ALL
+SELECT origid, 'de-excl', 'Exclusion Code', true,
+       CASE WHEN NOT excl_match THEN 'pass' ELSE 'fail' END FROM ev
+UNION ALL
+SELECT origid, 'de-proc', 'Procedure Code', true,
+       CASE WHEN NOT has_lines THEN 'blocked' WHEN de_proc THEN 'pass' ELSE 'fail' END FROM ev"""
+SQL["measure_rate"] = f"""WITH {MEAS},
+g AS (SELECT market, count(*) AS denominator,
+             count(*) FILTER (WHERE de_age AND de_dx AND NOT excl_match) AS numerator
+      FROM ev GROUP BY market)
+SELECT market, denominator, numerator, {pct_sql('numerator', 'denominator', 1)} AS rate,
+       COALESCE({pct_sql('numerator', 'denominator', 1)} >= 85, false) AS meets_goal
+FROM g"""
+SQL["measure_worklist"] = f"""WITH {MEAS}
+SELECT origid, concat_ws(',', CASE WHEN de_age THEN 'de-age' END, CASE WHEN de_dx THEN 'de-dx' END,
+                         CASE WHEN NOT excl_match THEN 'de-excl' END,
+                         CASE WHEN de_proc THEN 'de-proc' END) AS passed_elements
+FROM ev WHERE de_age AND de_dx AND NOT excl_match"""
+SQL["measure_gap_check"] = f"""WITH {ALERTS}
+SELECT c.c_custkey AS origid,
+  EXISTS (SELECT 1 FROM alerts a WHERE a.origid = c.c_custkey AND a.original_status NOT IN (4, 5)
+          AND a.type = 'error' AND a.resolved_date IS NULL) AS corroborated
+FROM customer c"""

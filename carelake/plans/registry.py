@@ -31,6 +31,17 @@ QUERIES = {
     "food_by_year": A.food_by_year,
     "appointments": A.appointments,
     "demographics": A.demographics,
+    "measure_range": A.measure_range,
+    "measure_any_of": A.measure_any_of,
+    "measure_none_of": A.measure_none_of,
+    "measure_nested2": A.measure_nested2,
+    "measure_should": A.measure_should,
+    "measure_latest_mode": A.measure_latest_mode,
+    "measure_full": A.measure_full,
+    "measure_report": A.measure_report,
+    "measure_rate": A.measure_rate,
+    "measure_worklist": A.measure_worklist,
+    "measure_gap_check": A.measure_gap_check,
 }
 
 ORACLES = dict(SQL)
