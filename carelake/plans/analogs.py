@@ -693,3 +693,109 @@ def measure_gap_check(spark, sf_dir) -> DataFrame:
                    operator="eq", value="error", also=[("gap_open", "eq", True)])
     _, _, ev = _evaluated(spark, sf_dir, M.Measure(id="gap", title="", elements=[el]))
     return ev.select("origid", F.col("gap").alias("corroborated"))
+
+
+# ── change-data capture ───────────────────────────────────────────────────
+
+def event_changes(t: Tables) -> DataFrame:
+    """Events as change rows of a table ``events``: op from the payload
+    (insert / update / delete), images carry the person key, the type and a
+    cross-reference id (the person's name)."""
+    from carelake.plans.cdc import table_changes
+    k = F.get_json_object("props", "$.k").cast("int")
+    op = C.map_label(k % 3, {0: "I", 1: "U"}, "D")
+    ev = t.events.withColumn("mbi", F.format_string("Customer#%09d", F.col("user_id")))
+    return table_changes(ev, "events", F.col("event_id"), F.col("ts"), op,
+                         ["user_id", "event_type", "ts", "mbi"])
+
+
+def _aff(t: Tables, changes: DataFrame, routes):
+    from carelake.plans.cdc import affected
+    parents = {"orders": t.orders, "lineitem": t.lineitem, "part": t.part,
+               "customer": t.customer, "supplier": t.supplier}
+    return affected(changes, routes, parents)
+
+
+def cdc_direct(spark, sf_dir) -> DataFrame:
+    """Direct routing (C1 C5 C12 C16 S6): key on the changed row (before-
+    image for deletes), fanned out to the sections to rebuild."""
+    from carelake.plans.cdc import Route
+    t = _t(spark, sf_dir)
+    r = Route("events", "user_id", (), ("alerts", "hedis_measures", "rule_flags"), "ts")
+    return _aff(t, event_changes(t), [r]).select("event_id", "table", "op", "origid", "section")
+
+
+def cdc_hop1(spark, sf_dir) -> DataFrame:
+    """One hop through the encounter with a row filter and a parent filter
+    (C2 C3 C4 C6)."""
+    from carelake.plans.cdc import Hop, Route, table_changes
+    t = _t(spark, sf_dir)
+    ch = table_changes(t.lineitem, "lineitem", F.col("l_orderkey") * 100 + F.col("l_linenumber"),
+                       F.col("l_shipdate"))
+    r = Route("lineitem", "l_orderkey",
+              (Hop("orders", "o_orderkey", "o_custkey", "o_orderstatus IN ('F', 'O')"),),
+              ("encounters", "chronic_conditions"), row_eq={"l_linestatus": "F"})
+    return _aff(t, ch, [r]).select("table", "origid", "section").distinct()
+
+
+def cdc_hop2(spark, sf_dir) -> DataFrame:
+    """Two-hop chain with one-to-many fan-out: personnel → assignments →
+    encounters → persons (C7 C8)."""
+    from carelake.plans.cdc import Hop, Route, table_changes
+    t = _t(spark, sf_dir)
+    ch = table_changes(t.supplier, "supplier", F.col("s_suppkey"), F.lit("2024-01-01").cast("timestamp"))
+    r = Route("supplier", "s_suppkey", (Hop("lineitem", "l_suppkey", "l_orderkey"),
+                                        Hop("orders", "o_orderkey", "o_custkey")), ("care_team",))
+    return _aff(t, ch, [r]).select("table", "origid", "section").distinct()
+
+
+def cdc_mass(spark, sf_dir) -> DataFrame:
+    """Mass-impact change of a code lookup: changed codes → every person
+    carrying the code (C9), three hops."""
+    from carelake.plans.cdc import Hop, Route, table_changes
+    t = _t(spark, sf_dir)
+    ch = table_changes(t.part, "code_lookup", F.col("p_partkey"), F.lit("2024-01-01").cast("timestamp"),
+                       cols=["p_brand"])
+    r = Route("code_lookup", "p_brand", (Hop("part", "p_brand", "p_partkey"),
+                                         Hop("lineitem", "l_partkey", "l_orderkey"),
+                                         Hop("orders", "o_orderkey", "o_custkey")),
+              ("chronic_conditions", "hcc_capture"))
+    return _aff(t, ch, [r]).select("table", "origid", "section").distinct()
+
+
+def cdc_xref(spark, sf_dir) -> DataFrame:
+    """Cross-key hop: the change carries another id of the person, resolved
+    through a cross-reference table (C10 J15)."""
+    from carelake.plans.cdc import Hop, Route
+    t = _t(spark, sf_dir)
+    r = Route("events", "mbi", (Hop("customer", "c_name", "c_custkey"),), ("care_team",))
+    return _aff(t, event_changes(t), [r]).select("event_id", "op", "origid")
+
+
+def cdc_dedup_latest(spark, sf_dir) -> DataFrame:
+    """One rebuild per person per batch with the provenance of the last
+    change (C13 C15 C16)."""
+    from carelake.plans.cdc import Route, persons_to_rebuild
+    t = _t(spark, sf_dir)
+    r = Route("events", "user_id", (), ("alerts",), "ts")
+    return persons_to_rebuild(_aff(t, event_changes(t), [r])).select(
+        "origid", "trigger_source", "cdc_sequence")
+
+
+def cdc_last_writer(spark, sf_dir) -> DataFrame:
+    """Last writer wins per source key."""
+    from carelake.plans.cdc import latest_changes
+    t = _t(spark, sf_dir)
+    last = latest_changes(event_changes(t), ["user_id", "event_type"])
+    return last.select("user_id", "event_type", "event_id", "op")
+
+
+def cdc_time_refresh(spark, sf_dir) -> DataFrame:
+    """Date-driven refresh with no change event (C11): flags at two dates,
+    only persons whose values differ."""
+    from carelake.plans.cdc import changed_rows
+    old = flag_awv(spark, sf_dir, "2001-07-01").join(
+        flag_recent_30_90(spark, sf_dir, "2001-07-01"), "origid")
+    new = flag_awv(spark, sf_dir, "2001-08-01").join(
+        flag_recent_30_90(spark, sf_dir, "2001-08-01"), "origid")
+    return changed_rows(old, new, "origid", ["visit_due", "recent_30", "recent_90"])

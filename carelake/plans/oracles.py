@@ -406,3 +406,58 @@ SELECT c.c_custkey AS origid,
   EXISTS (SELECT 1 FROM alerts a WHERE a.origid = c.c_custkey AND a.original_status NOT IN (4, 5)
           AND a.type = 'error' AND a.resolved_date IS NULL) AS corroborated
 FROM customer c"""
+
+
+# ── change-data capture ───────────────────────────────────────────────────
+_OP = ("CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'I' "
+       "WHEN 1 THEN 'U' ELSE 'D' END")
+
+SQL["cdc_direct"] = f"""
+SELECT e.event_id, 'events' AS "table", {_OP} AS op, CAST(e.user_id AS VARCHAR) AS origid, s.section
+FROM events e CROSS JOIN (VALUES ('alerts'), ('hedis_measures'), ('rule_flags')) s(section)"""
+
+SQL["cdc_hop1"] = """
+SELECT DISTINCT 'lineitem' AS "table", CAST(o.o_custkey AS VARCHAR) AS origid, s.section
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus IN ('F', 'O')
+CROSS JOIN (VALUES ('encounters'), ('chronic_conditions')) s(section)
+WHERE l.l_linestatus = 'F'"""
+
+SQL["cdc_hop2"] = """
+SELECT DISTINCT 'supplier' AS "table", CAST(o.o_custkey AS VARCHAR) AS origid, 'care_team' AS section
+FROM supplier s JOIN lineitem l ON l.l_suppkey = s.s_suppkey JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+SQL["cdc_mass"] = """
+SELECT DISTINCT 'code_lookup' AS "table", CAST(o.o_custkey AS VARCHAR) AS origid, s.section
+FROM orders o
+CROSS JOIN (VALUES ('chronic_conditions'), ('hcc_capture')) s(section)
+WHERE EXISTS (SELECT 1 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+              WHERE l.l_orderkey = o.o_orderkey AND p.p_brand IN (SELECT p_brand FROM part))"""
+
+SQL["cdc_xref"] = f"""
+SELECT e.event_id, {_OP} AS op, CAST(c.c_custkey AS VARCHAR) AS origid
+FROM events e JOIN customer c ON c.c_name = printf('Customer#%09d', e.user_id)"""
+
+SQL["cdc_dedup_latest"] = """
+SELECT CAST(user_id AS VARCHAR) AS origid, 'events' AS trigger_source, max(event_id) AS cdc_sequence
+FROM events GROUP BY user_id"""
+
+SQL["cdc_last_writer"] = f"""
+SELECT user_id, event_type, event_id, op FROM (
+  SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, event_id, {_OP} AS op,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn
+  FROM events) WHERE rn = 1"""
+
+_DUE = """(NOT EXISTS (SELECT 1 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+          WHERE o.o_custkey = c.c_custkey AND l.l_returnflag = 'R' AND l.l_linestatus = 'F'
+            AND CAST(o.o_orderdate AS DATE) >= DATE '{d}' - 365))"""
+_REC = """EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F'
+          AND CAST(o.o_orderdate AS DATE) >= DATE '{d}' - {n})"""
+SQL["cdc_time_refresh"] = f"""
+WITH s AS (
+  SELECT c.c_custkey AS origid,
+         {_DUE.format(d='2001-07-01')} AS old_visit_due, {_DUE.format(d='2001-08-01')} AS new_visit_due,
+         {_REC.format(d='2001-07-01', n=30)} AS old_recent_30, {_REC.format(d='2001-08-01', n=30)} AS new_recent_30,
+         {_REC.format(d='2001-07-01', n=90)} AS old_recent_90, {_REC.format(d='2001-08-01', n=90)} AS new_recent_90
+  FROM customer c)
+SELECT * FROM s
+WHERE old_visit_due <> new_visit_due OR old_recent_30 <> new_recent_30 OR old_recent_90 <> new_recent_90"""

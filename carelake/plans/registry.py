@@ -42,6 +42,14 @@ QUERIES = {
     "measure_rate": A.measure_rate,
     "measure_worklist": A.measure_worklist,
     "measure_gap_check": A.measure_gap_check,
+    "cdc_direct": A.cdc_direct,
+    "cdc_hop1": A.cdc_hop1,
+    "cdc_hop2": A.cdc_hop2,
+    "cdc_mass": A.cdc_mass,
+    "cdc_xref": A.cdc_xref,
+    "cdc_dedup_latest": A.cdc_dedup_latest,
+    "cdc_last_writer": A.cdc_last_writer,
+    "cdc_time_refresh": A.cdc_time_refresh,
 }
 
 ORACLES = dict(SQL)
