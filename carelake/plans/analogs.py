@@ -799,3 +799,72 @@ def cdc_time_refresh(spark, sf_dir) -> DataFrame:
     new = flag_awv(spark, sf_dir, "2001-08-01").join(
         flag_recent_30_90(spark, sf_dir, "2001-08-01"), "origid")
     return changed_rows(old, new, "origid", ["visit_due", "recent_30", "recent_90"])
+
+
+# ── documents: JSON sink, profile, conformance, file round trip ───────────
+
+def person_json(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """JSON text per person (S7 P2 F18): ``to_json`` of the nested record
+    wrapped in ``{"patient": …}``, NULL fields kept."""
+    rec = person_records(t, as_of)
+    doc = F.to_json(F.struct(F.struct(F.col("origid").cast("string").alias("id"), "origid", "demographics",
+                                      "care_team", "encounters", "chronic_conditions",
+                                      "hedis_measures",
+                                      F.struct(F.lit("2.0").alias("schema_version")).alias("_meta"))
+                             .alias("patient")), {"ignoreNullFields": "false"})
+    return rec.select("origid", doc.alias("doc"))
+
+
+def doc_json(spark, sf_dir) -> DataFrame:
+    """Values read back from each person's JSON document: the document
+    carries what the tables say (S7 P2 F18 A12)."""
+    t = _t(spark, sf_dir)
+    d = person_json(t)
+    g = lambda p: F.get_json_object("doc", p)
+    return d.select(
+        "origid",
+        F.json_array_length(g("$.patient.encounters")).alias("n_encounters"),
+        g("$.patient.encounters[0].enc_date").alias("latest_encounter"),
+        F.json_array_length(g("$.patient.chronic_conditions")).alias("n_conditions"),
+        g("$.patient.demographics.dob").alias("dob"),
+        g("$.patient._meta.schema_version").alias("schema_version"))
+
+
+def doc_profile(spark, sf_dir) -> DataFrame:
+    """Profile per person (V5 F22 T7 P16): section sizes, NULL vs empty kept
+    apart, first-3 preview of encounter ids."""
+    from carelake.plans.checks import array_len, preview
+    t = _t(spark, sf_dir)
+    r = person_records(t)
+    return r.select(
+        "origid", array_len(F.col("encounters")).alias("n_encounters"),
+        array_len(F.col("hedis_measures")).alias("n_hedis"),
+        array_len(F.col("chronic_conditions")).alias("n_conditions"),
+        F.array_join(preview(F.transform("encounters", lambda e: e["id"].cast("string")), 3), ",")
+        .alias("first_encounters"))
+
+
+def doc_missing_keys(spark, sf_dir) -> DataFrame:
+    """Required-key check over JSON text (V1 V2 V3): one row per (event,
+    missing key) of the event payloads."""
+    from carelake.plans.checks import missing_keys
+    t = _t(spark, sf_dir)
+    return missing_keys(t.events.select("event_id", F.col("props").alias("doc")), "event_id",
+                        path="$", required=["k", "source", "version"], kind="props") \
+        .select("event_id", "missing_key")
+
+
+def doc_cardinality(spark, sf_dir) -> DataFrame:
+    """Cardinality check (V4): keys expected unique with more than one row."""
+    from carelake.plans.checks import duplicates
+    t = _t(spark, sf_dir)
+    return duplicates(t.lineitem, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", F.col("count").alias("n_rows"))
+
+
+def doc_missing(spark, sf_dir) -> DataFrame:
+    """Persons without a document (V7): here persons with no event record."""
+    from carelake.plans.checks import missing_documents
+    t = _t(spark, sf_dir)
+    docs = t.events.select(F.col("user_id").alias("origid")).distinct()
+    return missing_documents(patients(t), docs, "origid")

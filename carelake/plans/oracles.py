@@ -461,3 +461,44 @@ WITH s AS (
   FROM customer c)
 SELECT * FROM s
 WHERE old_visit_due <> new_visit_due OR old_recent_30 <> new_recent_30 OR old_recent_90 <> new_recent_90"""
+
+
+# ── documents ─────────────────────────────────────────────────────────────
+SQL["doc_json"] = """
+WITH n AS (SELECT o_custkey, count(*) AS n_enc,
+                  arg_max(strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), (CAST(o_orderdate AS DATE), o_orderkey)) AS latest,
+                  strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS dob
+           FROM orders GROUP BY o_custkey),
+cc AS (SELECT o.o_custkey, count(DISTINCT p.p_brand) AS n_cc
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+       GROUP BY o.o_custkey)
+SELECT c.c_custkey AS origid, n.n_enc AS n_encounters, n.latest AS latest_encounter,
+       cc.n_cc AS n_conditions, n.dob, '2.0' AS schema_version
+FROM customer c LEFT JOIN n ON n.o_custkey = c.c_custkey LEFT JOIN cc ON cc.o_custkey = c.c_custkey"""
+
+SQL["doc_profile"] = """
+WITH n AS (SELECT o_custkey, count(*) AS n_enc,
+                  string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS all_keys
+           FROM orders GROUP BY o_custkey),
+cc AS (SELECT o.o_custkey, count(DISTINCT p.p_brand) AS n_cc
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+       GROUP BY o.o_custkey),
+h AS (SELECT user_id, count(*) AS n_h FROM events
+      WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 NOT IN (4, 5) GROUP BY user_id)
+SELECT c.c_custkey AS origid, n.n_enc AS n_encounters, h.n_h AS n_hedis, cc.n_cc AS n_conditions,
+       array_to_string(string_split(n.all_keys, ',')[1:3], ',') AS first_encounters
+FROM customer c LEFT JOIN n ON n.o_custkey = c.c_custkey LEFT JOIN cc ON cc.o_custkey = c.c_custkey
+LEFT JOIN h ON h.user_id = c.c_custkey"""
+
+SQL["doc_missing_keys"] = """
+SELECT e.event_id, r.k AS missing_key
+FROM events e CROSS JOIN (VALUES ('k'), ('source'), ('version')) r(k)
+WHERE json_extract(e.props, '$.' || r.k) IS NULL"""
+
+SQL["doc_cardinality"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+SQL["doc_missing"] = """
+SELECT c_custkey AS origid FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)"""

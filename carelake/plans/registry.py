@@ -50,6 +50,11 @@ QUERIES = {
     "cdc_dedup_latest": A.cdc_dedup_latest,
     "cdc_last_writer": A.cdc_last_writer,
     "cdc_time_refresh": A.cdc_time_refresh,
+    "doc_json": A.doc_json,
+    "doc_profile": A.doc_profile,
+    "doc_missing_keys": A.doc_missing_keys,
+    "doc_cardinality": A.doc_cardinality,
+    "doc_missing": A.doc_missing,
 }
 
 ORACLES = dict(SQL)
