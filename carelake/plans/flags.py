@@ -150,7 +150,7 @@ def rule_flags(t, as_of, run_ts=None, persons: DataFrame | None = None,
     ]
     if capture is not None:
         cols += [C.pct("captured_hccs", "eligible_hccs", 1).alias("hcc_capture_pct"),
-                 F.coalesce(F.size("gap_hccs"), F.lit(0)).alias("hcc_gaps_open"),
+                 F.coalesce(F.when(F.col("gap_hccs").isNotNull(), F.size("gap_hccs")), F.lit(0)).alias("hcc_gaps_open"),
                  F.col("gap_hccs").alias("hcc_gap_codes")]
     if adherence is not None:
         pct = C.pct(F.coalesce("covered", F.lit(0)), F.datediff(S._ts(as_of), F.col("first_start")), 2)

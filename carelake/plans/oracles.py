@@ -502,3 +502,18 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
 SQL["doc_missing"] = """
 SELECT c_custkey AS origid FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)"""
+
+SQL["stream_replace"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS origid, count(*) AS n_orders,
+       CAST(round(CAST(sum(o_totalprice) AS DECIMAL(18,2)), 2) AS DOUBLE) AS total,
+       strftime(max(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS last_order
+FROM orders GROUP BY o_custkey"""
+
+SQL["doc_files"] = """
+WITH n AS (SELECT o_custkey, count(*) AS n_enc, strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS dob
+           FROM orders GROUP BY o_custkey),
+cc AS (SELECT o.o_custkey, count(DISTINCT p.p_brand) AS n_cc
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+       GROUP BY o.o_custkey)
+SELECT c.c_custkey AS origid, n.n_enc AS n_encounters, n.dob, cc.n_cc AS n_conditions
+FROM customer c LEFT JOIN n ON n.o_custkey = c.c_custkey LEFT JOIN cc ON cc.o_custkey = c.c_custkey"""

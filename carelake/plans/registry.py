@@ -55,6 +55,8 @@ QUERIES = {
     "doc_missing_keys": A.doc_missing_keys,
     "doc_cardinality": A.doc_cardinality,
     "doc_missing": A.doc_missing,
+    "stream_replace": A.stream_replace,
+    "doc_files": A.doc_files,
 }
 
 ORACLES = dict(SQL)
