@@ -98,11 +98,20 @@ def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFram
 
 
 def affected(changes: DataFrame, routes: Sequence[Route], parents: Mapping[str, DataFrame],
-             person_col: str = "origid") -> DataFrame:
+             person_col: str = "origid", prune: bool = False) -> DataFrame:
     """``(event_id, sequence, table, op, change_ts, origid, section)`` for every
     change × reached person × section; tables without a route are ignored.
     The parent lookups are de-duplicated on (ref, next) so a one-to-many
-    hop (C8) multiplies rows only by distinct targets."""
+    hop (C8) multiplies rows only by distinct targets.
+
+    ``prune=True`` compiles only the routes of tables present in the batch:
+    one distinct over the ``table`` column, whose size is bounded by the
+    routing configuration (not by the data), keeps the plan small."""
+    if prune:
+        present = {r[0] for r in changes.select("table").distinct().collect()}
+        routes = [r for r in routes if r.table in present]
+        if not routes:
+            return _route_plan(changes.limit(0), Route("", "_none"), parents, person_col)
     plans = [_route_plan(changes, r, parents, person_col) for r in routes]
     out = plans[0]
     for p in plans[1:]:

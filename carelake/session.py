@@ -36,6 +36,10 @@ def build_session(master: str | None = None, app: str = "carelake",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the executor; the wide record plan
+            # needs more than the 1 GB default heap.
+            b = b.config("spark.driver.memory", "16g")
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

@@ -87,8 +87,10 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     if store.current_version() == str(batch_id):
         return
     tables = load_tables()
-    aff = affected(changes, routes, tables, key)
-    todo = persons_to_rebuild(aff, key)
+    aff = affected(changes, routes, tables, key, prune=True)
+    # materialise the (small) rebuild set in the shared checkpoint folder:
+    # the rebuild semi-joins every table with it, and must not re-run routing
+    todo = persons_to_rebuild(aff, key).checkpoint()
     if todo.isEmpty():
         return
     fresh = build(tables, todo)
