@@ -768,7 +768,7 @@ def cdc_xref(spark, sf_dir) -> DataFrame:
     through a cross-reference table (C10 J15)."""
     from carelake.plans.cdc import Hop, Route
     t = _t(spark, sf_dir)
-    r = Route("events", "mbi", (Hop("customer", "c_name", "c_custkey"),), ("care_team",))
+    r = Route("events", "mbi", (Hop("customer", "c_name", "c_custkey"),), ("care_team",), collapse=False)
     return _aff(t, event_changes(t), [r]).select("event_id", "op", "origid")
 
 

@@ -47,6 +47,7 @@ class Route:
     row_eq: Mapping[str, object] = field(default_factory=dict)   # equality filters on the row (C3)
     row_filter: str | None = None               # SQL predicate over the row's columns (C4)
     row_cols: tuple[str, ...] = ()              # row columns the predicate reads
+    collapse: bool = True                       # one row per key (latest change) before each hop
 
 
 def row_value(col: str) -> Column:
@@ -80,6 +81,12 @@ def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFram
     cur = c.select("event_id", "sequence", "table", "op", change_time(route).alias("change_ts"),
                    row_value(route.key_col).alias("_key"))
     for hop in route.hops:
+        if route.collapse:
+            # Many changes pointing at one key need one lookup: keep the
+            # latest change per key before fanning out (partial aggregate),
+            # so a mass change (C9) multiplies distinct keys, not events.
+            cur = latest_row(cur, ["_key"], ["sequence", "event_id"],
+                             ["event_id", "sequence", "table", "op", "change_ts"])
         p = parents[hop.table]
         if hop.filter:
             p = p.filter(F.expr(hop.filter))
@@ -100,7 +107,9 @@ def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFram
 def affected(changes: DataFrame, routes: Sequence[Route], parents: Mapping[str, DataFrame],
              person_col: str = "origid", prune: bool = False) -> DataFrame:
     """``(event_id, sequence, table, op, change_ts, origid, section)`` for every
-    change × reached person × section; tables without a route are ignored.
+    change × reached person × section (routes with ``collapse`` keep only
+    the latest change per intermediate key); tables without a route are
+    ignored.
     The parent lookups are de-duplicated on (ref, next) so a one-to-many
     hop (C8) multiplies rows only by distinct targets.
 
