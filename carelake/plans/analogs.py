@@ -352,11 +352,13 @@ def raf_pivot(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
 
 
 def _seen_codes(t: Tables, as_of: str):
+    """One aggregate per (person, code) with the count of this year's
+    diagnoses; "ever" and "this year" are both read from it (one scan of the
+    line ⋈ encounter ⋈ code join instead of two)."""
     d = coded_diagnoses(t).select("origid", "code", "enc_date")
-    ever = d.select("origid", "code").distinct()
-    this_year = d.filter(F.year("enc_date") == F.year(C.as_date(as_of))) \
-        .groupBy("origid", "code").agg(F.count("*").alias("cnt"))
-    return ever, this_year
+    seen = d.groupBy("origid", "code").agg(
+        F.count_if(F.year("enc_date") == F.year(C.as_date(as_of))).alias("cnt"))
+    return seen.select("origid", "code"), seen.filter(F.col("cnt") > 0)
 
 
 def hcc_capture(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
@@ -929,3 +931,38 @@ def doc_files(spark, sf_dir) -> DataFrame:
     return back.select("origid", array_len(F.col("encounters")).alias("n_encounters"),
                        F.col("demographics.dob").alias("dob"),
                        array_len(F.col("chronic_conditions")).alias("n_conditions"))
+
+
+# ── extensions declared by the document schema (X1–X3) ────────────────────
+
+def ext_flags(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    """Capture and adherence results promoted into the flags (X1): pct, open
+    gap count and codes, adherence pct and label — one row per person."""
+    cap = hcc_capture(spark, sf_dir, as_of)
+    adh = adherence(spark, sf_dir, as_of)
+    return cap.join(adh, "origid").select(
+        "origid", F.col("capture_pct").alias("hcc_capture_pct"),
+        F.coalesce(F.when(F.col("gap_hccs").isNotNull(), F.size(F.split("gap_hccs", ","))), F.lit(0))
+        .alias("hcc_gaps_open"),
+        F.col("gap_hccs").alias("hcc_gap_codes"), F.col("adherence_pct").alias("rx_adherence_pct"),
+        F.col("adherence_label").alias("rx_adherence_flag"))
+
+
+# Fixed values of the analogue threshold table: score threshold per tool.
+SCORE_THRESHOLDS = [("1-URGENT", 300000.0), ("2-HIGH", 250000.0), ("3-MEDIUM", 200000.0),
+                    ("4-NOT SPECIFIED", 150000.0)]
+
+
+def ext_threshold(spark, sf_dir) -> DataFrame:
+    """Score above a per-tool threshold (X2, scores kept as text and cast
+    safely) and the specialty label with its fallback (X3)."""
+    t = _t(spark, sf_dir)
+    thr = spark.createDataFrame(SCORE_THRESHOLDS, "tool string, score_threshold double")
+    o = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("tool"),
+                        F.col("o_totalprice").cast("string").alias("score"), "o_orderstatus")
+    j = o.join(F.broadcast(thr), "tool", "left")   # fixed four-row configuration table
+    num = F.col("score").try_cast("double")
+    return j.select("o_orderkey", num.alias("score_numeric"), "score_threshold",
+                    (num >= F.col("score_threshold")).alias("above_threshold"),
+                    F.coalesce(F.when(F.col("o_orderstatus") != "P", F.col("tool")),
+                               F.col("o_orderstatus")).alias("specialty"))

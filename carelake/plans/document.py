@@ -29,22 +29,24 @@ SECTION_ORDER = [
 EMPTY_WHEN_NONE: dict[str, str] = {}
 
 
-def persons_with_roster(t, cc_version: str | None = None, how: str = "inner") -> tuple[DataFrame, DataFrame]:
+def persons_with_roster(t, cc_version: str | None = None, how: str = "inner",
+                        xref: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Base join (J1, decisions D1–D3): persons with their latest aligned
     roster row; ``how='left'`` keeps persons without one."""
-    roster = S.roster_latest(t, cc_version)
+    roster = S.roster_latest(t, cc_version, xref=xref)
     persons = t["patient"].select("origid").join(roster.select("origid"), "origid", how)
     return persons.distinct() if how != "inner" else persons, roster
 
 
 def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: str = "inner",
                     trigger: Column | str = "initial_load", sequence: Column | None = None,
-                    source_db: str | None = None) -> DataFrame:
+                    source_db: str | None = None, xref: DataFrame | None = None,
+                    measure_dedupe_keys=None, score_thresholds: DataFrame | None = None) -> DataFrame:
     """``(origid, patient struct)`` — one row per person (V4 holds by
     construction: every part is keyed by ``origid`` with one row per key)."""
     as_of = as_of if isinstance(as_of, str) else as_of.isoformat()
     run = run_ts or f"{as_of} 00:00:00"
-    persons, roster = persons_with_roster(t, cc_version, how)
+    persons, roster = persons_with_roster(t, cc_version, how, xref)
     capture = S.hcc_capture_counts(t, as_of)
     adh = S.adherence_counts(t, as_of)
     flags = FL.rule_flags(t, as_of, run, persons, capture, adh)
@@ -52,8 +54,8 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
         S.demographics(t, as_of), S.contact(t), S.care_team(t, roster, as_of), S.enrollment(t, roster),
         FL.as_struct(flags), S.chronic_conditions(t, as_of), S.raf_profile(persons, t, as_of),
         S.hcc_capture(persons, t, as_of), S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of),
-        S.medication_adherence(persons, t, as_of), S.hedis_measures(t, as_of), S.encounters(t, as_of),
-        S.labs(t), S.medications(t, as_of), S.assessments(t), S.alerts(t), S.sdoh(persons, t, flags),
+        S.medication_adherence(persons, t, as_of), S.hedis_measures(t, as_of, measure_dedupe_keys),
+        S.encounters(t, as_of), S.labs(t), S.medications(t, as_of), S.assessments(t, score_thresholds), S.alerts(t), S.sdoh(persons, t, flags),
         S.transport_benefits(t), S.emr_appointments(t),
         S.meta(persons, run, trigger if isinstance(trigger, str) else "initial_load", None, source_db),
     ]
@@ -94,6 +96,14 @@ def read_documents(spark, path: str, schema, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def parse_documents(df: DataFrame, schema, json_col: str = "doc", key: str = "origid") -> DataFrame:
+    """JSON text column (e.g. index contents) → nested record (S5) with an
+    explicit schema of the ``patient`` object; malformed text gives NULL."""
+    from pyspark.sql.types import StructField, StructType
+    wrapped = StructType([StructField("patient", schema)])
+    return df.select(key, F.from_json(json_col, wrapped)["patient"].alias("patient"))
+
+
 def replace_documents(current: DataFrame, fresh: DataFrame, key: str = "origid") -> DataFrame:
     """Full-document replace keyed on the person (S9): rows of ``fresh``
     win, everything else is kept — ``anti-join ∪ fresh``."""

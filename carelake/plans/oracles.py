@@ -517,3 +517,19 @@ cc AS (SELECT o.o_custkey, count(DISTINCT p.p_brand) AS n_cc
        GROUP BY o.o_custkey)
 SELECT c.c_custkey AS origid, n.n_enc AS n_encounters, n.dob, cc.n_cc AS n_conditions
 FROM customer c LEFT JOIN n ON n.o_custkey = c.c_custkey LEFT JOIN cc ON cc.o_custkey = c.c_custkey"""
+
+SQL["ext_flags"] = f"""
+WITH cap AS ({SQL['hcc_capture']}),
+adh AS ({SQL['adherence']})
+SELECT cap.origid, cap.capture_pct AS hcc_capture_pct,
+       COALESCE(len(string_split(cap.gap_hccs, ',')), 0) AS hcc_gaps_open, cap.gap_hccs AS hcc_gap_codes,
+       adh.adherence_pct AS rx_adherence_pct, adh.adherence_label AS rx_adherence_flag
+FROM cap JOIN adh ON adh.origid = cap.origid"""
+
+SQL["ext_threshold"] = """
+WITH thr(tool, score_threshold) AS (VALUES ('1-URGENT', 300000.0), ('2-HIGH', 250000.0),
+                                           ('3-MEDIUM', 200000.0), ('4-NOT SPECIFIED', 150000.0))
+SELECT o.o_orderkey, o.o_totalprice AS score_numeric, CAST(thr.score_threshold AS DOUBLE) AS score_threshold,
+       o.o_totalprice >= thr.score_threshold AS above_threshold,
+       COALESCE(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_orderpriority END, o.o_orderstatus) AS specialty
+FROM orders o LEFT JOIN thr ON thr.tool = o.o_orderpriority"""

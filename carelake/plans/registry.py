@@ -57,6 +57,8 @@ QUERIES = {
     "doc_missing": A.doc_missing,
     "stream_replace": A.stream_replace,
     "doc_files": A.doc_files,
+    "ext_flags": A.ext_flags,
+    "ext_threshold": A.ext_threshold,
 }
 
 ORACLES = dict(SQL)

@@ -94,12 +94,18 @@ def contact(t: Tables) -> DataFrame:
     ).alias("contact"))
 
 
-def roster_latest(t: Tables, cc_version: str | None = None, statuses=ALIGNED_STATUSES) -> DataFrame:
+def roster_latest(t: Tables, cc_version: str | None = None, statuses=ALIGNED_STATUSES,
+                  xref: DataFrame | None = None) -> DataFrame:
     """Latest aligned roster row per person (J1 T3 T6, decision D1: per
-    person, not globally), keyed ``origid``."""
+    person, not globally), keyed ``origid``.  The roster key is the person
+    key by default; with ``xref`` ``(ref, origid)`` it is resolved through the
+    person cross-reference instead (J15, decision D2)."""
     r = t["dc_bene_alignment_rostr_m01"].filter(F.col("ALIGN_STATUS_CODE").isin(list(statuses)))
     if cc_version is not None:
         r = r.filter(C.ci_equals("cc_version", F.lit(cc_version)))
+    if xref is not None:
+        r = r.join(xref, r.mm_curr_mbi_id == xref.ref).drop("ref", "mm_curr_mbi_id") \
+            .withColumnRenamed("origid", "mm_curr_mbi_id")
     r = r.withColumnRenamed("mm_curr_mbi_id", "origid")
     cols = [c for c in r.columns if c != "origid"]
     return latest_row(r, ["origid"], ["mm_date", "prov_npi_nr", "market_id"], cols)
@@ -319,9 +325,15 @@ def medication_adherence(persons: DataFrame, t: Tables, as_of) -> DataFrame:
     ).alias("medication_adherence"))
 
 
-def hedis_measures(t: Tables, as_of) -> DataFrame:
+def hedis_measures(t: Tables, as_of, dedupe_keys=None) -> DataFrame:
+    """Quality measures newest first.  ``dedupe_keys`` (U3), e.g.
+    ``("ref_description", "ref_id")`` or ``("ref_description",)``: keep only
+    the latest entry per key within the person (the year is constant)."""
     a = t["mra_scorecard_alerts"].filter((F.col("type") == QUALITY_ALERT_TYPE)
                                          & ~F.col("original_status").isin(RESOLVED_STATUSES))
+    if dedupe_keys:
+        cols = [c for c in a.columns if c not in ("origid", *dedupe_keys)]
+        a = latest_row(a, ["origid", *dedupe_keys], ["added_date", "nr"], cols)
     y = _year(as_of)
     return ordered_array(a, ["origid"], ["added_date", "nr"], [
         F.concat(F.coalesce("ref_detail", F.lit("")), F.lit("_"), y.cast("string")).alias("id"),
@@ -575,12 +587,22 @@ def medications(t: Tables, as_of) -> DataFrame:
         "reconciled_status", "risk_indicator", "duration"], "medications")
 
 
-def assessments(t: Tables) -> DataFrame:
+def assessments(t: Tables, thresholds: DataFrame | None = None) -> DataFrame:
+    """Assessments newest first.  With a ``thresholds`` table
+    ``(assessment_tools, score_threshold)`` each item also carries
+    ``score_numeric`` and ``above_threshold`` (X2); scores that are not
+    numbers give NULL, never an error."""
     a = t["mra_assessments_and_screenings"]
+    extra = []
+    if thresholds is not None:
+        a = a.join(thresholds, "assessment_tools", "left")
+        num = F.col("score").try_cast("double")
+        extra = [num.alias("score_numeric"), F.col("score_threshold"),
+                 (num >= F.col("score_threshold")).alias("above_threshold")]
     return ordered_array(a, ["origid"], ["date_completed", "nr"], [
         F.col("nr").alias("id"), F.col("assessment_tools").alias("tool"),
         C.iso_date("date_completed").alias("date_completed"), "acuity", "score", "completed_by",
-        "notes", C.iso_date("created_date").alias("created_date")], "assessments")
+        "notes", C.iso_date("created_date").alias("created_date"), *extra], "assessments")
 
 
 def alerts(t: Tables) -> DataFrame:

@@ -86,3 +86,22 @@ def visits(enc: DataFrame, settings: Sequence[str] | None = None, start=None, en
 def write_by_setting(df: DataFrame, path: str, setting: str = "setting") -> None:
     """Sink: one folder per setting, written by one job."""
     df.write.mode("overwrite").partitionBy(setting).parquet(path)
+
+
+def visits_sql(spark, view: str, setting: str, start, end, facility=None,
+               columns: Sequence[tuple[str, str]] = VISIT_COLUMNS) -> DataFrame:
+    """The per-setting statement as parameterised Spark SQL (S3, S4):
+    ``spark.sql(text, args=…)`` binds values as literals, never by string
+    formatting.  ``view`` names a registered table / view."""
+    proj = ",\n  ".join(f"`{s}` AS `{a}`" for s, a in columns)
+    dated = setting in DATED_SETTINGS
+    text = (f"SELECT {proj} FROM {view} WHERE enc_proc_type = :setting"
+            + (" AND pt_facility_nr = :facility" if facility is not None else "")
+            + (" AND enc_disch_date BETWEEN :start AND :end" if dated else ""))
+    args = {"setting": setting}
+    if facility is not None:
+        args["facility"] = facility
+    if dated:
+        args.update(start=str(start), end=str(end))
+        text = text.replace(":start AND :end", "CAST(:start AS DATE) AND CAST(:end AS DATE)")
+    return spark.sql(text, args=args)

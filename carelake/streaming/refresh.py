@@ -80,7 +80,8 @@ class RecordStore:
 def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
                   build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
-                  routes: Sequence[Route], key: str = "origid") -> None:
+                  routes: Sequence[Route], key: str = "origid",
+                  after: Callable[[DataFrame, DataFrame, int], None] | None = None) -> None:
     """One micro-batch: route → distinct persons → rebuild → replace.
     A batch already committed (the pointer names its version) is skipped,
     so a re-run after a failure never reads and overwrites the same folder."""
@@ -96,7 +97,11 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     fresh = build(tables, todo)
     current = store.read()
     new = fresh if current is None else replace_documents(current, fresh, key)
-    store.write(new, str(batch_id))
+    path = store.write(new, str(batch_id))
+    if after is not None:
+        # the hook reads the committed version, not a re-computation
+        written = store.spark.read.parquet(path).join(todo.select(key), key, "left_semi")
+        after(written, aff, batch_id)
 
 
 def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
@@ -104,7 +109,8 @@ def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
           build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
           routes: Sequence[Route], name: str = "record-refresh", watermark: str = "1 day",
           available_now: bool = False, processing_time: str | None = None, fmt: str = "json",
-          max_files_per_trigger: int | None = None):
+          max_files_per_trigger: int | None = None,
+          after: Callable[[DataFrame, DataFrame, int], None] | None = None):
     """Start the refresh query.  Replayed events (same ``event_id``) are
     dropped within the watermark.  ``change_ts`` must be the change log's
     commit time (monotone), not a business date, so no genuine change is
@@ -120,7 +126,8 @@ def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
            .dropDuplicatesWithinWatermark(["event_id"]))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        refresh_batch(df, batch_id, store=store, load_tables=load_tables, build=build, routes=routes)
+        refresh_batch(df, batch_id, store=store, load_tables=load_tables, build=build, routes=routes,
+                      after=after)
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).queryName(name)
     if available_now:
@@ -128,3 +135,20 @@ def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def measure_trigger(measure, as_of, out_dir: str, root: str = "patient",
+                    trigger_tables: Sequence[str] = ("adt_encounter", "mra1_encounter"),
+                    key: str = "origid") -> Callable[[DataFrame, DataFrame, int], None]:
+    """Event trigger (M23): after a batch, re-evaluate ``measure`` for the
+    persons whose change came from an encounter table ("encounter start")
+    and append the results under ``out_dir/batch=<id>`` (idempotent per
+    batch: a re-run overwrites its own folder)."""
+    from carelake.plans import measures as M
+
+    def hook(docs: DataFrame, aff: DataFrame, batch_id: int) -> None:
+        hit = aff.filter(F.col("table").isin(list(trigger_tables))).select(key).distinct()
+        d = docs.join(hit, key, "left_semi")
+        ev = M.evaluate(M.enrich_age(d, as_of, root=root), measure, as_of, root=root)
+        ev.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+    return hook
