@@ -38,18 +38,35 @@ def persons_with_roster(t, cc_version: str | None = None, how: str = "inner",
     return persons.distinct() if how != "inner" else persons, roster
 
 
+def stage(df: DataFrame, path: str | None) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back:
+    cuts the lineage (a lost executor recomputes one stage, not the whole
+    record) and keeps the final assembly plan small.  ``None`` = no staging."""
+    if path is None:
+        return df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: str = "inner",
                     trigger: Column | str = "initial_load", sequence: Column | None = None,
                     source_db: str | None = None, xref: DataFrame | None = None,
-                    measure_dedupe_keys=None, score_thresholds: DataFrame | None = None) -> DataFrame:
+                    measure_dedupe_keys=None, score_thresholds: DataFrame | None = None,
+                    stage_dir: str | None = None) -> DataFrame:
     """``(origid, patient struct)`` — one row per person (V4 holds by
-    construction: every part is keyed by ``origid`` with one row per key)."""
+    construction: every part is keyed by ``origid`` with one row per key).
+
+    ``stage_dir`` (a folder under ``spark.checkpoint.dir``) materialises the
+    person list and every section as Parquet before the assembly."""
     as_of = as_of if isinstance(as_of, str) else as_of.isoformat()
     run = run_ts or f"{as_of} 00:00:00"
     persons, roster = persons_with_roster(t, cc_version, how, xref)
+    sp = (lambda name: f"{stage_dir}/{name}") if stage_dir else (lambda name: None)
+    roster = stage(roster, sp("roster"))
+    persons = stage(persons, sp("persons"))
     capture = S.hcc_capture_counts(t, as_of)
     adh = S.adherence_counts(t, as_of)
-    flags = FL.rule_flags(t, as_of, run, persons, capture, adh)
+    flags = stage(FL.rule_flags(t, as_of, run, persons, capture, adh), sp("rule_flags"))
     parts = [
         S.demographics(t, as_of), S.contact(t), S.care_team(t, roster, as_of), S.enrollment(t, roster),
         FL.as_struct(flags), S.chronic_conditions(t, as_of), S.raf_profile(persons, t, as_of),
@@ -59,6 +76,8 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
         S.transport_benefits(t), S.emr_appointments(t),
         S.meta(persons, run, trigger if isinstance(trigger, str) else "initial_load", None, source_db),
     ]
+    if stage_dir:
+        parts = [stage(p, sp(f"section_{i:02d}")) for i, p in enumerate(parts)]
     j = attach(persons, "origid", parts)
     if not isinstance(trigger, str) or sequence is not None:
         j = j.withColumn("_meta", F.col("_meta").withField("trigger_source", trigger if isinstance(

@@ -99,3 +99,14 @@ def test_conformance_checks(spark, docs):
     prof = checks.profile(docs.join(js, "origid"), "origid", ["encounters", "labs"], json_col="doc")
     row = prof.filter("origid = 'P2'").first()
     assert row["n_labs"] is None and row["doc_kb"] > 0
+
+
+def test_staged_build_equals_direct(spark, tables, docs):
+    import uuid
+
+    from carelake.plans.document import build_documents
+    from carelake.session import shared_dir
+    from tests.fixtures import AS_OF
+    staged = build_documents(tables, AS_OF, stage_dir=shared_dir(spark, "stage", uuid.uuid4().hex))
+    to_s = lambda df: sorted(r.j for r in df.select(F.to_json("patient").alias("j")).collect())
+    assert to_s(staged) == to_s(docs)
