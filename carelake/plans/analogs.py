@@ -966,3 +966,17 @@ def ext_threshold(spark, sf_dir) -> DataFrame:
                     (num >= F.col("score_threshold")).alias("above_threshold"),
                     F.coalesce(F.when(F.col("o_orderstatus") != "P", F.col("tool")),
                                F.col("o_orderstatus")).alias("specialty"))
+
+
+def doc_parts(spark, sf_dir, part_size: int = 4) -> DataFrame:
+    """Hot-person-safe record layout: encounter arrays split into parts of
+    about ``part_size`` items (ceil(n / part_size) parts, each sorted), then
+    checked per person: parts declared and encounters carried in total."""
+    from carelake.operators.arrays import ordered_array_parts
+    t = _t(spark, sf_dir)
+    enc = encounters(t).select("origid", "encounter_nr", "enc_date", "priority")
+    parts = ordered_array_parts(enc, ["origid"], ["enc_date", "encounter_nr"],
+                                ["encounter_nr", "enc_date", "priority"], "encounters", part_size,
+                                item_id=["encounter_nr"])
+    return parts.groupBy("origid").agg(
+        F.max("n_parts").alias("n_parts"), F.sum(F.size("encounters")).alias("n_encounters"))

@@ -52,12 +52,18 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
                     trigger: Column | str = "initial_load", sequence: Column | None = None,
                     source_db: str | None = None, xref: DataFrame | None = None,
                     measure_dedupe_keys=None, score_thresholds: DataFrame | None = None,
-                    stage_dir: str | None = None) -> DataFrame:
+                    stage_dir: str | None = None, part_size: int | None = None) -> DataFrame:
     """``(origid, patient struct)`` — one row per person (V4 holds by
     construction: every part is keyed by ``origid`` with one row per key).
 
     ``stage_dir`` (a folder under ``spark.checkpoint.dir``) materialises the
-    person list and every section as Parquet before the assembly."""
+    person list and every section as Parquet before the assembly.
+
+    ``part_size`` switches to the hot-person-safe layout ``(origid, part_no,
+    n_parts, patient)``: a person whose array section holds more than
+    ``part_size`` items gets it split over several rows (see
+    :func:`carelake.operators.arrays.ordered_array_parts`), so no task ever
+    assembles an unbounded array; everyone else still has exactly one row."""
     as_of = as_of if isinstance(as_of, str) else as_of.isoformat()
     run = run_ts or f"{as_of} 00:00:00"
     persons, roster = persons_with_roster(t, cc_version, how, xref)
@@ -67,24 +73,54 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     capture = S.hcc_capture_counts(t, as_of)
     adh = S.adherence_counts(t, as_of)
     flags = stage(FL.rule_flags(t, as_of, run, persons, capture, adh), sp("rule_flags"))
+    ps = part_size
+    arrays = {
+        "chronic_conditions": S.chronic_conditions(t, as_of, ps),
+        "hedis_measures": S.hedis_measures(t, as_of, measure_dedupe_keys, ps),
+        "encounters": S.encounters(t, as_of, ps), "labs": S.labs(t, ps),
+        "medications": S.medications(t, as_of, ps), "assessments": S.assessments(t, score_thresholds, ps),
+        "alerts": S.alerts(t, ps), "transport_benefits": S.transport_benefits(t, ps),
+        "emr_appointments": S.emr_appointments(t, ps),
+    }
     parts = [
         S.demographics(t, as_of), S.contact(t), S.care_team(t, roster, as_of), S.enrollment(t, roster),
-        FL.as_struct(flags), S.chronic_conditions(t, as_of), S.raf_profile(persons, t, as_of),
-        S.hcc_capture(persons, t, as_of), S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of),
-        S.medication_adherence(persons, t, as_of), S.hedis_measures(t, as_of, measure_dedupe_keys),
-        S.encounters(t, as_of), S.labs(t), S.medications(t, as_of), S.assessments(t, score_thresholds), S.alerts(t), S.sdoh(persons, t, flags),
-        S.transport_benefits(t), S.emr_appointments(t),
+        FL.as_struct(flags), S.raf_profile(persons, t, as_of), S.hcc_capture(persons, t, as_of),
+        S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of), S.medication_adherence(persons, t, as_of),
+        S.sdoh(persons, t, flags),
         S.meta(persons, run, trigger if isinstance(trigger, str) else "initial_load", None, source_db),
     ]
     if stage_dir:
         parts = [stage(p, sp(f"section_{i:02d}")) for i, p in enumerate(parts)]
-    j = attach(persons, "origid", parts)
+        arrays = {k: stage(v, sp(f"array_{k}")) for k, v in arrays.items()}
+    if not part_size:
+        j = attach(persons, "origid", parts + list(arrays.values()))
+    else:
+        j = _attach_parts(persons, parts, arrays)
     if not isinstance(trigger, str) or sequence is not None:
         j = j.withColumn("_meta", F.col("_meta").withField("trigger_source", trigger if isinstance(
             trigger, Column) else F.lit(trigger)).withField("cdc_sequence", sequence if sequence is not None
                                                             else F.lit(None).cast("bigint")))
     fields = [F.col("origid").alias("id") if c == "id" else F.col(c) for c in SECTION_ORDER]
-    return j.select("origid", F.struct(*fields).alias("patient"))
+    if not part_size:
+        return j.select("origid", F.struct(*fields).alias("patient"))
+    return j.select("origid", "part_no", "n_parts", F.struct(*fields).alias("patient"))
+
+
+def _attach_parts(persons: DataFrame, parts, arrays: dict) -> DataFrame:
+    """Hot-person-safe layout: the array sections come as ``(origid,
+    part_no, n_parts, array)``; they are aligned on (origid, part_no) by
+    full outer joins; part 0 of every person carries all other sections,
+    further parts only their array slices (other sections NULL)."""
+    aligned = None
+    for name, df in arrays.items():
+        a = df.select("origid", "part_no", F.col("n_parts").alias(f"_n_{name}"), name)
+        aligned = a if aligned is None else aligned.join(a, ["origid", "part_no"], "full_outer")
+    n_cols = [F.col(f"_n_{n}") for n in arrays]
+    aligned = aligned.withColumn("n_parts", F.greatest(*n_cols)).drop(*[f"_n_{n}" for n in arrays])
+    base = attach(persons.withColumn("part_no", F.lit(0)), ["origid", "part_no"], [aligned])
+    base = attach(base, "origid", parts).withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
+    extra = aligned.filter(F.col("part_no") > 0).join(persons, "origid", "left_semi")
+    return base.unionByName(extra, allowMissingColumns=True)
 
 
 def to_json(docs: DataFrame, keep_nulls: bool = True) -> DataFrame:

@@ -533,3 +533,8 @@ SELECT o.o_orderkey, o.o_totalprice AS score_numeric, CAST(thr.score_threshold A
        o.o_totalprice >= thr.score_threshold AS above_threshold,
        COALESCE(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_orderpriority END, o.o_orderstatus) AS specialty
 FROM orders o LEFT JOIN thr ON thr.tool = o.o_orderpriority"""
+
+SQL["doc_parts"] = """
+SELECT o_custkey AS origid, CAST(greatest(1, ceil(count(*) / 4.0)) AS INTEGER) AS n_parts,
+       count(*) AS n_encounters
+FROM orders GROUP BY o_custkey"""

@@ -59,6 +59,7 @@ QUERIES = {
     "doc_files": A.doc_files,
     "ext_flags": A.ext_flags,
     "ext_threshold": A.ext_threshold,
+    "doc_parts": A.doc_parts,
 }
 
 ORACLES = dict(SQL)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators.aggregates import attach, pivot_latest
-from carelake.operators.arrays import distinct_array, ordered_array, ordered_distinct_concat
+from carelake.operators.arrays import (distinct_array, ordered_array, ordered_array_parts,
+                                      ordered_distinct_concat)
 from carelake.operators.latest import latest_row
 
 Tables = Mapping[str, DataFrame]
@@ -44,6 +45,15 @@ ADHERENCE_THRESHOLD = 80
 LIVE_DELETE_STATUS = "n"
 
 
+def person_array(df: DataFrame, order, fields, alias: str, part_size: int | None = None,
+                 item_id=None) -> DataFrame:
+    """Person-level ordered array: one row per person, or — with
+    ``part_size`` — hot-person-safe parts ``(origid, part_no, n_parts, alias)``."""
+    if part_size:
+        return ordered_array_parts(df, ["origid"], order, fields, alias, part_size, item_id)
+    return ordered_array(df, ["origid"], order, fields, alias)
+
+
 def obj(*pairs) -> Column:
     """``JSON_OBJECT('k', expr, …)`` → ``struct(expr AS k, …)``."""
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in pairs])
@@ -164,7 +174,7 @@ def active_coefficients(t: Tables, as_of) -> DataFrame:
 
 # ── chronic conditions, scores, capture ──────────────────────────────────
 
-def chronic_conditions(t: Tables, as_of) -> DataFrame:
+def chronic_conditions(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
     """Per (person, code) over clinical diagnoses (A4; J5 folded into one
     aggregate), coefficient lookup (J6), category of the latest detail (J7,
     D6), newest last-seen first."""
@@ -196,7 +206,7 @@ def chronic_conditions(t: Tables, as_of) -> DataFrame:
         C.null_false(F.col("hcc").isNotNull()
                      & (F.year("last_date") < _year(as_of))).alias("recapture_needed"),
         "source"]
-    return ordered_array(j, ["origid"], ["last_date", "diagnosis_code"], item, "chronic_conditions")
+    return person_array(j, ["last_date", "diagnosis_code"], item, "chronic_conditions", part_size)
 
 
 def raf_scores(t: Tables, as_of) -> DataFrame:
@@ -325,7 +335,7 @@ def medication_adherence(persons: DataFrame, t: Tables, as_of) -> DataFrame:
     ).alias("medication_adherence"))
 
 
-def hedis_measures(t: Tables, as_of, dedupe_keys=None) -> DataFrame:
+def hedis_measures(t: Tables, as_of, dedupe_keys=None, part_size: int | None = None) -> DataFrame:
     """Quality measures newest first.  ``dedupe_keys`` (U3), e.g.
     ``("ref_description", "ref_id")`` or ``("ref_description",)``: keep only
     the latest entry per key within the person (the year is constant)."""
@@ -335,13 +345,13 @@ def hedis_measures(t: Tables, as_of, dedupe_keys=None) -> DataFrame:
         cols = [c for c in a.columns if c not in ("origid", *dedupe_keys)]
         a = latest_row(a, ["origid", *dedupe_keys], ["added_date", "nr"], cols)
     y = _year(as_of)
-    return ordered_array(a, ["origid"], ["added_date", "nr"], [
+    return person_array(a, ["added_date", "nr"], [
         F.concat(F.coalesce("ref_detail", F.lit("")), F.lit("_"), y.cast("string")).alias("id"),
         F.col("ref_id").alias("frows_nr"), y.alias("measure_year"),
         F.col("ref_description").alias("measure_name"),
         C.iso_date("ref_date").alias("last_screening_date"),
         F.when(F.col("resolved_date").isNotNull(), "Compliant").otherwise("Gap").alias("status"),
-        F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures")
+        F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures", part_size)
 
 
 # ── encounter spine with children ────────────────────────────────────────
@@ -540,7 +550,7 @@ def mra1_branch(t: Tables, as_of, children) -> DataFrame:
                               audit.alias("audit")).alias("_e"))
 
 
-def encounters(t: Tables, as_of) -> DataFrame:
+def encounters(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
     """The encounter spine (U1): both branches unioned by name (the nested
     claim block is missing on clinical rows and filled with NULL), the claim
     fields promoted to the encounter's top level, newest first (T5)."""
@@ -553,41 +563,41 @@ def encounters(t: Tables, as_of) -> DataFrame:
                     F.col("_e.enc_medications").alias("enc_medications"),
                     F.col("_e.audit").alias("audit"))
     u = u.select("origid", "enc_date", "source_system", "encounter_nr", flat.alias("e"))
-    return ordered_array(u, ["origid"], ["enc_date", "source_system", "encounter_nr"], ["e.*"],
-                         "encounters")
+    return person_array(u, ["enc_date", "source_system", "encounter_nr"], ["e.*"], "encounters",
+                        part_size, ["source_system", "encounter_nr"])
 
 
 # ── person-level arrays ──────────────────────────────────────────────────
 
-def labs(t: Tables) -> DataFrame:
+def labs(t: Tables, part_size: int | None = None) -> DataFrame:
     """result ⋈ encounter ⟕ values ⟕ item (J9), abnormal set."""
     cr = t["cpoe_result"]
     ae = t["adt_encounter"].select("encounter_nr", "origid")
     crv = t["cpoe_result_values"]
     ci = t["cpoe_item"]
     j = cr.join(ae, "encounter_nr").join(crv, "result_id", "left").join(ci, "item_id", "left")
-    return ordered_array(j, ["origid"], ["result_date", "result_id", "item_id"], [
+    return person_array(j, ["result_date", "result_id", "item_id"], [
         F.col("result_id").alias("id"), "encounter_nr", C.iso_date("result_date").alias("result_date"),
         "item_id", F.col("item_name").alias("test_name"), F.col("notes").alias("result_value"),
         F.col("unit").alias("result_unit"), F.col("notes_abnormality_flag").alias("alert_flag"),
         C.in_set("notes_abnormality_flag", ABNORMAL_FLAGS).alias("abnormal"), "result_status",
         F.col("result_created_by").alias("ordered_by"), "specimen_type",
-        C.iso_date("specimen_collection_date").alias("collection_date")], "labs")
+        C.iso_date("specimen_collection_date").alias("collection_date")], "labs", part_size)
 
 
-def medications(t: Tables, as_of) -> DataFrame:
+def medications(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
     m = t["drfirst_patient_medications"].filter(F.col("delete_status") == LIVE_DELETE_STATUS)
-    return ordered_array(m, ["origid"], ["start_date", "id"], [
+    return person_array(m, ["start_date", "id"], [
         "id", F.col("RxnormID").alias("rxnorm_id"), F.col("NDCID").alias("ndc_id"),
         F.col("medications").alias("medication_name"), "generic_name", "schedule", "dose", "dose_unit",
         F.col("rout").alias("route"), C.iso_date("start_date").alias("start_date"),
         C.iso_date("fill_date").alias("fill_date"), C.iso_date("stop_date").alias("stop_date"),
         C.open_ended("stop_date", _ts(as_of)).alias("active"), "quantity", "quantity_unit", "refills",
         "prescribed_doctor", F.coalesce("source", F.lit("DrFirst")).alias("source"), "delete_status",
-        "reconciled_status", "risk_indicator", "duration"], "medications")
+        "reconciled_status", "risk_indicator", "duration"], "medications", part_size)
 
 
-def assessments(t: Tables, thresholds: DataFrame | None = None) -> DataFrame:
+def assessments(t: Tables, thresholds: DataFrame | None = None, part_size: int | None = None) -> DataFrame:
     """Assessments newest first.  With a ``thresholds`` table
     ``(assessment_tools, score_threshold)`` each item also carries
     ``score_numeric`` and ``above_threshold`` (X2); scores that are not
@@ -599,22 +609,22 @@ def assessments(t: Tables, thresholds: DataFrame | None = None) -> DataFrame:
         num = F.col("score").try_cast("double")
         extra = [num.alias("score_numeric"), F.col("score_threshold"),
                  (num >= F.col("score_threshold")).alias("above_threshold")]
-    return ordered_array(a, ["origid"], ["date_completed", "nr"], [
+    return person_array(a, ["date_completed", "nr"], [
         F.col("nr").alias("id"), F.col("assessment_tools").alias("tool"),
         C.iso_date("date_completed").alias("date_completed"), "acuity", "score", "completed_by",
-        "notes", C.iso_date("created_date").alias("created_date"), *extra], "assessments")
+        "notes", C.iso_date("created_date").alias("created_date"), *extra], "assessments", part_size)
 
 
-def alerts(t: Tables) -> DataFrame:
+def alerts(t: Tables, part_size: int | None = None) -> DataFrame:
     a = t["mra_scorecard_alerts"].filter(~F.col("original_status").isin(RESOLVED_STATUSES))
-    return ordered_array(a, ["origid"], ["added_date", "nr"], [
+    return person_array(a, ["added_date", "nr"], [
         F.col("nr").alias("id"), F.col("type").alias("alert_type"), "ref_description", "ref_detail",
         "ref_id", C.iso_date("added_date").alias("added_date"), C.iso_date("ack_date").alias("acked_date"),
         "ack_by", "ack_notes", C.iso_date("resolved_date").alias("resolved_date"), "resolved_by",
         F.col("current_status").alias("status_code"),
         C.map_label("current_status", ALERT_STATUS, "Unknown").alias("status_desc"),
         F.col("resolved_date").isNull().alias("open"),
-        F.col("original_status").cast("string").alias("original_status"), "version_no"], "alerts")
+        F.col("original_status").cast("string").alias("original_status"), "version_no"], "alerts", part_size)
 
 
 def food_answers(t: Tables) -> DataFrame:
@@ -654,13 +664,13 @@ def reward_programs(t: Tables) -> DataFrame:
         "associate_name", "gift_card_to_be_issued"], "reward_programs")
 
 
-def transport_benefits(t: Tables) -> DataFrame:
+def transport_benefits(t: Tables, part_size: int | None = None) -> DataFrame:
     tb = t["transportation_benefit"]
-    return ordered_array(tb, ["origid"], ["date", "nr"], [
+    return person_array(tb, ["date", "nr"], [
         F.col("nr").alias("id"), "encounter_nr", C.iso_date("date").alias("date"), "mode",
         "eligible_rides", "ride_booked_by", "cost_of_the_ride", "transportation_company",
         "pickup_address", "dropoff_address", "notes", "facility_name", "facility_sub_name",
-        "dce_provider_name", "member_type"], "transport_benefits")
+        "dce_provider_name", "member_type"], "transport_benefits", part_size)
 
 
 def sdoh(persons: DataFrame, t: Tables, flags: DataFrame) -> DataFrame:
@@ -681,18 +691,19 @@ def sdoh(persons: DataFrame, t: Tables, flags: DataFrame) -> DataFrame:
     ).alias("sdoh"))
 
 
-def emr_appointments(t: Tables) -> DataFrame:
+def emr_appointments(t: Tables, part_size: int | None = None) -> DataFrame:
     """Appointments of the listed types joined to the person's account (J12),
     text times trimmed to 19 characters (F9 F10)."""
     am = t["allergies_medications"].filter(F.col("type").isin(APPOINTMENT_TYPES))
     p = t["patient"].select("origid", "account_id")
     j = am.join(p, "origid")
-    return ordered_array(j, ["origid"], ["encounterdate", "appointmentid"], [
+    return person_array(j, ["encounterdate", "appointmentid"], [
         F.col("appointmentid").alias("id"), "account_id", F.col("encounterdate").alias("encounter_date"),
         C.trim_ts_text("appointmentstartdate").alias("appointment_start"),
         C.trim_ts_text("closeddate").alias("closed_date"), F.col("encountertype").alias("encounter_type"),
         F.col("encountervisitname").alias("visit_name"), F.col("patientstatus").alias("patient_status"),
-        "type", C.in_set("patientstatus", COMPLETED_STATUSES).alias("completed")], "emr_appointments")
+        "type", C.in_set("patientstatus", COMPLETED_STATUSES).alias("completed")], "emr_appointments",
+        part_size)
 
 
 def meta(persons: DataFrame, run_ts, trigger: Column | str = "initial_load",

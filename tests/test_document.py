@@ -110,3 +110,22 @@ def test_staged_build_equals_direct(spark, tables, docs):
     staged = build_documents(tables, AS_OF, stage_dir=shared_dir(spark, "stage", uuid.uuid4().hex))
     to_s = lambda df: sorted(r.j for r in df.select(F.to_json("patient").alias("j")).collect())
     assert to_s(staged) == to_s(docs)
+
+
+def test_parts_layout_splits_hot_person(spark, tables, docs):
+    from carelake.plans.document import build_documents
+    from tests.fixtures import AS_OF
+    parts = build_documents(tables, AS_OF, part_size=2).cache()
+    rows = parts.collect()
+    p1 = [r for r in rows if r.origid == "P1"]
+    assert {r.n_parts for r in p1} == {3} and 1 <= len(p1) <= 3          # 5 encounters / 2 per part
+    assert all(len(r.patient.encounters or []) <= 5 for r in p1)
+    got = sorted(e.encounter_nr for r in p1 for e in (r.patient.encounters or []))
+    assert got == ["E1", "E3", "E5", "M1", "M2"]
+    main = [r for r in p1 if r.part_no == 0][0]
+    assert float(main.patient.rule_flags.raf_score) == 1.2346
+    assert all(r.patient.rule_flags is None for r in p1 if r.part_no > 0)
+    p2 = [r for r in rows if r.origid == "P2"]
+    assert len(p2) == 1 and p2[0].n_parts == 1                            # small person: one row
+    full = _doc(docs, "P2")
+    assert json.loads(json.dumps(p2[0].patient.asDict(recursive=True), default=str))["labs"] == full["labs"]
