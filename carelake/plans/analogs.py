@@ -530,7 +530,7 @@ def demographics(spark, sf_dir, as_of: str = ORDERS_AS_OF) -> DataFrame:
 
 # ── nested person records and measures ────────────────────────────────────
 
-def person_records(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
+def person_records(t: Tables, as_of: str = ORDERS_AS_OF, part_size: int | None = None) -> DataFrame:
     """One nested record per person, built set-based: children aggregated
     per encounter (shuffle on the encounter key), encounters per person
     (shuffle on the person key), then left joins of person-keyed parts.
@@ -539,7 +539,17 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
     encounters[{id, enc_date, setting, status, diagnoses[{icd_code,
     onset_date, status}], procedures[{billing_code, procedure_date}]}],
     chronic_conditions[{icd_code, last_seen_date}],
-    hedis_measures[{measure_name, measure_year, gap_open}]."""
+    hedis_measures[{measure_name, measure_year, gap_open}].
+
+    ``part_size`` gives the split layout ``(origid, part_no, n_parts, …)``
+    in which no person's array is assembled beyond ~``part_size`` items."""
+    from carelake.operators.arrays import ordered_array_parts
+
+    def person_array(df, order, fields, alias, item_id):
+        if part_size:
+            return ordered_array_parts(df, ["origid"], order, fields, alias, part_size, item_id)
+        return ordered_array(df, ["origid"], order, fields, alias)
+
     lines = coded_diagnoses(t)
     per_enc = ordered_array(
         lines, ["encounter_nr"], ["ship_date", "l_linenumber", "l_partkey", "l_suppkey"],
@@ -558,15 +568,14 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
                      F.struct(F.col("encounter_nr").alias("id"), "enc_date",
                               F.col("priority").alias("setting"), "status",
                               diag.alias("diagnoses"), proc.alias("procedures")).alias("e"))
-    enc_arr = ordered_array(enc, ["origid"], ["enc_date", "encounter_nr"], ["e.*"], "encounters")
+    enc_arr = person_array(enc, ["enc_date", "encounter_nr"], ["e.*"], "encounters", ["encounter_nr"])
     cc = lines.groupBy("origid", "code").agg(F.max("enc_date").alias("last_seen_date"))
-    cc_arr = ordered_array(cc, ["origid"], ["last_seen_date", "code"],
-                           [F.col("code").alias("icd_code"), "last_seen_date"], "chronic_conditions")
+    cc_arr = person_array(cc, ["last_seen_date", "code"],
+                          [F.col("code").alias("icd_code"), "last_seen_date"], "chronic_conditions", ["code"])
     al = alerts(t).filter(~F.col("original_status").isin(4, 5))
-    hed_arr = ordered_array(al, ["origid"], ["ts", "nr"],
-                            [F.col("type").alias("measure_name"),
-                             F.year("ts").alias("measure_year"),
-                             F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures")
+    hed_arr = person_array(al, ["ts", "nr"],
+                           [F.col("type").alias("measure_name"), F.year("ts").alias("measure_year"),
+                            F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures", ["nr"])
     first = t.orders.groupBy(F.col("o_custkey").alias("origid")).agg(
         F.min(F.to_date("o_orderdate")).alias("first_date"))
     c = t.customer.select(
@@ -575,12 +584,17 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF) -> DataFrame:
                  .alias("age")).alias("demo0"),
         F.struct(F.col("c_mktsegment").alias("market"),
                  F.col("c_nationkey").alias("nation")).alias("care_team"))
-    out = attach(c, "origid", [first, enc_arr, cc_arr, hed_arr])
-    return out.select(
+    scalars = attach(c, "origid", [first]).select(
         "origid",
         F.struct(F.col("demo0.age").alias("age"), C.iso_date("first_date").alias("dob"))
-        .alias("demographics"),
-        "care_team", "encounters", "chronic_conditions", "hedis_measures")
+        .alias("demographics"), "care_team")
+    cols = ["origid", "demographics", "care_team", "encounters", "chronic_conditions", "hedis_measures"]
+    if not part_size:
+        return attach(scalars, "origid", [enc_arr, cc_arr, hed_arr]).select(*cols)
+    from carelake.plans.document import _attach_parts
+    arrays = {"encounters": enc_arr, "chronic_conditions": cc_arr, "hedis_measures": hed_arr}
+    j = _attach_parts(scalars.select("origid"), [scalars], arrays)
+    return j.select("part_no", "n_parts", *cols)
 
 
 def _defs():
@@ -598,6 +612,18 @@ def _evaluated(spark, sf_dir, measure=None, as_of: str = ORDERS_AS_OF):
     return M, m, M.evaluate(docs, m, as_of, keep=keep)
 
 
+def measure_full_parts(spark, sf_dir, part_size: int = 3) -> DataFrame:
+    """The full measure over the split record layout (records cut into parts
+    of ``part_size`` items): per-part partial results combined per person
+    give the same flags as the whole-record evaluation."""
+    from carelake.plans import measures as M
+    t = _t(spark, sf_dir)
+    docs = M.enrich_age(person_records(t, ORDERS_AS_OF, part_size), ORDERS_AS_OF, root=None)
+    m = _defs().analog_measure()
+    ev = M.evaluate_parts(docs, m, ORDERS_AS_OF)
+    return ev.select("origid", "age_eligible", "has_dx", "has_exclusion", "proc_present", "candidate")
+
+
 def measure_range(spark, sf_dir) -> DataFrame:
     """Numeric range rule on a flat path after age enrichment."""
     M, m, ev = _evaluated(spark, sf_dir)

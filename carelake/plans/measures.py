@@ -334,3 +334,75 @@ def rate(evaluated: DataFrame, measure: Measure, group: Sequence[str],
     return agg.select(*group, "denominator", "numerator", r.alias("rate"),
                       (F.coalesce(r >= F.lit(float(goal)), F.lit(False)) if goal is not None
                        else F.lit(None).cast("boolean")).alias("meets_goal"))
+
+
+# ── evaluation over the split (parts) record layout ──────────────────────
+
+def _part_terms(p: Path, el: Element, root: str | None, tag: str) -> tuple[list[Column], callable]:
+    """Per-row partial results of one path and the function that turns the
+    per-person aggregates into (raw match, has_data)."""
+    arrays, leaf = p.parts
+    if not arrays:
+        v = _root(root, leaf)
+        partial = [F.max_by(v, F.col("part_no") == 0).alias(f"{tag}_v")]
+        return partial, lambda: (_element_test_scalar(F.col(f"{tag}_v"), el), F.col(f"{tag}_v").isNotNull())
+    flat = _flatten(root, arrays)
+    if p.date and (el.date_from or el.date_to):
+        flat = F.filter(flat, lambda x: _window(x, p.date, el))
+    has = F.coalesce(F.size(flat) > 0, F.lit(False))
+    if el.value_mode == "latest":
+        date = p.date or leaf
+        newest = F.array_max(F.transform(flat, lambda x: F.struct(
+            _get(x, date).alias("d"), _get(x, leaf).alias("v"), x.alias("e"))))
+        partial = [F.max(newest).alias(f"{tag}_n"), F.bool_or(has).alias(f"{tag}_h")]
+        return partial, lambda: (_element_test(F.col(f"{tag}_n")["e"], leaf, el, None), F.col(f"{tag}_h"))
+    if p.date and (el.date_from or el.date_to):
+        m = F.exists(flat, lambda x: _element_test(x, leaf, el, None))
+    else:
+        m = _exists_path(root, arrays, lambda x: _element_test(x, leaf, el, p.date))
+    partial = [F.bool_or(F.coalesce(m, F.lit(False))).alias(f"{tag}_t"),
+               F.bool_or(m.isNull()).alias(f"{tag}_u"), F.bool_or(has).alias(f"{tag}_h")]
+
+    def final():
+        raw = F.when(F.col(f"{tag}_t"), F.lit(True)).when(F.col(f"{tag}_u"), F.lit(None).cast("boolean")) \
+            .otherwise(F.lit(False))
+        return raw, F.col(f"{tag}_h")
+    return partial, final
+
+
+def evaluate_parts(docs: DataFrame, measure: Measure, as_of, root: str | None = None,
+                   key: str = "origid", keep: Sequence = ()) -> DataFrame:
+    """:func:`evaluate` for the split record layout ``(origid, part_no,
+    n_parts, …)``: every part contributes partial results (any-match, NULL
+    seen, newest element, part-0 scalars) and one ``groupBy(person)``
+    combines them — a partial aggregate, so a person split over many parts
+    is never gathered in one task.  Results equal :func:`evaluate` on the
+    unsplit record."""
+    active = is_active(measure, as_of)
+    aggs, finals = [], {}
+    for i, el in enumerate(measure.active_elements()):
+        fs = []
+        for j, p in enumerate(el.paths):
+            partial, final = _part_terms(p, el, root, f"_e{i}p{j}")
+            aggs += partial
+            fs.append(final)
+        finals[el.id] = (el, fs)
+    # ``keep``: (output name, column) pairs taken from part 0
+    aggs += [F.max_by(c, F.col("part_no") == 0).alias(name) for name, c in keep]
+    g = population(docs, measure, root).groupBy(key).agg(*aggs)
+    cols = [F.col(key)] + [F.col(name) for name, _ in keep]
+    passes = {}
+    for eid, (el, fs) in finals.items():
+        raws, datas = zip(*[f() for f in fs])
+        any_match = reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in raws])
+        raw = reduce(lambda a, b: a | b, raws)
+        has_data = reduce(lambda a, b: a | b, datas)
+        p = ~any_match if el.operator == "not_contains" else F.coalesce(raw, F.lit(el.null_handling == "include"))
+        passes[eid] = p
+        cols += [p.alias(eid), any_match.alias(f"{eid}__match"), has_data.alias(f"{eid}__data")]
+        if el.flag:
+            cols.append((any_match if el.flag_on == "match" else p).alias(el.flag))
+    gating = [passes[e.id] for e in measure.gating()]
+    combined = reduce(lambda a, b: a & b, gating) if gating else F.lit(True)
+    cols.append((combined & F.lit(active)).alias(measure.candidate_flag))
+    return g.select(*cols)

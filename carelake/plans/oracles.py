@@ -538,3 +538,5 @@ SQL["doc_parts"] = """
 SELECT o_custkey AS origid, CAST(greatest(1, ceil(count(*) / 4.0)) AS INTEGER) AS n_parts,
        count(*) AS n_encounters
 FROM orders GROUP BY o_custkey"""
+
+SQL["measure_full_parts"] = SQL["measure_full"]

@@ -38,6 +38,7 @@ QUERIES = {
     "measure_should": A.measure_should,
     "measure_latest_mode": A.measure_latest_mode,
     "measure_full": A.measure_full,
+    "measure_full_parts": A.measure_full_parts,
     "measure_report": A.measure_report,
     "measure_rate": A.measure_rate,
     "measure_worklist": A.measure_worklist,

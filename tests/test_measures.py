@@ -75,3 +75,17 @@ def test_report_rate_worklist(docs):
     rate = M.rate(ev, m, []).first()
     assert (rate.denominator, rate.numerator, rate.rate, rate.meets_goal) == (2, 1, 50.0, False)
     assert [r.origid for r in M.worklist(ev, m).collect()] == ["P1"]
+
+
+def test_parts_evaluation_equals_whole(spark, tables, docs):
+    from carelake.plans.document import build_documents
+    m = MD.hypertension_measure()
+    whole = {r.origid: r.asDict() for r in M.evaluate(docs, m, "2025-06-01", root="patient").collect()}
+    parts = build_documents(tables, AS_OF, part_size=2)
+    split = {r.origid: r.asDict() for r in M.evaluate_parts(parts, m, "2025-06-01", root="patient").collect()}
+    assert whole == split
+    el = M.Element("x", "", [M.Path("encounters[].diagnoses[].icd_code", "onset_date")], "contains", ["I10"],
+                   value_mode="latest")
+    a = {r.origid: r.x for r in M.evaluate(docs, M.Measure("m", "", [el]), AS_OF, root="patient").collect()}
+    b = {r.origid: r.x for r in M.evaluate_parts(parts, M.Measure("m", "", [el]), AS_OF, root="patient").collect()}
+    assert a == b
