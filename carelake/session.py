@@ -65,3 +65,25 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = tempfile.mkdtemp(prefix="carelake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, *parts) if parts else base
+
+
+def sizing(input_bytes: int, executors: int, cores_per_executor: int,
+           target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the input size.
+
+    Shuffle partitions: about one per ``target_partition_bytes`` of the
+    largest shuffle (taken as the input size), at least two waves of all
+    cores; AQE coalesces partitions that turn out small and splits skewed
+    ones (a partition is skewed above 5× the median and 512 MB).  Scans read
+    ``maxPartitionBytes`` splits.  The broadcast threshold stays at Spark's
+    statistics-checked default; nothing that grows with the data is hinted."""
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+    }

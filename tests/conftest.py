@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from carelake.session import build_session
-    s = build_session("local[*]", app="carelake-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="carelake-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="carelake-test-wh-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="carelake-test-ckpt-"))
     yield s
