@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators.aggregates import any_flags, attach, pivot_latest
-from carelake.operators.arrays import distinct_array, ordered_array, ordered_distinct_concat
+from carelake.operators.arrays import ordered_array, ordered_distinct_concat
 from carelake.operators.latest import latest_row
 from carelake.sources.driver import Tables
 

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators.aggregates import attach, pivot_latest
-from carelake.operators.arrays import (distinct_array, ordered_array, ordered_array_parts,
-                                      ordered_distinct_concat)
+from carelake.operators.arrays import ordered_array, ordered_array_parts, ordered_distinct_concat
 from carelake.operators.latest import latest_row
 
 Tables = Mapping[str, DataFrame]

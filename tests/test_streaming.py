@@ -2,7 +2,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from carelake.plans import cdc
 from carelake.plans.document import build_documents
 from carelake.plans.routing import ROUTES
 from carelake.session import shared_dir
