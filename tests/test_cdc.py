@@ -67,3 +67,10 @@ def test_changed_rows_only(spark):
     old = spark.createDataFrame([("a", True), ("b", None)], "k string, f boolean")
     new = spark.createDataFrame([("a", True), ("b", False)], "k string, f boolean")
     assert [r.k for r in cdc.changed_rows(old, new, "k", ["f"]).collect()] == ["b"]
+
+
+def test_change_time_from_year_column(spark, tables):
+    """C17: a year-valued change-date column becomes Jan 1 of that year."""
+    ch = _changes(spark, [("mra_raf_patient", "I", None, {"origid": "P1", "year": "2022"})])
+    aff = cdc.affected(ch, ROUTES, tables, prune=True)
+    assert {r.change_ts.isoformat() for r in aff.collect()} == {"2022-01-01T00:00:00"}

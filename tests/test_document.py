@@ -129,3 +129,11 @@ def test_parts_layout_splits_hot_person(spark, tables, docs):
     assert len(p2) == 1 and p2[0].n_parts == 1                            # small person: one row
     full = _doc(docs, "P2")
     assert json.loads(json.dumps(p2[0].patient.asDict(recursive=True), default=str))["labs"] == full["labs"]
+
+
+def test_section_projection_and_population_profile(docs):
+    sec = checks.section(docs, "origid", "care_team").filter("origid = 'P1'").first()
+    assert sec.care_team.care_manager == "Bob Care"
+    prof = checks.profile(docs, "origid", ["encounters", "alerts"])
+    pop = checks.population_profile(prof, ["n_encounters"]).first()
+    assert pop["n_encounters_max"] == 5 and len(pop["n_encounters_p50_p90_p99"]) == 3
