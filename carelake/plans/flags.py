@@ -51,7 +51,7 @@ def awv_flags(t, as_of) -> DataFrame:
     """Annual wellness visit (J3 A10 P13): latest clinical encounter having an
     AWV billing code (semi-join: codes never multiply encounters)."""
     cpt = t["mra1_encounter_bill_cpts"].filter(F.col("bb_Code").isin(S.AWV_CODES))
-    ae = t["adt_encounter"].join(cpt, "encounter_nr", "left_semi")
+    ae = S.adt_keys(t).join(cpt, "encounter_nr", "left_semi")
     return ae.groupBy("origid").agg(F.max("encounter_date").alias("_awv_last"))
 
 

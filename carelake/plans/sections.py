@@ -161,6 +161,14 @@ def enrollment(t: Tables, roster: DataFrame) -> DataFrame:
     ).alias("enrollment"))
 
 
+def adt_keys(t: Tables) -> DataFrame:
+    """(encounter_nr, origid, encounter_date) of clinical encounters — one
+    projection shared by every join on the encounter key (conditions,
+    wellness visits, labs), so Spark shuffles it once and reuses the
+    exchange."""
+    return t["adt_encounter"].select("encounter_nr", "origid", "encounter_date")
+
+
 # ── code lookups ─────────────────────────────────────────────────────────
 
 def active_coefficients(t: Tables, as_of) -> DataFrame:
@@ -178,8 +186,7 @@ def chronic_conditions(t: Tables, as_of, part_size: int | None = None) -> DataFr
     aggregate), coefficient lookup (J6), category of the latest detail (J7,
     D6), newest last-seen first."""
     ai = t["adt_encounter_icd_codes"]
-    ae = t["adt_encounter"].select("encounter_nr", "origid", "encounter_date")
-    cc = ai.join(ae, "encounter_nr").groupBy("origid", "diagnosis_code").agg(
+    cc = ai.join(adt_keys(t), "encounter_nr").groupBy("origid", "diagnosis_code").agg(
         F.max("is_comorbid").alias("is_comorbid"), F.max("problem_type").alias("problem_type"),
         F.max("status").alias("status"), F.min("encounter_date").alias("first_date"),
         F.max("encounter_date").alias("last_date"),
@@ -571,7 +578,7 @@ def encounters(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
 def labs(t: Tables, part_size: int | None = None) -> DataFrame:
     """result ⋈ encounter ⟕ values ⟕ item (J9), abnormal set."""
     cr = t["cpoe_result"]
-    ae = t["adt_encounter"].select("encounter_nr", "origid")
+    ae = adt_keys(t).drop("encounter_date")
     crv = t["cpoe_result_values"]
     ci = t["cpoe_item"]
     j = cr.join(ae, "encounter_nr").join(crv, "result_id", "left").join(ci, "item_id", "left")
