@@ -79,20 +79,22 @@ def numeric_prefix_int(x) -> Column:
 
 def pct(num, den, scale: int = 1) -> Column:
     """``ROUND(100.0 * num / NULLIF(den, 0), scale)`` with exact half-up
-    rounding (MySQL DECIMAL semantics), as double (A7).
+    rounding (MySQL DECIMAL semantics: halves away from zero), as double (A7).
 
     Rounding the binary double ``100*num/den`` would turn 0.285 into 0.28 in
     some engines and 0.29 in others, so the rounding is done on integers:
-    ``floor((2*100*10^s*num + den) / (2*den))`` with the sign moved to the
-    numerator; the division by zero guard is mandatory under ANSI mode."""
+    ``sign · floor((2·100·10^s·|num| + den) / (2·den))`` with the sign of the
+    denominator moved to the numerator; the division-by-zero guard is
+    mandatory under ANSI mode."""
     n, d = _c(num).cast("long"), _c(den).cast("long")
-    sgn = F.signum(d).cast("long")
-    nn, dd = n * sgn, F.abs(d)
+    nn = n * F.signum(d).cast("long")          # sign moved to the numerator
+    dd = F.abs(d)
     m = 10 ** scale
-    a = nn * F.lit(200 * m) + dd
+    a = F.abs(nn) * F.lit(200 * m) + dd        # |2·100·10^s·num| + den
     b = dd * F.lit(2)
-    q = ((a - F.pmod(a, b)) / b).cast("long")
-    return F.when(d != 0, q.cast("double") / F.lit(float(m)))
+    q = ((a - F.pmod(a, b)) / b).cast("long")  # exact floor division of non-negatives
+    # half away from zero, as ROUND on DECIMAL
+    return F.when(d != 0, F.signum(nn) * q.cast("double") / F.lit(float(m)))
 
 
 def scaled_round(x, factor: str, scale: int, src: str = "decimal(18,2)") -> Column:

@@ -129,14 +129,15 @@ SELECT origid, score_year, score_month, score FROM (
 
 
 def pct_sql(num: str, den: str, scale: int = 1) -> str:
-    """Exact half-up ROUND(100*num/den, scale) on integers; NULL when den=0."""
+    """Exact ROUND(100*num/den, scale) on integers, halves away from zero;
+    NULL when den = 0."""
     m = 10 ** scale
     nn = f"(CAST({num} AS BIGINT) * sign(CAST({den} AS BIGINT)))"
     dd = f"abs(CAST({den} AS BIGINT))"
-    a = f"({nn} * {200 * m} + {dd})"
+    a = f"(abs({nn}) * {200 * m} + {dd})"
     b = f"(2 * {dd})"
     return (f"CASE WHEN CAST({den} AS BIGINT) <> 0 THEN "
-            f"CAST((({a}) - ((({a}) % {b}) + {b}) % {b}) // {b} AS DOUBLE) / {m}.0 END")
+            f"sign({nn}) * CAST((({a}) - ((({a}) % {b}) + {b}) % {b}) // {b} AS DOUBLE) / {m}.0 END")
 
 
 SQL["roster_latest"] = """

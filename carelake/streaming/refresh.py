@@ -31,8 +31,8 @@ class RecordStore:
     the live one, so readers always see a complete version.  File operations
     go through the Hadoop FileSystem of the path (HDFS, object store, local)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
+        self.spark, self.root, self.keep_versions = spark, root, keep_versions
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -74,8 +74,20 @@ class RecordStore:
         if self._fs.exists(self._pointer()):
             self._fs.delete(self._pointer(), False)
         self._fs.rename(tmp, self._pointer())
+        self._prune(f"v={version}")
         return path
 
+    def _prune(self, live: str) -> None:
+        """Delete all but the newest ``keep_versions`` version folders (by
+        modification time); the live one is never deleted.  Readers of an
+        older version finish first: versions are kept, not rewritten."""
+        st = self._fs.listStatus(self._Path(self.root))
+        dirs = [x for x in st if x.isDirectory() and x.getPath().getName().startswith("v=")]
+        dirs.sort(key=lambda x: x.getModificationTime(), reverse=True)
+        for x in dirs[self.keep_versions:]:
+            if x.getPath().getName() != live:
+                self._fs.delete(x.getPath(), True)
+
 
 def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
