@@ -926,7 +926,7 @@ def stream_replace(spark, sf_dir) -> DataFrame:
     ch = table_changes(later, "orders", F.col("o_orderkey"), F.lit("2024-01-01 00:00:00"),
                        cols=["o_orderkey", "o_custkey", "o_orderdate"])
     ch.repartition(4, "event_id").write.json(f"{base}/changes")
-    store = RecordStore(spark, f"{base}/records")
+    store = RecordStore(spark, f"{base}/records", n_buckets=8)
     store.write(_order_stats(o.filter(F.col("o_orderdate") < F.lit(STREAM_SPLIT).cast("timestamp_ntz"))),
                 "init")
 

@@ -7,11 +7,11 @@ each batch, so a hop never misses a parent written after the stream
 started), rebuild those persons' records from the current tables with the
 same batch function, and replace them in the record table.
 
-The record table is a versioned folder on the shared file system
-(``<root>/v=<batch id>``) plus a pointer file; the writer is the single
-``foreachBatch`` sink, and a batch re-run after a failure writes the same
-version again (idempotent by batch id).  Checkpoints live under
-``spark.checkpoint.dir``.
+The record table is bucketed by person hash on the shared file system
+(:class:`RecordStore`): a batch rewrites only the buckets of the persons it
+touches and then swaps a small manifest; the writer is the single
+``foreachBatch`` sink, and a batch already committed is skipped when it is
+re-run after a failure.  Checkpoints live under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -22,72 +22,132 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.plans.cdc import CHANGE_SCHEMA, Route, affected, persons_to_rebuild
-from carelake.plans.document import replace_documents
 from carelake.session import shared_dir
 
 
 class RecordStore:
-    """Versioned record table: ``root/v=<n>`` folders, ``root/_CURRENT`` names
-    the live one, so readers always see a complete version.  File operations
-    go through the Hadoop FileSystem of the path (HDFS, object store, local)."""
-
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
-        self.spark, self.root, self.keep_versions = spark, root, keep_versions
+    """Record table kept current by bucket: ``root/batch=<id>/bucket=<b>/``
+    folders plus a manifest ``root/_manifest/<seq>.json`` naming the live
+    batch of every bucket.
+
+    A replace touches only the buckets holding the affected persons: their
+    live rows minus those persons, plus the fresh records, are written under
+    a new ``batch=<id>`` folder, then the manifest is swapped (atomic rename).
+    Cost per micro-batch follows the changed persons, not the table size;
+    readers always see a complete manifest.  The manifest has one entry per
+    bucket, so its size is set by the configuration, never by the data.
+    File operations go through the Hadoop FileSystem of the path."""
+
+    def __init__(self, spark: SparkSession, root: str, n_buckets: int = 64, key: str = "origid",
+                 keep_manifests: int = 3):
+        self.spark, self.root, self.n_buckets, self.key = spark, root, n_buckets, key
+        self.keep_manifests = keep_manifests
         jvm = spark.sparkContext._jvm
+        self._jvm = jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._Path(root).getFileSystem(conf)
 
-    def _pointer(self):
-        return self._Path(self.root + "/_CURRENT")
+    # ── manifest ──
+    def _mdir(self):
+        return self._Path(self.root + "/_manifest")
+
+    def _manifests(self) -> list:
+        if not self._fs.exists(self._mdir()):
+            return []
+        names = [x.getPath().getName() for x in self._fs.listStatus(self._mdir())]
+        return sorted((n for n in names if n.endswith(".json")), key=lambda n: int(n.split(".")[0]))
 
-    def current_path(self) -> str | None:
-        p = self._pointer()
-        if not self._fs.exists(p):
-            return None
-        stream = self._fs.open(p)
+    def _read_text(self, path) -> str:
+        stream = self._fs.open(path)
         try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            name = reader.readLine().strip()
+            r = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream))
+            lines, line = [], r.readLine()
+            while line is not None:
+                lines.append(line)
+                line = r.readLine()
+            return "\n".join(lines)
         finally:
             stream.close()
-        return f"{self.root}/{name}"
-
-    def current_version(self) -> str | None:
-        p = self.current_path()
-        return p.rsplit("v=", 1)[-1] if p else None
 
-    def read(self) -> DataFrame | None:
-        p = self.current_path()
-        return self.spark.read.parquet(p) if p else None
-
-    def write(self, df: DataFrame, version: str) -> str:
-        path = f"{self.root}/v={version}"
-        df.write.mode("overwrite").parquet(path)
-        tmp = self._Path(self.root + "/_CURRENT.tmp")
+    def manifest(self) -> dict:
+        ms = self._manifests()
+        if not ms:
+            return {}
+        import json
+        return json.loads(self._read_text(self._Path(f"{self.root}/_manifest/{ms[-1]}")))
+
+    def _write_manifest(self, entries: dict) -> None:
+        import json
+        ms = self._manifests()
+        seq = int(ms[-1].split(".")[0]) + 1 if ms else 0
+        tmp = self._Path(f"{self.root}/_manifest/.{seq}.tmp")
         out = self._fs.create(tmp, True)
         try:
-            out.write(bytearray(f"v={version}".encode()))
+            out.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
         finally:
             out.close()
-        if self._fs.exists(self._pointer()):
-            self._fs.delete(self._pointer(), False)
-        self._fs.rename(tmp, self._pointer())
-        self._prune(f"v={version}")
-        return path
-
-    def _prune(self, live: str) -> None:
-        """Delete all but the newest ``keep_versions`` version folders (by
-        modification time); the live one is never deleted.  Readers of an
-        older version finish first: versions are kept, not rewritten."""
-        st = self._fs.listStatus(self._Path(self.root))
-        dirs = [x for x in st if x.isDirectory() and x.getPath().getName().startswith("v=")]
-        dirs.sort(key=lambda x: x.getModificationTime(), reverse=True)
-        for x in dirs[self.keep_versions:]:
-            if x.getPath().getName() != live:
+        self._fs.rename(tmp, self._Path(f"{self.root}/_manifest/{seq}.json"))
+        self._prune()
+
+    def _prune(self) -> None:
+        """Keep the last ``keep_manifests`` manifests and the batch folders
+        they reference; delete the rest."""
+        import json
+        ms = self._manifests()
+        live = set()
+        for m in ms[-self.keep_manifests:]:
+            live |= set(json.loads(self._read_text(self._Path(f"{self.root}/_manifest/{m}"))).values())
+        for m in ms[:-self.keep_manifests]:
+            self._fs.delete(self._Path(f"{self.root}/_manifest/{m}"), False)
+        for x in self._fs.listStatus(self._Path(self.root)):
+            name = x.getPath().getName()
+            if x.isDirectory() and name.startswith("batch=") and name.split("=", 1)[1] not in live:
                 self._fs.delete(x.getPath(), True)
 
+    # ── data ──
+    def _paths(self, entries: dict, buckets=None) -> list[str]:
+        return [f"{self.root}/batch={v}/bucket={b}" for b, v in entries.items()
+                if buckets is None or int(b) in buckets]
+
+    def read(self, buckets=None) -> DataFrame | None:
+        entries = self.manifest()
+        paths = self._paths(entries, buckets)
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def bucket(self) -> "Column":
+        return F.pmod(F.xxhash64(self.key), F.lit(self.n_buckets)).cast("int")
+
+    def replace(self, fresh: DataFrame, batch_id: str) -> None:
+        """Replace the records of the persons in ``fresh``."""
+        entries = self.manifest()
+        fresh = fresh.withColumn("bucket", self.bucket())
+        touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())  # ≤ n_buckets values
+        current = self.read(set(touched))
+        if current is not None:
+            keep = current.join(fresh.select(self.key), self.key, "left_anti").withColumn("bucket", self.bucket())
+            new = keep.unionByName(fresh)
+        else:
+            new = fresh
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
+            .parquet(f"{self.root}/batch={batch_id}")
+        written = {str(b) for b in touched}
+        entries = {**entries, **{b: str(batch_id) for b in written}}
+        self._write_manifest(entries)
+
+    def write(self, df: DataFrame, batch_id: str = "init") -> None:
+        """Full (initial) load: every bucket written under ``batch=<id>``."""
+        df = df.withColumn("bucket", self.bucket())
+        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
+            .parquet(f"{self.root}/batch={batch_id}")
+        present = [r[0] for r in df.select("bucket").distinct().collect()]
+        self._write_manifest({str(b): str(batch_id) for b in present})
+
+    def applied(self, batch_id) -> bool:
+        """True when some bucket's live version is this batch (a re-run of a
+        committed batch is skipped; its folder is never read and rewritten)."""
+        return str(batch_id) in set(self.manifest().values())
+
 
 def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
@@ -97,7 +157,7 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     """One micro-batch: route → distinct persons → rebuild → replace.
     A batch already committed (the pointer names its version) is skipped,
     so a re-run after a failure never reads and overwrites the same folder."""
-    if store.current_version() == str(batch_id):
+    if store.applied(batch_id):
         return
     tables = load_tables()
     aff = affected(changes, routes, tables, key, prune=True)
@@ -107,12 +167,10 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     if todo.isEmpty():
         return
     fresh = build(tables, todo)
-    current = store.read()
-    new = fresh if current is None else replace_documents(current, fresh, key)
-    path = store.write(new, str(batch_id))
+    store.replace(fresh, str(batch_id))
     if after is not None:
-        # the hook reads the committed version, not a re-computation
-        written = store.spark.read.parquet(path).join(todo.select(key), key, "left_semi")
+        # the hook reads the committed records, not a re-computation
+        written = store.read().join(todo.select(key), key, "left_semi")
         after(written, aff, batch_id)
 
 

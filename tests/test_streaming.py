@@ -32,3 +32,23 @@ def test_stream_refresh_matches_batch(spark, tables):
     strip = lambda df: sorted(r.j for r in df.select(F.to_json(F.col("patient").dropFields("_meta")).alias("j")).collect())
     assert strip(got) == strip(full)
     assert {r.t for r in got.select(F.col("patient._meta.trigger_source").alias("t")).collect()} == {"cdc"}
+
+
+def test_record_store_rewrites_only_touched_buckets(spark):
+    root = shared_dir(spark, "test_store", uuid.uuid4().hex)
+    store = RecordStore(spark, root, n_buckets=8, keep_manifests=2)
+    base = spark.range(200).select(F.col("id").cast("string").alias("origid"), F.lit(0).alias("v"))
+    store.write(base, "init")
+    before = store.manifest()
+    fresh = spark.createDataFrame([("7", 1), ("300", 1)], "origid string, v int")
+    store.replace(fresh, "b1")
+    after = store.manifest()
+    changed = {b for b in after if after[b] != before.get(b)}
+    touched = {r.b for r in fresh.select(store.bucket().alias("b")).collect()}
+    assert changed == {str(b) for b in touched}
+    got = {r.origid: r.v for r in store.read().collect()}
+    assert len(got) == 201 and got["7"] == 1 and got["300"] == 1 and got["8"] == 0
+    assert store.applied("b1") and not store.applied("b2")
+    store.replace(spark.createDataFrame([("9", 2)], "origid string, v int"), "b2")
+    store.replace(spark.createDataFrame([("10", 3)], "origid string, v int"), "b3")
+    assert len(store._manifests()) == 2 and store.read().count() == 201
