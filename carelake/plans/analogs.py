@@ -767,8 +767,25 @@ def cdc_hop1(spark, sf_dir) -> DataFrame:
 
 
 def cdc_hop2(spark, sf_dir) -> DataFrame:
-    """Two-hop chain with one-to-many fan-out: personnel → assignments →
-    encounters → persons (C7 C8)."""
+    """Two-hop chain (C7, the "value row → result → encounter → person"
+    shape): a change to a line detail carries only the line's own key, which
+    resolves to its encounter, which resolves to the person."""
+    from carelake.plans.cdc import Hop, Route, table_changes
+    t = _t(spark, sf_dir)
+    line_key = F.concat_ws(":", "l_orderkey", "l_linenumber").alias("line_key")
+    lines = t.lineitem.select(line_key, "l_orderkey")
+    ch = table_changes(t.lineitem.select(line_key, "l_shipdate"), "line_detail",
+                       F.xxhash64("line_key"), F.col("l_shipdate"), cols=["line_key"])
+    r = Route("line_detail", "line_key", (Hop("line_keys", "line_key", "l_orderkey"),
+                                          Hop("orders", "o_orderkey", "o_custkey")), ("labs",))
+    from carelake.plans.cdc import affected
+    aff = affected(ch, [r], {"line_keys": lines, "orders": t.orders})
+    return aff.select("table", "origid", "section").distinct()
+
+
+def cdc_fanout(spark, sf_dir) -> DataFrame:
+    """One-to-many fan-out: personnel → assignments → encounters → persons
+    (C8, two hops)."""
     from carelake.plans.cdc import Hop, Route, table_changes
     t = _t(spark, sf_dir)
     ch = table_changes(t.supplier, "supplier", F.col("s_suppkey"), F.lit("2024-01-01").cast("timestamp"))

@@ -424,6 +424,10 @@ CROSS JOIN (VALUES ('encounters'), ('chronic_conditions')) s(section)
 WHERE l.l_linestatus = 'F'"""
 
 SQL["cdc_hop2"] = """
+SELECT DISTINCT 'line_detail' AS "table", CAST(o.o_custkey AS VARCHAR) AS origid, 'labs' AS section
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+SQL["cdc_fanout"] = """
 SELECT DISTINCT 'supplier' AS "table", CAST(o.o_custkey AS VARCHAR) AS origid, 'care_team' AS section
 FROM supplier s JOIN lineitem l ON l.l_suppkey = s.s_suppkey JOIN orders o ON o.o_orderkey = l.l_orderkey"""
 

@@ -46,6 +46,7 @@ QUERIES = {
     "cdc_direct": A.cdc_direct,
     "cdc_hop1": A.cdc_hop1,
     "cdc_hop2": A.cdc_hop2,
+    "cdc_fanout": A.cdc_fanout,
     "cdc_mass": A.cdc_mass,
     "cdc_xref": A.cdc_xref,
     "cdc_dedup_latest": A.cdc_dedup_latest,
