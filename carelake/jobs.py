@@ -3,7 +3,11 @@
 write them.
 
     python -m carelake.jobs build --tables s3://…/extract --out s3://…/records \\
-        --as-of 2026-05-19 --cc-version 20260519 [--part-size 10000] [--bucketed db]
+        --as-of 2026-05-19 --cc-version 20260519 [--part-size 20000] [--bucketed db]
+
+By default array sections of a person above 20,000 items are split over
+several rows (hot persons never assembled in one task); ``--part-size 0``
+gives the reference's strict one-document-per-person output.
 
 Writes ``<out>/records`` (JSON lines bucketed by person), ``<out>/findings``
 (conformance findings, must be empty) and ``<out>/profile`` (per-person sizes).
@@ -29,7 +33,7 @@ def build(args) -> None:
     t = read_bucketed(spark, args.bucketed) if args.bucketed else read_tables(spark, args.tables, fmt=args.fmt)
     stage = shared_dir(spark, "build", uuid.uuid4().hex)
     docs = build_documents(t, args.as_of, cc_version=args.cc_version, stage_dir=stage,
-                           part_size=args.part_size, how=args.how)
+                           part_size=args.part_size or None, how=args.how)
     docs.write.mode("overwrite").parquet(f"{stage}/records")
     docs = spark.read.parquet(f"{stage}/records")
     key_cols = ["origid", "part_no"] if args.part_size else ["origid"]
@@ -51,7 +55,8 @@ def main(argv=None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--cc-version")
-    b.add_argument("--part-size", type=int)
+    b.add_argument("--part-size", type=int, default=20000,
+                   help="split array sections above this many items (0 = one row per person always)")
     b.add_argument("--buckets", type=int, default=4096)
     b.add_argument("--how", default="inner", choices=["inner", "left"])
     b.add_argument("--master")

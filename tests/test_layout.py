@@ -39,7 +39,7 @@ def test_build_job(spark, tables, tmp_path):
     out = tmp_path / "out"
     jobs.build(jobs.argparse.Namespace(
         master=None, bucketed=None, tables=str(src), fmt="parquet", out=str(out), as_of="2023-02-28",
-        cc_version=None, part_size=None, buckets=4, how="inner"))
+        cc_version=None, part_size=20000, buckets=4, how="inner"))
     assert spark.read.json(str(out / "records")).count() == 2
     assert spark.read.parquet(str(out / "findings")).count() == 0
     assert spark.read.parquet(str(out / "duplicates")).count() == 0
