@@ -1023,3 +1023,30 @@ def doc_parts(spark, sf_dir, part_size: int = 4) -> DataFrame:
                                 item_id=["encounter_nr"])
     return parts.groupBy("origid").agg(
         F.max("n_parts").alias("n_parts"), F.sum(F.size("encounters")).alias("n_encounters"))
+
+
+# ── the real record builder on tables derived from the benchmark data ─────
+
+def domain_records(spark, sf_dir, as_of: str = ORDERS_AS_OF, **kw) -> DataFrame:
+    from carelake.plans.document import build_documents
+    from carelake.sources.derived import derive
+    return build_documents(derive(_t(spark, sf_dir)), as_of, **kw)
+
+
+def doc_domain(spark, sf_dir) -> DataFrame:
+    """The full person record (all 21 sections, 26 flags) built by
+    :func:`carelake.plans.document.build_documents` from the 25 source tables
+    derived from the benchmark tables; values read back from the records."""
+    from carelake.plans.checks import array_len
+    d = domain_records(spark, sf_dir)
+    f = F.col("patient.rule_flags")
+    return d.select(
+        "origid", F.col("patient.demographics.age").alias("age"),
+        array_len(F.col("patient.encounters")).alias("n_encounters"),
+        array_len(F.col("patient.chronic_conditions")).alias("n_chronic"),
+        f["awv_last_date"].alias("awv_last_date"), f["active_alerts"].alias("active_alerts"),
+        f["hedis_gaps_open"].alias("hedis_gaps_open"),
+        f["sdoh_food_insecurity"].alias("food_insecurity"),
+        f["sdoh_transport_barrier"].alias("transport_barrier"),
+        F.col("patient.hcc_capture.eligible_hccs").alias("eligible_hccs"),
+        array_len(F.col("patient.labs")).alias("n_labs"))

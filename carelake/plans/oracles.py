@@ -545,3 +545,40 @@ SELECT o_custkey AS origid, CAST(greatest(1, ceil(count(*) / 4.0)) AS INTEGER) A
 FROM orders GROUP BY o_custkey"""
 
 SQL["measure_full_parts"] = SQL["measure_full"]
+
+SQL["doc_domain"] = """
+WITH ev AS (SELECT user_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+p AS (SELECT c_custkey, make_date(1930 + c_nationkey, 1 + CAST(c_custkey % 12 AS INTEGER),
+                                  1 + CAST(c_custkey % 28 AS INTEGER)) AS b FROM customer),
+enc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1),
+chronic AS (SELECT o.o_custkey, count(DISTINCT pa.p_brand) AS n
+            FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus IN ('F', 'O')
+            JOIN part pa ON pa.p_partkey = l.l_partkey GROUP BY 1),
+awv AS (SELECT o.o_custkey, strftime(max(CAST(o.o_orderdate AS DATE)), '%Y-%m-%d') AS d FROM orders o
+        WHERE o.o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey
+              AND l.l_returnflag = 'R' AND l.l_linestatus = 'F') GROUP BY 1),
+al AS (SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS g FROM ev
+       WHERE k % 4 <> 0 AND k % 7 NOT IN (4, 5) GROUP BY 1),
+food AS (SELECT user_id, bool_or(k % 3 IN (0, 2)) AS f FROM ev WHERE event_type = 'view'
+         AND year(ts) = (SELECT max(year(ts)) FROM ev e2 WHERE e2.user_id = ev.user_id AND e2.event_type = 'view')
+         GROUP BY 1),
+ride AS (SELECT DISTINCT user_id FROM ev WHERE event_type = 'click'),
+hcc AS (SELECT o.o_custkey, count(DISTINCT lk.h) AS n
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'P'
+        JOIN part pa ON pa.p_partkey = l.l_partkey
+        JOIN (SELECT p_brand, min(p_type) AS h FROM part GROUP BY 1) lk ON lk.p_brand = pa.p_brand GROUP BY 1),
+labs AS (SELECT o.o_custkey, sum(greatest(COALESCE(x.n, 0), 1)) AS n
+         FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) x
+           ON x.l_orderkey = o.o_orderkey
+         WHERE o.o_orderstatus IN ('F', 'O') GROUP BY 1)
+SELECT CAST(c.c_custkey AS VARCHAR) AS origid,
+       year(DATE '2001-08-01') - year(p.b) - CAST(strftime(DATE '2001-08-01', '%m%d') < strftime(p.b, '%m%d') AS INTEGER) AS age,
+       enc.n AS n_encounters, chronic.n AS n_chronic, awv.d AS awv_last_date,
+       COALESCE(al.n, 0) AS active_alerts, COALESCE(al.g, 0) AS hedis_gaps_open,
+       COALESCE(food.f, false) AS food_insecurity, ride.user_id IS NOT NULL AS transport_barrier,
+       COALESCE(hcc.n, 0) AS eligible_hccs, labs.n AS n_labs
+FROM customer c JOIN p ON p.c_custkey = c.c_custkey
+LEFT JOIN enc ON enc.o_custkey = c.c_custkey LEFT JOIN chronic ON chronic.o_custkey = c.c_custkey
+LEFT JOIN awv ON awv.o_custkey = c.c_custkey LEFT JOIN al ON al.user_id = c.c_custkey
+LEFT JOIN food ON food.user_id = c.c_custkey LEFT JOIN ride ON ride.user_id = c.c_custkey
+LEFT JOIN hcc ON hcc.o_custkey = c.c_custkey LEFT JOIN labs ON labs.o_custkey = c.c_custkey"""

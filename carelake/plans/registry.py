@@ -62,6 +62,7 @@ QUERIES = {
     "ext_flags": A.ext_flags,
     "ext_threshold": A.ext_threshold,
     "doc_parts": A.doc_parts,
+    "doc_domain": A.doc_domain,
 }
 
 ORACLES = dict(SQL)
