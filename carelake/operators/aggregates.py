@@ -25,10 +25,12 @@ def attach(base: DataFrame, keys: Sequence[str] | str, parts: Sequence[DataFrame
     out = base
     for p in parts:
         out = out.join(p, on=keys, how="left")
-    for name, val in (defaults or {}).items():
-        v = val if isinstance(val, Column) else F.lit(val)
-        out = out.withColumn(name, F.coalesce(F.col(name), v))
-    return out
+    if not defaults:
+        return out
+    fill = {n: (v if isinstance(v, Column) else F.lit(v)) for n, v in defaults.items()}
+    # one projection for all defaults (each withColumn would re-analyse the plan)
+    return out.select(*[F.coalesce(F.col(c), fill[c]).alias(c) if c in fill else F.col(c)
+                        for c in out.columns])
 
 
 def pivot_latest(df: DataFrame, keys: Sequence[str], type_col: str,
