@@ -9,8 +9,12 @@ By default array sections of a person above 20,000 items are split over
 several rows (hot persons never assembled in one task); ``--part-size 0``
 gives the reference's strict one-document-per-person output.
 
-Writes ``<out>/records`` (JSON lines bucketed by person), ``<out>/findings``
-(conformance findings, must be empty) and ``<out>/profile`` (per-person sizes).
+Writes ``<out>/records`` (JSON lines bucketed by person), ``<out>/records_parquet``
+(the same records for further jobs), ``<out>/findings`` (conformance findings,
+must be empty) and ``<out>/profile`` (per-person sizes).
+
+Other commands: ``visits`` (listing by care setting), ``measure`` (a measure
+definition file against stored records), ``refresh`` (the change stream).
 Intermediate sections go to ``spark.checkpoint.dir`` (lineage cut).
 """
 
@@ -34,8 +38,8 @@ def build(args) -> None:
     stage = shared_dir(spark, "build", uuid.uuid4().hex)
     docs = build_documents(t, args.as_of, cc_version=args.cc_version, stage_dir=stage,
                            part_size=args.part_size or None, how=args.how)
-    docs.write.mode("overwrite").parquet(f"{stage}/records")
-    docs = spark.read.parquet(f"{stage}/records")
+    docs.write.mode("overwrite").parquet(f"{args.out}/records_parquet")
+    docs = spark.read.parquet(f"{args.out}/records_parquet")
     key_cols = ["origid", "part_no"] if args.part_size else ["origid"]
     write_documents(docs, f"{args.out}/records", n_buckets=args.buckets)
     js = to_json(docs.filter("part_no = 0") if args.part_size else docs)
@@ -45,6 +49,55 @@ def build(args) -> None:
     prof.write.mode("overwrite").parquet(f"{args.out}/profile")
 
 
+def visits(args) -> None:
+    """Visit listing of the given settings (all 13 by default), one pass,
+    written partitioned by setting."""
+    from carelake.plans.visits import ALL_SETTINGS, visits as visit_rows, write_by_setting
+    spark = build_session(args.master, app="carelake-visits")
+    t = read_tables(spark, args.tables, ["mra1_encounter"], fmt=args.fmt)
+    enc = t["mra1_encounter"].withColumnRenamed("origid", "patient_id")
+    settings = args.settings.split(",") if args.settings else ALL_SETTINGS
+    write_by_setting(visit_rows(enc, settings, args.start, args.end, args.patient_id, args.facility), args.out)
+
+
+def measure(args) -> None:
+    """Evaluate a measure definition (the reference's JSON layout) against
+    stored records: flags per person, per-element report, worklist, rates."""
+    import json
+
+    from carelake.plans import measures as M
+    from carelake.plans.measure_defs import DOC_FIELDS
+    spark = build_session(args.master, app="carelake-measure")
+    with open(args.definition) as f:          # small configuration file, read on the driver
+        m = M.from_definition(json.load(f), DOC_FIELDS, ungated=args.ungated.split(",") if args.ungated else ())
+    docs = spark.read.parquet(args.records)
+    docs = M.enrich_age(docs, args.as_of, root="patient")
+    if "part_no" in docs.columns:
+        ev = M.evaluate_parts(docs, m, args.as_of, root="patient",
+                              keep=[("market", docs["patient.care_team.market_id"])])
+    else:
+        ev = M.evaluate(docs, m, args.as_of, root="patient",
+                        keep=["origid", docs["patient.care_team.market_id"].alias("market")])
+    ev.write.mode("overwrite").parquet(f"{args.out}/flags")
+    ev = spark.read.parquet(f"{args.out}/flags")
+    M.report(ev, m).write.mode("overwrite").parquet(f"{args.out}/report")
+    M.worklist(ev, m).write.mode("overwrite").parquet(f"{args.out}/worklist")
+    M.rate(ev, m, ["market"]).write.mode("overwrite").parquet(f"{args.out}/rates")
+
+
+def refresh(args):
+    """Start the change stream that keeps the records current."""
+    from carelake.plans.routing import ROUTES
+    from carelake.sources.tables import only_persons
+    from carelake.streaming.refresh import RecordStore, start
+    spark = build_session(args.master, app="carelake-refresh")
+    store = RecordStore(spark, args.store, n_buckets=args.buckets)
+    return start(spark, args.changes, store=store, routes=ROUTES,
+                 load_tables=lambda: read_tables(spark, args.tables, fmt=args.fmt),
+                 build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc"),
+                 available_now=args.once, processing_time=None if args.once else args.every)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="carelake.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -60,11 +113,44 @@ def main(argv=None) -> None:
     b.add_argument("--buckets", type=int, default=4096)
     b.add_argument("--how", default="inner", choices=["inner", "left"])
     b.add_argument("--master")
+    v = sub.add_parser("visits", help="visit listing by care setting")
+    v.add_argument("--tables", required=True)
+    v.add_argument("--fmt", default="parquet")
+    v.add_argument("--out", required=True)
+    v.add_argument("--settings")
+    v.add_argument("--start")
+    v.add_argument("--end")
+    v.add_argument("--patient-id")
+    v.add_argument("--facility")
+    v.add_argument("--master")
+    m = sub.add_parser("measure", help="evaluate a measure definition against stored records")
+    m.add_argument("--definition", required=True)
+    m.add_argument("--records", required=True, help="Parquet records written by build")
+    m.add_argument("--out", required=True)
+    m.add_argument("--as-of", required=True)
+    m.add_argument("--ungated")
+    m.add_argument("--master")
+    r = sub.add_parser("refresh", help="start the change stream")
+    r.add_argument("--changes", required=True)
+    r.add_argument("--tables", required=True)
+    r.add_argument("--fmt", default="parquet")
+    r.add_argument("--store", required=True)
+    r.add_argument("--as-of", required=True)
+    r.add_argument("--buckets", type=int, default=4096)
+    r.add_argument("--every", default="1 minute")
+    r.add_argument("--once", action="store_true")
+    r.add_argument("--master")
     args = ap.parse_args(argv)
+    from pyspark.sql import SparkSession
     if args.cmd == "build":
         build(args)
-        from pyspark.sql import SparkSession
-        SparkSession.active().stop()
+    elif args.cmd == "visits":
+        visits(args)
+    elif args.cmd == "measure":
+        measure(args)
+    elif args.cmd == "refresh":
+        refresh(args).awaitTermination()
+    SparkSession.active().stop()
 
 
 if __name__ == "__main__":

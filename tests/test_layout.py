@@ -43,3 +43,27 @@ def test_build_job(spark, tables, tmp_path):
     assert spark.read.json(str(out / "records")).count() == 2
     assert spark.read.parquet(str(out / "findings")).count() == 0
     assert spark.read.parquet(str(out / "duplicates")).count() == 0
+
+
+def test_visits_and_measure_jobs(spark, tables, tmp_path):
+    import json
+
+    from carelake import jobs
+    from carelake.plans import measure_defs as MD
+    src = tmp_path / "extract"
+    tables["mra1_encounter"].withColumnRenamed("origid", "patient_id").write.parquet(str(src / "mra1_encounter"))
+    jobs.visits(jobs.argparse.Namespace(master=None, tables=str(src), fmt="parquet", out=str(tmp_path / "v"),
+                                        settings="SNF,Emergency", start="2023-01-01", end="2023-01-31",
+                                        patient_id=None, facility=None))
+    v = spark.read.parquet(str(tmp_path / "v"))
+    assert sorted(r.EncounterNr for r in v.collect()) == ["M1", "M2"]
+    from carelake.plans.document import build_documents
+    from tests.fixtures import AS_OF
+    recs = tmp_path / "records"
+    build_documents(tables, AS_OF, part_size=2).write.parquet(str(recs))
+    d = tmp_path / "measure.json"
+    d.write_text(json.dumps(MD.hypertension_definition()))
+    jobs.measure(jobs.argparse.Namespace(master=None, definition=str(d), records=str(recs),
+                                         out=str(tmp_path / "m"), as_of="2025-06-01", ungated="de-3"))
+    wl = spark.read.parquet(str(tmp_path / "m" / "worklist"))
+    assert [r.origid for r in wl.collect()] == ["P1"]
