@@ -85,8 +85,8 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     parts = [
         S.demographics(t, as_of), S.contact(t), S.care_team(t, roster, as_of), S.enrollment(t, roster),
         FL.as_struct(flags), S.raf_profile(persons, t, as_of), S.hcc_capture(persons, t, as_of),
-        S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of), S.medication_adherence(persons, t, as_of),
-        S.sdoh(persons, t, flags),
+        S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of, ps), S.medication_adherence(persons, t, as_of),
+        S.sdoh(persons, t, flags, ps),
         S.meta(persons, run, trigger if isinstance(trigger, str) else "initial_load", None, source_db),
     ]
     if stage_dir:
@@ -95,7 +95,13 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     if not part_size:
         j = attach(persons, "origid", parts + list(arrays.values()))
     else:
+        nested = {"uamcc.details": S.uamcc_details(t, ps), "sdoh.meal_plans": S.meal_plans(t, ps),
+                  "sdoh.reward_programs": S.reward_programs(t, ps)}
+        for k, v in nested.items():
+            leaf = k.split(".")[1]
+            arrays["__" + k.replace(".", "__")] = v.withColumnRenamed(leaf, "__" + k.replace(".", "__"))
         j = _attach_parts(persons, parts, arrays)
+        j = _nest_parts(j, list(nested))
     if not isinstance(trigger, str) or sequence is not None:
         j = j.withColumn("_meta", F.col("_meta").withField("trigger_source", trigger if isinstance(
             trigger, Column) else F.lit(trigger)).withField("cdc_sequence", sequence if sequence is not None
@@ -106,6 +112,21 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     return j.select("origid", "part_no", "n_parts", F.struct(*fields).alias("patient"))
 
 
+def _nest_parts(j: DataFrame, paths) -> DataFrame:
+    """Move split arrays that live inside a section (``parent.child``) into
+    their parent struct on every part row; on overflow rows the parent holds
+    only that slice (other fields NULL)."""
+    for path in paths:
+        parent, child = path.split(".")
+        tmp = "__" + path.replace(".", "__")
+        stype = j.schema[parent].dataType
+        empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stype.fields])
+        arr = F.col(tmp)
+        j = j.withColumn(parent, F.when(F.col(parent).isNotNull(), F.col(parent).withField(child, arr))
+                         .when(arr.isNotNull(), empty.withField(child, arr))).drop(tmp)
+    return j
+
+
 def _attach_parts(persons: DataFrame, parts, arrays: dict) -> DataFrame:
     """Hot-person-safe layout: the array sections come as ``(origid,
     part_no, n_parts, array)``; they are aligned on (origid, part_no) by

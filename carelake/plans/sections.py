@@ -291,20 +291,28 @@ def _uamcc_current(t: Tables) -> DataFrame:
     return t["mra_uamcc_details"].filter(F.col("is_most_recent_per_category") == 1)
 
 
-def uamcc(persons: DataFrame, t: Tables, as_of) -> DataFrame:
-    """Multiple-chronic-condition summary and details."""
+def uamcc_details(t: Tables, part_size: int | None = None) -> DataFrame:
     ud = _uamcc_current(t)
-    summ = ud.groupBy("origid").agg(
-        F.count_distinct("condition_category").alias("condition_count"),
-        F.array_sort(F.collect_set(F.struct(F.col("condition_category").alias("v")))).alias("_c"),
-        F.array_sort(F.collect_set(F.struct(F.left("diagnosis_code", F.lit(3)).alias("v")))).alias("_p"))
-    details = ordered_array(ud, ["origid"], ["service_date", "nr"], [
+    return person_array(ud, ["service_date", "nr"], [
         F.col("nr").alias("id"), C.iso_date("service_date").alias("service_date"),
         "condition_category", F.col("diagnosis_code").alias("icd_code"),
         F.col("diagnosis_desc").alias("icd_desc"), F.col("prov_npi_nr").alias("provider_npi"),
         F.col("prov_name").alias("provider_name"), F.col("prov_taxonomy").alias("provider_taxonomy"),
-        "facility_name", "claim_source", "claim_type", "version"], "details")
-    j = attach(persons, "origid", [summ, details], {"condition_count": 0})
+        "facility_name", "claim_source", "claim_type", "version"], "details", part_size, ["nr"])
+
+
+def uamcc(persons: DataFrame, t: Tables, as_of, part_size: int | None = None) -> DataFrame:
+    """Multiple-chronic-condition summary and details (A14 A18 F9 T5).  With
+    ``part_size`` the details are left out here and attached as parts."""
+    ud = _uamcc_current(t)
+    summ = ud.groupBy("origid").agg(
+        F.count_distinct("condition_category").alias("condition_count"),
+        F.array_sort(F.collect_set(F.struct(F.col("condition_category").alias("v")))).alias("_c"),
+        F.array_sort(F.collect_set(F.struct(F.left("diagnosis_code", F.lit(3)).alias("v")))).alias("_p"))
+    parts = [summ] if part_size else [summ, uamcc_details(t)]
+    j = attach(persons, "origid", parts, {"condition_count": 0})
+    if part_size:
+        j = j.withColumn("details", F.lit(None).cast(uamcc_details(t).schema["details"].dataType))
     y = _year(as_of)
     return j.select("origid", obj(
         ("id", F.concat(F.col("origid"), F.lit("_uamcc_"), y.cast("string"))),
@@ -650,24 +658,24 @@ def food_insecurity(t: Tables) -> DataFrame:
         "food_insecurity")
 
 
-def meal_plans(t: Tables) -> DataFrame:
+def meal_plans(t: Tables, part_size: int | None = None) -> DataFrame:
     m = t["sdoh_meal_plan"]
-    return ordered_array(m, ["origid"], ["created_date", "nr"], [
+    return person_array(m, ["created_date", "nr"], [
         F.col("nr").alias("id"), "meal_type", "product_sku", "order_id", "order_status",
         "eligibility_status", C.iso_date("start_date").alias("start_date"),
         C.iso_date("end_date").alias("end_date"), C.iso_date("created_date").alias("created_date"),
         "ship_frequency_id", "assigned_cm", "source", "notes", "created_by", "updated_by",
-        C.iso_date("updated_date").alias("updated_date")], "meal_plans")
+        C.iso_date("updated_date").alias("updated_date")], "meal_plans", part_size, ["nr"])
 
 
-def reward_programs(t: Tables) -> DataFrame:
+def reward_programs(t: Tables, part_size: int | None = None) -> DataFrame:
     r = t["chronic_disease_reward_program"]
-    return ordered_array(r, ["origid"], ["date", "nr"], [
+    return person_array(r, ["date", "nr"], [
         F.col("nr").alias("id"), "program", "chronic_disease", "criteria", "status",
         C.iso_date("date").alias("date"), F.col("gift_card_number_issued").alias("gift_card_number"),
         C.null_false(F.col("gift_card_received") == "yes").alias("gift_card_received"),
         C.null_false(F.col("address_verified") == "yes").alias("address_verified"),
-        "associate_name", "gift_card_to_be_issued"], "reward_programs")
+        "associate_name", "gift_card_to_be_issued"], "reward_programs", part_size, ["nr"])
 
 
 def transport_benefits(t: Tables, part_size: int | None = None) -> DataFrame:
@@ -679,14 +687,20 @@ def transport_benefits(t: Tables, part_size: int | None = None) -> DataFrame:
         "dce_provider_name", "member_type"], "transport_benefits", part_size)
 
 
-def sdoh(persons: DataFrame, t: Tables, flags: DataFrame) -> DataFrame:
+def sdoh(persons: DataFrame, t: Tables, flags: DataFrame, part_size: int | None = None) -> DataFrame:
     """Social factors: yearly food answers (``[]`` when none, A13), the
     transport flag, meal plans and reward programs; ``food_insecurity_flag``
-    repeats the rule flag (decision D11)."""
+    repeats the rule flag (decision D11).  With ``part_size`` meal plans and
+    reward programs are left out here and attached as parts."""
     food_t = "array<struct<assessment_year:int,latest_date:string,responses:string>>"
-    j = attach(persons, "origid", [food_insecurity(t), meal_plans(t), reward_programs(t),
+    lists = [] if part_size else [meal_plans(t), reward_programs(t)]
+    j = attach(persons, "origid", [food_insecurity(t), *lists,
                                    flags.select("origid", "sdoh_transport_barrier",
                                                 "sdoh_food_insecurity")])
+    if part_size:
+        j = j.withColumn("meal_plans", F.lit(None).cast(meal_plans(t).schema["meal_plans"].dataType)) \
+            .withColumn("reward_programs",
+                        F.lit(None).cast(reward_programs(t).schema["reward_programs"].dataType))
     return j.select("origid", obj(
         ("id", F.concat(F.col("origid"), F.lit("_sdoh"))),
         ("food_insecurity", F.coalesce("food_insecurity", F.array().cast(food_t))),

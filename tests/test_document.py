@@ -137,3 +137,15 @@ def test_section_projection_and_population_profile(docs):
     prof = checks.profile(docs, "origid", ["encounters", "alerts"])
     pop = checks.population_profile(prof, ["n_encounters"]).first()
     assert pop["n_encounters_max"] == 5 and len(pop["n_encounters_p50_p90_p99"]) == 3
+
+
+def test_parts_layout_splits_nested_arrays(spark, tables, docs):
+    from carelake.plans.document import build_documents
+    from tests.fixtures import AS_OF
+    rows = [r for r in build_documents(tables, AS_OF, part_size=1).collect() if r.origid == "P1"]
+    details = sorted(d.id for r in rows if r.patient.uamcc for d in (r.patient.uamcc.details or []))
+    assert details == [1, 2]                                              # 2 current details, 1 per part
+    assert all(len(r.patient.uamcc.details or []) <= 2 for r in rows if r.patient.uamcc)
+    main = [r for r in rows if r.part_no == 0][0]
+    assert main.patient.uamcc.summary.condition_count == 2
+    assert sum(len(r.patient.sdoh.meal_plans or []) for r in rows if r.patient.sdoh) == 1
