@@ -180,10 +180,14 @@ def parse_documents(df: DataFrame, schema, json_col: str = "doc", key: str = "or
     return df.select(key, F.from_json(json_col, wrapped)["patient"].alias("patient"))
 
 
-def replace_documents(current: DataFrame, fresh: DataFrame, key: str = "origid") -> DataFrame:
-    """Full-document replace keyed on the person (S9): rows of ``fresh``
-    win, everything else is kept — ``anti-join ∪ fresh``."""
-    return current.join(fresh.select(key), key, "left_anti").unionByName(fresh)
+def replace_documents(current: DataFrame, fresh: DataFrame, key: str = "origid",
+                      persons: DataFrame | None = None) -> DataFrame:
+    """Full-document replace keyed on the person (S9): the records of
+    ``persons`` (default: those in ``fresh``) are replaced by ``fresh`` —
+    ``anti-join ∪ fresh``; a routed person with no fresh record (deleted at
+    the source, C12) is removed."""
+    ids = (persons if persons is not None else fresh).select(key)
+    return current.join(ids, key, "left_anti").unionByName(fresh)
 
 
 def default_run_ts(as_of) -> str:

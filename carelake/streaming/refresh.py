@@ -118,30 +118,44 @@ class RecordStore:
     def bucket(self) -> "Column":
         return F.pmod(F.xxhash64(self.key), F.lit(self.n_buckets)).cast("int")
 
-    def replace(self, fresh: DataFrame, batch_id: str) -> None:
-        """Replace the records of the persons in ``fresh``."""
+    def replace(self, fresh: DataFrame, batch_id: str, persons: DataFrame | None = None) -> None:
+        """Replace the records of ``persons`` (default: the persons in
+        ``fresh``) by ``fresh`` (S9): a routed person without a fresh record —
+        deleted at the source — loses its record."""
         entries = self.manifest()
         fresh = fresh.withColumn("bucket", self.bucket())
-        touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())  # ≤ n_buckets values
+        ids = (persons if persons is not None else fresh).select(self.key).distinct()
+        ids = ids.withColumn("bucket", self.bucket())
+        touched = sorted(r[0] for r in ids.select("bucket").distinct().collect())  # ≤ n_buckets values
         current = self.read(set(touched))
         if current is not None:
-            keep = current.join(fresh.select(self.key), self.key, "left_anti").withColumn("bucket", self.bucket())
+            keep = current.join(ids.select(self.key), self.key, "left_anti").withColumn("bucket", self.bucket())
             new = keep.unionByName(fresh)
         else:
             new = fresh
         new.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
             .parquet(f"{self.root}/batch={batch_id}")
-        written = {str(b) for b in touched}
-        entries = {**entries, **{b: str(batch_id) for b in written}}
+        written = self._written_buckets(batch_id)
+        for b in touched:              # a touched bucket left empty (deletes) has no folder
+            if str(b) in written:
+                entries[str(b)] = str(batch_id)
+            else:
+                entries.pop(str(b), None)
         self._write_manifest(entries)
 
+    def _written_buckets(self, batch_id) -> set[str]:
+        d = self._Path(f"{self.root}/batch={batch_id}")
+        if not self._fs.exists(d):
+            return set()
+        return {x.getPath().getName().split("=", 1)[1] for x in self._fs.listStatus(d)
+                if x.isDirectory() and x.getPath().getName().startswith("bucket=")}
+
     def write(self, df: DataFrame, batch_id: str = "init") -> None:
         """Full (initial) load: every bucket written under ``batch=<id>``."""
         df = df.withColumn("bucket", self.bucket())
         df.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
             .parquet(f"{self.root}/batch={batch_id}")
-        present = [r[0] for r in df.select("bucket").distinct().collect()]
-        self._write_manifest({str(b): str(batch_id) for b in present})
+        self._write_manifest({b: str(batch_id) for b in self._written_buckets(batch_id)})
 
     def applied(self, batch_id) -> bool:
         """True when some bucket's live version is this batch (a re-run of a
@@ -167,11 +181,11 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     if todo.isEmpty():
         return
     fresh = build(tables, todo)
-    store.replace(fresh, str(batch_id))
-    if after is not None:
+    store.replace(fresh, str(batch_id), persons=todo)
+    current = store.read() if after is not None else None
+    if current is not None:
         # the hook reads the committed records, not a re-computation
-        written = store.read().join(todo.select(key), key, "left_semi")
-        after(written, aff, batch_id)
+        after(current.join(todo.select(key), key, "left_semi"), aff, batch_id)
 
 
 def start(spark: SparkSession, change_dir: str, *, store: RecordStore,

@@ -52,3 +52,20 @@ def test_record_store_rewrites_only_touched_buckets(spark):
     store.replace(spark.createDataFrame([("9", 2)], "origid string, v int"), "b2")
     store.replace(spark.createDataFrame([("10", 3)], "origid string, v int"), "b3")
     assert len(store._manifests()) == 2 and store.read().count() == 201
+
+
+def test_deleted_person_loses_record(spark, tables):
+    base = shared_dir(spark, "test_delete", uuid.uuid4().hex)
+    store = RecordStore(spark, f"{base}/records", n_buckets=4)
+    store.write(build_documents(tables, AS_OF), "init")
+    after_delete = dict(tables)
+    after_delete["patient"] = tables["patient"].filter("origid <> 'P2'")
+    ch = spark.createDataFrame([(9, 9, "2023-02-28 11:00:00", "patient", "D", {"origid": "P2"}, None)],
+                               "event_id bigint, sequence bigint, change_ts string, `table` string, "
+                               "op string, before map<string,string>, after map<string,string>")
+    ch.write.json(f"{base}/changes")
+    q = start(spark, f"{base}/changes", store=store, load_tables=lambda: after_delete,
+              build=lambda t, todo: build_documents(only_persons(t, todo), AS_OF),
+              routes=ROUTES, name=f"d{uuid.uuid4().hex[:6]}", available_now=True)
+    q.awaitTermination()
+    assert sorted(r.origid for r in store.read().select("origid").collect()) == ["P1"]
