@@ -36,7 +36,7 @@ def _de(i, name, field, op, value, end="", mode="single", active="1", required="
             "required": required, "sortOrder": "0", "dateRangeStart": None, "dateRangeEnd": None}
 
 
-def hypertension_definition() -> dict:
+def htn_definition() -> dict:
     return {
         "measureInfo": {"id": "PC-001", "title": "Hypertension Management", "version": "1.0.0",
                         "status": "draft", "performanceGoal": 85,
@@ -53,10 +53,10 @@ def hypertension_definition() -> dict:
         ]}
 
 
-def hypertension_measure(ungated=("de-3",), field_paths=None) -> Measure:
+def htn_measure(ungated=("de-3",), field_paths=None) -> Measure:
     """The reference measure; ``ungated`` reproduces its combined rule, which
     leaves the procedure element out (SURVEY D8)."""
-    m = from_definition(hypertension_definition(), field_paths or DOC_FIELDS, ungated=ungated,
+    m = from_definition(htn_definition(), field_paths or DOC_FIELDS, ungated=ungated,
                         flags={"de-1": (HTN_FLAGS["age"], "pass"), "de-2": (HTN_FLAGS["dx"], "pass"),
                                "de-3": (HTN_FLAGS["proc"], "pass"),
                                "de-4": (HTN_FLAGS["excl"], "match")})

@@ -58,7 +58,7 @@ def test_roster_through_cross_reference(spark, tables):
 def test_measure_trigger_hook(spark, docs):
     out = shared_dir(spark, "test_hook", uuid.uuid4().hex)
     aff = spark.createDataFrame([("adt_encounter", "P1"), ("patient", "P2")], "table string, origid string")
-    hook = measure_trigger(MD.hypertension_measure(), "2025-06-01", out)
+    hook = measure_trigger(MD.htn_measure(), "2025-06-01", out)
     hook(docs, aff, 7)
     res = spark.read.parquet(out)
     assert [(r.origid, r.batch) for r in res.select("origid", "batch").collect()] == [("P1", 7)]

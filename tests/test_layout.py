@@ -62,7 +62,7 @@ def test_visits_and_measure_jobs(spark, tables, tmp_path):
     recs = tmp_path / "records"
     build_documents(tables, AS_OF, part_size=2).write.parquet(str(recs))
     d = tmp_path / "measure.json"
-    d.write_text(json.dumps(MD.hypertension_definition()))
+    d.write_text(json.dumps(MD.htn_definition()))
     jobs.measure(jobs.argparse.Namespace(master=None, definition=str(d), records=str(recs),
                                          out=str(tmp_path / "m"), as_of="2025-06-01", ungated="de-3"))
     wl = spark.read.parquet(str(tmp_path / "m" / "worklist"))

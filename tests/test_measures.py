@@ -10,8 +10,8 @@ def _eval(docs, measure, as_of=AS_OF):
     return {r.origid: r for r in M.evaluate(d, measure, as_of, root="patient").collect()}
 
 
-def test_hypertension_measure_on_records(docs):
-    m = MD.hypertension_measure(field_paths=MD.DOC_FIELDS)
+def test_htn_measure_on_records(docs):
+    m = MD.htn_measure(field_paths=MD.DOC_FIELDS)
     out = _eval(docs, m, "2025-06-01")   # inside the activation period
     p1 = out["P1"]
     assert p1["pc001_age_eligible"] and p1["pc001_has_hypertension_dx"]   # I10 on encounter and problem list
@@ -68,7 +68,7 @@ def test_two_way_nested_equals_relational(tables, docs):
 
 
 def test_report_rate_worklist(docs):
-    m = MD.hypertension_measure()
+    m = MD.htn_measure()
     ev = M.evaluate(M.enrich_age(docs, "2025-06-01"), m, "2025-06-01", root="patient")
     rep = {(r.origid, r.element_id): r.outcome for r in M.report(ev, m).collect()}
     assert rep[("P1", "de-2")] == "pass" and rep[("P2", "de-2")] == "blocked"
@@ -79,7 +79,7 @@ def test_report_rate_worklist(docs):
 
 def test_parts_evaluation_equals_whole(spark, tables, docs):
     from carelake.plans.document import build_documents
-    m = MD.hypertension_measure()
+    m = MD.htn_measure()
     whole = {r.origid: r.asDict() for r in M.evaluate(docs, m, "2025-06-01", root="patient").collect()}
     parts = build_documents(tables, AS_OF, part_size=2)
     split = {r.origid: r.asDict() for r in M.evaluate_parts(parts, m, "2025-06-01", root="patient").collect()}
