@@ -480,7 +480,7 @@ def adt_branch(t: Tables, as_of, children) -> DataFrame:
                      F.struct(enc.alias("_b"), *kids, audit.alias("audit")).alias("_e"))
 
 
-# Claim-only fields (mra1): output name → (source column, kind).
+# Claim-only encounter fields — output name, source column, kind.
 CLAIM_FIELDS = [
     ("admit_time", "enc_admit_time", "raw"), ("discharge_time", "enc_disch_time", "raw"),
     ("group_type", "dce_group_type", "raw"), ("sub_group_type", "dce_sub_group_type", "raw"),
