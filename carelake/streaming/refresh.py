@@ -167,11 +167,17 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
                   build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
                   routes: Sequence[Route], key: str = "origid",
-                  after: Callable[[DataFrame, DataFrame, int], None] | None = None) -> None:
+                  after: Callable[[DataFrame, DataFrame, int], None] | None = None,
+                  version: str | None = None) -> None:
     """One micro-batch: route → distinct persons → rebuild → replace.
-    A batch already committed (the pointer names its version) is skipped,
-    so a re-run after a failure never reads and overwrites the same folder."""
-    if store.applied(batch_id):
+
+    ``version`` names the batch in the store (default: the batch id; the
+    stream passes ``<query name>-<batch id>``, stable across restarts of the
+    same query but distinct between queries).  A version already in the
+    manifest is skipped, so a re-run after a failure never reads and
+    overwrites its own folder."""
+    version = version or str(batch_id)
+    if store.applied(version):
         return
     tables = load_tables()
     aff = affected(changes, routes, tables, key, prune=True)
@@ -181,7 +187,7 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     if todo.isEmpty():
         return
     fresh = build(tables, todo)
-    store.replace(fresh, str(batch_id), persons=todo)
+    store.replace(fresh, version, persons=todo)
     current = store.read() if after is not None else None
     if current is not None:
         # the hook reads the committed records, not a re-computation
@@ -211,7 +217,7 @@ def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
 
     def sink(df: DataFrame, batch_id: int) -> None:
         refresh_batch(df, batch_id, store=store, load_tables=load_tables, build=build, routes=routes,
-                      after=after)
+                      after=after, version=f"{name}-{batch_id}")
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).queryName(name)
     if available_now:
