@@ -163,6 +163,19 @@ class RecordStore:
         return str(batch_id) in set(self.manifest().values())
 
 
+def stamp_provenance(fresh: DataFrame, todo: DataFrame, key: str = "origid") -> DataFrame:
+    """Write the change that caused the rebuild into the record's ``_meta``
+    (C15 sequence, C16 trigger source), when the records have one."""
+    if "patient" not in fresh.columns:
+        return fresh
+    src = todo.select(key, F.col("trigger_source").alias("_src"), F.col("cdc_sequence").alias("_seq"))
+    meta = F.col("patient._meta")
+    stamped = F.when(meta.isNotNull(), meta.withField("trigger_source", F.col("_src"))
+                     .withField("cdc_sequence", F.col("_seq")))
+    return fresh.join(src, key, "left").withColumn(
+        "patient", F.col("patient").withField("_meta", stamped)).drop("_src", "_seq")
+
+
 def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
                   build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
@@ -186,7 +199,7 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     todo = persons_to_rebuild(aff, key).checkpoint()
     if todo.isEmpty():
         return
-    fresh = build(tables, todo)
+    fresh = stamp_provenance(build(tables, todo), todo, key)
     store.replace(fresh, version, persons=todo)
     current = store.read() if after is not None else None
     if current is not None:

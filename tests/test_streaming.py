@@ -31,7 +31,10 @@ def test_stream_refresh_matches_batch(spark, tables):
     got = store.read()
     strip = lambda df: sorted(r.j for r in df.select(F.to_json(F.col("patient").dropFields("_meta")).alias("j")).collect())
     assert strip(got) == strip(full)
-    assert {r.t for r in got.select(F.col("patient._meta.trigger_source").alias("t")).collect()} == {"cdc"}
+    prov = {r.origid: (r.t, r.s) for r in got.select(
+        "origid", F.col("patient._meta.trigger_source").alias("t"),
+        F.col("patient._meta.cdc_sequence").alias("s")).collect()}
+    assert prov == {"P1": ("mra_scorecard_alerts", 1), "P2": ("patient", 2)}     # C15, C16
 
 
 def test_record_store_rewrites_only_touched_buckets(spark):
