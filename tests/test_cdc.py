@@ -74,3 +74,16 @@ def test_change_time_from_year_column(spark, tables):
     ch = _changes(spark, [("mra_raf_patient", "I", None, {"origid": "P1", "year": "2022"})])
     aff = cdc.affected(ch, ROUTES, tables, prune=True)
     assert {r.change_ts.isoformat() for r in aff.collect()} == {"2022-01-01T00:00:00"}
+
+
+def test_new_year_flips_capture_without_data_change(spark, tables):
+    """Dec 31 → Jan 1: the same data gives a different capture result, and
+    the date-driven refresh (C11) reports exactly the persons that changed."""
+    from carelake.plans import sections as S
+    old = S.hcc_capture_counts(tables, "2022-12-31")
+    new = S.hcc_capture_counts(tables, "2023-01-01")
+    o = {r.origid: (r.eligible_hccs, r.captured_hccs, r.gap_hccs) for r in old.collect()}
+    n = {r.origid: (r.eligible_hccs, r.captured_hccs, r.gap_hccs) for r in new.collect()}
+    assert o["P1"] == (2, 2, None) and n["P1"] == (2, 1, ["HCC-226"])
+    flipped = cdc.changed_rows(old, new, "origid", ["captured_hccs", "gap_hccs"])
+    assert [r.origid for r in flipped.collect()] == ["P1"]
