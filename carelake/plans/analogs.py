@@ -10,14 +10,26 @@ alerts / claim events / change events = events.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators.aggregates import any_flags, attach, pivot_latest
-from carelake.operators.arrays import ordered_array, ordered_distinct_concat
+from carelake.operators.arrays import ordered_array, ordered_array_parts, ordered_distinct_concat
 from carelake.operators.latest import latest_row
+from carelake.plans import measure_defs as MD
+from carelake.plans import measures as M
+from carelake.plans.cdc import (Hop, Route, affected, changed_rows, latest_changes, persons_to_rebuild,
+                                table_changes)
+from carelake.plans.checks import array_len, duplicates, missing_documents, missing_keys, preview
+from carelake.plans.document import _attach_parts, build_documents, read_documents, write_documents
+from carelake.plans.visits import visits
+from carelake.session import shared_dir
+from carelake.sources.derived import derive
 from carelake.sources.driver import Tables
+from carelake.streaming.refresh import RecordStore, start
 
 # Fixed evaluation dates: the last order date and the day after the events.
 ORDERS_AS_OF = "2001-08-01"
@@ -256,7 +268,6 @@ def role_lookup(spark, sf_dir) -> DataFrame:
 def visits_by_setting(spark, sf_dir) -> DataFrame:
     """Visit listing (P1 P4 P6 P15 S3 S4) through :func:`visits`: three
     settings in one pass, the date window only on the dated ones."""
-    from carelake.plans.visits import visits
     t = _t(spark, sf_dir)
     ev = t.events.withColumn("disch_date", F.to_date("ts"))
     cols = [("event_id", "EncounterNr"), ("user_id", "patientId"),
@@ -543,7 +554,6 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF, part_size: int | None =
 
     ``part_size`` gives the split layout ``(origid, part_no, n_parts, …)``
     in which no person's array is assembled beyond ~``part_size`` items."""
-    from carelake.operators.arrays import ordered_array_parts
 
     def person_array(df, order, fields, alias, item_id):
         if part_size:
@@ -591,22 +601,16 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF, part_size: int | None =
     cols = ["origid", "demographics", "care_team", "encounters", "chronic_conditions", "hedis_measures"]
     if not part_size:
         return attach(scalars, "origid", [enc_arr, cc_arr, hed_arr]).select(*cols)
-    from carelake.plans.document import _attach_parts
     arrays = {"encounters": enc_arr, "chronic_conditions": cc_arr, "hedis_measures": hed_arr}
     j = _attach_parts(scalars.select("origid"), [scalars], arrays)
     return j.select("part_no", "n_parts", *cols)
 
 
-def _defs():
-    from carelake.plans import measure_defs as MD
-    return MD
-
 
 def _evaluated(spark, sf_dir, measure=None, as_of: str = ORDERS_AS_OF):
-    from carelake.plans import measures as M
     t = _t(spark, sf_dir)
     docs = M.enrich_age(person_records(t, as_of), as_of, root=None)
-    m = measure or _defs().analog_measure()
+    m = measure or MD.analog_measure()
     keep = ["origid", F.col("demographics.age").alias("age"),
             F.col("care_team.market").alias("market")]
     return M, m, M.evaluate(docs, m, as_of, keep=keep)
@@ -616,10 +620,9 @@ def measure_full_parts(spark, sf_dir, part_size: int = 3) -> DataFrame:
     """The full measure over the split record layout (records cut into parts
     of ``part_size`` items): per-part partial results combined per person
     give the same flags as the whole-record evaluation."""
-    from carelake.plans import measures as M
     t = _t(spark, sf_dir)
     docs = M.enrich_age(person_records(t, ORDERS_AS_OF, part_size), ORDERS_AS_OF, root=None)
-    m = _defs().analog_measure()
+    m = MD.analog_measure()
     ev = M.evaluate_parts(docs, m, ORDERS_AS_OF)
     return ev.select("origid", "age_eligible", "has_dx", "has_exclusion", "proc_present", "candidate")
 
@@ -638,8 +641,6 @@ def measure_any_of(spark, sf_dir) -> DataFrame:
 
 def measure_none_of(spark, sf_dir) -> DataFrame:
     """None-of-codes in ``single`` mode: passes on no data."""
-    from carelake.plans import measures as M
-    MD = _defs()
     m = M.Measure(id="none-of", title="", elements=[MD.exclusion_element(mode="single")])
     _, _, ev = _evaluated(spark, sf_dir, m)
     return ev.select("origid", F.col("de-excl").alias("no_exclusion"))
@@ -648,8 +649,6 @@ def measure_none_of(spark, sf_dir) -> DataFrame:
 def measure_nested2(spark, sf_dir) -> DataFrame:
     """Two-level nested match; same-element conjunction vs two separate
     tests (M4 M5 M6)."""
-    from carelake.plans import measures as M
-    MD = _defs()
     same = M.Element(id="same", name="same element", paths=[M.Path("encounters[].diagnoses[].icd_code")],
                      operator="contains", value=MD.ANALOG_DX_CODES, case_sensitive=False,
                      also=[("status", "eq", "F")])
@@ -665,7 +664,6 @@ def measure_nested2(spark, sf_dir) -> DataFrame:
 
 def measure_should(spark, sf_dir) -> DataFrame:
     """At least two of three predicates (M7)."""
-    from carelake.plans import measures as M
     _, _, ev = _evaluated(spark, sf_dir)
     preds = [F.col("de-age"), F.col("de-dx"), F.col("de-proc__match")]
     n = sum(F.coalesce(p, F.lit(False)).cast("int") for p in preds)
@@ -675,8 +673,6 @@ def measure_should(spark, sf_dir) -> DataFrame:
 def measure_latest_mode(spark, sf_dir) -> DataFrame:
     """``latest`` vs ``single`` mode, case-insensitive codes and an element
     date window (M15 M16 M17 M19 P14)."""
-    from carelake.plans import measures as M
-    MD = _defs()
     window = MD.procedure_element(mode="single", el_id="since", date_from="2000-01-01")
     m = M.Measure(id="latest", title="", elements=[
         MD.procedure_element(mode="latest"), MD.exclusion_element(mode="latest"), window])
@@ -716,7 +712,6 @@ def measure_worklist(spark, sf_dir) -> DataFrame:
 def measure_gap_check(spark, sf_dir) -> DataFrame:
     """Corroborating check: an open gap of a named measure, both tests on
     the same array element (M11 M6 M9)."""
-    from carelake.plans import measures as M
     el = M.Element(id="gap", name="open gap", paths=[M.Path("hedis_measures[].measure_name")],
                    operator="eq", value="error", also=[("gap_open", "eq", True)])
     _, _, ev = _evaluated(spark, sf_dir, M.Measure(id="gap", title="", elements=[el]))
@@ -729,7 +724,6 @@ def event_changes(t: Tables) -> DataFrame:
     """Events as change rows of a table ``events``: op from the payload
     (insert / update / delete), images carry the person key, the type and a
     cross-reference id (the person's name)."""
-    from carelake.plans.cdc import table_changes
     k = F.get_json_object("props", "$.k").cast("int")
     op = C.map_label(k % 3, {0: "I", 1: "U"}, "D")
     ev = t.events.withColumn("mbi", F.format_string("Customer#%09d", F.col("user_id")))
@@ -738,7 +732,6 @@ def event_changes(t: Tables) -> DataFrame:
 
 
 def _aff(t: Tables, changes: DataFrame, routes):
-    from carelake.plans.cdc import affected
     parents = {"orders": t.orders, "lineitem": t.lineitem, "part": t.part,
                "customer": t.customer, "supplier": t.supplier}
     return affected(changes, routes, parents)
@@ -747,7 +740,6 @@ def _aff(t: Tables, changes: DataFrame, routes):
 def cdc_direct(spark, sf_dir) -> DataFrame:
     """Direct routing (C1 C5 C12 C16 S6): key on the changed row (before-
     image for deletes), fanned out to the sections to rebuild."""
-    from carelake.plans.cdc import Route
     t = _t(spark, sf_dir)
     r = Route("events", "user_id", (), ("alerts", "hedis_measures", "rule_flags"), "ts")
     return _aff(t, event_changes(t), [r]).select("event_id", "table", "op", "origid", "section")
@@ -756,7 +748,6 @@ def cdc_direct(spark, sf_dir) -> DataFrame:
 def cdc_hop1(spark, sf_dir) -> DataFrame:
     """One hop through the encounter with a row filter and a parent filter
     (C2 C3 C4 C6)."""
-    from carelake.plans.cdc import Hop, Route, table_changes
     t = _t(spark, sf_dir)
     ch = table_changes(t.lineitem, "lineitem", F.col("l_orderkey") * 100 + F.col("l_linenumber"),
                        F.col("l_shipdate"))
@@ -770,7 +761,6 @@ def cdc_hop2(spark, sf_dir) -> DataFrame:
     """Two-hop chain (C7, the "value row → result → encounter → person"
     shape): a change to a line detail carries only the line's own key, which
     resolves to its encounter, which resolves to the person."""
-    from carelake.plans.cdc import Hop, Route, table_changes
     t = _t(spark, sf_dir)
     line_key = F.concat_ws(":", "l_orderkey", "l_linenumber").alias("line_key")
     lines = t.lineitem.select(line_key, "l_orderkey")
@@ -778,7 +768,6 @@ def cdc_hop2(spark, sf_dir) -> DataFrame:
                        F.xxhash64("line_key"), F.col("l_shipdate"), cols=["line_key"])
     r = Route("line_detail", "line_key", (Hop("line_keys", "line_key", "l_orderkey"),
                                           Hop("orders", "o_orderkey", "o_custkey")), ("labs",))
-    from carelake.plans.cdc import affected
     aff = affected(ch, [r], {"line_keys": lines, "orders": t.orders})
     return aff.select("table", "origid", "section").distinct()
 
@@ -786,7 +775,6 @@ def cdc_hop2(spark, sf_dir) -> DataFrame:
 def cdc_fanout(spark, sf_dir) -> DataFrame:
     """One-to-many fan-out: personnel → assignments → encounters → persons
     (C8, two hops)."""
-    from carelake.plans.cdc import Hop, Route, table_changes
     t = _t(spark, sf_dir)
     ch = table_changes(t.supplier, "supplier", F.col("s_suppkey"), F.lit("2024-01-01").cast("timestamp"))
     r = Route("supplier", "s_suppkey", (Hop("lineitem", "l_suppkey", "l_orderkey"),
@@ -797,7 +785,6 @@ def cdc_fanout(spark, sf_dir) -> DataFrame:
 def cdc_mass(spark, sf_dir) -> DataFrame:
     """Mass-impact change of a code lookup: changed codes → every person
     carrying the code (C9), three hops."""
-    from carelake.plans.cdc import Hop, Route, table_changes
     t = _t(spark, sf_dir)
     ch = table_changes(t.part, "code_lookup", F.col("p_partkey"), F.lit("2024-01-01").cast("timestamp"),
                        cols=["p_brand"])
@@ -811,7 +798,6 @@ def cdc_mass(spark, sf_dir) -> DataFrame:
 def cdc_xref(spark, sf_dir) -> DataFrame:
     """Cross-key hop: the change carries another id of the person, resolved
     through a cross-reference table (C10 J15)."""
-    from carelake.plans.cdc import Hop, Route
     t = _t(spark, sf_dir)
     r = Route("events", "mbi", (Hop("customer", "c_name", "c_custkey"),), ("care_team",), collapse=False)
     return _aff(t, event_changes(t), [r]).select("event_id", "op", "origid")
@@ -820,7 +806,6 @@ def cdc_xref(spark, sf_dir) -> DataFrame:
 def cdc_dedup_latest(spark, sf_dir) -> DataFrame:
     """One rebuild per person per batch with the provenance of the last
     change (C13 C15 C16)."""
-    from carelake.plans.cdc import Route, persons_to_rebuild
     t = _t(spark, sf_dir)
     r = Route("events", "user_id", (), ("alerts",), "ts")
     return persons_to_rebuild(_aff(t, event_changes(t), [r])).select(
@@ -829,7 +814,6 @@ def cdc_dedup_latest(spark, sf_dir) -> DataFrame:
 
 def cdc_last_writer(spark, sf_dir) -> DataFrame:
     """Last writer wins per source key."""
-    from carelake.plans.cdc import latest_changes
     t = _t(spark, sf_dir)
     last = latest_changes(event_changes(t), ["user_id", "event_type"])
     return last.select("user_id", "event_type", "event_id", "op")
@@ -838,7 +822,6 @@ def cdc_last_writer(spark, sf_dir) -> DataFrame:
 def cdc_time_refresh(spark, sf_dir) -> DataFrame:
     """Date-driven refresh with no change event (C11): flags at two dates,
     only persons whose values differ."""
-    from carelake.plans.cdc import changed_rows
     old = flag_awv(spark, sf_dir, "2001-07-01").join(
         flag_recent_30_90(spark, sf_dir, "2001-07-01"), "origid")
     new = flag_awv(spark, sf_dir, "2001-08-01").join(
@@ -878,7 +861,6 @@ def doc_json(spark, sf_dir) -> DataFrame:
 def doc_profile(spark, sf_dir) -> DataFrame:
     """Profile per person (V5 F22 T7 P16): section sizes, NULL vs empty kept
     apart, first-3 preview of encounter ids."""
-    from carelake.plans.checks import array_len, preview
     t = _t(spark, sf_dir)
     r = person_records(t)
     return r.select(
@@ -892,7 +874,6 @@ def doc_profile(spark, sf_dir) -> DataFrame:
 def doc_missing_keys(spark, sf_dir) -> DataFrame:
     """Required-key check over JSON text (V1 V2 V3): one row per (event,
     missing key) of the event payloads."""
-    from carelake.plans.checks import missing_keys
     t = _t(spark, sf_dir)
     return missing_keys(t.events.select("event_id", F.col("props").alias("doc")), "event_id",
                         path="$", required=["k", "source", "version"], kind="props") \
@@ -901,7 +882,6 @@ def doc_missing_keys(spark, sf_dir) -> DataFrame:
 
 def doc_cardinality(spark, sf_dir) -> DataFrame:
     """Cardinality check (V4): keys expected unique with more than one row."""
-    from carelake.plans.checks import duplicates
     t = _t(spark, sf_dir)
     return duplicates(t.lineitem, ["l_orderkey", "l_linenumber"]).select(
         "l_orderkey", "l_linenumber", F.col("count").alias("n_rows"))
@@ -909,7 +889,6 @@ def doc_cardinality(spark, sf_dir) -> DataFrame:
 
 def doc_missing(spark, sf_dir) -> DataFrame:
     """Persons without a document (V7): here persons with no event record."""
-    from carelake.plans.checks import missing_documents
     t = _t(spark, sf_dir)
     docs = t.events.select(F.col("user_id").alias("origid")).distinct()
     return missing_documents(patients(t), docs, "origid")
@@ -931,11 +910,6 @@ def stream_replace(spark, sf_dir) -> DataFrame:
     stale initial load, the later encounters arriving as change files, each
     micro-batch routing changes to persons and replacing their records
     rebuilt from the current tables.  The end state equals a full rebuild."""
-    import uuid
-
-    from carelake.plans.cdc import Route, table_changes
-    from carelake.session import shared_dir
-    from carelake.streaming.refresh import RecordStore, start
     t = _t(spark, sf_dir)
     base = shared_dir(spark, "stream_replace", uuid.uuid4().hex)
     o = t.orders
@@ -961,16 +935,11 @@ def stream_replace(spark, sf_dir) -> DataFrame:
 def doc_files(spark, sf_dir) -> DataFrame:
     """Records written as JSON files bucketed by person (S8) and read back
     with the explicit schema (S5); values survive the round trip."""
-    import uuid
-
-    from carelake.plans.document import read_documents, write_documents
-    from carelake.session import shared_dir
     t = _t(spark, sf_dir)
     rec = person_records(t)
     path = shared_dir(spark, "doc_files", uuid.uuid4().hex)
     write_documents(rec, path, n_buckets=8)
     back = read_documents(spark, path, rec.schema)
-    from carelake.plans.checks import array_len
     return back.select("origid", array_len(F.col("encounters")).alias("n_encounters"),
                        F.col("demographics.dob").alias("dob"),
                        array_len(F.col("chronic_conditions")).alias("n_conditions"))
@@ -1015,7 +984,6 @@ def doc_parts(spark, sf_dir, part_size: int = 4) -> DataFrame:
     """Hot-person-safe record layout: encounter arrays split into parts of
     about ``part_size`` items (ceil(n / part_size) parts, each sorted), then
     checked per person: parts declared and encounters carried in total."""
-    from carelake.operators.arrays import ordered_array_parts
     t = _t(spark, sf_dir)
     enc = encounters(t).select("origid", "encounter_nr", "enc_date", "priority")
     parts = ordered_array_parts(enc, ["origid"], ["enc_date", "encounter_nr"],
@@ -1028,8 +996,6 @@ def doc_parts(spark, sf_dir, part_size: int = 4) -> DataFrame:
 # ── the real record builder on tables derived from the benchmark data ─────
 
 def domain_records(spark, sf_dir, as_of: str = ORDERS_AS_OF, **kw) -> DataFrame:
-    from carelake.plans.document import build_documents
-    from carelake.sources.derived import derive
     return build_documents(derive(_t(spark, sf_dir)), as_of, **kw)
 
 
@@ -1037,7 +1003,6 @@ def doc_domain(spark, sf_dir) -> DataFrame:
     """The full person record (all 21 sections, 26 flags) built by
     :func:`carelake.plans.document.build_documents` from the 25 source tables
     derived from the benchmark tables; values read back from the records."""
-    from carelake.plans.checks import array_len
     d = domain_records(spark, sf_dir)
     f = F.col("patient.rule_flags")
     return d.select(
