@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from carelake.functions import columns as C
 from carelake.sources.driver import Tables
 from carelake.sources.schemas import DOMAIN_DDL
+from carelake.sources.schemas import schema as table_schema
 from carelake.sources.tables import normalise
 
 # Fixed values of the derivation.
@@ -35,7 +35,7 @@ AWV_CODE = "G0439"
 def shape(df: DataFrame, name: str) -> DataFrame:
     """Project onto the table's declared schema: present columns cast to
     their type, absent ones NULL."""
-    schema = StructType.fromDDL(DOMAIN_DDL[name])
+    schema = table_schema(name)
     have = set(df.columns)
     cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields]
@@ -165,5 +165,5 @@ def derive(t: Tables) -> dict[str, DataFrame]:
     shaped = {n: shape(df, n) for n, df in out.items()}
     for n in DOMAIN_DDL:
         if n not in shaped:
-            shaped[n] = shape(t.customer.sparkSession.createDataFrame([], DOMAIN_DDL[n]), n)
+            shaped[n] = t.customer.sparkSession.createDataFrame([], table_schema(n))
     return {n: normalise(n, df) for n, df in shaped.items()}

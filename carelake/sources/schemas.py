@@ -6,6 +6,8 @@ and ids as strings, 0/1 flags as int, money and scores as decimals).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql.types import StructType
 
 from carelake.plans.visits import VISIT_COLUMNS
@@ -144,5 +146,7 @@ CODE_COLUMNS = {
 }
 
 
+@lru_cache(maxsize=None)
 def schema(name: str) -> StructType:
+    """Parsed schema of a source table (parsed once per process)."""
     return StructType.fromDDL(DOMAIN_DDL[name])
