@@ -1015,3 +1015,11 @@ def doc_domain(spark, sf_dir) -> DataFrame:
         f["sdoh_transport_barrier"].alias("transport_barrier"),
         F.col("patient.hcc_capture.eligible_hccs").alias("eligible_hccs"),
         array_len(F.col("patient.labs")).alias("n_labs"))
+
+
+def visits_domain(spark, sf_dir) -> DataFrame:
+    """The domain visit listing (P1 P4 P6 P15) on the claim encounters
+    derived from the benchmark tables: all 13 settings, the 54 renamed
+    columns, the date window only on the dated settings."""
+    enc = derive(_t(spark, sf_dir))["mra1_encounter"].withColumnRenamed("origid", "patient_id")
+    return visits(enc, None, "2000-01-01", "2000-12-31")

@@ -582,3 +582,29 @@ LEFT JOIN enc ON enc.o_custkey = c.c_custkey LEFT JOIN chronic ON chronic.o_cust
 LEFT JOIN awv ON awv.o_custkey = c.c_custkey LEFT JOIN al ON al.user_id = c.c_custkey
 LEFT JOIN food ON food.user_id = c.c_custkey LEFT JOIN ride ON ride.user_id = c.c_custkey
 LEFT JOIN hcc ON hcc.o_custkey = c.c_custkey LEFT JOIN labs ON labs.o_custkey = c.c_custkey"""
+
+
+def _visits_domain_sql() -> str:
+    from carelake.plans.visits import DATED_SETTINGS, VISIT_COLUMNS
+    derived = {
+        "encounter_nr": "'M' || CAST(o_orderkey AS VARCHAR)",
+        "enc_admit_date": "CAST(o_orderdate AS DATE)",
+        "enc_disch_date": f"CAST(o_orderdate AS DATE) + {_CLS}",
+        "mh1_cal_amount": "CAST(o_totalprice AS DECIMAL(14,2))",
+    }
+    setting = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'Acute Hospital' WHEN '2-HIGH' THEN 'Emergency' "
+               "WHEN '3-MEDIUM' THEN 'SNF' WHEN '4-NOT SPECIFIED' THEN 'Observation' "
+               "WHEN '5-LOW' THEN 'Part B' END")
+    cols = ",\n       ".join(f"{derived.get(src, 'NULL')} AS \"{alias}\"" for src, alias in VISIT_COLUMNS)
+    dated = ", ".join(f"'{x}'" for x in DATED_SETTINGS)
+    return f"""
+WITH v AS (SELECT *, {setting} AS setting FROM orders WHERE o_orderstatus = 'P')
+SELECT {cols},
+       setting
+FROM v
+WHERE setting IS NOT NULL
+  AND (setting NOT IN ({dated})
+       OR CAST(o_orderdate AS DATE) + {_CLS} BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')"""
+
+
+SQL["visits_domain"] = _visits_domain_sql()

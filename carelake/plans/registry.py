@@ -17,6 +17,7 @@ QUERIES = {
     "roster_latest": A.roster_latest,
     "role_lookup": A.role_lookup,
     "visits_by_setting": A.visits_by_setting,
+    "visits_domain": A.visits_domain,
     "spine_union": A.spine_union,
     "child_arrays": A.child_arrays,
     "chronic": A.chronic,
