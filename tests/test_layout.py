@@ -67,3 +67,25 @@ def test_visits_and_measure_jobs(spark, tables, tmp_path):
                                          out=str(tmp_path / "m"), as_of="2025-06-01", ungated="de-3"))
     wl = spark.read.parquet(str(tmp_path / "m" / "worklist"))
     assert [r.origid for r in wl.collect()] == ["P1"]
+
+
+def test_refresh_job_once(spark, tables, tmp_path):
+    """The change-stream job end to end: fixture tables as Parquet folders,
+    one change file, ``--once`` (available-now trigger)."""
+    from carelake import jobs
+    from carelake.streaming.refresh import RecordStore
+    src = tmp_path / "extract"
+    raw = {"mra1_encounter": "patient_id", "drfirst_patient_medications": "patientid",
+           "transportation_benefit": "orig_id"}
+    for name, df in tables.items():
+        (df.withColumnRenamed("origid", raw[name]) if name in raw else df).write.parquet(str(src / name))
+    ch = spark.createDataFrame([(1, 1, "2023-02-28 10:00:00", "mra_scorecard_alerts", "I", None, {"origid": "P1"})],
+                               "event_id bigint, sequence bigint, change_ts string, `table` string, "
+                               "op string, before map<string,string>, after map<string,string>")
+    ch.write.json(str(tmp_path / "changes"))
+    q = jobs.refresh(jobs.argparse.Namespace(master=None, changes=str(tmp_path / "changes"), tables=str(src),
+                                             fmt="parquet", store=str(tmp_path / "store"), as_of="2023-02-28",
+                                             buckets=4, every="1 minute", once=True))
+    q.awaitTermination()
+    got = RecordStore(spark, str(tmp_path / "store"), n_buckets=4).read()
+    assert [r.origid for r in got.select("origid").collect()] == ["P1"]
