@@ -92,7 +92,7 @@ def refresh(args):
     from carelake.streaming.refresh import RecordStore, start
     spark = build_session(args.master, app="carelake-refresh")
     store = RecordStore(spark, args.store, n_buckets=args.buckets)
-    return start(spark, args.changes, store=store, routes=ROUTES,
+    return start(spark, args.changes, store=store, routes=ROUTES, name=args.name,
                  load_tables=lambda: read_tables(spark, args.tables, fmt=args.fmt),
                  build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc"),
                  available_now=args.once, processing_time=None if args.once else args.every)
@@ -139,6 +139,8 @@ def main(argv=None) -> None:
     r.add_argument("--buckets", type=int, default=4096)
     r.add_argument("--every", default="1 minute")
     r.add_argument("--once", action="store_true")
+    r.add_argument("--name", default="record-refresh",
+                   help="stream name: its checkpoint under spark.checkpoint.dir/streams/<name> is resumed")
     r.add_argument("--master")
     args = ap.parse_args(argv)
     from pyspark.sql import SparkSession

@@ -1,3 +1,5 @@
+import uuid
+
 from carelake.session import sizing
 from carelake.sources.tables import read_bucketed, write_bucketed
 
@@ -85,7 +87,8 @@ def test_refresh_job_once(spark, tables, tmp_path):
     ch.write.json(str(tmp_path / "changes"))
     q = jobs.refresh(jobs.argparse.Namespace(master=None, changes=str(tmp_path / "changes"), tables=str(src),
                                              fmt="parquet", store=str(tmp_path / "store"), as_of="2023-02-28",
-                                             buckets=4, every="1 minute", once=True))
+                                             buckets=4, every="1 minute", once=True,
+                                             name=f"refresh-{uuid.uuid4().hex[:8]}"))
     q.awaitTermination()
     got = RecordStore(spark, str(tmp_path / "store"), n_buckets=4).read()
     assert [r.origid for r in got.select("origid").collect()] == ["P1"]
