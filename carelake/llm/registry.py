@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from carelake.llm import ngram_join
+from carelake.llm import decontaminate, mixing, ngram_join
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op5_mixing": mixing.op5_mixing,
     "op9_ngram_join": ngram_join.op9_ngram_join,
 }
 
 ORACLES = {
+    "op2_decontaminate": decontaminate.SQL,
+    "op5_mixing": mixing.SQL,
     "op9_ngram_join": ngram_join.SQL,
 }
