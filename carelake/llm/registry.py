@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from carelake.llm import decontaminate, mixing, ngram_join
+from carelake.llm import decontaminate, language_id, mixing, neighbours, ngram_join, secrets, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_neighbours": neighbours.op3_neighbours,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_mixing": mixing.op5_mixing,
+    "op6_secrets": secrets.op6_secrets,
+    "op7_url_filter": url_filter.op7_url_filter,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_ngram_join": ngram_join.op9_ngram_join,
 }
 
