@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import decontaminate, language_id, mixing, neighbours, ngram_join, secrets, token_counts, toxicity, url_filter
+from carelake.llm import decontaminate, html_extract, language_id, mixing, neighbours, ngram_join, secrets, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_html_extract": html_extract.op10_html_extract,
 }
 
 ORACLES = {
