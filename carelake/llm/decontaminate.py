@@ -63,7 +63,7 @@ def postings(docs: DataFrame, terms: DataFrame, window: int) -> DataFrame:
     pos is its number of words."""
     each = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", words(F.col("text")).alias("w")).select(
         "rid", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
-    end = terms.sparkSession.createDataFrame([("", None)], terms.schema)
+    end = terms.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(None).cast(terms.schema["places"].dataType).alias("places"))
     hit = each.join(small(terms.unionByName(end), MAX_BROADCAST), "term")
     first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
     around = F.when(F.col("places").isNotNull(), F.slice("w", first + 1, F.lit(2 * window - 1)))
