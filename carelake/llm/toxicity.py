@@ -32,7 +32,7 @@ from carelake.llm.common import _BYTE, U64, _powers, blocks, mix, table, utf8, w
 #: bounds of the training sample: documents of either class, words of a document
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 2000, 4000, 5000
 #: hash buckets per kind of feature; prefixes in bytes
-BUCKETS, PREFIXES = 1 << 17, (4, 5, 6)
+BUCKETS, PREFIXES = 1 << 19, (4, 5, 6)
 CHUNK = 32
 GAP = np.zeros(256, bool)
 GAP[:128] = True
@@ -125,13 +125,13 @@ class Field:
         return marginals(score, lengths, np.exp(self.trans), self.start)
 
     def pooled(self, p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Per document: 1, log of one plus the expected toxic tokens, the largest marginal."""
+        """Per document: 1, log of one plus the expected toxic tokens (of those not clearly clean), the largest marginal."""
         out = np.zeros((len(lengths), 3))
         out[:, 0] = 1
         have = lengths > 0
         if have.any():
             at = np.concatenate(([0], np.cumsum(lengths[have])[:-1]))
-            out[have, 1] = np.log1p(np.add.reduceat(p, at))
+            out[have, 1] = np.log1p(np.add.reduceat(np.where(p > 0.1, p, 0), at))
             out[have, 2] = np.maximum.reduceat(p, at)
         return out
 
@@ -142,21 +142,44 @@ class Field:
 def token_tags(feats: list[np.ndarray], label: np.ndarray) -> list[np.ndarray]:
     """Tags of the tokens of toxic documents, from how often their features
     are in toxic and in clean documents; 0 in clean ones."""
-    count = np.zeros((2, BUCKETS * (1 + len(PREFIXES))))
+    count = np.zeros((2, BUCKETS * (1 + len(PREFIXES))), np.float32)
     for f, y in zip(feats, label):
         count[y, np.unique(f)] += 1
     n = np.maximum(np.bincount(label, minlength=2), 1)
     rate = n[1] / n.sum()
     seen = count.sum(axis=0)
-    z = (count[1] - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 0.25)
-    lift = np.log((count[1] + 0.5) / (n[1] + 1)) - np.log((count[0] + 0.5) / (n[0] + 1))
-    telling = (z > 3.5) & (lift > 1.5) & (count[1] >= 3)
-    return [telling[f].any(axis=1).astype(np.int8) if y else np.zeros(len(f), np.int8) for f, y in zip(feats, label)]
+    share = np.clip(count[1].astype(np.float64) / np.maximum(seen, 1), 1e-9, 1 - 1e-9)
+    # log of the chance (Chernoff) that a feature that tells nothing is in so many toxic documents, for all features at once
+    chance = seen * (share * np.log(share / rate) + (1 - share) * np.log((1 - share) / (1 - rate)))
+    telling = (share > rate) & (share > 0.5) & (count[1] >= 3) & (chance > np.log(max(2, (seen >= 3).sum())) + 1)
+    # two kinds of feature must agree: one alone may be a collision of hashes
+    return [(telling[f].sum(axis=1) >= 2).astype(np.int8) if y else np.zeros(len(f), np.int8) for f, y in zip(feats, label)]
+
+
+def distinct(feats: list[np.ndarray], k: int = 5) -> list[int]:
+    """Positions of documents that aren't copies or near copies of earlier
+    ones (two of four minimum hashes of their word runs agree); the words of
+    one much copied document would seem to tell."""
+    seen: list[dict[int, int]] = [{} for _ in range(4)]
+    kept = []
+    for i, f in enumerate(feats):
+        w = mix(f[:, 0].astype(np.uint64))
+        with np.errstate(over="ignore"):
+            runs = sum(w[m:len(w) - min(k, len(w)) + 1 + m] * U64(2 * m * m + 6 * m + 1) for m in range(min(k, len(w)))) if len(w) else w
+        low = [int(mix(runs ^ U64(s)).min()) if len(w) else s for s in range(4)]
+        like = [t[h] for t, h in zip(seen, low) if h in t]
+        if len(like) == len(set(like)):
+            kept.append(i)
+            for t, h in zip(seen, low):
+                t.setdefault(h, i)
+    return kept
 
 
 def fit(feats: list[np.ndarray], label: np.ndarray, epochs: int = 5, rate: float = 0.3, decay: float = 1e-6) -> Field:
     """Train on documents (their feature ids, and 0 or 1 each)."""
     model, rng = Field(), np.random.default_rng(7)
+    kept = distinct(feats)
+    feats, label = [feats[i] for i in kept], label[kept]
     share = (label.sum() + 0.5) / (len(label) + 1)
     model.pool[0] = np.log(share / (1 - share))
     if len(set(label.tolist())) < 2:
@@ -175,7 +198,8 @@ def fit(feats: list[np.ndarray], label: np.ndarray, epochs: int = 5, rate: float
             lengths = np.array([len(t) for _, t in part])
             p, forward, backward = model.tags(f, lengths)
             diff = p - y
-            grad = np.bincount(f.ravel(), np.repeat(diff, f.shape[1]), len(model.weights)).astype(np.float32) + decay * model.weights
+            ids, at = np.unique(f, return_inverse=True)
+            grad = np.bincount(at.ravel(), np.repeat(diff, f.shape[1])).astype(np.float32) + decay * model.weights[ids]
             inner = np.ones(len(y) - 1, bool)
             inner[np.cumsum(lengths)[:-1] - 1] = False
             a, b = forward[:-1][inner], (np.exp(np.clip(model.weights[f].sum(axis=1, dtype=np.float64) + model.bias, -30, 30)) * backward)[1:][inner]
@@ -184,10 +208,10 @@ def fit(feats: list[np.ndarray], label: np.ndarray, epochs: int = 5, rate: float
             got = (pair / pair.sum(axis=0)).sum(axis=1).reshape(2, 2)
             want = np.bincount(2 * y[:-1][inner].astype(int) + y[1:][inner], minlength=4).reshape(2, 2)
             g_t, g_b = got - want, float(diff.sum())
-            seen += grad**2
+            seen[ids] += grad**2
             seen_t += g_t**2
             seen_b += g_b**2
-            model.weights -= rate * grad / np.sqrt(seen)
+            model.weights[ids] -= rate * grad / np.sqrt(seen[ids])
             model.trans -= 0.1 * g_t / np.sqrt(seen_t)
             model.bias -= 0.1 * g_b / np.sqrt(seen_b)
             model.start = model.trans[0, 1] - model.trans[0, 0]
