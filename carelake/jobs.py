@@ -3,11 +3,11 @@
 write them.
 
     python -m carelake.jobs build --tables s3://…/extract --out s3://…/records \\
-        --as-of 2026-05-19 --cc-version 20260519 [--part-size 20000] [--bucketed db]
+        --as-of 2026-05-19 --cc-version 20260519 [--store s3://…/store] [--part-size 20000] [--bucketed db]
 
-By default array sections of a person above 20,000 items are split over
-several rows (hot persons never assembled in one task); ``--part-size 0``
-gives the reference's strict one-document-per-person output.
+One row per person; ``--part-size`` splits array sections above that many
+items over several rows.  ``--store`` also loads the records into the store
+that ``refresh`` keeps current, which has one row per person.
 
 Writes ``<out>/records`` (JSON lines bucketed by person), ``<out>/records_parquet``
 (the same records for further jobs), ``<out>/findings`` (conformance findings,
@@ -40,6 +40,11 @@ def build(args) -> None:
                            part_size=args.part_size or None, how=args.how)
     docs.write.mode("overwrite").parquet(f"{args.out}/records_parquet")
     docs = spark.read.parquet(f"{args.out}/records_parquet")
+    if getattr(args, "store", None):
+        if args.part_size:
+            raise SystemExit("--store keeps one row per person; leave --part-size out")
+        from carelake.streaming.refresh import RecordStore
+        RecordStore(spark, args.store, n_buckets=args.store_buckets).write(docs)
     key_cols = ["origid", "part_no"] if args.part_size else ["origid"]
     write_documents(docs, f"{args.out}/records", n_buckets=args.buckets)
     js = to_json(docs.filter("part_no = 0") if args.part_size else docs)
@@ -94,7 +99,8 @@ def refresh(args):
     store = RecordStore(spark, args.store, n_buckets=args.buckets)
     return start(spark, args.changes, store=store, routes=ROUTES, name=args.name,
                  load_tables=lambda: read_tables(spark, args.tables, fmt=args.fmt),
-                 build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc"),
+                 build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc",
+                                                            cc_version=args.cc_version, how=args.how),
                  available_now=args.once, processing_time=None if args.once else args.every)
 
 
@@ -108,8 +114,10 @@ def main(argv=None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--cc-version")
-    b.add_argument("--part-size", type=int, default=20000,
+    b.add_argument("--part-size", type=int, default=0,
                    help="split array sections above this many items (0 = one row per person always)")
+    b.add_argument("--store", help="record store to load for refresh")
+    b.add_argument("--store-buckets", type=int, default=4096)
     b.add_argument("--buckets", type=int, default=4096)
     b.add_argument("--how", default="inner", choices=["inner", "left"])
     b.add_argument("--master")
@@ -136,6 +144,8 @@ def main(argv=None) -> None:
     r.add_argument("--fmt", default="parquet")
     r.add_argument("--store", required=True)
     r.add_argument("--as-of", required=True)
+    r.add_argument("--cc-version")
+    r.add_argument("--how", default="inner", choices=["inner", "left"])
     r.add_argument("--buckets", type=int, default=4096)
     r.add_argument("--every", default="1 minute")
     r.add_argument("--once", action="store_true")

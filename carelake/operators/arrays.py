@@ -80,16 +80,16 @@ def ordered_array_parts(df: DataFrame, keys: Sequence[str], order: Sequence, fie
 
     A normal key (``n <= part_size``) gives one row with the whole array, as
     :func:`ordered_array`.  A hot key (a person holding a third of all rows)
-    never lands in one task: the per-key count is a partial aggregate, the
-    join that attaches it is split by AQE's skew handling, and the final
-    aggregate is keyed by (key, part), so each task holds at most about
-    ``part_size`` items of one key.  Parts are not ordered against each
+    never lands in one task: the per-key count is a partial aggregate, only
+    keys above ``part_size`` are joined back (few, so AQE broadcasts them at
+    their measured size), and an exchange on (key, part) comes before the
+    final aggregate, which would else reuse a partitioning by key alone.  Parts are not ordered against each
     other; every item keeps its sort fields, so readers can merge them."""
     ident = [F.col(c) if isinstance(c, str) else c for c in (item_id or order)]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n_parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(part_size))).cast("int")
-    j = df.join(counts, list(keys)).withColumn("n_parts", n_parts)
-    j = j.withColumn("part_no", F.pmod(F.xxhash64(*ident), F.col("n_parts")).cast("int"))
+    n_parts = F.coalesce(F.ceil(F.col("_n") / F.lit(part_size)), F.lit(1)).cast("int")
+    j = df.join(counts.filter(F.col("_n") > part_size), list(keys), "left").withColumn("n_parts", n_parts)
+    j = j.withColumn("part_no", F.pmod(F.xxhash64(*ident), F.col("n_parts")).cast("int")).repartition(*keys, "part_no")
     arr = F.sort_array(F.collect_list(_item(order, fields)), asc=not desc)
     return j.groupBy(*keys, "part_no", "n_parts").agg(
         F.transform(arr, lambda x: x["_v"]).alias(alias))

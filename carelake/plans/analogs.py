@@ -267,14 +267,14 @@ def role_lookup(spark, sf_dir) -> DataFrame:
 
 def visits_by_setting(spark, sf_dir) -> DataFrame:
     """Visit listing (P1 P4 P6 P15 S3 S4) through :func:`visits`: three
-    settings in one pass, the date window only on the dated ones."""
+    settings in one pass, the date window on all of them."""
     t = _t(spark, sf_dir)
     ev = t.events.withColumn("disch_date", F.to_date("ts"))
     cols = [("event_id", "EncounterNr"), ("user_id", "patientId"),
             ("disch_date", "dischargeDate"), ("value", "amount")]
     v = visits(ev, ["purchase", "view", "signup"], "2024-01-08", "2024-01-21",
                columns=cols, setting_col="event_type", date_col="disch_date",
-               patient_col="user_id", dated=["purchase", "view"])
+               patient_col="user_id")
     return v.withColumn("dischargeDate", C.iso_date("dischargeDate"))
 
 
@@ -690,6 +690,23 @@ def measure_full(spark, sf_dir) -> DataFrame:
                      "candidate")
 
 
+def measure_exclusion_any(spark, sf_dir) -> DataFrame:
+    """The full measure with the exclusion over all procedures, as the
+    published query has it (M10 M13)."""
+    _, m, ev = _evaluated(spark, sf_dir, MD.analog_measure("single"))
+    return ev.select("origid", "has_exclusion", "candidate")
+
+
+def measure_population(spark, sf_dir) -> DataFrame:
+    """The full measure for one market (M21) on split records: the filter is
+    on the person, whose scalars only the first part holds."""
+    t = _t(spark, sf_dir)
+    docs = M.enrich_age(person_records(t, ORDERS_AS_OF, 3), ORDERS_AS_OF, root=None)
+    m = MD.analog_measure()
+    m.filters, m.filter_paths = {"market": "BUILDING", "group": None}, {"market": "care_team.market"}
+    return M.evaluate_parts(docs, m, ORDERS_AS_OF).select("origid", "has_dx", "candidate")
+
+
 def measure_report(spark, sf_dir) -> DataFrame:
     """Per-element outcome: pass / fail / blocked."""
     M, m, ev = _evaluated(spark, sf_dir)
@@ -1020,6 +1037,6 @@ def doc_domain(spark, sf_dir) -> DataFrame:
 def visits_domain(spark, sf_dir) -> DataFrame:
     """The domain visit listing (P1 P4 P6 P15) on the claim encounters
     derived from the benchmark tables: all 13 settings, the 54 renamed
-    columns, the date window only on the dated settings."""
+    columns, the date window on all of them."""
     enc = derive(_t(spark, sf_dir))["mra1_encounter"].withColumnRenamed("origid", "patient_id")
     return visits(enc, None, "2000-01-01", "2000-12-31")

@@ -13,6 +13,7 @@ Spark job; parents are passed in per batch, never cached across batches.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from carelake.operators.latest import latest_row
 
+_KEYWORDS = {"AND", "OR", "NOT", "IN", "IS", "NULL", "LIKE", "BETWEEN", "TRUE", "FALSE", "CAST", "AS", "INT", "STRING", "DATE"}
+
 CHANGE_SCHEMA = ("event_id BIGINT, sequence BIGINT, change_ts TIMESTAMP, `table` STRING, op STRING, "
                  "before MAP<STRING,STRING>, after MAP<STRING,STRING>")
 
@@ -57,6 +60,16 @@ def row_value(col: str) -> Column:
     return F.when(F.col("op") == "D", b).otherwise(F.coalesce(a, b))
 
 
+def images(changes: DataFrame) -> DataFrame:
+    """Each change once per row image it has, as ``after``: an update that
+    moves a row from one key to another, or out of a filter, concerns both
+    sides (C12)."""
+    both = F.array(F.when(F.col("op") != "D", F.coalesce("after", "before")), F.when(F.col("op") != "I", F.col("before")))
+    kept = F.array_compact(both)
+    once = F.when((F.size(kept) == 2) & (F.to_json(kept[0]) == F.to_json(kept[1])), F.slice(kept, 1, 1)).otherwise(kept)
+    return changes.withColumn("after", F.explode(once)).withColumn("before", F.col("after"))
+
+
 def change_time(route: Route) -> Column:
     """Event time of a change: the table's change-date column, a year
     column read as Jan 1 of that year (C17); else the change timestamp."""
@@ -72,7 +85,7 @@ def change_time(route: Route) -> Column:
 
 def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFrame],
                 person_col: str) -> DataFrame:
-    c = changes.filter(F.col("table") == route.table)
+    c = images(changes.filter(F.col("table") == route.table))
     for k, v in route.row_eq.items():
         c = c.filter(row_value(k) == F.lit(str(v)))
     if route.row_filter:
@@ -156,6 +169,15 @@ def changed_rows(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str])
     return j.filter(~same)
 
 
+def _columns(predicate: str | None) -> tuple[str, ...]:
+    """Names in a SQL predicate (words outside quotes that aren't keywords or functions)."""
+    if not predicate:
+        return ()
+    plain = re.sub(r"'[^']*'", " ", predicate)
+    words = re.findall(r"[A-Za-z_]\w*(?!\w*\s*\()", plain)
+    return tuple(dict.fromkeys(w for w in words if w.upper() not in _KEYWORDS))
+
+
 def from_reference_layout(config: Mapping | str) -> list[Route]:
     """Routes from a routing file in the reference's layout:
     ``{table: {patient_id_col, change_date_col, join: {fk_col, table, ref_col,
@@ -169,9 +191,11 @@ def from_reference_layout(config: Mapping | str) -> list[Route]:
         if spec.get("patient_id_col"):
             routes.append(Route(table, spec["patient_id_col"], (), sections, spec.get("change_date_col")))
         elif j:
-            hop = Hop(j["table"], j["ref_col"], j["patient_id_col"], j.get("filter"))
+            hop = Hop(j["table"], j["ref_col"], j["patient_id_col"])
+            # the filter of a join is a predicate on the changed row
+            text = j.get("filter")
             routes.append(Route(table, j["fk_col"], (hop,), sections, spec.get("change_date_col"),
-                                row_eq=dict(j.get("extra_filter") or {})))
+                                row_eq=dict(j.get("extra_filter") or {}), row_filter=text, row_cols=_columns(text)))
     return routes
 
 

@@ -53,10 +53,12 @@ def htn_definition() -> dict:
         ]}
 
 
-def htn_measure(ungated=("de-3",), field_paths=None) -> Measure:
+def htn_measure(ungated=("de-3",), field_paths=None, exclusion_mode: str = "single") -> Measure:
     """The reference measure; ``ungated`` reproduces its combined rule, which
-    leaves the procedure element out (SURVEY D8)."""
-    m = from_definition(htn_definition(), field_paths or DOC_FIELDS, ungated=ungated,
+    leaves the procedure element out (SURVEY D8).  The published query and
+    script exclude a person for any procedure with an exclusion code
+    (``single``); the definition file looks at the newest one (``latest``)."""
+    m = from_definition(htn_definition(), field_paths or DOC_FIELDS, ungated=ungated, modes={"de-4": exclusion_mode},
                         flags={"de-1": (HTN_FLAGS["age"], "pass"), "de-2": (HTN_FLAGS["dx"], "pass"),
                                "de-3": (HTN_FLAGS["proc"], "pass"),
                                "de-4": (HTN_FLAGS["excl"], "match")})
@@ -106,8 +108,8 @@ def analog_definition() -> dict:
     return d
 
 
-def analog_measure() -> Measure:
-    m = from_definition(analog_definition(), DOC_FIELDS, ungated=("de-proc",),
+def analog_measure(exclusion_mode: str = "latest") -> Measure:
+    m = from_definition(analog_definition(), DOC_FIELDS, ungated=("de-proc",), modes={"de-excl": exclusion_mode},
                         flags={"de-age": ("age_eligible", "pass"), "de-dx": ("has_dx", "pass"),
                                "de-proc": ("proc_present", "pass"),
                                "de-excl": ("has_exclusion", "match")})

@@ -59,6 +59,11 @@ class Element:
     flag_on: str = "pass"                      # pass | match: not_contains flags the match
 
 
+# Record paths of the names in a definition's filtering hierarchy.
+POPULATION_PATHS = {"market": "care_team.market_id", "group": "care_team.facility_nr",
+                    "subgroup": "care_team.subgroup_id", "provider": "care_team.dce_provider_npi"}
+
+
 @dataclass
 class Measure:
     id: str
@@ -69,7 +74,8 @@ class Measure:
     performance_goal: float | None = None      # M22
     active_from: object = None                 # M20
     active_to: object = None
-    filters: Mapping[str, object] = field(default_factory=dict)   # M21: path → value, None = all
+    filters: Mapping[str, object] = field(default_factory=dict)   # M21: name or path → value, None = all
+    filter_paths: Mapping[str, str] = field(default_factory=lambda: dict(POPULATION_PATHS))
     ungated: Sequence[str] = ()                # element ids evaluated but not gating (D8)
     candidate_flag: str = "candidate"
 
@@ -87,11 +93,13 @@ def _as_bool(x) -> bool:
 
 
 def from_definition(defn: Mapping, field_paths: Mapping[str, Sequence[Path]],
-                    ungated: Sequence[str] = (), flags: Mapping[str, tuple[str, str]] | None = None) -> Measure:
+                    ungated: Sequence[str] = (), flags: Mapping[str, tuple[str, str]] | None = None,
+                    modes: Mapping[str, str] | None = None) -> Measure:
     """Typed :class:`Measure` from a definition with ``measureInfo`` and
     ``dataElements``.  ``field_paths`` maps each ``selectedField`` to the
     document paths it stands for (the hand mapping of the reference);
-    comma-separated ``comparisonValue`` lists become code lists."""
+    comma-separated ``comparisonValue`` lists become code lists.  ``modes``
+    overrides the value mode of elements by id."""
     info = defn.get("measureInfo", {})
     act = info.get("activationPeriod") or {}
     hier = info.get("filteringHierarchy") or {}
@@ -105,7 +113,7 @@ def from_definition(defn: Mapping, field_paths: Mapping[str, Sequence[Path]],
         elements.append(Element(
             id=de["id"], name=de.get("name", de["id"]), paths=list(field_paths[de["selectedField"]]),
             operator=op, value=val, value_end=de.get("comparisonValueEnd") or None,
-            value_mode=de.get("valueMode") or "single",
+            value_mode=(modes or {}).get(de["id"]) or de.get("valueMode") or "single",
             null_handling=de.get("nullHandling") or "exclude",
             case_sensitive=_as_bool(de.get("caseSensitive", "1")),
             required=_as_bool(de.get("required", "1")), is_active=_as_bool(de.get("isActive", "1")),
@@ -264,12 +272,16 @@ def is_active(measure: Measure, as_of) -> bool:
 def population(docs: DataFrame, measure: Measure, root: str | None = None) -> DataFrame:
     """Population filters (M21): equality on scalar paths, ``None`` = no filter."""
     out = docs
-    for path, value in measure.filters.items():
-        if value is not None:
-            out = out.filter(_root(root, path) == F.lit(value))
+    for path, value in population_values(measure).items():
+        out = out.filter(_root(root, path) == F.lit(value))
     return out
 
 
+def population_values(measure: Measure) -> dict[str, object]:
+    """Record path → required value of the measure's population filters."""
+    return {measure.filter_paths.get(name, name): v for name, v in measure.filters.items() if v is not None}
+
+
 def enrich_age(docs: DataFrame, as_of, root: str = "patient",
                age: str = "demographics.age", dob: str = "demographics.dob") -> DataFrame:
     """Fill a missing age from the date of birth."""
@@ -389,7 +401,12 @@ def evaluate_parts(docs: DataFrame, measure: Measure, as_of, root: str | None =
         finals[el.id] = (el, fs)
     # ``keep``: (output name, column) pairs taken from part 0
     aggs += [F.max_by(c, F.col("part_no") == 0).alias(name) for name, c in keep]
-    g = population(docs, measure, root).groupBy(key).agg(*aggs)
+    # population filters hold for the person, whose scalars only part 0 has
+    wanted = population_values(measure)
+    aggs += [F.max_by(_root(root, path), F.col("part_no") == 0).alias(f"_pop{i}") for i, path in enumerate(wanted)]
+    g = docs.groupBy(key).agg(*aggs)
+    for i, value in enumerate(wanted.values()):
+        g = g.filter(F.col(f"_pop{i}") == F.lit(value))
     cols = [F.col(key)] + [F.col(name) for name, _ in keep]
     passes = {}
     for eid, (el, fs) in finals.items():

@@ -163,8 +163,7 @@ SELECT event_id AS "EncounterNr", user_id AS "patientId",
        event_type AS setting
 FROM events
 WHERE event_type IN ('purchase', 'view', 'signup')
-  AND (event_type NOT IN ('purchase', 'view')
-       OR CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21')"""
+  AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"""
 
 SQL["spine_union"] = f"""
 WITH {ENC}
@@ -378,6 +377,11 @@ SQL["measure_full"] = f"""WITH {MEAS}
 SELECT origid, de_age AS age_eligible, de_dx AS has_dx, excl_match AS has_exclusion,
        de_proc AS proc_present, de_age AND de_dx AND NOT excl_match AS candidate
 FROM ev"""
+SQL["measure_exclusion_any"] = f"""WITH {MEAS},
+x AS (SELECT ev.*, EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid AND l.utype IN ('ECONOMY', 'SMALL')) AS any_excl FROM ev)
+SELECT origid, any_excl AS has_exclusion, de_age AND de_dx AND NOT any_excl AS candidate FROM x"""
+SQL["measure_population"] = f"""WITH {MEAS}
+SELECT origid, de_dx AS has_dx, de_age AND de_dx AND NOT excl_match AS candidate FROM ev WHERE market = 'BUILDING'"""
 SQL["measure_report"] = f"""WITH {MEAS}
 SELECT origid, 'de-age' AS element_id, 'Age' AS element_name, true AS required,
        CASE WHEN age IS NULL THEN 'blocked' WHEN de_age THEN 'pass' ELSE 'fail' END AS outcome FROM ev
@@ -584,27 +588,54 @@ LEFT JOIN food ON food.user_id = c.c_custkey LEFT JOIN ride ON ride.user_id = c.
 LEFT JOIN hcc ON hcc.o_custkey = c.c_custkey LEFT JOIN labs ON labs.o_custkey = c.c_custkey"""
 
 
-def _visits_domain_sql() -> str:
-    from carelake.plans.visits import DATED_SETTINGS, VISIT_COLUMNS
-    derived = {
-        "encounter_nr": "'M' || CAST(o_orderkey AS VARCHAR)",
-        "enc_admit_date": "CAST(o_orderdate AS DATE)",
-        "enc_disch_date": f"CAST(o_orderdate AS DATE) + {_CLS}",
-        "mh1_cal_amount": "CAST(o_totalprice AS DECIMAL(14,2))",
-    }
-    setting = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'Acute Hospital' WHEN '2-HIGH' THEN 'Emergency' "
-               "WHEN '3-MEDIUM' THEN 'SNF' WHEN '4-NOT SPECIFIED' THEN 'Observation' "
-               "WHEN '5-LOW' THEN 'Part B' END")
-    cols = ",\n       ".join(f"{derived.get(src, 'NULL')} AS \"{alias}\"" for src, alias in VISIT_COLUMNS)
-    dated = ", ".join(f"'{x}'" for x in DATED_SETTINGS)
-    return f"""
-WITH v AS (SELECT *, {setting} AS setting FROM orders WHERE o_orderstatus = 'P')
-SELECT {cols},
-       setting
-FROM v
-WHERE setting IS NOT NULL
-  AND (setting NOT IN ({dated})
-       OR CAST(o_orderdate AS DATE) + {_CLS} BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')"""
-
-
-SQL["visits_domain"] = _visits_domain_sql()
+SQL["visits_domain"] = f"""
+SELECT 'M' || CAST(o_orderkey AS VARCHAR) AS "EncounterNr", CAST(o_orderdate AS DATE) AS "admitDate",
+       strftime(o_orderdate, '%H:%M') AS "admitTime", CAST(o_orderdate AS DATE) + {_CLS} AS "dischargeDate",
+       o_orderpriority AS "groupType", o_orderstatus AS "subGroupType",
+       CAST(o_custkey % 7 AS VARCHAR) AS "marketId", 'Market ' || CAST(o_custkey % 7 AS VARCHAR) AS "marketName",
+       CAST(o_custkey % 50 AS VARCHAR) AS "facilityId", CAST(o_orderkey % 3 AS VARCHAR) AS "facilitySubId",
+       'NPI' || CAST(o_orderkey % 100 AS VARCHAR) AS "providerNpi",
+       CAST(o_totalprice AS DECIMAL(14,2)) AS "mh1CalculatedAmount", CAST(o_totalprice * 2 AS DECIMAL(14,2)) AS "mc1CalculatedAmount",
+       CAST(o_orderkey % 2 = 0 AS INTEGER) AS "isReferenceAdmitDate",
+       CAST(o_orderkey % 3 = 0 AS INTEGER) AS "isReadmission",
+       CAST(o_orderkey % 4 = 0 AS INTEGER) AS "isC2Readmission",
+       CAST(o_orderkey % 5 = 0 AS INTEGER) AS "isTransferredEncounter",
+       CAST(o_orderkey % 6 = 0 AS INTEGER) AS "isSnfRecord",
+       CAST(o_orderkey % 7 = 0 AS INTEGER) AS "isSnfAdmitDateReference",
+       CAST(o_orderkey % 8 = 0 AS INTEGER) AS "isEmergencyRoomVisit",
+       CAST(o_orderkey % 9 = 0 AS INTEGER) AS "isPrimaryCareVisit",
+       CAST(o_orderkey % 10 = 0 AS INTEGER) AS "isOfficeVisitRecord",
+       CAST(o_orderkey % 11 = 0 AS INTEGER) AS "isOfficeVisitSecondaryRecord",
+       CAST(o_orderkey % 12 = 0 AS INTEGER) AS "followUpFlag",
+       CAST(o_orderkey % 13 = 0 AS INTEGER) AS "is72HourFollowUp",
+       CAST(o_orderkey % 14 = 0 AS INTEGER) AS "is7DayFollowUp",
+       CAST(o_orderkey % 15 = 0 AS INTEGER) AS "is14DayFollowUp",
+       CAST(o_orderkey % 16 = 0 AS INTEGER) AS "isGlobal14DayFollowUp",
+       CAST(o_orderkey % 17 = 0 AS INTEGER) AS "emergencyRoomFollowUp",
+       CAST(o_orderkey % 18 = 0 AS INTEGER) AS "observationFollowUp",
+       CAST(o_orderkey % 19 = 0 AS INTEGER) AS "isBcdaMatch",
+       CAST(o_orderkey % 20 = 0 AS INTEGER) AS "tfuDenominator",
+       CAST(o_orderkey % 21 = 0 AS INTEGER) AS "tfuNumerator",
+       CAST(o_orderkey % 22 = 0 AS INTEGER) AS "acrNumerator",
+       CAST(o_orderkey % 23 = 0 AS INTEGER) AS "acrDenominator",
+       CAST(o_orderkey % 24 = 0 AS INTEGER) AS "uamccNumerator",
+       CAST(o_orderdate AS DATE) + 3 AS "followUp72HourDate", CAST(o_orderdate AS DATE) + 14 AS "followUpDate",
+       CAST(o_orderkey % 20 AS VARCHAR) AS "hospitalId", 'Hospital ' || CAST(o_orderkey % 20 AS VARCHAR) AS "hospitalName",
+       CAST({_CLS} AS INTEGER) AS "calculatedBedDays", lower(o_orderpriority) AS "placeOfService",
+       CAST(NULL AS VARCHAR) AS "dischargeTime",
+       CAST(NULL AS VARCHAR) AS "providerId",
+       CAST(NULL AS VARCHAR) AS "facilityName",
+       CAST(NULL AS VARCHAR) AS "facilitySubName",
+       CAST(NULL AS VARCHAR) AS "primaryPhysician",
+       CAST(NULL AS VARCHAR) AS "alignedStatus",
+       CAST(NULL AS VARCHAR) AS "secondaryAlignedStatus",
+       CAST(NULL AS VARCHAR) AS "hospitalTaxonomy",
+       CAST(NULL AS VARCHAR) AS "dischargeType",
+       CAST(NULL AS VARCHAR) AS "dischargeText",
+       CAST(NULL AS VARCHAR) AS "providerName",
+       CAST(NULL AS VARCHAR) AS "providerSpecialty",
+       CASE o_orderkey % 13 WHEN 0 THEN 'Acute Hospital' WHEN 1 THEN 'Long Term Care Hospital' WHEN 2 THEN 'Observation'
+            WHEN 3 THEN 'Psychiatric' WHEN 4 THEN 'Rehabilitation' WHEN 5 THEN 'SNF' WHEN 6 THEN 'Emergency' WHEN 7 THEN 'HHA'
+            WHEN 8 THEN 'Hospice' WHEN 9 THEN 'Part B' WHEN 10 THEN 'Part C' WHEN 11 THEN 'Part D' ELSE 'Part DME' END AS setting
+FROM orders
+WHERE o_orderstatus = 'P' AND CAST(o_orderdate AS DATE) + {_CLS} BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"""

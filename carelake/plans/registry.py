@@ -40,6 +40,8 @@ QUERIES = {
     "measure_latest_mode": A.measure_latest_mode,
     "measure_full": A.measure_full,
     "measure_full_parts": A.measure_full_parts,
+    "measure_exclusion_any": A.measure_exclusion_any,
+    "measure_population": A.measure_population,
     "measure_report": A.measure_report,
     "measure_rate": A.measure_rate,
     "measure_worklist": A.measure_worklist,

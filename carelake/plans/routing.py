@@ -26,6 +26,7 @@ ROUTES = [
     Route("adt_encounter", "origid", (), ENC_SECTIONS + ("chronic_conditions", "labs"), "encounter_date"),
     Route("mra1_encounter", "origid", (), ENC_SECTIONS + ("hcc_capture",), "enc_admit_date"),
     Route("adt_encounter_icd_codes", "encounter_nr", (ADT,), ("encounters", "chronic_conditions"), "onset_date"),
+    Route("adt_encounter_icd_codes", "encounter_nr", (MRA1,), ("encounters",), "onset_date"),
     Route("mra1_encounter_icd_codes", "encounter_nr", (MRA1,), ("hcc_capture", "rule_flags")),
     Route("mra1_encounter_bill_cpts", "encounter_nr", (ADT,), ENC_SECTIONS),
     Route("mra1_encounter_bill_cpts", "encounter_nr", (MRA1,), ENC_SECTIONS),
@@ -34,6 +35,8 @@ ROUTES = [
     Route("mra_hcc_coefficients", "diagnosis_code",
           (Hop("adt_encounter_icd_codes", "diagnosis_code", "encounter_nr"), ADT),
           ("chronic_conditions", "encounters")),
+    Route("mra_hcc_coefficients", "diagnosis_code",
+          (Hop("adt_encounter_icd_codes", "diagnosis_code", "encounter_nr"), MRA1), ("encounters",)),
     Route("mra_hcc_coefficients", "diagnosis_code",
           (Hop("mra1_encounter_icd_codes", "diagnosis_code", "encounter_nr"), MRA1),
           ("hcc_capture", "encounters", "rule_flags")),

@@ -254,7 +254,9 @@ def hcc_capture_counts(t: Tables, as_of) -> DataFrame:
     codes = claim_codes(t)
     seen = codes.groupBy("origid", "diagnosis_code").agg(
         F.count_if(F.year("enc_date") == _year(as_of)).alias("cnt"))
-    hc = active_coefficients(t, as_of).select("diagnosis_code", "hcc", "hcc_nr")
+    # a code with several active categories counts for each of them
+    hc = t["mra_hcc_coefficients"].filter(C.in_window("active_date", "inactive_date", as_of)).select(
+        "diagnosis_code", "hcc", "hcc_nr").distinct()
     g = seen.join(hc, "diagnosis_code").groupBy("origid", "hcc").agg(
         F.bool_or(F.col("cnt") > 0).alias("seen"), F.min("hcc_nr").alias("hcc_nr"))
     gaps = F.array_sort(F.collect_list(F.when(~F.col("seen"), F.concat(F.lit("HCC-"), "hcc_nr"))))

@@ -1,9 +1,9 @@
 """Claim visits by care setting.
 
 The reference runs one parameterised statement per setting, each projecting
-the same 54 renamed columns.  Here it is one scan: ``setting IN (...)``, the
-date window applied to the settings whose statement has one, and the rename
-from a single mapping list.  Writing the result partitioned by setting gives
+the same 54 renamed columns, and each with the discharge-date window.  Here it
+is one scan: ``setting IN (...)``, the window, and the rename from a single
+mapping list.  Writing the result partitioned by setting gives
 each setting its own folder in one job.
 """
 
@@ -48,12 +48,10 @@ VISIT_COLUMNS = [
     ("acr_denom", "acrDenominator"), ("uamcc_numerator", "uamccNumerator"),
 ]
 
-# The 13 care settings; the first group is filtered by
-# discharge date, the second is not.
-DATED_SETTINGS = ["Acute Hospital", "Long Term Care Hospital", "Observation",
-                  "Psychiatric", "Rehabilitation", "SNF"]
-UNDATED_SETTINGS = ["Emergency", "HHA", "Hospice", "Part B", "Part C", "Part D", "Part DME"]
-ALL_SETTINGS = DATED_SETTINGS + UNDATED_SETTINGS
+# The 13 care settings.
+ALL_SETTINGS = ["Acute Hospital", "Long Term Care Hospital", "Observation",
+                "Psychiatric", "Rehabilitation", "SNF",
+                "Emergency", "HHA", "Hospice", "Part B", "Part C", "Part D", "Part DME"]
 
 
 def visits(enc: DataFrame, settings: Sequence[str] | None = None, start=None, end=None,
@@ -61,18 +59,19 @@ def visits(enc: DataFrame, settings: Sequence[str] | None = None, start=None, en
            columns: Sequence[tuple[str, str]] = VISIT_COLUMNS,
            setting_col: str = "enc_proc_type", date_col: str = "enc_disch_date",
            patient_col: str = "patient_id", facility_col: str = "pt_facility_nr",
-           dated: Sequence[str] = DATED_SETTINGS, keep_setting_as: str = "setting") -> DataFrame:
+           keep_setting_as: str = "setting") -> DataFrame:
     """Visits of the given settings (all 13 by default) in one pass.
 
-    ``start``/``end`` bound ``date_col`` inclusively (BETWEEN) for the dated
-    settings; ``patient_id`` and ``facility`` are optional equality filters
+    ``start``/``end`` bound ``date_col`` inclusively, each by itself if only
+    one is given; ``patient_id`` and ``facility`` are optional equality filters
     (NULL = no filter).  All filters are plain column predicates, so they
     reach the Parquet scan as pushed filters."""
     settings = list(settings or ALL_SETTINGS)
     cond: Column = F.col(setting_col).isin(settings)
-    if start is not None and end is not None:
-        in_range = F.col(date_col).between(as_date(start), as_date(end))
-        cond = cond & (~F.col(setting_col).isin(list(dated)) | in_range)
+    if start is not None:
+        cond = cond & (F.col(date_col) >= as_date(start))
+    if end is not None:
+        cond = cond & (F.col(date_col) <= as_date(end))
     if patient_id is not None:
         cond = cond & (F.col(patient_col) == F.lit(patient_id))
     if facility is not None:
@@ -94,14 +93,15 @@ def visits_sql(spark, view: str, setting: str, start, end, facility=None,
     ``spark.sql(text, args=…)`` binds values as literals, never by string
     formatting.  ``view`` names a registered table / view."""
     proj = ",\n  ".join(f"`{s}` AS `{a}`" for s, a in columns)
-    dated = setting in DATED_SETTINGS
     text = (f"SELECT {proj} FROM {view} WHERE enc_proc_type = :setting"
             + (" AND pt_facility_nr = :facility" if facility is not None else "")
-            + (" AND enc_disch_date BETWEEN :start AND :end" if dated else ""))
+            + (" AND enc_disch_date >= CAST(:start AS DATE)" if start is not None else "")
+            + (" AND enc_disch_date <= CAST(:end AS DATE)" if end is not None else ""))
     args = {"setting": setting}
     if facility is not None:
         args["facility"] = facility
-    if dated:
-        args.update(start=str(start), end=str(end))
-        text = text.replace(":start AND :end", "CAST(:start AS DATE) AND CAST(:end AS DATE)")
+    if start is not None:
+        args["start"] = str(start)
+    if end is not None:
+        args["end"] = str(end)
     return spark.sql(text, args=args)

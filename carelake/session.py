@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,12 +58,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the shared file system the cluster names in
     ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local tests)
-    a private scratch folder is created and registered.
+    The setting is read from the session; only a local master without it gets
+    a private scratch folder.  On a cluster a machine-local folder would lose
+    data, so there the setting must be there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     if not base:
         base = tempfile.mkdtemp(prefix="carelake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)

@@ -4,7 +4,7 @@ them (registered query ``doc_domain`` and the benchmark).
 
 Mapping: customer → patient (+ one aligned roster row); supplier → personnel
 and role mapping; orders with status F/O → clinical encounters, status P →
-claim encounters (setting from the priority); lines → diagnoses (code =
+claim encounters (setting from the order key); lines → diagnoses (code =
 part brand), billing codes (part type; returned-and-finished lines carry the
 annual-visit code), encounter and patient medications, lab values (item =
 part); part → code lookup; events → alerts, yearly answers, rides, meal
@@ -19,14 +19,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
+from carelake.plans.visits import ALL_SETTINGS
 from carelake.sources.driver import Tables
 from carelake.sources.schemas import DOMAIN_DDL
 from carelake.sources.schemas import schema as table_schema
 from carelake.sources.tables import normalise
 
 # Fixed values of the derivation.
-SETTING_BY_PRIORITY = {"1-URGENT": "Acute Hospital", "2-HIGH": "Emergency", "3-MEDIUM": "SNF",
-                       "4-NOT SPECIFIED": "Observation", "5-LOW": "Part B"}
+# Flag columns of the claim encounters: the n-th (from 2) is set where the order key is a multiple of n.
+VISIT_FLAGS = ["is_enc_ref_admitdate", "is_readmit", "is_c2_readmit", "is_enc_transfer", "is_snf_rec", "is_snf_admitdate_ref",
+               "is_er_visit", "is_visit_pcp", "is_offvisit_rec", "is_offvisit2rec", "m_flwup_flag", "is_72_hr_flwup",
+               "is_flwup_7_days", "is_flwup_14_days", "is_gflwup_14_days", "tfu_pb_er", "tfu_pb_obs", "is_bcda_match",
+               "tfu_denom", "tfu_numer", "acr_numer", "acr_denom", "uamcc_numerator"]
 ROLES = ["CCM_MNGT", "Outreach", "census_notes", "census_mos"]
 ANSWERS = ["Often true", "Never true", "Sometimes true"]
 AWV_CODE = "G0439"
@@ -83,9 +87,17 @@ def derive(t: Tables) -> dict[str, DataFrame]:
     out["mra1_encounter"] = claims.select(
         F.concat(F.lit("M"), F.col("o_orderkey").cast("string")).alias("encounter_nr"),
         pid.alias("patient_id"),
-        C.map_label("o_orderpriority", SETTING_BY_PRIORITY).alias("enc_proc_type"),
+        F.element_at(F.array(*map(F.lit, ALL_SETTINGS)), (F.col("o_orderkey") % 13 + 1).cast("int")).alias("enc_proc_type"),
         d.alias("enc_admit_date"), F.date_add(d, cls).alias("enc_disch_date"), d.alias("enc_date"),
-        F.col("o_totalprice").alias("mh1_cal_amount"))
+        F.col("o_totalprice").alias("mh1_cal_amount"), (F.col("o_totalprice") * 2).alias("mc1_cal_amount"),
+        F.date_add(d, 3).alias("m72hr_flwup_date"), F.date_add(d, 14).alias("tfu_followup_date"), cls.alias("m_cal_bed_days"),
+        F.col("o_orderpriority").alias("dce_group_type"), F.col("o_orderstatus").alias("dce_sub_group_type"),
+        (F.col("o_custkey") % 7).cast("string").alias("market_nr"), F.concat(F.lit("Market "), (F.col("o_custkey") % 7).cast("string")).alias("market_name"),
+        (F.col("o_custkey") % 50).cast("string").alias("pt_facility_nr"), (F.col("o_orderkey") % 3).cast("string").alias("pt_facility_sub_nr"),
+        F.concat(F.lit("NPI"), (F.col("o_orderkey") % 100).cast("string")).alias("m_provider_npi"),
+        (F.col("o_orderkey") % 20).cast("string").alias("hospital_nr"), F.concat(F.lit("Hospital "), (F.col("o_orderkey") % 20).cast("string")).alias("hospital_name"),
+        F.date_format("o_orderdate", "HH:mm").alias("enc_admit_time"), F.lower("o_orderpriority").alias("m_pos_txt"),
+        *((F.col("o_orderkey") % n == 0).cast("int").alias(c) for n, c in enumerate(VISIT_FLAGS, start=2)))
 
     enc_nr = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("M"), F.col("l_orderkey").cast("string"))) \
         .otherwise(F.concat(F.lit("A"), F.col("l_orderkey").cast("string")))

@@ -24,16 +24,16 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str] | None = None,
-                fmt: str = "parquet") -> dict[str, DataFrame]:
-    """``{name: DataFrame}`` for the tables found under ``base/<name>``
-    (missing tables are returned empty, so a partial extract still builds)."""
+                fmt: str = "parquet", absent: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """``{name: DataFrame}`` for the tables under ``base/<name>``.
+
+    A missing table is an error (Spark's reader looks, so the driver need not
+    see the folder); only those named in ``absent`` are read as empty."""
+    absent = set(absent)
     out = {}
     for n in names or DOMAIN_TABLES:
-        p = os.path.join(base, n)
-        if os.path.exists(p) or "://" in base:
-            df = spark.read.schema(schema(n)).format(fmt).load(p)
-        else:
-            df = spark.createDataFrame([], schema(n))
+        df = (spark.createDataFrame([], schema(n)) if n in absent
+              else spark.read.schema(schema(n)).format(fmt).load(os.path.join(base, n)))
         out[n] = normalise(n, df)
     return out
 
@@ -53,7 +53,8 @@ def from_frames(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def only_persons(tables: Mapping[str, DataFrame], persons: DataFrame,
                  encounter_tables=("adt_encounter", "mra1_encounter")) -> dict[str, DataFrame]:
     """Restrict every person-keyed table to a set of persons (semi-join), so
-    an incremental rebuild reads only the affected persons' rows.  Tables
+    an incremental rebuild joins and groups only the affected persons' rows;
+    the tables themselves are scanned whole.  Tables
     keyed by encounter or result follow their parent; lookup tables stay
     whole."""
     ids = persons.select("origid").distinct()

@@ -2,7 +2,7 @@
 (S6, S9, C13, C15, C17, M23) with Structured Streaming.
 
 ``readStream`` of change files → per micro-batch (``foreachBatch``):
-de-duplicate replayed events, route the changes to persons (parents re-read
+route the changes to persons (parents re-read
 each batch, so a hop never misses a parent written after the stream
 started), rebuild those persons' records from the current tables with the
 same batch function, and replace them in the record table.
@@ -33,8 +33,8 @@ class RecordStore:
     A replace touches only the buckets holding the affected persons: their
     live rows minus those persons, plus the fresh records, are written under
     a new ``batch=<id>`` folder, then the manifest is swapped (atomic rename).
-    Cost per micro-batch follows the changed persons, not the table size;
-    readers always see a complete manifest.  The manifest has one entry per
+    A micro-batch rewrites the touched buckets, not the table, and scans the
+    source tables; readers always see a complete manifest.  The manifest has one entry per
     bucket, so its size is set by the configuration, never by the data.
     File operations go through the Hadoop FileSystem of the path."""
 
@@ -87,7 +87,8 @@ class RecordStore:
             out.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
         finally:
             out.close()
-        self._fs.rename(tmp, self._Path(f"{self.root}/_manifest/{seq}.json"))
+        if not self._fs.rename(tmp, self._Path(f"{self.root}/_manifest/{seq}.json")):
+            raise IOError(f"manifest {seq} of {self.root} could not be put in place")
         self._prune()
 
     def _prune(self) -> None:
@@ -187,20 +188,24 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     ``version`` names the batch in the store (default: the batch id; the
     stream passes ``<query name>-<batch id>``, stable across restarts of the
     same query but distinct between queries).  A version already in the
-    manifest is skipped, so a re-run after a failure never reads and
-    overwrites its own folder."""
+    manifest is not written again, so a re-run after a failure never reads and
+    overwrites its own folder; its hook runs again."""
     version = version or str(batch_id)
-    if store.applied(version):
+    done = store.applied(version)
+    if done and after is None:
         return
     tables = load_tables()
-    aff = affected(changes, routes, tables, key, prune=True)
-    # materialise the (small) rebuild set in the shared checkpoint folder:
-    # the rebuild semi-joins every table with it, and must not re-run routing
+    # materialise what the changes reach in the shared checkpoint folder: the
+    # rebuild set, the store and the hook all read it, and must not re-run routing
+    aff = affected(changes, routes, tables, key, prune=True).checkpoint()
     todo = persons_to_rebuild(aff, key).checkpoint()
     if todo.isEmpty():
         return
-    fresh = stamp_provenance(build(tables, todo), todo, key)
-    store.replace(fresh, version, persons=todo)
+    if not done:
+        fresh = stamp_provenance(build(tables, todo), todo, key)
+        store.replace(fresh, version, persons=todo)
+    # a batch that was committed before a crash still owes its hook, which is
+    # idempotent per batch
     current = store.read() if after is not None else None
     if current is not None:
         # the hook reads the committed records, not a re-computation
@@ -210,23 +215,19 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
 def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
           load_tables: Callable[[], Mapping[str, DataFrame]],
           build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
-          routes: Sequence[Route], name: str = "record-refresh", watermark: str = "1 day",
+          routes: Sequence[Route], name: str = "record-refresh",
           available_now: bool = False, processing_time: str | None = None, fmt: str = "json",
           max_files_per_trigger: int | None = None,
           after: Callable[[DataFrame, DataFrame, int], None] | None = None):
-    """Start the refresh query.  Replayed events (same ``event_id``) are
-    dropped within the watermark.  ``change_ts`` must be the change log's
-    commit time (monotone), not a business date, so no genuine change is
-    ever "late"; it is a TIMESTAMP (a watermark cannot be declared on
-    TIMESTAMP_NTZ)."""
+    """Start the refresh query.  There is no watermark and no de-duplication:
+    a person is rebuilt from the current tables, so a replayed change is
+    harmless, and a late one, or one that shares its ``event_id`` with another
+    table's, still reaches its persons."""
     ckpt = shared_dir(spark, "streams", name)
     reader = spark.readStream.schema(CHANGE_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = (reader.load(change_dir)
-           .withColumn("change_ts", F.col("change_ts").cast("timestamp"))
-           .withWatermark("change_ts", watermark)
-           .dropDuplicatesWithinWatermark(["event_id"]))
+    src = reader.load(change_dir)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         refresh_batch(df, batch_id, store=store, load_tables=load_tables, build=build, routes=routes,

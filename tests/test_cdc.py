@@ -40,7 +40,21 @@ def test_reference_layout_parser():
                                                    "patient_id_col": "origid", "extra_filter": {"k": 1},
                                                    "filter": "s IN ('A')"}, "procedures": ["y"]}}
     r = cdc.from_reference_layout(cfg)
-    assert r[0].key_col == "origid" and r[1].hops[0].filter == "s IN ('A')" and r[1].row_eq == {"k": 1}
+    # the filter of a join is a predicate on the changed row, not on the parent
+    assert r[0].key_col == "origid" and r[1].row_eq == {"k": 1}
+    assert r[1].hops[0].filter is None and r[1].row_filter == "s IN ('A')" and r[1].row_cols == ("s",)
+
+
+def test_both_images_are_routed(spark):
+    """A row that moves from one person to another, or out of a filter, concerns both sides."""
+    parents = {"a": spark.createDataFrame([("1", "P1"), ("2", "P2")], "id string, origid string")}
+    routes = cdc.from_reference_layout({
+        "t": {"patient_id_col": "origid", "procedures": ["x"]},
+        "b": {"patient_id_col": None, "join": {"fk_col": "fk", "table": "a", "ref_col": "id", "patient_id_col": "origid",
+                                               "filter": "s IN ('A')"}, "procedures": ["y"]}})
+    ch = _changes(spark, [("t", "U", {"origid": "P8"}, {"origid": "P9"}), ("b", "U", {"fk": "1", "s": "A"}, {"fk": "1", "s": "Z"}),
+                          ("b", "U", {"fk": "2", "s": "Z"}, {"fk": "2", "s": "Y"})])
+    assert {(r.table, r.origid) for r in cdc.affected(ch, routes, parents).collect()} == {("t", "P8"), ("t", "P9"), ("b", "P1")}
 
 
 def test_last_writer_wins(spark):

@@ -15,7 +15,9 @@ def test_visits_one_pass_and_sql(spark, tables):
     me = tables["mra1_encounter"]
     v = visits(me, ["SNF", "Emergency"], "2023-01-01", "2023-01-31")
     got = sorted((r.EncounterNr, r.setting) for r in v.collect())
-    assert got == [("M1", "SNF"), ("M2", "Emergency")]      # Emergency has no date window
+    assert got == [("M1", "SNF")]      # the window holds for every setting
+    ids = lambda **w: sorted(r.EncounterNr for r in visits(me, ["SNF", "Emergency"], **w).collect())
+    assert ids(start="2022-01-01") == ["M1", "M2"] and ids(end="2022-12-31") == ["M2", "M3"]
     assert len(v.columns) == 55 and "dischargeDate" in v.columns
     me.createOrReplaceTempView("mra1_encounter_v")
     q = visits_sql(spark, "mra1_encounter_v", "SNF", "2023-01-01", "2023-01-31", facility="F1")

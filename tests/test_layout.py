@@ -58,7 +58,7 @@ def test_visits_and_measure_jobs(spark, tables, tmp_path):
                                         settings="SNF,Emergency", start="2023-01-01", end="2023-01-31",
                                         patient_id=None, facility=None))
     v = spark.read.parquet(str(tmp_path / "v"))
-    assert sorted(r.EncounterNr for r in v.collect()) == ["M1", "M2"]
+    assert sorted(r.EncounterNr for r in v.collect()) == ["M1"]
     from carelake.plans.document import build_documents
     from tests.fixtures import AS_OF
     recs = tmp_path / "records"
