@@ -26,14 +26,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def cut(df: DataFrame) -> DataFrame:
+#: rows of small tables that one task writes
+ROWS_PER_TASK = 500_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as a table in the shared folder that the
-    cluster names in ``spark.checkpoint.dir`` and read it again.
+    cluster names in ``spark.checkpoint.dir`` and read it again.  ``rows``, if
+    known, is about how many there are, so that few rows aren't written by
+    many tasks.
 
     Unlike a checkpoint, a table carries no size estimate or constraints over
     from its plan; those multiply from round to round of a loop."""
     spark = df.sparkSession
     path = shared_dir(spark, "carelake-llm", uuid.uuid4().hex)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -150,21 +150,23 @@ def connected(edges: DataFrame) -> DataFrame:
     node.  Alternates large-star and small-star steps until nothing changes;
     each step is grouping by minimum and joins, so no component is gathered."""
     e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
+    n, state = e.count(), None
+    # few edges: their smallest neighbours fit every task
+    few = F.broadcast if 2 * n <= MAX_BROADCAST else (lambda x: x)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        big = cut(both.join(low, "u").select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).where("u > v").distinct())
-        low = cut(big.groupBy("u").agg(F.min("v").alias("m")))
-        e = cut(big.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))).distinct())
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), n)
+        big = cut(both.join(few(low), "u").select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).where("u > v").distinct(), n)
+        low = cut(big.groupBy("u").agg(F.min("v").alias("m")), n)
+        e = cut(big.join(few(low), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            low.select("u", F.col("m").alias("v"))).distinct(), n)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     # converged: every node hangs from its root
-    return e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node").unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return cut(e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node").unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), n)
 
 
 class SignatureTree:
@@ -436,12 +438,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     routed = docs.select("text").mapInArrow(route, "key long, node long")
     by_key = Window.partitionBy("key").orderBy("node")
     pairs = routed.select("node", F.lag("node").over(by_key).alias("a")).where("a != node").select("a", F.col("node").alias("b"))
-    clusters = cut(connected(pairs))
+    clusters = connected(pairs)
+    n = clusters.count()
 
     # 3: cells of the clusters
     owner = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    placed = cut(owner.join(clusters, "node"))
-    weights = cut(placed.groupBy("root").agg(F.greatest(F.count("*"), F.sum("n") / SHINGLES_PER_DOC).alias("w")))
+    placed = cut(owner.join(small(clusters, MAX_BROADCAST), "node"), n)
+    weights = cut(placed.groupBy("root").agg(F.greatest(F.count("*"), F.sum("n") / SHINGLES_PER_DOC).alias("w")), n)
     cell_of = _spread(placed, weights, CELL).select("doc_id", "root", "g", "c")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,16 +471,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     while many and level.limit(1).count():
         # members of the cells' main components meet, level by level
         level = level.select("root", F.col("a").alias("node"), "set")
-        level = _spread(level, cut(level.groupBy("root").agg(F.count("*").alias("w"))), CELL)
+        level = _spread(level, cut(level.groupBy("root").agg(F.count("*").alias("w")), n), CELL)
         found = _cells(_within(level), pct)
         links.append(found.where("b is not null").select("a", "b"))
         level = found.where("b is null")
-    links = cut(functools.reduce(DataFrame.unionByName, links))
+    links = cut(functools.reduce(DataFrame.unionByName, links), n)
     if many:
-        links = cut(links.unionByName(_strays(chosen.where("g > 1"), links, pct)))
+        links = cut(links.unionByName(_strays(chosen.where("g > 1"), links, pct)), n)
 
     # components of documents
-    low = cut(owner.join(cut(connected(links)), "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root")))
+    low = cut(owner.join(small(connected(links), MAX_BROADCAST), "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root")))
     named = cut(low.join(cut(low.groupBy("root").agg(F.min("doc_id").alias("component_id"))), "root").select("node", "component_id"))
     return ids.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
@@ -485,9 +488,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
 def _strays(docs: DataFrame, links: DataFrame, pct: int) -> DataFrame:
     """In clusters of several cells, links of the documents outside the main
     component, found by letting them meet all documents of the cluster."""
-    comps = cut(connected(links)).withColumnRenamed("root", "comp")
-    docs = cut(docs.select("root", "node", "set").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    size = cut(docs.groupBy("root", "comp").agg(F.count("*").alias("n")))
+    comps = connected(links).withColumnRenamed("root", "comp")
+    n = docs.count()
+    docs = cut(docs.select("root", "node", "set").join(small(comps, MAX_BROADCAST), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    size = cut(docs.groupBy("root", "comp").agg(F.count("*").alias("n")), n)
     main = cut(size.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main"))
                .where("n > n_main").select("root", "main", F.ceil(F.col("n") / STRAY_CELL).cast("int").alias("g"),
                                            F.ceil((F.col("n") - F.col("n_main")) / STRAY_CELL).cast("int").alias("s")))
