@@ -347,3 +347,9 @@ def test_pipeline(spark, tmp_path):
     assert set(got) == set(range(40)) | {103, 104} and got[103].endswith("[secret]") and "a1b2c3" not in got[103]
     final = P.run(spark, d).collect()
     assert {r["doc_id"] for r in final} == set(got)
+
+
+def test_bare_less_than_is_text():
+    assert html_extract.extract("<p>if a < b then stop</p><p>I <3 it</p>", None) == "if a < b then stop\nI <3 it"
+    assert html_extract.extract("<p>1 <2 and no end", None) == "1 <2 and no end"
+    assert html_extract.extract("<!doctype html><?x y?><p>a</p></ b>c<p title='x>y'>d</p><p title=\"e>f", None) == "a\nc\nd\nf"
