@@ -353,3 +353,18 @@ def test_bare_less_than_is_text():
     assert html_extract.extract("<p>if a < b then stop</p><p>I <3 it</p>", None) == "if a < b then stop\nI <3 it"
     assert html_extract.extract("<p>1 <2 and no end", None) == "1 <2 and no end"
     assert html_extract.extract("<!doctype html><?x y?><p>a</p></ b>c<p title='x>y'>d</p><p title=\"e>f", None) == "a\nc\nd\nf"
+
+
+def test_main_text_among_comments_and_marked_parents():
+    own = "<p>" + "Own text of this page. " * 5 + "</p>"
+    want = " ".join(["Own text of this page."] * 5)
+    root = html_extract.main_element(html_extract.infer([f"<body><div class='layout search'>{own}{i}</div>" for i in range(3)], html_extract.WORDS), 3)
+    for page in (f"<body><div class=post>{own}</div><article class='comment'>Nice one</article><article class='comment'>No</article>",
+                 f"<body><div class=post>{own}</div><aside><article>A teaser</article></aside>",
+                 f"<body><div class=post>{own}</div><div class='comments'><article>{'A long comment. ' * 50}</article></div>",
+                 f"<body><div class=post>{own}</div><div class='related'><article>A teaser</article></div>",
+                 f"<body><div class='related'><article>A teaser, {'long ' * 99}</article></div><article>{own}</article>",
+                 f"<body><div class='layout with-sidebar'><div class='sidebar'>Side</div><article>{own}<div class='share'>Share</div></article></div>",
+                 f"<body><div id='search-page'><nav>n</nav><main>{own}</main></div>", f"<section class='related-work'><article>{own}</article></section>",
+                 f"<div class='page comments-open'><article>{own}</article></div>", f"<body><div class='layout search'>{own}</div>"):
+        assert html_extract.extract(page, root) == want, page
