@@ -368,3 +368,21 @@ def test_main_text_among_comments_and_marked_parents():
                  f"<body><div id='search-page'><nav>n</nav><main>{own}</main></div>", f"<section class='related-work'><article>{own}</article></section>",
                  f"<div class='page comments-open'><article>{own}</article></div>", f"<body><div class='layout search'>{own}</div>"):
         assert html_extract.extract(page, root) == want, page
+
+
+def test_template_texts_go(spark):
+    own = lambda h, i: f"<h2>Head {h} {i}</h2><p>Own text number {i} of host {h}, <b>see</b> below.</p><table><tr><td>yes<td>yes</table>"
+    notice = "<p>This very long text stands in each article of the host, under no word that tells what it is.</p>"
+    pages = [(i, f"http://a.org/{i}", f"<article>{own('a', i)}{notice if i % 3 else ''}</article>") for i in range(30)]
+    pages += [(100 + i, f"http://b.org/{i}", f"<article>{own('b', 1)}{notice}<p>{i}</p></article>") for i in range(30)]
+    pages += [(200 + i, f"http://c.org/{i}", f"<article>{own('c', i)}{notice}</article>") for i in range(3)]
+    pages += [(300 + i, f"http://d.org/{i}", f"<body><div class=txt>{own('d', i)}{notice}</div>") for i in range(20)]
+    pages += [(400, "http://d.org/x", f"<body><div class=txt><p>Once</p>{notice}</div>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(df).collect()}
+    body = lambda h, i: f"Head {h} {i}\nOwn text number {i} of host {h}, see below.\nyes\nyes"
+    assert len(got) == len(pages)
+    assert all(got[i] == body("a", i) for i in range(30)) and all(got[300 + i] == body("d", i) for i in range(20)) and got[400] == "Once"
+    # near copies count as one page, and three pages are too few to tell
+    assert all(got[100 + i] == body("b", 1) + f"\n{notice[3:-4]}\n{i}" for i in range(30))
+    assert all(got[200 + i] == body("c", i) + "\n" + notice[3:-4] for i in range(3))
