@@ -8,14 +8,17 @@ The battery looks at maximal runs of at least ``MIN_RUN`` characters of
 inferred (hex, base32, base36 or base64) and three tests against random
 symbols of its alphabet give p-values: chi-squared uniformity, runs above and
 below the middle of the alphabet, and serial correlation.  A run that passes
-all three may be random; whether ordinary text would look as even is a second
-p-value, from the chi-squared statistic that symbols with the frequencies of
-all documents' characters would give at the same length.  These p-values are
-controlled for false discoveries (Benjamini-Hochberg) over all documents,
+all three may be random; whether it may be ordinary text is a second p-value,
+the likelihood of ordinary text over that of random symbols (at most that share
+of ordinary texts has so small a ratio).  Ordinary text is a chain of characters
+with the pairs' frequencies of all documents outside the runs, so rare letters and changes of
+case or between letters and digits count alike; a share ``FREE`` of its
+characters may be anything, so no single character tells much.  These p-values
+are controlled for false discoveries (Benjamini-Hochberg) over all documents,
 within strata of length, so that one threshold per stratum results.
 
-The scan has two passes over the texts, one for the characters' frequencies
-and one for spans and p-values; only small rows are kept between them.
+The scan has two passes over the texts, one for the pairs' frequencies and one
+for spans and p-values; only small rows are kept between them.
 
 Cases: null counts as empty, with no span and the hash of an empty string;
 repeated rows give repeated rows; empty tables give empty results.
@@ -43,6 +46,8 @@ PATTERNS = (
 KINDS = [k for k, *_ in PATTERNS] + ["random"]
 MIN_RUN = 16
 ALPHA, FDR = 0.001, 0.001
+#: share of ordinary text's characters that follow no frequencies; pairs that a character's own frequency counts as
+FREE, PRIOR = 0.2, 100.0
 #: strata of length are STRATUM characters wide, the last is open; p-values are counted in steps of 1 / STEPS of their log10
 STRATUM, STRATA, STEPS, MOST = 8, 16, 8, 320
 
@@ -57,6 +62,9 @@ for _name, _chars in ENCODINGS.items():
     _INDEX[_name][[ord(c) for c in _chars]] = np.arange(len(_chars))
 _RUN_GAP = np.ones(256, bool)
 _RUN_GAP[[ord(c) for c in _DIGITS + _UPPER + _LOWER + "+/_=-"]] = False
+#: number of a byte among the characters of runs, 0 for those between them
+_CLASS = np.cumsum(~_RUN_GAP) * ~_RUN_GAP
+CLASSES = int(_CLASS.max()) + 1
 _HEX_GAP = np.ones(256, bool)
 _HEX_GAP[[ord(c) for c in _DIGITS + "abcdef"]] = False
 _DIGIT = np.zeros(256, np.int64)
@@ -70,7 +78,7 @@ def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(run: np.ndarray, freq: np.ndarray) -> tuple[str, float, float] | None:
+def battery(run: np.ndarray, chain: np.ndarray) -> tuple[str, float, float] | None:
     """(encoding, smallest p-value of the three tests, p-value as ordinary text) of a run of bytes; None if no alphabet fits."""
     name, x = next(((k, t[run]) for k, t in _INDEX.items() if (t[run] >= 0).all()), (None, None))
     if name is None:
@@ -91,32 +99,59 @@ def battery(run: np.ndarray, freq: np.ndarray) -> tuple[str, float, float] | Non
     y = x - (k - 1) / 2
     r = float((y[1:] * y[:-1]).sum()) / max(1e-9, float((y * y).sum()))
     p_serial = 2 * _tail(abs(r) * math.sqrt(n))
-    q = freq[[ord(c) for c in ENCODINGS[name]]] + 1e-6
-    q = q / q.sum()
-    s2, s3 = float((q**2).sum()), float((q**3).sum())
-    mean = k * (1 - s2) + n * k * s2 - n
-    sd = k / n * math.sqrt(4 * n**3 * max(0.0, s3 - s2 * s2) + 2 * n * n * s2)
-    return name, min(p_chi, p_runs, p_serial), _tail((mean - chi) / sd)
+    at = _CLASS[run]
+    ordinary = (1 - FREE) * chain[np.concatenate(([0], at[:-1])), at] + FREE / k
+    return name, min(p_chi, p_runs, p_serial), math.exp(min(0.0, n * math.log(k) + float(np.log(ordinary).sum())))
 
 
-def byte_counts(docs: DataFrame) -> np.ndarray:
-    """How often each byte occurs in all texts (256 numbers)."""
+def mixed_runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, from off[0], of the runs that hold a letter and a digit."""
+    s, e, _ = words(data, off, _RUN_GAP)
+    long = e - s >= MIN_RUN
+    s, e = s[long], e[long]
+    if len(s):
+        d = data[off[0]:off[-1]]
+        digits, letters = np.concatenate(([0], np.cumsum(_DIGIT[d]))), np.concatenate(([0], np.cumsum(_LETTER[d])))
+        mixed = (digits[e] > digits[s]) & (letters[e] > letters[s])
+        s, e = s[mixed], e[mixed]
+    return s, e
+
+
+def pair_chain(docs: DataFrame) -> np.ndarray:
+    """Probability of each class of characters after each other one in all
+    texts, without the runs to test, smoothed by the second one's own frequency."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
+        total = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
             off, data = utf8(batch.column(0))
-            for s in range(int(off[0]), int(off[-1]), 1 << 20):
-                total += np.bincount(data[s:min(s + (1 << 20), off[-1])], minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["b", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(256)
+            for i, j in blocks(off):
+                d = data[off[i]:off[j]]
+                if not len(d):
+                    continue
+                at = _CLASS[d]
+                before = np.concatenate(([0], at[:-1]))
+                starts = off[i:j] - off[i]
+                before[starts[starts < len(d)]] = 0
+                s, e = mixed_runs(data, off[i:j + 1])
+                out = np.zeros(len(d) + 1, np.int64)
+                out[s] += 1
+                out[e] -= 1
+                total += np.bincount((before * CLASSES + at)[np.cumsum(out[:-1]) == 0], minlength=CLASSES * CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES * CLASSES)), pa.array(total)], names=["b", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "b long, n long").where("n > 0").groupBy("b").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(CLASSES * CLASSES)
     for r in rows:
-        out[r["b"]] = r["n"]
-    return out / max(1.0, out.sum())
+        pairs[r["b"]] = r["n"]
+    return smoothed(pairs.reshape(CLASSES, CLASSES))
+
+
+def smoothed(pairs: np.ndarray) -> np.ndarray:
+    single = (pairs.sum(axis=0) + 1) / (pairs.sum() + CLASSES)
+    return (pairs + PRIOR * single) / (pairs.sum(axis=1, keepdims=True) + PRIOR)
 
 
-def spans_of(data: np.ndarray, off: np.ndarray, freq: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def spans_of(data: np.ndarray, off: np.ndarray, chain: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(document, start, end, kind, p) in bytes from the document's start; p:
     of a random run, -STEPS * log10 of its p-value as ordinary text (-1 for
     runs that are counted but don't pass), else 0."""
@@ -136,21 +171,15 @@ def spans_of(data: np.ndarray, off: np.ndarray, freq: np.ndarray) -> list[tuple[
     for at in np.flatnonzero(e - s >= PATTERNS[2][3]).tolist():
         i = doc_of(s[at])
         found.append((i, int(s[at] + base - off[i]), int(e[at] + base - off[i]), 2, 0))
-    s, e, _ = words(data, off, _RUN_GAP)
-    long = np.flatnonzero(e - s >= MIN_RUN)
-    if len(long):
-        digits, letters = np.concatenate(([0], np.cumsum(_DIGIT[d]))), np.concatenate(([0], np.cumsum(_LETTER[d])))
-        s, e = s[long], e[long]
-        mixed = (digits[e] > digits[s]) & (letters[e] > letters[s])
-        for a, b in zip(s[mixed].tolist(), e[mixed].tolist()):
-            run = d[a:b]
-            while len(run) and run[-1] == 61:  # padding
-                run, b = run[:-1], b - 1
-            if len(run) < MIN_RUN or (got := battery(run, freq)) is None:
-                continue
-            i = doc_of(a)
-            p = min(MOST, int(-STEPS * math.log10(max(got[2], 1e-300)))) if got[1] >= ALPHA else -1
-            found.append((i, a + base - int(off[i]), b + base - int(off[i]), 3, p))
+    for a, b in zip(*(x.tolist() for x in mixed_runs(data, off))):
+        run = d[a:b]
+        while len(run) and run[-1] == 61:  # padding
+            run, b = run[:-1], b - 1
+        if len(run) < MIN_RUN or (got := battery(run, chain)) is None:
+            continue
+        i = doc_of(a)
+        p = min(MOST, int(-STEPS * math.log10(max(got[2], 1e-300)))) if got[1] >= ALPHA else -1
+        found.append((i, a + base - int(off[i]), b + base - int(off[i]), 3, p))
     return found
 
 
@@ -160,10 +189,10 @@ def _code_points(d: np.ndarray, found: list[tuple]) -> list[tuple]:
     return [(int(chars[s]), int(chars[e]), kind, p) for _, s, e, kind, p in found]
 
 
-def scan(docs: DataFrame, freq: np.ndarray) -> DataFrame:
+def scan(docs: DataFrame, chain: np.ndarray) -> DataFrame:
     """(doc_id, found): per row of ``docs`` the spans of all kinds, in code
     points, ordered by start and kind; of random runs all that were tested."""
-    shared = docs.sparkSession.sparkContext.broadcast(freq)
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
     kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("k", pa.int64()), ("p", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +241,7 @@ def discovered(least: list[int]) -> Column:
 
 def secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, found) per row of ``docs`` (doc_id, text): patterns' matches and discoveries (s, e, k: start, end, kind)."""
-    scanned = cut(scan(docs, byte_counts(docs)))
+    scanned = cut(scan(docs, pair_chain(docs)))
     return scanned.select("doc_id", discovered(thresholds(scanned)).alias("found"))
 
 
@@ -226,21 +255,21 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs``, all columns, with each secret replaced by ``mark`` in the text
     and n_chars, if there, the new length.  The texts are scanned again with
     the thresholds of a first scan, so no text is shuffled."""
-    freq = byte_counts(docs)
-    scanned = cut(scan(docs, freq))
+    chain = pair_chain(docs)
+    scanned = cut(scan(docs, chain))
     least = thresholds(scanned)
-    shared = docs.sparkSession.sparkContext.broadcast((freq, least))
+    shared = docs.sparkSession.sparkContext.broadcast((chain, least))
     at, names, sign = docs.columns.index("text"), docs.columns, mark.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, least = shared.value
+        chain, least = shared.value
         for batch in batches:
             col = batch.column(at)
             off, data = utf8(col)
             change: dict[int, str] = {}
             for i, j in blocks(off):
                 by: dict[int, list] = {}
-                for d, s, e, k, p in spans_of(data, off[i:j + 1], freq):
+                for d, s, e, k, p in spans_of(data, off[i:j + 1], chain):
                     chars = int(((data[off[i + d] + s:off[i + d] + e] & 0xC0) != 0x80).sum())
                     if k < 3 or p >= least[min(chars // STRATUM, STRATA - 1)]:
                         by.setdefault(i + d, []).append((s, e))

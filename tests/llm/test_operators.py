@@ -1,6 +1,8 @@
 """Each operator against a brute-force version, on tables with awkward rows."""
 
+import argparse
 import hashlib
+import inspect
 import random
 import re
 from collections import Counter, defaultdict
@@ -386,3 +388,24 @@ def test_template_texts_go(spark):
     # near copies count as one page, and three pages are too few to tell
     assert all(got[100 + i] == body("b", 1) + f"\n{notice[3:-4]}\n{i}" for i in range(30))
     assert all(got[200 + i] == body("c", i) + "\n" + notice[3:-4] for i in range(3))
+
+
+def test_short_random_secrets(spark):
+    rng = random.Random(5)
+    kinds = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdefghijklmnopqrstuvwxyz"]
+    source = [inspect.getsource(m) for m in (argparse, inspect, random, html_extract, mixing)]  # no hash constants
+    prose = "An ordinary text of 2024 with HttpRequestHandler2 and test_case_number_12 in some-long-path/of/words/page1 "
+    planted = []
+    for n in (16, 20, 24, 32, 40):
+        for alphabet in kinds:
+            made = ("".join(rng.choice(alphabet) for _ in range(n)) for _ in range(1000))
+            planted += [x for x in made if re.search("[0-9]", x) and re.search("[A-Za-z]", x)][:40]
+    docs = [(i, f"{prose}{x} end") for i, x in enumerate(planted)] + [(-1 - i, x) for i, x in enumerate(source)]
+    found = {r["doc_id"]: [(x["s"], x["e"]) for x in r["found"] if x["k"] == 3] for r in secrets.secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    hit, every = Counter(), Counter(map(len, planted))
+    for i, x in enumerate(planted):
+        assert all(s >= len(prose) for s, _ in found[i])
+        hit[len(x)] += bool(found[i])
+    assert not any(found[-1 - i] for i in range(len(source)))
+    recall = {n: hit[n] / every[n] for n in every}
+    assert recall[16] >= 0.85 and recall[20] >= 0.9 and min(recall[n] for n in (24, 32, 40)) >= 0.95, recall
