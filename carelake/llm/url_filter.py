@@ -6,7 +6,11 @@ Other urls get the verdict of their *template*.  Per host, the segments of all
 paths form a tree.  Digits and long hexadecimal runs in a segment become
 wildcards at once; then, level by level, the many rare children of a node
 become one wildcard, and children that are statistically alike - the same
-shape below them and labelled purities in the same Wilson band - merge.  The
+shape below them and labelled purities in the same Wilson band - merge.  Few
+labels tell nothing of other branches: a child in the middle band merges only
+with those of the same majority, one without labels only with others without,
+and rare children with labels join the wildcard only if, counted by child, their
+majorities agree beyond the Wilson band.  The
 urls that rules decide are the labels: a template is rejected if its smoothed
 share of blocked labels is above ``REJECT``; without labels it is the prior,
 and is kept.
@@ -73,6 +77,13 @@ def band(blocked: Column, allowed: Column) -> Column:
     return F.when(n == 0, 0).when(mid - half > 0.5, 1).when(mid + half < 0.5, -1).otherwise(0)
 
 
+def standing(blocked: Column, allowed: Column) -> Column:
+    """The band, with the majority in the middle one; 'none' without labels."""
+    side = F.when(blocked > allowed, "0+").when(blocked < allowed, "0-").otherwise("0")
+    within = band(blocked, allowed)
+    return F.when(blocked + allowed == 0, "none").when(within == 0, side).otherwise(within.cast("string"))
+
+
 def templates(shapes: DataFrame) -> DataFrame:
     """(host, segs, template) from (host, segs, n, blocked, allowed): the
     wildcards and merged branches of each level in turn."""
@@ -83,11 +94,14 @@ def templates(shapes: DataFrame) -> DataFrame:
         below = F.xxhash64(F.slice("segs", level + 2, DEPTH))
         children = t.where(deep).groupBy("host", "template", seg.alias("seg")).agg(
             F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a"), F.sum(F.pmod(below, F.lit(1 << 40))).alias("under"))
-        node = children.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("n").alias("total"))
-        like = F.concat_ws("~", F.lit("="), band(F.col("b"), F.col("a")), F.col("under"))
+        node = children.groupBy("host", "template").agg(
+            F.count("*").alias("kids"), F.sum("n").alias("total"), F.count_if(F.col("b") > F.col("a")).alias("kb"), F.count_if(F.col("b") < F.col("a")).alias("ka"))
+        alone = standing(F.col("b"), F.col("a"))
+        like = F.concat_ws("~", F.lit("="), alone, F.col("under"))
+        rare = F.when((alone == "none") | (band(F.col("kb"), F.col("ka")) != 0), "*").otherwise(F.concat(F.lit("*~"), alone))
         named = children.join(node, ["host", "template"]).withColumn(
             "name", F.when(F.col("seg").contains("*") | (F.col("seg") == ""), F.col("seg")).when(
-                (F.col("kids") > MANY) & (F.col("total") < RARE * F.col("kids")), F.lit("*")).otherwise(like))
+                (F.col("kids") > MANY) & (F.col("total") < RARE * F.col("kids")), rare).otherwise(like))
         named = cut(named.select("host", "template", F.col("seg").alias("at"), "name"))
         t = t.withColumn("at", seg).join(named, ["host", "template", "at"], "left").withColumn(
             "template", F.when(deep, F.concat("template", F.array("name"))).otherwise(F.col("template"))).drop("at", "name")

@@ -409,3 +409,13 @@ def test_short_random_secrets(spark):
     assert not any(found[-1 - i] for i in range(len(source)))
     recall = {n: hit[n] / every[n] for n in every}
     assert recall[16] >= 0.85 and recall[20] >= 0.9 and min(recall[n] for n in (24, 32, 40)) >= 0.95, recall
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 40])
+def test_few_labels_block_no_other_branch(spark, n):
+    rules = (("shop.test", "/de/", "block"), ("many.test", "/de/", "block"))
+    urls = [f"http://shop.test/de/{i}" for i in range(n)] + [f"http://shop.test/{x}/{i}" for x in ("en", "fr") for i in range(3)]
+    urls += [f"http://many.test/de/{i}" for i in range(n)] + [f"http://many.test/{x}{y}/1" for x in "abcdef" for y in "uvwxyz"]
+    pages = list(enumerate(urls))
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert all(got[i] == ("block" if "/de/" in u else "allow") for i, u in pages)
