@@ -51,6 +51,8 @@ from carelake.session import shared_dir
 
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 4 << 20
+#: packed bytes that a reading task takes
+TASK_BYTES = 16 << 20
 #: a digest shared by more than this part of all rows is broadcast; there are at most as many
 HOT_PART = 4_000
 DATE = "2000-01-01T00:00:00Z"
@@ -307,7 +309,7 @@ def locate(archives: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, (
                     pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32())))], names=["path", "start", "size", "lengths"])
 
-    return archives.select("path").mapInArrow(run, RANGE_DDL)
+    return cut(archives.select("path").mapInArrow(run, RANGE_DDL))
 
 
 ROW_DDL = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -344,7 +346,9 @@ def read_records(ranges: DataFrame, payload: bool = False) -> DataFrame:
                 names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names[:len(types) if payload else -1])
 
-    return ranges.repartition("path", "start").mapInArrow(run, ROW_DDL + (", payload string" if payload else ""))
+    # ranges are short rows, so the number of tasks follows the bytes behind them
+    tasks = -(-(ranges.agg(F.sum("size")).first()[0] or 1) // TASK_BYTES)
+    return ranges.repartition(tasks, "path", "start").mapInArrow(run, ROW_DDL + (", payload string" if payload else ""))
 
 
 def archive_folder(spark: SparkSession) -> str:
