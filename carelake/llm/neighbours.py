@@ -1,12 +1,18 @@
 """Approximate nearest neighbours by collision-counting hashing.
 
 Vectors are projected on ``PROJECTIONS`` random directions; each direction is
-a sorted array of (projection, vector).  For a query, windows around its own
-projections widen step by step (virtual rehashing: the arrays stay, only the
-window's edges move), and each vector counts the windows that hold it.  A
-vector whose count reaches the threshold is verified: its inner product with
-the query on the original vectors in double precision.  A query ends when
-enough vectors are verified, and the best ``k`` remain.
+a sorted array of (projection, vector), cut into ``CELLS`` cells of equally many
+vectors, and a vector keeps the numbers of its cells.  For a query, windows
+around its own projections widen step by step (virtual rehashing: the arrays
+stay, only the windows' edge cells move), and a vector's count is the number of
+windows that hold it.  The windows are the narrowest in which enough vectors
+reach the threshold; of these, the ones with the highest counts, ties included,
+are verified: their inner products with the query on the original vectors in
+double precision.  The best ``k`` remain.
+
+Enough is ``PER_NEIGHBOUR`` times ``k`` and the share ``VERIFIED`` of a block:
+on vectors without structure, a number that doesn't grow with the table can't
+keep the recall (README).
 
 For inner products, a vector gets one more component that makes all norms
 equal to the largest, so near means a large product.
@@ -34,14 +40,14 @@ from pyspark.sql import functions as F
 from carelake.llm.common import table
 
 K = 20
-PROJECTIONS = 128
+PROJECTIONS, CELLS = 160, 256
 #: windows (half width, in standard deviations of a projection of two unit vectors' difference), and the share of windows that must hold a vector
-WIDTHS = np.arange(0.75, 4.01, 0.25)
+WIDTHS = np.array([0.25, 0.5, 0.8, 1.0, 1.2, 1.5, 2.0, 3.0, 4.0])
 THRESHOLD = 0.62
-#: vectors verified per query and block: this share of the block, and K at least
-VERIFIED = 0.10
+#: vectors verified per query and block: this many per neighbour asked for, and this share of the block
+PER_NEIGHBOUR, VERIFIED = 20, 0.08
 #: vectors and queries of a block
-BLOCK, QUERIES = 20_000, 2_000
+BLOCK, QUERIES = 20_000, 10_000
 
 
 def usable(v: Column) -> Column:
@@ -60,47 +66,69 @@ class Index:
         self.top = norms.max()
         full = np.column_stack((self.vectors / self.top, np.sqrt(np.maximum(0, 1 - (norms / self.top) ** 2))))
         self.directions = np.random.default_rng(seed).normal(size=(full.shape[1], PROJECTIONS))
-        projected = full @ self.directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
+        projected = np.ascontiguousarray((full @ self.directions).T)
+        n, n_cells = len(ids), min(CELLS, len(ids))
+        by_place = np.argsort(projected, axis=1, kind="stable")
+        #: cells of the vectors, (projections, vectors)
+        self.cell = np.empty((PROJECTIONS, n), np.uint8)
+        np.put_along_axis(self.cell, by_place, np.broadcast_to((np.arange(n) * n_cells // n).astype(np.uint8), (PROJECTIONS, n)), axis=1)
+        firsts = -(-np.arange(1, n_cells) * n // n_cells)
+        #: first projection of each cell but the first
+        self.edges = np.take_along_axis(projected, by_place[:, firsts], axis=1)
+        self._less, self._in = np.empty_like(self.cell), np.empty(self.cell.shape, bool)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query id, ids, scores) of the best verified vectors of each query, best first."""
-        n, least = len(self.ids), int(np.ceil(THRESHOLD * PROJECTIONS))
-        enough = min(n, k + 1 + int(VERIFIED * n))
-        units = queries / np.sqrt((queries**2).sum(axis=1))[:, None]
-        centre = units @ self.directions[:-1]
-        for first in range(0, len(queries), 64):
-            yield from self._search(query_ids[first:first + 64], queries[first:first + 64], centre[first:first + 64], least, enough, k)
-
-    def _search(self, query_ids: np.ndarray, queries: np.ndarray, centre: np.ndarray, least: int, enough: int,
-                k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         n = len(self.ids)
-        # edges of all windows: (projections, queries, widths)
-        low = np.stack([np.searchsorted(s, c[:, None] - WIDTHS) for s, c in zip(self.sorted, centre.T)])
-        high = np.stack([np.searchsorted(s, c[:, None] + WIDTHS, side="right") for s, c in zip(self.sorted, centre.T)])
-        for q in range(len(queries)):
-            count, lo, hi = np.zeros(n, np.int64), None, None
-            for w in range(len(WIDTHS)):
-                a, b = low[:, q, w].tolist(), high[:, q, w].tolist()
-                if lo is None:
-                    parts = [o[x:y] for o, x, y in zip(self.order, a, b)]
-                else:
-                    parts = [o[x:y] for o, x, y in zip(self.order, a, lo)] + [o[x:y] for o, x, y in zip(self.order, hi, b)]
-                # each widening adds what the windows' edges passed
-                count += np.bincount(np.concatenate(parts), minlength=n)
-                lo, hi = a, b
-                if int((count >= least).sum()) >= enough:
-                    break
-            found = np.flatnonzero(count >= least) if int((count >= least).sum()) >= enough else np.arange(n)
-            found = found[self.ids[found] != query_ids[q]]
-            score = self.vectors[found] @ queries[q]
-            if len(found) > k:
-                edge = np.partition(score, len(score) - k)[len(score) - k]
-                keep = score >= edge
-                found, score = found[keep], score[keep]
-            best = np.lexsort((self.ids[found], -score))[:k]
-            yield int(query_ids[q]), self.ids[found[best]], score[best]
+        enough = min(n, PER_NEIGHBOUR * k + int(VERIFIED * n))
+        for first in range(0, len(queries), 512):
+            part = queries[first:first + 512]
+            centre = (part / np.sqrt((part**2).sum(axis=1))[:, None]) @ self.directions[:-1]
+            # first and last cells of all windows: (projections, queries, widths)
+            low = np.stack([np.searchsorted(e, c[:, None] - WIDTHS) for e, c in zip(self.edges, centre.T)]).astype(np.uint8)
+            high = np.stack([np.searchsorted(e, c[:, None] + WIDTHS, side="right") for e, c in zip(self.edges, centre.T)]).astype(np.uint8)
+            start = 0
+            for q in range(len(part)):
+                count, start = self._narrowest(low[:, q], high[:, q] - low[:, q], enough, start)
+                yield self._verify(int(query_ids[first + q]), part[q], count, enough, k)
+
+    def _collisions(self, low: np.ndarray, span: np.ndarray) -> np.ndarray:
+        """How many windows hold each vector."""
+        np.subtract(self.cell, low[:, None], out=self._less)  # wraps below the window
+        np.less_equal(self._less, span[:, None], out=self._in)
+        return np.add.reduce(self._in.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def _narrowest(self, low: np.ndarray, span: np.ndarray, enough: int, start: int) -> tuple[np.ndarray, int]:
+        """Counts in the narrowest windows in which ``enough`` vectors reach
+        the threshold (the widest if none do), and their number.  The search
+        begins at ``start``, which changes its time but not its end."""
+        least, w = int(np.ceil(THRESHOLD * PROJECTIONS)), start
+
+        def counts(w: int) -> tuple[np.ndarray, bool]:
+            c = self._collisions(low[:, w], span[:, w])
+            return c, np.count_nonzero(c >= least) >= enough
+
+        count, reached = counts(w)
+        while reached and w > 0:
+            narrower, still = counts(w - 1)
+            if not still:
+                break
+            count, w = narrower, w - 1
+        while not reached and w < len(WIDTHS) - 1:
+            w += 1
+            count, reached = counts(w)
+        return count, w
+
+    def _verify(self, query_id: int, query: np.ndarray, count: np.ndarray, enough: int, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+        at_least = np.bincount(count, minlength=PROJECTIONS + 1)[::-1].cumsum()
+        found = np.flatnonzero(count >= PROJECTIONS - np.searchsorted(at_least, enough))
+        found = found[self.ids[found] != query_id]
+        score = self.vectors[found] @ query
+        if len(found) > k:
+            keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+            found, score = found[keep], score[keep]
+        best = np.lexsort((self.ids[found], -score))[:k]
+        return query_id, self.ids[found[best]], score[best]
 
 
 def _search_block(k: int):
