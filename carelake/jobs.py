@@ -100,7 +100,7 @@ def refresh(args):
     return start(spark, args.changes, store=store, routes=ROUTES, name=args.name,
                  load_tables=lambda: read_tables(spark, args.tables, fmt=args.fmt),
                  build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc",
-                                                            cc_version=args.cc_version, how=args.how),
+                                                            cc_version=getattr(args, "cc_version", None), how=getattr(args, "how", "inner")),
                  available_now=args.once, processing_time=None if args.once else args.every)
 
 

@@ -24,7 +24,8 @@ from carelake.plans import measures as M
 from carelake.plans.cdc import (Hop, Route, affected, changed_rows, latest_changes, persons_to_rebuild,
                                 table_changes)
 from carelake.plans.checks import array_len, duplicates, missing_documents, missing_keys, preview
-from carelake.plans.document import _attach_parts, build_documents, read_documents, write_documents
+from carelake.operators.gather import gather, item_rows
+from carelake.plans.document import build_documents, read_documents, write_documents
 from carelake.plans.visits import visits
 from carelake.session import shared_dir
 from carelake.sources.derived import derive
@@ -555,18 +556,13 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF, part_size: int | None =
     ``part_size`` gives the split layout ``(origid, part_no, n_parts, …)``
     in which no person's array is assembled beyond ~``part_size`` items."""
 
-    def person_array(df, order, fields, alias, item_id):
-        if part_size:
-            return ordered_array_parts(df, ["origid"], order, fields, alias, part_size, item_id)
-        return ordered_array(df, ["origid"], order, fields, alias)
-
     lines = coded_diagnoses(t)
-    per_enc = ordered_array(
-        lines, ["encounter_nr"], ["ship_date", "l_linenumber", "l_partkey", "l_suppkey"],
-        [F.col("code").alias("icd_code"), F.col("ship_date").alias("onset_date"),
-         F.col("l_linestatus").alias("status"), F.col("p_type").alias("billing_code")], "lines")
-    enc = attach(encounters(t).select("origid", "encounter_nr", "enc_date", "priority", "status"),
-                 "encounter_nr", [per_enc])
+    line = [F.col("ship_date"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    line_items = item_rows(lines, "encounter_nr", line, [
+        F.col("code").alias("icd_code"), F.col("ship_date").alias("onset_date"), F.col("l_linestatus").alias("status"),
+        F.col("p_type").alias("billing_code")], "lines")
+    spine = encounters(t).select("origid", "encounter_nr", "enc_date", "priority", "status")
+    enc = gather(spine.select("encounter_nr"), "encounter_nr", {"spine": spine}, {"lines": line_items}).select("encounter_nr", "spine.*", "lines")
     diag = F.coalesce(F.transform("lines", lambda x: F.struct(
         x["icd_code"].alias("icd_code"), x["onset_date"].alias("onset_date"),
         x["status"].alias("status"))), F.array().cast(
@@ -578,42 +574,55 @@ def person_records(t: Tables, as_of: str = ORDERS_AS_OF, part_size: int | None =
                      F.struct(F.col("encounter_nr").alias("id"), "enc_date",
                               F.col("priority").alias("setting"), "status",
                               diag.alias("diagnoses"), proc.alias("procedures")).alias("e"))
-    enc_arr = person_array(enc, ["enc_date", "encounter_nr"], ["e.*"], "encounters", ["encounter_nr"])
     cc = lines.groupBy("origid", "code").agg(F.max("enc_date").alias("last_seen_date"))
-    cc_arr = person_array(cc, ["last_seen_date", "code"],
-                          [F.col("code").alias("icd_code"), "last_seen_date"], "chronic_conditions", ["code"])
     al = alerts(t).filter(~F.col("original_status").isin(4, 5))
-    hed_arr = person_array(al, ["ts", "nr"],
-                           [F.col("type").alias("measure_name"), F.year("ts").alias("measure_year"),
-                            F.col("resolved_date").isNull().alias("gap_open")], "hedis_measures", ["nr"])
-    first = t.orders.groupBy(F.col("o_custkey").alias("origid")).agg(
-        F.min(F.to_date("o_orderdate")).alias("first_date"))
+    items = {
+        "encounters": item_rows(enc, "origid", ["enc_date", "encounter_nr"], ["e.*"], "encounters", ["encounter_nr"]),
+        "chronic_conditions": item_rows(cc, "origid", ["last_seen_date", "code"], [F.col("code").alias("icd_code"), "last_seen_date"],
+                                        "chronic_conditions", ["code"]),
+        "hedis_measures": item_rows(al, "origid", ["ts", "nr"], [
+            F.col("type").alias("measure_name"), F.year("ts").alias("measure_year"), F.col("resolved_date").isNull().alias("gap_open")],
+            "hedis_measures", ["nr"])}
+    first = t.orders.groupBy(F.col("o_custkey").alias("origid")).agg(F.min(F.to_date("o_orderdate")).alias("first_date"))
     c = t.customer.select(
         F.col("c_custkey").alias("origid"),
-        F.struct(F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("int"))
-                 .alias("age")).alias("demo0"),
-        F.struct(F.col("c_mktsegment").alias("market"),
-                 F.col("c_nationkey").alias("nation")).alias("care_team"))
-    scalars = attach(c, "origid", [first]).select(
-        "origid",
-        F.struct(F.col("demo0.age").alias("age"), C.iso_date("first_date").alias("dob"))
-        .alias("demographics"), "care_team")
-    cols = ["origid", "demographics", "care_team", "encounters", "chronic_conditions", "hedis_measures"]
+        F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("int")).alias("age"),
+        F.col("c_mktsegment").alias("market"), F.col("c_nationkey").alias("nation"))
+    g = gather(c.select("origid"), "origid", {"_c": c, "_first": first}, items, part_size)
+    demographics = F.struct(F.col("_c.age").alias("age"), C.iso_date("_first.first_date").alias("dob"))
+    care_team = F.struct(F.col("_c.market").alias("market"), F.col("_c.nation").alias("nation"))
     if not part_size:
-        return attach(scalars, "origid", [enc_arr, cc_arr, hed_arr]).select(*cols)
-    arrays = {"encounters": enc_arr, "chronic_conditions": cc_arr, "hedis_measures": hed_arr}
-    j = _attach_parts(scalars.select("origid"), [scalars], arrays)
-    return j.select("part_no", "n_parts", *cols)
+        return g.select("origid", demographics.alias("demographics"), care_team.alias("care_team"), *items)
+    main = F.col("part_no") == 0
+    return g.select("part_no", "n_parts", "origid", F.when(main, demographics).alias("demographics"), F.when(main, care_team).alias("care_team"), *items)
 
 
+def measure_items(t: Tables, as_of: str = ORDERS_AS_OF) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The elements of :func:`person_records` as plain rows: persons with their
+    flat paths, and the rows of each array path."""
+    lines = coded_diagnoses(t)
+    sources = {
+        "encounters[].diagnoses[]": lines.select("origid", F.col("code").alias("icd_code"), F.col("ship_date").alias("onset_date"),
+                                                 F.col("l_linestatus").alias("status")),
+        "encounters[].procedures[]": lines.select("origid", F.col("p_type").alias("billing_code"), F.col("ship_date").alias("procedure_date"), "enc_date"),
+        "chronic_conditions[]": lines.groupBy("origid", F.col("code").alias("icd_code")).agg(F.max("enc_date").alias("last_seen_date")),
+        "hedis_measures[]": alerts(t).filter(~F.col("original_status").isin(4, 5)).select(
+            "origid", F.col("type").alias("measure_name"), F.year("ts").alias("measure_year"), F.col("resolved_date").isNull().alias("gap_open"))}
+    first = t.orders.groupBy(F.col("o_custkey").alias("origid")).agg(F.min(F.to_date("o_orderdate")).alias("first_date"))
+    c = t.customer.select(
+        F.col("c_custkey").alias("origid"), F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("int")).alias("age"),
+        F.struct(F.col("c_mktsegment").alias("market"), F.col("c_nationkey").alias("nation")).alias("care_team"))
+    g = gather(c.select("origid"), "origid", {"_c": c, "_first": first}, {})
+    persons = g.select("origid", F.struct(F.col("_c.age").alias("age"), C.iso_date("_first.first_date").alias("dob")).alias("demographics"),
+                       F.col("_c.care_team").alias("care_team"))
+    return M.enrich_age(persons, as_of, root=None), sources
+
 
 def _evaluated(spark, sf_dir, measure=None, as_of: str = ORDERS_AS_OF):
-    t = _t(spark, sf_dir)
-    docs = M.enrich_age(person_records(t, as_of), as_of, root=None)
+    persons, sources = measure_items(_t(spark, sf_dir), as_of)
     m = measure or MD.analog_measure()
-    keep = ["origid", F.col("demographics.age").alias("age"),
-            F.col("care_team.market").alias("market")]
-    return M, m, M.evaluate(docs, m, as_of, keep=keep)
+    keep = [("age", F.col("demographics.age")), ("market", F.col("care_team.market"))]
+    return M, m, M.evaluate_items(persons, sources, m, as_of, keep=keep)
 
 
 def measure_full_parts(spark, sf_dir, part_size: int = 3) -> DataFrame:
@@ -707,6 +716,20 @@ def measure_population(spark, sf_dir) -> DataFrame:
     return M.evaluate_parts(docs, m, ORDERS_AS_OF).select("origid", "has_dx", "candidate")
 
 
+def measure_latest_two(spark, sf_dir) -> DataFrame:
+    """Latest mode over both sources of an element at once (M15 M25), latest by
+    the date field that the definition names (M19), null data allowed (M16)."""
+    persons, sources = measure_items(_t(spark, sf_dir))
+    # conditions are seen again two months after their last encounter, so either source can hold the newest
+    sources["chronic_conditions[]"] = sources["chronic_conditions[]"].withColumn("last_seen_date", F.date_add("last_seen_date", 60))
+    proc = dict(MD.analog_element("de-proc"), selectedField="procedure_code")
+    d = dict(MD.analog_definition(), dataElements=[
+        dict(MD.analog_element("de-dx"), valueMode="latest"), dict(proc, id="by-encounter", effectiveDateField="enc_date"),
+        dict(proc, id="if-any", allowNull="1", valueMode="single", dateRangeStart="2001-01-01")])
+    ev = M.evaluate_items(persons, sources, M.from_definition(d, MD.DOC_FIELDS), ORDERS_AS_OF)
+    return ev.select("origid", F.col("de-dx").alias("newest_dx"), F.col("by-encounter").alias("newest_encounter_promo"), F.col("if-any").alias("promo_or_none"))
+
+
 def measure_report(spark, sf_dir) -> DataFrame:
     """Per-element outcome: pass / fail / blocked."""
     M, m, ev = _evaluated(spark, sf_dir)

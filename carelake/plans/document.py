@@ -1,20 +1,22 @@
 """Assembly of the nested person record and its JSON sink.
 
-``build_documents`` is one Spark job graph for all persons: each section is a
-per-person aggregate (hash-partitioned on ``origid``), the sections are
-left-joined onto the person list — all on the same key, so the joins reuse
-that partitioning — and packed into one ``patient`` struct.  JSON text is
-produced only at the sink.
+``build_documents`` is one Spark job graph for all persons.  Every section
+contributes plain rows: one row per person with what it needs from a table, or
+one row per array item.  All of them are one union, gathered by one aggregate
+on the person (:func:`carelake.operators.gather.gather`), and the 21 sections
+are expressions over the result, so no join chain grows with the number of
+sections.  JSON text is produced only at the sink.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.operators.aggregates import attach
+from carelake.operators.gather import gather
 from carelake.plans import flags as FL
 from carelake.plans import sections as S
 
@@ -24,9 +26,8 @@ SECTION_ORDER = [
     "hedis_measures", "encounters", "labs", "medications", "assessments", "alerts", "sdoh",
     "transport_benefits", "emr_appointments", "_meta",
 ]
-# Arrays that default to [] when a person has no rows (the source coalesces
-# them); the others stay NULL, as JSON_ARRAYAGG over no rows.
-EMPTY_WHEN_NONE: dict[str, str] = {}
+#: arrays inside a section
+NESTED = {"uamcc": ["details"], "sdoh": ["meal_plans", "reward_programs"]}
 
 
 def persons_with_roster(t, cc_version: str | None = None, how: str = "inner",
@@ -52,96 +53,69 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
                     trigger: Column | str = "initial_load", sequence: Column | None = None,
                     source_db: str | None = None, xref: DataFrame | None = None,
                     measure_dedupe_keys=None, score_thresholds: DataFrame | None = None,
-                    stage_dir: str | None = None, part_size: int | None = None) -> DataFrame:
+                    stage_dir: str | None = None, part_size: int | None = None, capture_level: str = "hcc",
+                    merge_overlaps: bool = False) -> DataFrame:
     """``(origid, patient struct)`` — one row per person (V4 holds by
-    construction: every part is keyed by ``origid`` with one row per key).
+    construction: one aggregate keyed by ``origid``).
 
     ``stage_dir`` (a folder under ``spark.checkpoint.dir``) materialises the
-    person list and every section as Parquet before the assembly.
+    rows of every section as Parquet before they are gathered.
 
     ``part_size`` switches to the hot-person-safe layout ``(origid, part_no,
     n_parts, patient)``: a person whose array section holds more than
-    ``part_size`` items gets it split over several rows (see
-    :func:`carelake.operators.arrays.ordered_array_parts`), so no task ever
-    assembles an unbounded array; everyone else still has exactly one row."""
+    ``part_size`` items gets it split over several rows, so no task ever
+    assembles an unbounded array; everyone else still has exactly one row.
+
+    ``capture_level`` and ``merge_overlaps`` choose the variants of
+    :func:`sections.hcc_capture_counts` and :func:`sections.adherence_counts`."""
     as_of = as_of if isinstance(as_of, str) else as_of.isoformat()
     run = run_ts or f"{as_of} 00:00:00"
-    persons, roster = persons_with_roster(t, cc_version, how, xref)
     sp = (lambda name: f"{stage_dir}/{name}") if stage_dir else (lambda name: None)
+    persons, roster = persons_with_roster(t, cc_version, how, xref)
     roster = stage(roster, sp("roster"))
     persons = stage(persons, sp("persons"))
-    capture = S.hcc_capture_counts(t, as_of)
-    adh = S.adherence_counts(t, as_of)
-    flags = stage(FL.rule_flags(t, as_of, run, persons, capture, adh), sp("rule_flags"))
-    ps = part_size
-    arrays = {
-        "chronic_conditions": S.chronic_conditions(t, as_of, ps),
-        "hedis_measures": S.hedis_measures(t, as_of, measure_dedupe_keys, ps),
-        "encounters": S.encounters(t, as_of, ps), "labs": S.labs(t, ps),
-        "medications": S.medications(t, as_of, ps), "assessments": S.assessments(t, score_thresholds, ps),
-        "alerts": S.alerts(t, ps), "transport_benefits": S.transport_benefits(t, ps),
-        "emr_appointments": S.emr_appointments(t, ps),
+    rows = {**FL.flag_parts(t, as_of), "capture": S.hcc_capture_counts(t, as_of, capture_level),
+            "adherence": S.adherence_counts(t, as_of, merge_overlaps), "roster": S.roster_rows(t, roster), "raf": S.raf_rows(t, as_of)}
+    items = {
+        "chronic_conditions": S.chronic_conditions(t, as_of, S.ITEMS),
+        "hedis_measures": S.hedis_measures(t, as_of, measure_dedupe_keys, S.ITEMS),
+        "encounters": S.encounters(t, as_of, S.ITEMS), "labs": S.labs(t, S.ITEMS),
+        "medications": S.medications(t, as_of, S.ITEMS), "assessments": S.assessments(t, score_thresholds, S.ITEMS),
+        "alerts": S.alerts(t, S.ITEMS), "transport_benefits": S.transport_benefits(t, S.ITEMS),
+        "emr_appointments": S.emr_appointments(t, S.ITEMS), "details": S.uamcc_details(t, S.ITEMS),
+        "meal_plans": S.meal_plans(t, S.ITEMS), "reward_programs": S.reward_programs(t, S.ITEMS),
+        "food_insecurity": S.food_insecurity(t, S.ITEMS),
     }
-    parts = [
-        S.demographics(t, as_of), S.contact(t), S.care_team(t, roster, as_of), S.enrollment(t, roster),
-        FL.as_struct(flags), S.raf_profile(persons, t, as_of), S.hcc_capture(persons, t, as_of),
-        S.risk_scores(persons, as_of), S.uamcc(persons, t, as_of, ps), S.medication_adherence(persons, t, as_of),
-        S.sdoh(persons, t, flags, ps),
-        S.meta(persons, run, trigger if isinstance(trigger, str) else "initial_load", None, source_db),
-    ]
-    if stage_dir:
-        parts = [stage(p, sp(f"section_{i:02d}")) for i, p in enumerate(parts)]
-        arrays = {k: stage(v, sp(f"array_{k}")) for k, v in arrays.items()}
-    if not part_size:
-        j = attach(persons, "origid", parts + list(arrays.values()))
-    else:
-        nested = {"uamcc.details": S.uamcc_details(t, ps), "sdoh.meal_plans": S.meal_plans(t, ps),
-                  "sdoh.reward_programs": S.reward_programs(t, ps)}
-        for k, v in nested.items():
-            leaf = k.split(".")[1]
-            arrays["__" + k.replace(".", "__")] = v.withColumnRenamed(leaf, "__" + k.replace(".", "__"))
-        j = _attach_parts(persons, parts, arrays)
-        j = _nest_parts(j, list(nested))
-    if not isinstance(trigger, str) or sequence is not None:
-        j = j.withColumn("_meta", F.col("_meta").withField("trigger_source", trigger if isinstance(
-            trigger, Column) else F.lit(trigger)).withField("cdc_sequence", sequence if sequence is not None
-                                                            else F.lit(None).cast("bigint")))
-    fields = [F.col("origid").alias("id") if c == "id" else F.col(c) for c in SECTION_ORDER]
+    rows = {k: stage(v, sp(f"rows_{k}")) for k, v in rows.items()}
+    items = {k: stage(v, sp(f"items_{k}")) for k, v in items.items()}
+    g = gather(persons, "origid", rows, items, part_size)
+    sections = {
+        "id": F.col("origid"), "origid": F.col("origid"),
+        "demographics": S.demographics_section(as_of), "contact": S.contact_section(), "care_team": S.care_team_section(as_of),
+        "enrollment": S.enrollment_section(), "rule_flags": F.struct(*FL.flag_columns(as_of, run)), "raf_profile": S.raf_section(as_of),
+        "hcc_capture": S.hcc_capture_section(as_of), "risk_scores": S.risk_scores_section(as_of), "uamcc": S.uamcc_section(as_of),
+        "medication_adherence": S.adherence_section(as_of), "sdoh": S.sdoh_section(),
+        "_meta": S.meta_section(run, trigger, sequence, source_db),
+    }
+    if part_size:
+        sections = {n: c if n in ("id", "origid") else _first_part(n, c, g) for n, c in sections.items()}
+    fields = [(sections[n] if n in sections else F.col(n)).alias(n) for n in SECTION_ORDER]
     if not part_size:
-        return j.select("origid", F.struct(*fields).alias("patient"))
-    return j.select("origid", "part_no", "n_parts", F.struct(*fields).alias("patient"))
-
-
-def _nest_parts(j: DataFrame, paths) -> DataFrame:
-    """Move split arrays that live inside a section (``parent.child``) into
-    their parent struct on every part row; on overflow rows the parent holds
-    only that slice (other fields NULL)."""
-    for path in paths:
-        parent, child = path.split(".")
-        tmp = "__" + path.replace(".", "__")
-        stype = j.schema[parent].dataType
-        empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stype.fields])
-        arr = F.col(tmp)
-        j = j.withColumn(parent, F.when(F.col(parent).isNotNull(), F.col(parent).withField(child, arr))
-                         .when(arr.isNotNull(), empty.withField(child, arr))).drop(tmp)
-    return j
-
-
-def _attach_parts(persons: DataFrame, parts, arrays: dict) -> DataFrame:
-    """Hot-person-safe layout: the array sections come as ``(origid,
-    part_no, n_parts, array)``; they are aligned on (origid, part_no) by
-    full outer joins; part 0 of every person carries all other sections,
-    further parts only their array slices (other sections NULL)."""
-    aligned = None
-    for name, df in arrays.items():
-        a = df.select("origid", "part_no", F.col("n_parts").alias(f"_n_{name}"), name)
-        aligned = a if aligned is None else aligned.join(a, ["origid", "part_no"], "full_outer")
-    n_cols = [F.col(f"_n_{n}") for n in arrays]
-    aligned = aligned.withColumn("n_parts", F.greatest(*n_cols)).drop(*[f"_n_{n}" for n in arrays])
-    base = attach(persons.withColumn("part_no", F.lit(0)), ["origid", "part_no"], [aligned])
-    base = attach(base, "origid", parts).withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
-    extra = aligned.filter(F.col("part_no") > 0).join(persons, "origid", "left_semi")
-    return base.unionByName(extra, allowMissingColumns=True)
+        return g.select("origid", F.struct(*fields).alias("patient"))
+    return g.select("origid", "part_no", "n_parts", F.struct(*fields).alias("patient"))
+
+
+def _first_part(name: str, section: Column, gathered: DataFrame) -> Column:
+    """A section on split records: whole in part 0; further parts hold only
+    their slices of the arrays inside it (other fields NULL), or nothing."""
+    first = F.col("part_no") == 0
+    if name not in NESTED:
+        return F.when(first, section)
+    stype = gathered.select(section.alias(name)).schema[name].dataType
+    kept = NESTED[name]
+    rest = F.struct(*[(F.col(f.name) if f.name in kept else F.lit(None)).cast(f.dataType).alias(f.name) for f in stype.fields])
+    some = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in kept])
+    return F.when(first, section).when(some, rest)
 
 
 def to_json(docs: DataFrame, keep_nulls: bool = True) -> DataFrame:

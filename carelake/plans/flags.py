@@ -2,19 +2,20 @@
 
 One aggregate per source table (not one subquery per flag): encounters,
 billing codes, alerts, history answers, plans, details, scores.  Each is a
-``groupBy(origid)`` with map-side partial aggregation; they are left-joined
-onto the person list and missing values get the value an aggregate over no
-rows has in the source (false, 0 or NULL).
+``groupBy(origid)`` with map-side partial aggregation.  They are gathered by
+the person, and the flags are expressions over the gathered parts, in which
+missing values get the value an aggregate over no rows has in the source
+(false, 0 or NULL).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
-from carelake.operators.aggregates import any_flags, attach
-from carelake.operators.arrays import distinct_array
+from carelake.operators.aggregates import any_flags
+from carelake.operators.gather import gather
 from carelake.operators.latest import latest_row
 from carelake.plans import sections as S
 
@@ -100,13 +101,6 @@ def care_plan_flags(t, as_of) -> DataFrame:
     })
 
 
-def uamcc_flags(t) -> DataFrame:
-    ud = S._uamcc_current(t)
-    cnt = ud.groupBy("origid").agg(F.count_distinct("condition_category").alias("uamcc_condition_count"))
-    conds = distinct_array(ud, ["origid"], "condition_category", "uamcc_conditions")
-    return cnt, conds
-
-
 def raf_flag(t) -> DataFrame:
     """Latest prmra score by (year, month), rounded to 4."""
     r = t["mra_raf_patient"].filter(F.col("type") == "prmra")
@@ -114,53 +108,47 @@ def raf_flag(t) -> DataFrame:
     return last.select("origid", F.round("total_score", 4).alias("raf_score"))
 
 
-def rule_flags(t, as_of, run_ts=None, persons: DataFrame | None = None,
-               capture: DataFrame | None = None, adherence: DataFrame | None = None) -> DataFrame:
-    """``(origid, <26 flags>, <5 extension flags>)`` as flat columns."""
-    p = t["patient"]
-    base = persons if persons is not None else p.select("origid")
-    tb, meal = sdoh_flags(t, as_of)
-    cnt, conds = uamcc_flags(t)
-    parts = [raf_flag(t), encounter_flags(t, as_of), awv_flags(t, as_of), alert_flags(t), food_flag(t),
-             tb, meal, care_plan_flags(t, as_of), cnt, conds,
-             p.select("origid", "Last_PCP_Visit_Date", "is_ccm_enabled", "consent_onfile", "ccm_level")]
-    if capture is not None:
-        parts.append(capture.select("origid", "eligible_hccs", "captured_hccs", "gap_hccs"))
-    if adherence is not None:
-        parts.append(adherence.select("origid", "covered", "first_start"))
-    defaults = {c: False for c in ["readmit_30d", "readmit_90d", "open_inpatient", "sdoh_food_insecurity",
-                                   "sdoh_transport_barrier", "sdoh_meal_plan_active", "care_plan_active",
-                                   "care_plan_overdue_reassessment"]}
-    defaults.update({"active_alerts": 0, "hedis_gaps_open": 0, "uamcc_condition_count": 0})
-    j = attach(base, "origid", parts, defaults)
+def flag_parts(t, as_of) -> dict[str, DataFrame]:
+    """What the flags need, one row per person each."""
+    rides, meals = sdoh_flags(t, as_of)
+    return {"patient": t["patient"], "raf_flag": raf_flag(t), "stays": encounter_flags(t, as_of), "awv": awv_flags(t, as_of),
+            "alert_counts": alert_flags(t), "food": food_flag(t), "rides": rides, "meals": meals, "plans": care_plan_flags(t, as_of),
+            "uamcc_summary": S.uamcc_rows(t), "capture": S.hcc_capture_counts(t, as_of), "adherence": S.adherence_counts(t, as_of)}
+
+
+def flag_columns(as_of, run_ts=None) -> list[Column]:
+    """The 26 flags and the extension flags over the gathered parts."""
+    p, stays, alerts, plans, u, c, a = (S.part(x) for x in ("patient", "stays", "alert_counts", "plans", "uamcc_summary", "capture", "adherence"))
+    false, zero = F.lit(False), F.lit(0)
+    count = F.coalesce(u("condition_count"), zero)
+    pct = C.pct(F.coalesce(a("covered"), zero), F.datediff(S._ts(as_of), a("first_start")), 2)
     run = run_ts if run_ts is not None else f"{as_of} 00:00:00"
-    cols = [
-        "origid", "raf_score", "readmit_30d", "readmit_90d",
-        C.iso_date("_last_adm").alias("last_admission_date"),
-        C.iso_date("_last_dis").alias("last_discharge_date"), "open_inpatient",
-        C.overdue("_awv_last", as_of, 365).alias("awv_due"), C.iso_date("_awv_last").alias("awv_last_date"),
-        C.overdue("Last_PCP_Visit_Date", as_of, 365).alias("pcp_visit_overdue"),
-        C.days_between(as_of, "Last_PCP_Visit_Date").alias("pcp_days_since_visit"),
-        "hedis_gaps_open", "hedis_gap_measures", C.flag("is_ccm_enabled").alias("ccm_enrolled"),
-        C.flag("consent_onfile").alias("ccm_consent_on_file"), "ccm_level", "sdoh_food_insecurity",
-        "sdoh_transport_barrier", "sdoh_meal_plan_active", "care_plan_active",
-        "care_plan_overdue_reassessment", (F.col("uamcc_condition_count") >= 2).alias("uamcc_eligible"),
-        "uamcc_conditions", "uamcc_condition_count", "active_alerts", "unresolved_alert_types",
-        C.iso_ts(F.lit(str(run)).cast("timestamp")).alias("last_updated"),
-    ]
-    if capture is not None:
-        cols += [C.pct("captured_hccs", "eligible_hccs", 1).alias("hcc_capture_pct"),
-                 F.coalesce(F.when(F.col("gap_hccs").isNotNull(), F.size("gap_hccs")), F.lit(0)).alias("hcc_gaps_open"),
-                 F.col("gap_hccs").alias("hcc_gap_codes")]
-    if adherence is not None:
-        pct = C.pct(F.coalesce("covered", F.lit(0)), F.datediff(S._ts(as_of), F.col("first_start")), 2)
-        cols += [pct.alias("rx_adherence_pct"),
-                 F.when(pct >= S.ADHERENCE_THRESHOLD, "Adequate").otherwise("Inadequate")
-                 .alias("rx_adherence_flag")]
-    return j.select(*cols)
-
-
-def as_struct(flags: DataFrame) -> DataFrame:
-    """``(origid, rule_flags struct)`` in the document's field order."""
-    names = [c for c in FLAG_ORDER + EXTENSION_FLAGS if c in flags.columns]
-    return flags.select("origid", F.struct(*names).alias("rule_flags"))
+    values = {
+        "raf_score": F.col("raf_flag.raf_score"),
+        "readmit_30d": F.coalesce(stays("readmit_30d"), false), "readmit_90d": F.coalesce(stays("readmit_90d"), false),
+        "last_admission_date": C.iso_date(stays("_last_adm")), "last_discharge_date": C.iso_date(stays("_last_dis")),
+        "open_inpatient": F.coalesce(stays("open_inpatient"), false),
+        "awv_due": C.overdue(F.col("awv._awv_last"), as_of, 365), "awv_last_date": C.iso_date(F.col("awv._awv_last")),
+        "pcp_visit_overdue": C.overdue(p("Last_PCP_Visit_Date"), as_of, 365),
+        "pcp_days_since_visit": C.days_between(as_of, p("Last_PCP_Visit_Date")),
+        "hedis_gaps_open": F.coalesce(alerts("hedis_gaps_open"), zero), "hedis_gap_measures": alerts("hedis_gap_measures"),
+        "ccm_enrolled": C.flag(p("is_ccm_enabled")), "ccm_consent_on_file": C.flag(p("consent_onfile")), "ccm_level": p("ccm_level"),
+        "sdoh_food_insecurity": F.coalesce(F.col("food.sdoh_food_insecurity"), false),
+        "sdoh_transport_barrier": F.coalesce(F.col("rides.sdoh_transport_barrier"), false),
+        "sdoh_meal_plan_active": F.coalesce(F.col("meals.sdoh_meal_plan_active"), false),
+        "care_plan_active": F.coalesce(plans("care_plan_active"), false),
+        "care_plan_overdue_reassessment": F.coalesce(plans("care_plan_overdue_reassessment"), false),
+        "uamcc_eligible": count >= 2, "uamcc_conditions": u("conditions"), "uamcc_condition_count": count,
+        "active_alerts": F.coalesce(alerts("active_alerts"), zero), "unresolved_alert_types": alerts("unresolved_alert_types"),
+        "last_updated": C.iso_ts(F.lit(str(run)).cast("timestamp")),
+        "hcc_capture_pct": C.pct(c("captured_hccs"), F.coalesce(c("eligible_hccs"), zero), 1),
+        "hcc_gaps_open": F.coalesce(F.when(c("gap_hccs").isNotNull(), F.size(c("gap_hccs"))), zero), "hcc_gap_codes": c("gap_hccs"),
+        "rx_adherence_pct": pct,
+        "rx_adherence_flag": F.when(pct >= S.ADHERENCE_THRESHOLD, "Adequate").otherwise("Inadequate")}
+    return [values[n].alias(n) for n in FLAG_ORDER + EXTENSION_FLAGS]
+
+
+def rule_flags(t, as_of, run_ts=None, persons: DataFrame | None = None) -> DataFrame:
+    """``(origid, <26 flags>, <5 extension flags>)`` as flat columns."""
+    base = persons if persons is not None else t["patient"]
+    return gather(base.select("origid"), "origid", flag_parts(t, as_of), {}).select("origid", *flag_columns(as_of, run_ts))

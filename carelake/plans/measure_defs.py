@@ -36,13 +36,13 @@ def _de(i, name, field, op, value, end="", mode="single", active="1", required="
             "required": required, "sortOrder": "0", "dateRangeStart": None, "dateRangeEnd": None}
 
 
-def htn_definition() -> dict:
+def htn_definition(care_team: dict | None = None) -> dict:
     return {
         "measureInfo": {"id": "PC-001", "title": "Hypertension Management", "version": "1.0.0",
                         "status": "draft", "performanceGoal": 85,
                         "activationPeriod": {"startDate": "2025-01-01", "endDate": "2026-12-31"},
                         "filteringHierarchy": {"performanceYear": 2026, "market": None, "group": None,
-                                               "subgroup": None, "provider": None}},
+                                               "subgroup": None, "provider": None, **({"careTeam": care_team} if care_team else {})}},
         "dataElements": [
             _de("de-1", "Age", "patient_age", "between", "18", "85"),
             _de("de-2", "Problem/Diagnosis Code", "problem_code", "contains", ",".join(HTN_DX_CODES)),
@@ -108,6 +108,10 @@ def analog_definition() -> dict:
     return d
 
 
+def analog_element(el_id: str) -> dict:
+    return next(e for e in analog_definition()["dataElements"] if e["id"] == el_id)
+
+
 def analog_measure(exclusion_mode: str = "latest") -> Measure:
     m = from_definition(analog_definition(), DOC_FIELDS, ungated=("de-proc",), modes={"de-excl": exclusion_mode},
                         flags={"de-age": ("age_eligible", "pass"), "de-dx": ("has_dx", "pass"),

@@ -1,18 +1,24 @@
 """Data-driven quality measures over nested person records.
 
 A measure definition (a list of typed elements) is compiled on the driver
-into one Catalyst expression per element — higher-order functions
-(``exists``, ``transform``, ``flatten``, ``array_max``) over the record's
-nested arrays.  The whole evaluation is then an ordinary projection of the
-record table: no UDF, no per-person driver work, and it runs wherever the
-records are (one scan, no shuffle, except the optional rate roll-up).
+into four terms per element: ``t`` some value passes, ``u`` some test is NULL,
+``h`` there is data, ``n`` the newest value with its outcome (``latest`` mode,
+over all sources of the element).  The terms are the same in three layouts:
+
+*   :func:`evaluate`, nested records: higher-order functions over the arrays,
+    an ordinary projection of the record table without a shuffle;
+*   :func:`evaluate_parts`, records split over rows: terms per row, one
+    aggregate on the person;
+*   :func:`evaluate_items`, no records at all: the rows of the sources, each
+    with its terms, one aggregate on the person.  Nothing nested is built, and
+    a person with a third of all rows is pre-aggregated like any other.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,7 +53,7 @@ class Element:
     value: object = None
     value_end: object = None
     value_mode: str = "single"                 # single | latest (M15)
-    null_handling: str = "exclude"             # exclude → NULL fails; include → NULL passes (M16)
+    null_handling: str = "exclude"             # exclude → NULL or no data fails; include → it passes (M16)
     case_sensitive: bool = True                # M17
     required: bool = True                      # M18: not required → reported, not gating
     is_active: bool = True                     # M18
@@ -59,9 +65,11 @@ class Element:
     flag_on: str = "pass"                      # pass | match: not_contains flags the match
 
 
-# Record paths of the names in a definition's filtering hierarchy.
+# Record paths of the names in a definition's filtering hierarchy (M21).  The
+# path of a care team is an array of its members' numbers.
 POPULATION_PATHS = {"market": "care_team.market_id", "group": "care_team.facility_nr",
-                    "subgroup": "care_team.subgroup_id", "provider": "care_team.dce_provider_npi"}
+                    "subgroup": "care_team.subgroup_id", "provider": "care_team.dce_provider_npi",
+                    "careTeam": "care_team.member_nrs"}
 
 
 @dataclass
@@ -76,6 +84,7 @@ class Measure:
     active_to: object = None
     filters: Mapping[str, object] = field(default_factory=dict)   # M21: name or path → value, None = all
     filter_paths: Mapping[str, str] = field(default_factory=lambda: dict(POPULATION_PATHS))
+    performance_year: int | None = None        # M21: must meet the activation period
     ungated: Sequence[str] = ()                # element ids evaluated but not gating (D8)
     candidate_flag: str = "candidate"
 
@@ -110,28 +119,44 @@ def from_definition(defn: Mapping, field_paths: Mapping[str, Sequence[Path]],
         if op in ("contains", "not_contains") and isinstance(val, str):
             val = [v.strip() for v in val.split(",") if v.strip()]
         f, on = (flags or {}).get(de["id"], (None, "pass"))
+        paths = list(field_paths[de["selectedField"]])
+        if de.get("effectiveDateField"):       # the date that windows and latest mode go by (M19)
+            paths = [replace(p, date=de["effectiveDateField"]) if p.parts[0] else p for p in paths]
         elements.append(Element(
-            id=de["id"], name=de.get("name", de["id"]), paths=list(field_paths[de["selectedField"]]),
+            id=de["id"], name=de.get("name", de["id"]), paths=paths,
             operator=op, value=val, value_end=de.get("comparisonValueEnd") or None,
             value_mode=(modes or {}).get(de["id"]) or de.get("valueMode") or "single",
-            null_handling=de.get("nullHandling") or "exclude",
+            null_handling="include" if _as_bool(de.get("allowNull", "0")) else de.get("nullHandling") or "exclude",
             case_sensitive=_as_bool(de.get("caseSensitive", "1")),
             required=_as_bool(de.get("required", "1")), is_active=_as_bool(de.get("isActive", "1")),
             sort_order=int(de.get("sortOrder") or 0),
             date_from=de.get("dateRangeStart"), date_to=de.get("dateRangeEnd"),
             flag=f, flag_on=on))
+    filters = {k: v for k, v in hier.items() if k in ("market", "group", "subgroup", "provider")}
+    team = hier.get("careTeam") or {}
+    if team.get("selection") not in (None, ""):
+        if team.get("type") != "individual":
+            raise ValueError(f"care team of type {team.get('type')}: only single members can be selected")
+        filters["careTeam"] = int(team["selection"])
+    if hier.get("populationType"):
+        raise ValueError(f"population type {hier['populationType']}: records hold no type")
+    year = hier.get("performanceYear")
+    if year and not (str(act.get("startDate") or year)[:4] <= str(year) <= str(act.get("endDate") or year)[:4]):
+        raise ValueError(f"performance year {year} is outside the activation period")
     return Measure(
         id=info.get("id", "measure"), title=info.get("title", ""), elements=elements,
         version=info.get("version", "1.0"), status=info.get("status", "draft"),
         performance_goal=info.get("performanceGoal"),
         active_from=act.get("startDate"), active_to=act.get("endDate"),
-        filters={k: v for k, v in hier.items() if k in ("market", "group", "subgroup", "provider")},
-        ungated=list(ungated))
+        filters=filters, performance_year=int(year) if year else None, ungated=list(ungated))
 
 
 # ── compilation ───────────────────────────────────────────────────────────
 
-def _get(x: Column, dotted: str) -> Column:
+def _get(x: Column | None, dotted: str) -> Column:
+    """A field of an array element, or (``x`` None) of an item row."""
+    if x is None:
+        return F.col(dotted)
     for p in dotted.split("."):
         x = x[p]
     return x
@@ -167,19 +192,13 @@ def _compare(v: Column, op: str, value, value_end, el: Element) -> Column:
     raise ValueError(f"unknown operator {op}")
 
 
-def _element_test(x: Column, leaf: str, el: Element, date_field: str | None) -> Column:
-    """All tests on one array element: the leaf test, the same-element extra
-    tests (M6) and the date window (M19) — inside one lambda."""
+def _element_test(x: Column | None, leaf: str, el: Element) -> Column:
+    """All tests on one array element: the leaf test and the same-element
+    extra tests (M6) — inside one lambda."""
     op = "contains" if el.operator == "not_contains" else el.operator
     conds = [_compare(_get(x, leaf), op, el.value, el.value_end, el)]
     for f, o, v in el.also:
         conds.append(_compare(_get(x, f), o, v, None, el))
-    if date_field and (el.date_from or el.date_to):
-        d = _get(x, date_field).cast("date")
-        if el.date_from:
-            conds.append(d >= as_date(el.date_from))
-        if el.date_to:
-            conds.append(d <= as_date(el.date_to))
     return reduce(lambda a, b: a & b, conds)
 
 
@@ -202,26 +221,6 @@ def _exists_path(root: str | None, arrays: list[str], test) -> Column:
     return go(_root(root, arrays[0]), arrays[1:])
 
 
-def _path_match(p: Path, el: Element, root: str | None) -> tuple[Column, Column]:
-    """(match, has_data) of one path.  match is three-valued here."""
-    arrays, leaf = p.parts
-    if not arrays:                                        # flat path (M1, M27)
-        v = _root(root, leaf)
-        return _element_test_scalar(v, el), v.isNotNull()
-    flat = _flatten(root, arrays)
-    if p.date and (el.date_from or el.date_to):
-        flat = F.filter(flat, lambda x: _window(x, p.date, el))
-    has_data = F.coalesce(F.size(flat) > 0, F.lit(False))
-    if el.value_mode == "latest":                         # M15: only the newest element
-        date = p.date or leaf
-        newest = F.array_max(F.transform(flat, lambda x: F.struct(
-            _get(x, date).alias("d"), _get(x, leaf).alias("v"), x.alias("e"))))
-        return _element_test(newest["e"], leaf, el, None), has_data
-    if p.date and (el.date_from or el.date_to):
-        return F.exists(flat, lambda x: _element_test(x, leaf, el, None)), has_data
-    return _exists_path(root, arrays, lambda x: _element_test(x, leaf, el, p.date)), has_data
-
-
 def _window(x: Column, date_field: str, el: Element) -> Column:
     d = _get(x, date_field).cast("date")
     c = F.lit(True)
@@ -232,28 +231,79 @@ def _window(x: Column, date_field: str, el: Element) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def _element_test_scalar(v: Column, el: Element) -> Column:
-    op = "contains" if el.operator == "not_contains" else el.operator
-    return _compare(v, op, el.value, el.value_end, el)
+def _dated(x: Column | None, p: Path, el: Element) -> Column:
+    """(date, value, outcome) of one element; the greatest is the newest."""
+    leaf = p.parts[1]
+    date = _get(x, p.date or leaf) if p.parts[0] else F.lit(None)
+    return F.struct(date.cast("string").alias("d"), _get(x, leaf).cast("string").alias("v"), _element_test(x, leaf, el).alias("p"))
+
+
+def _any(terms: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, terms)
+
+
+def record_terms(el: Element, root: str | None = None) -> dict[str, Column]:
+    """The element's terms on a record row; arrays may be NULL."""
+    t, u, h, n = [], [], [], []
+    for p in el.paths:
+        arrays, leaf = p.parts
+        if not arrays:                                        # flat path (M1, M27)
+            v = _root(root, leaf)
+            m, has = _compare(v, "contains" if el.operator == "not_contains" else el.operator, el.value, el.value_end, el), v.isNotNull()
+            newest = F.when(has, F.struct(F.lit(None).cast("string").alias("d"), v.cast("string").alias("v"), m.alias("p")))
+        else:
+            windowed = p.date and (el.date_from or el.date_to)
+            flat = _flatten(root, arrays)
+            if windowed:
+                flat = F.filter(flat, lambda x: _window(x, p.date, el))
+            has = F.coalesce(F.size(flat) > 0, F.lit(False))
+            newest = F.array_max(F.transform(flat, lambda x: _dated(x, p, el)))
+            m = None
+            if el.value_mode != "latest":
+                test = lambda x: _element_test(x, leaf, el)
+                m = F.exists(flat, test) if windowed else _exists_path(root, arrays, test)
+        h.append(has)
+        if el.value_mode == "latest":
+            n.append(newest)
+        else:
+            t.append(F.coalesce(m, F.lit(False)))
+            u.append(has & m.isNull())
+    if el.value_mode == "latest":
+        return {"h": _any(h), "n": F.greatest(*n) if len(n) > 1 else n[0]}
+    return {"t": _any(t), "u": _any(u), "h": _any(h)}
+
+
+def row_terms(p: Path, el: Element) -> dict[str, Column]:
+    """The element's terms on one item row of the path's source."""
+    inside = _window(None, p.date, el) if p.parts[0] and p.date and (el.date_from or el.date_to) else F.lit(True)
+    if not p.parts[0]:
+        inside = F.col(p.parts[1]).isNotNull()
+    if el.value_mode == "latest":
+        return {"h": inside, "n": F.when(inside, _dated(None, p, el))}
+    m = _element_test(None, p.parts[1], el)
+    return {"t": F.coalesce(inside & m, F.lit(False)), "u": inside & m.isNull(), "h": inside}
+
 
+def merged_terms(name: str, el: Element) -> list[Column]:
+    """Partial aggregates of the term columns ``name_t`` … over rows."""
+    kinds = ["h", "n"] if el.value_mode == "latest" else ["t", "u", "h"]
+    return [(F.max if k == "n" else F.bool_or)(f"{name}_{k}").alias(f"{name}_{k}") for k in kinds]
 
-def element_columns(el: Element, root: str | None = None) -> tuple[Column, Column, Column]:
-    """(passes, matched, has_data) for one element as boolean columns.
 
-    ``matched`` is the raw test (any path, OR, M25).  ``passes`` applies the
+def finish(el: Element, terms: Mapping[str, Column]) -> tuple[Column, Column, Column]:
+    """(passes, matched, has_data) from an element's terms.
+
+    ``matched`` is the raw test over all sources (M25).  ``passes`` applies the
     operator polarity and NULL handling: ``not_contains`` passes when nothing
-    matches — vacuously on a NULL or empty array (M3) — and NULL results of
-    other operators fail under ``exclude`` and pass under ``include`` (M16).
-    """
-    matches, datas = zip(*[_path_match(p, el, root) for p in el.paths])
-    any_match = reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(False)) for m in matches])
-    raw = reduce(lambda a, b: a | b, matches)  # three-valued
-    has_data = reduce(lambda a, b: a | b, datas)
-    if el.operator == "not_contains":
-        passes = ~any_match
+    matches — vacuously without data (M3) — and other operators fail on a NULL
+    test or no data under ``exclude`` and pass under ``include`` (M16)."""
+    has = F.coalesce(terms["h"], F.lit(False))
+    if el.value_mode == "latest":
+        raw = terms["n"]["p"]
     else:
-        passes = F.coalesce(raw, F.lit(el.null_handling == "include"))
-    return passes, any_match, has_data
+        raw = F.when(terms["t"], F.lit(True)).when(has & ~F.coalesce(terms["u"], F.lit(False)), F.lit(False))
+    matched = F.coalesce(raw, F.lit(False))
+    return (~matched if el.operator == "not_contains" else F.coalesce(raw, F.lit(el.null_handling == "include"))), matched, has
 
 
 def should(preds: Sequence[Column], minimum: int = 1) -> Column:
@@ -270,13 +320,20 @@ def is_active(measure: Measure, as_of) -> bool:
 
 
 def population(docs: DataFrame, measure: Measure, root: str | None = None) -> DataFrame:
-    """Population filters (M21): equality on scalar paths, ``None`` = no filter."""
+    """Population filters (M21): equality on scalar paths, membership on
+    arrays, ``None`` = no filter."""
     out = docs
     for path, value in population_values(measure).items():
-        out = out.filter(_root(root, path) == F.lit(value))
+        out = out.filter(_selected(docs, path, value, root))
     return out
 
 
+def _selected(docs: DataFrame, path: str, value, root: str | None) -> Column:
+    col = _root(root, path)
+    is_array = docs.select(col.alias("c")).schema["c"].dataType.typeName() == "array"
+    return F.array_contains(col, F.lit(value)) if is_array else col == F.lit(value)
+
+
 def population_values(measure: Measure) -> dict[str, object]:
     """Record path → required value of the measure's population filters."""
     return {measure.filter_paths.get(name, name): v for name, v in measure.filters.items() if v is not None}
@@ -295,24 +352,27 @@ def enrich_age(docs: DataFrame, as_of, root: str = "patient",
     return docs.withColumn(top, F.col(top).withField(rest, filled))
 
 
-def evaluate(docs: DataFrame, measure: Measure, as_of, root: str | None = None,
-             keep: Sequence[str] = ("origid",)) -> DataFrame:
-    """Per person: one boolean per active element (``<id>``), its data
-    presence (``<id>__data``), the element flags (M13) and the combined
-    result (M8 M10).  Outside the activation period every person fails."""
-    active = is_active(measure, as_of)
-    cols = [F.col(k) if isinstance(k, str) else k for k in keep]
-    passes = {}
-    for el in measure.active_elements():
-        p, m, d = element_columns(el, root)
+def _outcomes(measure: Measure, as_of, terms: Callable[[int, Element], Mapping[str, Column]]) -> list[Column]:
+    """Per active element its outcome (``<id>``), raw match and data presence,
+    the element flags (M13), and the combined result (M8 M10).  Outside the
+    activation period every person fails."""
+    cols, passes = [], {}
+    for i, el in enumerate(measure.active_elements()):
+        p, m, d = finish(el, terms(i, el))
         passes[el.id] = p
         cols += [p.alias(el.id), m.alias(f"{el.id}__match"), d.alias(f"{el.id}__data")]
         if el.flag:
             cols.append((m if el.flag_on == "match" else p).alias(el.flag))
     gating = [passes[e.id] for e in measure.gating()]
     combined = reduce(lambda a, b: a & b, gating) if gating else F.lit(True)
-    cols.append((combined & F.lit(active)).alias(measure.candidate_flag))
-    return population(docs, measure, root).select(*cols)
+    return cols + [(combined & F.lit(is_active(measure, as_of))).alias(measure.candidate_flag)]
+
+
+def evaluate(docs: DataFrame, measure: Measure, as_of, root: str | None = None,
+             keep: Sequence[str] = ("origid",)) -> DataFrame:
+    """Outcomes per person of nested records, one row each."""
+    cols = [F.col(k) if isinstance(k, str) else k for k in keep]
+    return population(docs, measure, root).select(*cols, *_outcomes(measure, as_of, lambda i, el: record_terms(el, root)))
 
 
 def worklist(evaluated: DataFrame, measure: Measure, key: str = "origid") -> DataFrame:
@@ -348,78 +408,66 @@ def rate(evaluated: DataFrame, measure: Measure, group: Sequence[str],
                        else F.lit(None).cast("boolean")).alias("meets_goal"))
 
 
-# ── evaluation over the split (parts) record layout ──────────────────────
-
-def _part_terms(p: Path, el: Element, root: str | None, tag: str) -> tuple[list[Column], callable]:
-    """Per-row partial results of one path and the function that turns the
-    per-person aggregates into (raw match, has_data)."""
-    arrays, leaf = p.parts
-    if not arrays:
-        v = _root(root, leaf)
-        partial = [F.max_by(v, F.col("part_no") == 0).alias(f"{tag}_v")]
-        return partial, lambda: (_element_test_scalar(F.col(f"{tag}_v"), el), F.col(f"{tag}_v").isNotNull())
-    flat = _flatten(root, arrays)
-    if p.date and (el.date_from or el.date_to):
-        flat = F.filter(flat, lambda x: _window(x, p.date, el))
-    has = F.coalesce(F.size(flat) > 0, F.lit(False))
-    if el.value_mode == "latest":
-        date = p.date or leaf
-        newest = F.array_max(F.transform(flat, lambda x: F.struct(
-            _get(x, date).alias("d"), _get(x, leaf).alias("v"), x.alias("e"))))
-        partial = [F.max(newest).alias(f"{tag}_n"), F.bool_or(has).alias(f"{tag}_h")]
-        return partial, lambda: (_element_test(F.col(f"{tag}_n")["e"], leaf, el, None), F.col(f"{tag}_h"))
-    if p.date and (el.date_from or el.date_to):
-        m = F.exists(flat, lambda x: _element_test(x, leaf, el, None))
-    else:
-        m = _exists_path(root, arrays, lambda x: _element_test(x, leaf, el, p.date))
-    partial = [F.bool_or(F.coalesce(m, F.lit(False))).alias(f"{tag}_t"),
-               F.bool_or(m.isNull()).alias(f"{tag}_u"), F.bool_or(has).alias(f"{tag}_h")]
+# ── evaluation by one aggregate on the person ────────────────────────────
 
-    def final():
-        raw = F.when(F.col(f"{tag}_t"), F.lit(True)).when(F.col(f"{tag}_u"), F.lit(None).cast("boolean")) \
-            .otherwise(F.lit(False))
-        return raw, F.col(f"{tag}_h")
-    return partial, final
+def _combined(rows: DataFrame, measure: Measure, as_of, key: str, keep: Sequence[str]) -> DataFrame:
+    """Outcomes from rows with term columns ``_e<i>_<kind>``, ``_here`` (the
+    person is in the population) and the columns ``keep``."""
+    elements = measure.active_elements()
+    aggs = [F.bool_or("_here").alias("_here"), *[F.max(n).alias(n) for n in keep]]
+    for i, el in enumerate(elements):
+        aggs += merged_terms(f"_e{i}", el)
+    g = rows.groupBy(key).agg(*aggs).where("_here")
+    return g.select(key, *keep, *_outcomes(measure, as_of, lambda i, el: {
+        k: F.col(f"_e{i}_{k}") for k in (("h", "n") if el.value_mode == "latest" else ("t", "u", "h"))}))
 
 
 def evaluate_parts(docs: DataFrame, measure: Measure, as_of, root: str | None = None,
                    key: str = "origid", keep: Sequence = ()) -> DataFrame:
     """:func:`evaluate` for the split record layout ``(origid, part_no,
-    n_parts, …)``: every part contributes partial results (any-match, NULL
-    seen, newest element, part-0 scalars) and one ``groupBy(person)``
-    combines them — a partial aggregate, so a person split over many parts
-    is never gathered in one task.  Results equal :func:`evaluate` on the
-    unsplit record."""
-    active = is_active(measure, as_of)
-    aggs, finals = [], {}
+    n_parts, …)``: every part contributes its terms and one ``groupBy(person)``
+    combines them, so a person split over many parts is never gathered in one
+    task.  ``keep``: (output name, column) pairs; they and the population
+    filters are taken from part 0, which alone has the person's scalars."""
+    cols = [F.col(key)]
     for i, el in enumerate(measure.active_elements()):
-        fs = []
-        for j, p in enumerate(el.paths):
-            partial, final = _part_terms(p, el, root, f"_e{i}p{j}")
-            aggs += partial
-            fs.append(final)
-        finals[el.id] = (el, fs)
-    # ``keep``: (output name, column) pairs taken from part 0
-    aggs += [F.max_by(c, F.col("part_no") == 0).alias(name) for name, c in keep]
-    # population filters hold for the person, whose scalars only part 0 has
-    wanted = population_values(measure)
-    aggs += [F.max_by(_root(root, path), F.col("part_no") == 0).alias(f"_pop{i}") for i, path in enumerate(wanted)]
-    g = docs.groupBy(key).agg(*aggs)
-    for i, value in enumerate(wanted.values()):
-        g = g.filter(F.col(f"_pop{i}") == F.lit(value))
-    cols = [F.col(key)] + [F.col(name) for name, _ in keep]
-    passes = {}
-    for eid, (el, fs) in finals.items():
-        raws, datas = zip(*[f() for f in fs])
-        any_match = reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in raws])
-        raw = reduce(lambda a, b: a | b, raws)
-        has_data = reduce(lambda a, b: a | b, datas)
-        p = ~any_match if el.operator == "not_contains" else F.coalesce(raw, F.lit(el.null_handling == "include"))
-        passes[eid] = p
-        cols += [p.alias(eid), any_match.alias(f"{eid}__match"), has_data.alias(f"{eid}__data")]
-        if el.flag:
-            cols.append((any_match if el.flag_on == "match" else p).alias(el.flag))
-    gating = [passes[e.id] for e in measure.gating()]
-    combined = reduce(lambda a, b: a & b, gating) if gating else F.lit(True)
-    cols.append((combined & F.lit(active)).alias(measure.candidate_flag))
-    return g.select(*cols)
+        cols += [c.alias(f"_e{i}_{k}") for k, c in record_terms(el, root).items()]
+    main = F.col("part_no") == 0
+    here = [_selected(docs, path, value, root) for path, value in population_values(measure).items()]
+    cols.append(F.coalesce(reduce(lambda a, b: a & b, here, main), F.lit(False)).alias("_here"))
+    cols += [F.when(main, c).alias(name) for name, c in keep]
+    return _combined(docs.select(*cols), measure, as_of, key, [name for name, _ in keep])
+
+
+def evaluate_items(persons: DataFrame, sources: Mapping[str, DataFrame], measure: Measure, as_of,
+                   key: str = "origid", keep: Sequence = ()) -> DataFrame:
+    """Outcomes without records.  ``persons`` has one row per person with the
+    flat paths as columns; ``sources`` maps an array path
+    (``encounters[].diagnoses[]``) to its elements as rows ``(key, fields…)``.
+
+    Each source is read once, for all elements that use it; its rows carry
+    their terms into one union and one aggregate on the person.  Rows of
+    persons who aren't in ``persons`` or its population count for nobody.
+    ``keep``: (output name, column of ``persons``) pairs."""
+    used: dict[str, list[tuple[int, Element, Path]]] = {}
+    for i, el in enumerate(measure.active_elements()):
+        for p in el.paths:
+            used.setdefault("".join(f"{a}[]." for a in p.parts[0])[:-1], []).append((i, el, p))
+    used.setdefault("", [])
+    frames, names = [], {}
+    for name, terms in used.items():
+        cols: dict[str, Column] = {}
+        for i, el, p in terms:
+            for k, c in row_terms(p, el).items():
+                at = f"_e{i}_{k}"      # two flat paths of one element share a row
+                cols[at] = c if at not in cols else F.greatest(cols[at], c) if k == "n" else cols[at] | c
+        if name == "":
+            df = population(persons, measure)
+            cols |= {"_here": F.lit(True), **{n: c for n, c in keep}}
+        else:
+            df = sources[name]
+        frames.append(df.select(key, *[c.alias(n) for n, c in cols.items()]))
+        names |= {f.name: f.dataType for f in frames[-1].schema.fields}
+    none = {n: F.lit(None).cast(t).alias(n) for n, t in names.items()}
+    wide = [df.select(*[n if n in df.columns else none[n] for n in names]) for df in frames]
+    return _combined(reduce(DataFrame.union, wide), measure, as_of, key, [n for n, _ in keep])

@@ -382,6 +382,20 @@ x AS (SELECT ev.*, EXISTS (SELECT 1 FROM lines l WHERE l.origid = ev.origid AND
 SELECT origid, any_excl AS has_exclusion, de_age AND de_dx AND NOT any_excl AS candidate FROM x"""
 SQL["measure_population"] = f"""WITH {MEAS}
 SELECT origid, de_dx AS has_dx, de_age AND de_dx AND NOT excl_match AS candidate FROM ev WHERE market = 'BUILDING'"""
+SQL["measure_latest_two"] = """
+WITH l AS (
+  SELECT o.o_custkey AS origid, p.p_brand AS brand, p.p_type AS type, CAST(l.l_shipdate AS DATE) AS sd, CAST(o.o_orderdate AS DATE) AS od
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey),
+dx AS (
+  SELECT origid, brand, row_number() OVER (PARTITION BY origid ORDER BY d DESC, brand DESC) AS rn FROM (
+    SELECT origid, brand, sd AS d FROM l UNION ALL SELECT origid, brand, max(od) + 60 FROM l GROUP BY 1, 2)),
+pr AS (SELECT origid, type, row_number() OVER (PARTITION BY origid ORDER BY od DESC, type DESC) AS rn FROM l)
+SELECT c.c_custkey AS origid,
+       COALESCE((SELECT upper(brand) IN ('BRAND#1', 'BRAND#2', 'BRAND#3') FROM dx WHERE dx.origid = c.c_custkey AND rn = 1), false) AS newest_dx,
+       COALESCE((SELECT upper(type) = 'PROMO' FROM pr WHERE pr.origid = c.c_custkey AND rn = 1), false) AS newest_encounter_promo,
+       COALESCE((SELECT bool_or(upper(type) = 'PROMO') FROM l WHERE l.origid = c.c_custkey AND sd >= DATE '2001-01-01'), true) AS promo_or_none
+FROM customer c"""
+
 SQL["measure_report"] = f"""WITH {MEAS}
 SELECT origid, 'de-age' AS element_id, 'Age' AS element_name, true AS required,
        CASE WHEN age IS NULL THEN 'blocked' WHEN de_age THEN 'pass' ELSE 'fail' END AS outcome FROM ev

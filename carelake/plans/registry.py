@@ -38,6 +38,7 @@ QUERIES = {
     "measure_nested2": A.measure_nested2,
     "measure_should": A.measure_should,
     "measure_latest_mode": A.measure_latest_mode,
+    "measure_latest_two": A.measure_latest_two,
     "measure_full": A.measure_full,
     "measure_full_parts": A.measure_full_parts,
     "measure_exclusion_any": A.measure_exclusion_any,

@@ -1,23 +1,29 @@
 """Sections of the person record, all persons at once.
 
-Every function takes the normalised source tables (``dict`` name →
-DataFrame, see :mod:`carelake.sources.tables`) and ``as_of`` and returns a
-DataFrame ``(origid, <section>)`` with at most one row per person.  Children
-are aggregated on their own key (encounter, result) before being attached,
-person-level arrays are one ``groupBy(origid)`` each; the assembly in
-:mod:`carelake.plans.document` left-joins them onto the person list.
+Three kinds of functions, all over the normalised source tables (``dict``
+name → DataFrame, see :mod:`carelake.sources.tables`):
+
+*   ``*_rows`` and ``*_counts``: one row per person with what a section needs
+    from a table;
+*   array sections (``labs(t, …)``): their items, as one array per person, as
+    parts of a hot person, or as plain item rows (``ITEMS``);
+*   ``*_section(…)``: the section as an expression over the gathered parts.
+
+:mod:`carelake.plans.document` gathers rows and items of all sections by one
+aggregate on the person and evaluates the expressions over it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
-from carelake.operators.aggregates import attach, pivot_latest
+from carelake.operators.aggregates import pivot_latest
 from carelake.operators.arrays import ordered_array, ordered_array_parts, ordered_distinct_concat
+from carelake.operators.gather import gather, item_rows
 from carelake.operators.latest import latest_row
 
 Tables = Mapping[str, DataFrame]
@@ -44,10 +50,17 @@ ADHERENCE_THRESHOLD = 80
 LIVE_DELETE_STATUS = "n"
 
 
-def person_array(df: DataFrame, order, fields, alias: str, part_size: int | None = None,
+#: asks an array section for its item rows
+ITEMS = "items"
+
+
+def person_array(df: DataFrame, order, fields, alias: str, part_size: int | str | None = None,
                  item_id=None) -> DataFrame:
-    """Person-level ordered array: one row per person, or — with
-    ``part_size`` — hot-person-safe parts ``(origid, part_no, n_parts, alias)``."""
+    """Person-level ordered array: one row per person, with a number as
+    ``part_size`` hot-person-safe parts ``(origid, part_no, n_parts, alias)``,
+    with ``ITEMS`` one row per item."""
+    if part_size == ITEMS:
+        return item_rows(df, "origid", order, fields, alias, item_id)
     if part_size:
         return ordered_array_parts(df, ["origid"], order, fields, alias, part_size, item_id)
     return ordered_array(df, ["origid"], order, fields, alias)
@@ -71,36 +84,39 @@ def _year(as_of) -> Column:
     return F.year(C.as_date(as_of))
 
 
+def part(name: str):
+    """Column accessor of a gathered part: ``part("patient")("birthdate")``."""
+    return lambda field: F.col(f"{name}.{field}")
+
+
 # ── person-row sections ──────────────────────────────────────────────────
 
-def demographics(t: Tables, as_of) -> DataFrame:
-    p = t["patient"]
-    return p.select("origid", obj(
-        ("last_name", F.col("lastname")), ("first_name", F.col("firstname")),
-        ("middle_name", F.col("middlename")), ("dob", C.iso_date("birthdate")),
-        ("age", C.full_years("birthdate", as_of)),
-        ("sex", C.map_label("sex", SEX_LABELS, F.col("sex"))),
-        ("sex_at_birth", F.col("sex_at_birth")), ("race", F.col("race")),
-        ("ethnicity", F.col("ethnicgroup")), ("language", F.col("language")),
-        ("civil_status", F.col("civil_status")), ("blood_group", F.col("blood_group")),
-        ("dnr_status", F.col("dnr_status")), ("nursing_home_alert", C.flag("nursing_home_alert")),
-    ).alias("demographics"))
-
-
-def contact(t: Tables) -> DataFrame:
-    p = t["patient"]
-    return p.select("origid", obj(
-        ("phone_primary", C.concat_nonnull("phone_1_code", "phone_1_nr")),
-        ("phone_secondary", F.col("phone_2_nr")), ("cellphone", F.col("cellphone_2_nr")),
-        ("email", F.col("email")), ("no_email", C.flag("no_email")),
-        ("address", obj(("street", F.col("addr_str")), ("city", F.col("addr_citytown_name")),
-                        ("state", F.col("addr_state")), ("zip", F.col("addr_zip")),
-                        ("country", F.coalesce("addr_country", F.lit("US"))),
-                        ("verified", C.flag("addr_is_valid")))),
-        ("emergency_contact", obj(("name", F.col("contact_person")),
-                                  ("relation", F.col("contact_relation")),
-                                  ("phone", F.col("contact_person_phone")))),
-    ).alias("contact"))
+def demographics_section(as_of) -> Column:
+    p = part("patient")
+    return obj(
+        ("last_name", p("lastname")), ("first_name", p("firstname")),
+        ("middle_name", p("middlename")), ("dob", C.iso_date(p("birthdate"))),
+        ("age", C.full_years(p("birthdate"), as_of)),
+        ("sex", C.map_label(p("sex"), SEX_LABELS, p("sex"))),
+        ("sex_at_birth", p("sex_at_birth")), ("race", p("race")),
+        ("ethnicity", p("ethnicgroup")), ("language", p("language")),
+        ("civil_status", p("civil_status")), ("blood_group", p("blood_group")),
+        ("dnr_status", p("dnr_status")), ("nursing_home_alert", C.flag(p("nursing_home_alert"))))
+
+
+def contact_section() -> Column:
+    p = part("patient")
+    return obj(
+        ("phone_primary", C.concat_nonnull(p("phone_1_code"), p("phone_1_nr"))),
+        ("phone_secondary", p("phone_2_nr")), ("cellphone", p("cellphone_2_nr")),
+        ("email", p("email")), ("no_email", C.flag(p("no_email"))),
+        ("address", obj(("street", p("addr_str")), ("city", p("addr_citytown_name")),
+                        ("state", p("addr_state")), ("zip", p("addr_zip")),
+                        ("country", F.coalesce(p("addr_country"), F.lit("US"))),
+                        ("verified", C.flag(p("addr_is_valid"))))),
+        ("emergency_contact", obj(("name", p("contact_person")),
+                                  ("relation", p("contact_relation")),
+                                  ("phone", p("contact_person_phone")))))
 
 
 def roster_latest(t: Tables, cc_version: str | None = None, statuses=ALIGNED_STATUSES,
@@ -117,7 +133,9 @@ def roster_latest(t: Tables, cc_version: str | None = None, statuses=ALIGNED_STA
             .withColumnRenamed("origid", "mm_curr_mbi_id")
     r = r.withColumnRenamed("mm_curr_mbi_id", "origid")
     cols = [c for c in r.columns if c != "origid"]
-    return latest_row(r, ["origid"], ["mm_date", "prov_npi_nr", "market_id"], cols)
+    first = ["mm_date", "prov_npi_nr", "market_id"]
+    # all other columns settle ties, so equal rows alone are interchangeable
+    return latest_row(r, ["origid"], first + [c for c in cols if c not in first], cols)
 
 
 def care_roles(t: Tables) -> DataFrame:
@@ -126,39 +144,42 @@ def care_roles(t: Tables) -> DataFrame:
     deterministic.  Both inputs are small dimension tables."""
     m = t["mra_dce_cm_mapping"]
     per = t["personell"]
-    named = m.join(per, m.cm_nr == per.nr).select("provider_npi", "type", "name")
-    piv = named.groupBy("provider_npi").pivot("type", list(CARE_ROLES)).agg(F.min("name"))
-    return piv.select("provider_npi", *[F.col(k).alias(v) for k, v in CARE_ROLES.items()])
+    named = m.join(per, m.cm_nr == per.nr).select("provider_npi", "type", "name", "nr")
+    pick = lambda role: F.min(F.when(F.col("type") == role, F.col("name")))
+    members = F.array_sort(F.collect_set(F.when(F.col("type").isin(list(CARE_ROLES)), F.col("nr"))))
+    return named.groupBy("provider_npi").agg(*[pick(k).alias(v) for k, v in CARE_ROLES.items()], members.alias("member_nrs"))
 
 
-def care_team(t: Tables, roster: DataFrame, as_of) -> DataFrame:
+def roster_rows(t: Tables, roster: DataFrame) -> DataFrame:
+    """Roster row with the names of the care roles of its provider."""
     roles = care_roles(t)
-    p = t["patient"].select("origid", "Next_Office_Visit")
-    r = roster.join(roles, roster.prov_npi_nr == roles.provider_npi, "left").join(p, "origid", "left")
-    return r.select("origid", obj(
-        ("id", F.concat(F.col("origid"), F.lit("_care_team"))), ("market_id", F.col("market_id")),
-        ("market_name", F.col("market_names")), ("group_name", F.col("dce_group_name")),
-        ("sub_group_name", F.col("dce_sub_group_name")), ("subgroup_id", F.col("dce_sub_group_nr")),
-        ("facility_nr", F.col("dce_group_nr")), ("facility_name", F.col("dce_group_name")),
-        ("dce_provider", F.col("dce_provider_name")), ("dce_provider_npi", F.col("prov_npi_nr")),
-        *[(v, F.col(v)) for v in CARE_ROLES.values()],
-        ("last_pcp_visit", C.iso_date("Last_PCP_Visit_Date")),
-        ("next_pcp_visit", C.iso_date("Next_Office_Visit")),
-        ("days_since_pcp_visit", C.days_between(as_of, "Last_PCP_Visit_Date")),
-    ).alias("care_team"))
-
-
-def enrollment(t: Tables, roster: DataFrame) -> DataFrame:
-    p = t["patient"].join(roster.select("origid", "ALIGN_STATUS_CODE"), "origid", "left")
-    return p.select("origid", obj(
-        ("status", F.col("status")), ("align_status_code", F.col("ALIGN_STATUS_CODE")),
-        ("ccm_enabled", C.flag("is_ccm_enabled")), ("ccm_level", F.col("ccm_level")),
-        ("ccm_active_date", C.iso_date("ccm_activedate")),
-        ("ccm_inactive_date", C.iso_date("ccm_inactivedate")),
-        ("consent_on_file", C.flag("consent_onfile")), ("dr_first_status", F.col("dr_first_status")),
-        ("high_utilizer", C.flag("is_alert_inc_alerts")), ("long_term_care", C.flag("long_term_care")),
-        ("inactive_date", C.iso_date("inactive_date")), ("inactive_reason", F.col("inactive_reason")),
-    ).alias("enrollment"))
+    return roster.join(roles, roster.prov_npi_nr == roles.provider_npi, "left").drop("provider_npi")
+
+
+def care_team_section(as_of) -> Column:
+    r, p = part("roster"), part("patient")
+    return F.when(F.col("roster").isNotNull(), obj(
+        ("id", F.concat(F.col("origid"), F.lit("_care_team"))), ("market_id", r("market_id")),
+        ("market_name", r("market_names")), ("group_name", r("dce_group_name")),
+        ("sub_group_name", r("dce_sub_group_name")), ("subgroup_id", r("dce_sub_group_nr")),
+        ("facility_nr", r("dce_group_nr")), ("facility_name", r("dce_group_name")),
+        ("dce_provider", r("dce_provider_name")), ("dce_provider_npi", r("prov_npi_nr")),
+        *[(v, r(v)) for v in CARE_ROLES.values()], ("member_nrs", r("member_nrs")),
+        ("last_pcp_visit", C.iso_date(r("Last_PCP_Visit_Date"))),
+        ("next_pcp_visit", C.iso_date(p("Next_Office_Visit"))),
+        ("days_since_pcp_visit", C.days_between(as_of, r("Last_PCP_Visit_Date")))))
+
+
+def enrollment_section() -> Column:
+    p = part("patient")
+    return obj(
+        ("status", p("status")), ("align_status_code", F.col("roster.ALIGN_STATUS_CODE")),
+        ("ccm_enabled", C.flag(p("is_ccm_enabled"))), ("ccm_level", p("ccm_level")),
+        ("ccm_active_date", C.iso_date(p("ccm_activedate"))),
+        ("ccm_inactive_date", C.iso_date(p("ccm_inactivedate"))),
+        ("consent_on_file", C.flag(p("consent_onfile"))), ("dr_first_status", p("dr_first_status")),
+        ("high_utilizer", C.flag(p("is_alert_inc_alerts"))), ("long_term_care", C.flag(p("long_term_care"))),
+        ("inactive_date", C.iso_date(p("inactive_date"))), ("inactive_reason", p("inactive_reason")))
 
 
 def adt_keys(t: Tables) -> DataFrame:
@@ -181,7 +202,7 @@ def active_coefficients(t: Tables, as_of) -> DataFrame:
 
 # ── chronic conditions, scores, capture ──────────────────────────────────
 
-def chronic_conditions(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
+def chronic_conditions(t: Tables, as_of, part_size: int | str | None = None) -> DataFrame:
     """Per (person, code) over clinical diagnoses (A4; J5 folded into one
     aggregate), coefficient lookup (J6), category of the latest detail (J7,
     D6), newest last-seen first."""
@@ -223,20 +244,22 @@ def raf_scores(t: Tables, as_of) -> DataFrame:
                       ["total_score", "initial_score", "month"])
 
 
-def raf_profile(persons: DataFrame, t: Tables, as_of) -> DataFrame:
-    """Pivot of the three types (A8); a person without rows still gets the
-    object with NULL scores (A11, decision D5)."""
-    piv = pivot_latest(raf_scores(t, as_of), ["origid"], "type", RAF_TYPES,
-                       ["total_score", "initial_score", "month"])
-    j = attach(persons, "origid", [piv])
+def raf_rows(t: Tables, as_of) -> DataFrame:
+    """Pivot of the three types (A8), one struct per type."""
+    return pivot_latest(raf_scores(t, as_of), ["origid"], "type", RAF_TYPES,
+                        ["total_score", "initial_score", "month"])
+
+
+def raf_section(as_of) -> Column:
+    """A person without rows still gets the object with NULL scores."""
     y = _year(as_of)
     parts = [("id", F.concat(F.col("origid"), F.lit("_"), y.cast("string"))), ("year", y)]
     for ty in RAF_TYPES:
-        parts.append((ty, obj(("detail_score", F.col(f"{ty}.total_score")),
-                              ("initial_score", F.col(f"{ty}.initial_score")),
-                              ("month", F.col(f"{ty}.month")))))
+        r = part(f"raf.{ty}")
+        parts.append((ty, obj(("detail_score", r("total_score")), ("initial_score", r("initial_score")),
+                              ("month", r("month")))))
     parts += [("raf_version", F.lit(RAF_VERSION)), ("score_trend", F.lit("Stable"))]
-    return j.select("origid", obj(*parts).alias("raf_profile"))
+    return obj(*parts)
 
 
 def claim_codes(t: Tables) -> DataFrame:
@@ -246,54 +269,61 @@ def claim_codes(t: Tables) -> DataFrame:
     return ai.join(me, "encounter_nr").select("origid", "diagnosis_code", "enc_date")
 
 
-def hcc_capture_counts(t: Tables, as_of) -> DataFrame:
+def hcc_capture_counts(t: Tables, as_of, level: str = "hcc") -> DataFrame:
     """Per person: eligible HCCs, captured HCCs, pct and open gaps (decision
     D4: distinct HCCs on both sides; a gap is an eligible HCC with no code
     seen this year).  Aggregated first per (person, hcc), so a heavy person
-    is spread over its groups."""
+    is spread over its groups.
+
+    ``level="code"`` counts as the source text does: captured is the number of
+    the person's (code, active category row) pairs with a code seen this year,
+    so two codes of one category count twice."""
+    if level not in ("hcc", "code"):
+        raise ValueError(f"level {level}: hcc or code")
     codes = claim_codes(t)
     seen = codes.groupBy("origid", "diagnosis_code").agg(
         F.count_if(F.year("enc_date") == _year(as_of)).alias("cnt"))
     # a code with several active categories counts for each of them
     hc = t["mra_hcc_coefficients"].filter(C.in_window("active_date", "inactive_date", as_of)).select(
-        "diagnosis_code", "hcc", "hcc_nr").distinct()
+        "diagnosis_code", "hcc", "hcc_nr")
+    hc = hc.distinct() if level == "hcc" else hc
     g = seen.join(hc, "diagnosis_code").groupBy("origid", "hcc").agg(
-        F.bool_or(F.col("cnt") > 0).alias("seen"), F.min("hcc_nr").alias("hcc_nr"))
+        F.bool_or(F.col("cnt") > 0).alias("seen"), F.min("hcc_nr").alias("hcc_nr"),
+        F.count_if(F.col("cnt") > 0).alias("seen_codes"))
+    captured = F.count_if("seen") if level == "hcc" else F.sum("seen_codes")
     gaps = F.array_sort(F.collect_list(F.when(~F.col("seen"), F.concat(F.lit("HCC-"), "hcc_nr"))))
     return g.groupBy("origid").agg(
-        F.count("*").alias("eligible_hccs"), F.count_if("seen").alias("captured_hccs"),
+        F.count("*").alias("eligible_hccs"), captured.alias("captured_hccs"),
         F.when(F.size(gaps) > 0, gaps).alias("gap_hccs"))
 
 
-def hcc_capture(persons: DataFrame, t: Tables, as_of) -> DataFrame:
-    j = attach(persons, "origid", [hcc_capture_counts(t, as_of)], {"eligible_hccs": 0})
-    y = _year(as_of)
-    return j.select("origid", obj(
+def hcc_capture_section(as_of) -> Column:
+    c, y = part("capture"), _year(as_of)
+    eligible = F.coalesce(c("eligible_hccs"), F.lit(0))
+    return obj(
         ("id", F.concat(F.col("origid"), F.lit("_"), y.cast("string"), F.lit(f"_v{HCC_VERSION}"))),
         ("year", y), ("hcc_version", F.lit(HCC_VERSION)),
-        ("eligible_hccs", F.col("eligible_hccs")), ("captured_hccs", F.col("captured_hccs")),
-        ("capture_pct", C.pct("captured_hccs", "eligible_hccs", 1)),
-        ("gap_hccs", F.col("gap_hccs")), ("gap_revenue_at_risk", F.lit(0.0)),
-    ).alias("hcc_capture"))
+        ("eligible_hccs", eligible), ("captured_hccs", c("captured_hccs")),
+        ("capture_pct", C.pct(c("captured_hccs"), eligible, 1)),
+        ("gap_hccs", c("gap_hccs")), ("gap_revenue_at_risk", F.lit(0.0)))
 
 
-def risk_scores(persons: DataFrame, as_of) -> DataFrame:
+def risk_scores_section(as_of) -> Column:
     """Placeholders only (P3): empty score arrays, NULL roster scores."""
     y = _year(as_of)
     empty = F.array().cast("array<struct<score:double,date:string>>")
-    return persons.select("origid", obj(
+    return obj(
         ("id", F.concat(F.col("origid"), F.lit("_"), y.cast("string"))), ("year", y),
         ("uha", empty), ("chf", empty),
         ("roster_scores", obj(("avg_adi_score", _null("double")), ("cdi_score", _null("double")),
-                              ("equity_score", _null("double")))),
-    ).alias("risk_scores"))
+                              ("equity_score", _null("double")))))
 
 
 def _uamcc_current(t: Tables) -> DataFrame:
     return t["mra_uamcc_details"].filter(F.col("is_most_recent_per_category") == 1)
 
 
-def uamcc_details(t: Tables, part_size: int | None = None) -> DataFrame:
+def uamcc_details(t: Tables, part_size: int | str | None = None) -> DataFrame:
     ud = _uamcc_current(t)
     return person_array(ud, ["service_date", "nr"], [
         F.col("nr").alias("id"), C.iso_date("service_date").alias("service_date"),
@@ -303,55 +333,70 @@ def uamcc_details(t: Tables, part_size: int | None = None) -> DataFrame:
         "facility_name", "claim_source", "claim_type", "version"], "details", part_size, ["nr"])
 
 
-def uamcc(persons: DataFrame, t: Tables, as_of, part_size: int | None = None) -> DataFrame:
-    """Multiple-chronic-condition summary and details (A14 A18 F9 T5).  With
-    ``part_size`` the details are left out here and attached as parts."""
-    ud = _uamcc_current(t)
-    summ = ud.groupBy("origid").agg(
+def uamcc_rows(t: Tables) -> DataFrame:
+    """Distinct conditions and code prefixes per person (A14 A18 F9); a NULL
+    value is kept as an element."""
+    distinct = lambda v: F.transform(F.array_sort(F.collect_set(F.struct(v.alias("v")))), lambda x: x["v"])
+    return _uamcc_current(t).groupBy("origid").agg(
         F.count_distinct("condition_category").alias("condition_count"),
-        F.array_sort(F.collect_set(F.struct(F.col("condition_category").alias("v")))).alias("_c"),
-        F.array_sort(F.collect_set(F.struct(F.left("diagnosis_code", F.lit(3)).alias("v")))).alias("_p"))
-    parts = [summ] if part_size else [summ, uamcc_details(t)]
-    j = attach(persons, "origid", parts, {"condition_count": 0})
-    if part_size:
-        j = j.withColumn("details", F.lit(None).cast(uamcc_details(t).schema["details"].dataType))
-    y = _year(as_of)
-    return j.select("origid", obj(
+        distinct(F.col("condition_category")).alias("conditions"),
+        distinct(F.left("diagnosis_code", F.lit(3))).alias("prefixes"))
+
+
+def uamcc_section(as_of) -> Column:
+    """Multiple-chronic-condition summary and details (T5)."""
+    u, y = part("uamcc_summary"), _year(as_of)
+    count = F.coalesce(u("condition_count"), F.lit(0))
+    return obj(
         ("id", F.concat(F.col("origid"), F.lit("_uamcc_"), y.cast("string"))),
         ("summary", obj(
             ("id", F.concat(F.col("origid"), F.lit("_"), y.cast("string"))), ("year", y),
-            ("conditions", F.transform("_c", lambda x: x["v"])),
-            ("icd_prefixes", F.transform("_p", lambda x: x["v"])),
-            ("condition_count", F.col("condition_count")),
-            ("program_eligible", F.col("condition_count") >= 2))),
-        ("details", F.col("details")),
-    ).alias("uamcc"))
+            ("conditions", u("conditions")), ("icd_prefixes", u("prefixes")),
+            ("condition_count", count), ("program_eligible", count >= 2))),
+        ("details", F.col("details")))
 
 
-def adherence_counts(t: Tables, as_of) -> DataFrame:
+def adherence_counts(t: Tables, as_of, merge_overlaps: bool = False) -> DataFrame:
     """Covered days (A9 F12): spans clipped at ``as_of``, overlaps summed as
-    the source does (D18); pct over days since the first start (A7)."""
+    the source does (D18); pct over days since the first start (A7).
+
+    ``merge_overlaps`` counts a day under several prescriptions once: spans
+    are cut at year ends, which makes the years independent, and per (person,
+    year, first day) only the longest counts, so a window holds at most 366
+    rows whoever the person is."""
     now = _ts(as_of)
     m = t["drfirst_patient_medications"].filter(
         (F.col("delete_status") == LIVE_DELETE_STATUS) & F.col("start_date").isNotNull())
-    span = F.datediff(F.least(F.coalesce("stop_date", now), now), F.col("start_date"))
-    return m.groupBy("origid").agg(F.sum(span).alias("covered"),
-                                   F.min("start_date").alias("first_start"))
-
-
-def medication_adherence(persons: DataFrame, t: Tables, as_of) -> DataFrame:
-    j = attach(persons, "origid", [adherence_counts(t, as_of)], {"covered": 0})
-    pct = C.pct("covered", F.datediff(_ts(as_of), F.col("first_start")), 2)
-    y = _year(as_of)
-    return j.select("origid", obj(
+    end = F.least(F.coalesce("stop_date", now), now)
+    summed = m.groupBy("origid").agg(F.sum(F.datediff(end, F.col("start_date"))).alias("covered"),
+                                     F.min("start_date").alias("first_start"))
+    if not merge_overlaps:
+        return summed
+    spans = m.select("origid", F.to_date("start_date").alias("a"), F.to_date(end).alias("b")).where("b > a")
+    years = spans.select("origid", "a", "b", F.explode(F.sequence(F.year("a"), F.year(F.date_sub("b", 1)))).alias("y"))
+    first, last = F.make_date("y", F.lit(1), F.lit(1)), F.make_date(F.col("y") + 1, F.lit(1), F.lit(1))
+    cut = years.groupBy("origid", "y", F.greatest("a", first).alias("a")).agg(F.max(F.least("b", last)).alias("b"))
+    before = Window.partitionBy("origid", "y").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("b").over(before), F.col("a"))
+    days = cut.select("origid", F.greatest(F.datediff("b", F.greatest("a", reached)), F.lit(0)).alias("n"))
+    merged = days.groupBy("origid").agg(F.sum("n").alias("covered"))
+    firsts = summed.select("origid", F.lit(0).cast("bigint").alias("covered"), "first_start")
+    return merged.select("origid", "covered", _null("timestamp").alias("first_start")).unionByName(firsts).groupBy("origid").agg(
+        F.sum("covered").alias("covered"), F.min("first_start").alias("first_start"))
+
+
+def adherence_section(as_of) -> Column:
+    a, y = part("adherence"), _year(as_of)
+    covered = F.coalesce(a("covered"), F.lit(0))
+    pct = C.pct(covered, F.datediff(_ts(as_of), a("first_start")), 2)
+    return obj(
         ("id", F.concat(F.col("origid"), F.lit("_"), y.cast("string"))), ("year", y),
-        ("covered_days", F.col("covered")), ("rx_adherence_pct", pct),
+        ("covered_days", covered), ("rx_adherence_pct", pct),
         ("adherence_flag", F.when(pct >= ADHERENCE_THRESHOLD, "Adequate").otherwise("Inadequate")),
-        ("star_rating_impact", F.lit("On Track")),
-    ).alias("medication_adherence"))
+        ("star_rating_impact", F.lit("On Track")))
 
 
-def hedis_measures(t: Tables, as_of, dedupe_keys=None, part_size: int | None = None) -> DataFrame:
+def hedis_measures(t: Tables, as_of, dedupe_keys=None, part_size: int | str | None = None) -> DataFrame:
     """Quality measures newest first.  ``dedupe_keys`` (U3), e.g.
     ``("ref_description", "ref_id")`` or ``("ref_description",)``: keep only
     the latest entry per key within the person (the year is constant)."""
@@ -382,51 +427,54 @@ _MED_T = ("array<struct<id:bigint,ndc_id:string,rxnorm_id:string,medication_name
           "dose_unit:string,start_date:string,stop_date:string,delete_status:string>>")
 
 
-def encounter_children(t: Tables, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Children aggregated per encounter key (J14): diagnoses with their
-    coefficient lookup, billing codes, encounter medications.  Branch-
-    specific fields are finished after the join to the encounter."""
+def encounter_children(t: Tables, as_of) -> dict[str, DataFrame]:
+    """Child items per encounter key (J14): diagnoses with their coefficient
+    lookup, billing codes, encounter medications.  Fields that depend on the
+    encounter are finished once the children are gathered."""
     hc = active_coefficients(t, as_of)
     ai = t["adt_encounter_icd_codes"].join(hc.select("diagnosis_code", "hcc", "community_nondual_aged"),
                                            "diagnosis_code", "left")
-    diag = ordered_array(ai, ["encounter_nr"], ["icd_order", "id"], [
+    diag = item_rows(ai, "encounter_nr", ["icd_order", "id"], [
         F.col("id"), F.col("diagnosis_code").alias("icd_code"), F.col("diagnosis_desc").alias("icd_desc"),
         C.iso_date("onset_date").alias("onset_date"), "problem_type", "icd_order",
         F.coalesce("status", F.lit("Active")).alias("status"), F.col("hcc").alias("hcc_number"),
         F.col("community_nondual_aged").alias("hcc_score"),
         F.col("hcc").isNotNull().alias("hcc_included"), C.flag("is_comorbid").alias("is_comorbid"),
-        F.lit("Agree").alias("agreement_status"), "source"], "diagnoses", desc=False)
+        F.lit("Agree").alias("agreement_status"), "source"], "diagnoses")
     cpt = t["mra1_encounter_bill_cpts"]
-    proc = ordered_array(cpt, ["encounter_nr"], ["bb_Code", "bb_modifier", "CLM_LINE_PROD_REV_CTR_CD"], [
+    proc = item_rows(cpt, "encounter_nr", ["bb_Code", "bb_modifier", "CLM_LINE_PROD_REV_CTR_CD"], [
         F.col("bb_Code").alias("billing_code"), F.col("bb_modifier").alias("cpt_modifier"),
-        F.col("CLM_LINE_PROD_REV_CTR_CD").alias("revenue_code")], "procedures", desc=False)
+        F.col("CLM_LINE_PROD_REV_CTR_CD").alias("revenue_code")], "procedures")
     em = t["cclf_encounter_patient_medication"]
-    meds = ordered_array(em, ["encounter_nr"], ["start_date", "id"], [
+    meds = item_rows(em, "encounter_nr", ["start_date", "id"], [
         "id", F.col("NDCID").alias("ndc_id"), F.col("RxnormID").alias("rxnorm_id"),
         F.col("medications").alias("medication_name"), "dose", "dose_unit",
         C.iso_ts_local("start_date").alias("start_date"), C.iso_ts_local("stop_date").alias("stop_date"),
         "delete_status"], "enc_medications")
-    return diag, proc, meds
-
-
-def _children_cols(enc_date: Column, source_default: Column, with_hcc: bool) -> list[Column]:
-    d = F.coalesce(F.transform("diagnoses", lambda x: x.withField(
-        "source", F.coalesce(x["source"], source_default)) if with_hcc else x.withField(
-        "source", F.coalesce(x["source"], source_default))
-        .withField("hcc_number", _null("string")).withField("hcc_score", _null("decimal(6,3)"))
-        .withField("hcc_included", _null("boolean"))), F.array().cast(_DIAG_T))
+    return {"diagnoses": diag, "procedures": proc, "enc_medications": meds}
+
+
+def _children_cols() -> list[Column]:
+    """The gathered children of an encounter ``e``; clinical encounters have no
+    category on their diagnoses."""
+    e, claim = part("e"), F.col("e.source_system") == "mra1"
+    default = F.when(claim, "mra1").otherwise(e("setting"))
+    d = F.coalesce(F.transform("diagnoses", lambda x: x.withField("source", F.coalesce(x["source"], default))
+                               .withField("hcc_number", F.when(claim, x["hcc_number"]))
+                               .withField("hcc_score", F.when(claim, x["hcc_score"]))
+                               .withField("hcc_included", F.when(claim, x["hcc_included"]))), F.array().cast(_DIAG_T))
     p = F.coalesce(F.transform("procedures", lambda x: F.struct(
-        F.concat(x["billing_code"], F.lit("_"), C.iso_date(enc_date)).alias("id"),
+        F.concat(x["billing_code"], F.lit("_"), C.iso_date(e("enc_date"))).alias("id"),
         x["billing_code"].alias("billing_code"), x["cpt_modifier"].alias("cpt_modifier"),
-        C.iso_date(enc_date).alias("procedure_date"), x["revenue_code"].alias("revenue_code"))),
+        C.iso_date(e("enc_date")).alias("procedure_date"), x["revenue_code"].alias("revenue_code"))),
         F.array().cast(_PROC_T))
     m = F.coalesce(F.col("enc_medications"), F.array().cast(_MED_T))
     return [d.alias("diagnoses"), p.alias("procedures"), m.alias("enc_medications")]
 
 
-def adt_branch(t: Tables, as_of, children) -> DataFrame:
-    diag, proc, meds = children
-    ae = attach(t["adt_encounter"], "encounter_nr", [diag, proc, meds])
+def adt_branch(t: Tables, as_of) -> DataFrame:
+    """Clinical encounters, without their children."""
+    ae = t["adt_encounter"]
     enc = obj(
         ("id", F.col("encounter_nr")), ("encounter_nr", F.col("encounter_nr")),
         ("source_system", F.lit("adt")), ("encounter_type", F.col("mos_type")),
@@ -469,17 +517,16 @@ def adt_branch(t: Tables, as_of, children) -> DataFrame:
                       ("rndrg_prvdr_npi", F.col("ATNDG_PRVDR_NPI_NUM")),
                       ("patient_status_cd", F.col("BENE_PTNT_STUS_CD")),
                       ("prvdr_spclty_cd", F.col("CLM_PRVDR_SPCLTY_CD")))),
-        # Provider specialty (claim text, else code)
-        ("specialty", F.coalesce(F.col("CLM_PRVDR_SPCLTY_CD"), F.col("taxonomy"))),
+        # Provider specialty as text (here the taxonomy) and as code
+        ("specialty", F.col("taxonomy")), ("specialty_code", F.col("CLM_PRVDR_SPCLTY_CD")),
     )
-    kids = _children_cols(F.col("encounter_date"), F.col("mos_type"), with_hcc=False)
     audit = obj(("care_status", F.col("care_status")), ("audit_status", F.col("audit_status")),
                 ("mos", F.col("mos")), ("mos_type", F.col("mos_type")),
                 ("tfu_numerator", F.col("tfu_numerator")), ("mif_exclusion", C.flag("mif_exclusion")),
                 ("census_status", F.col("census_status")))
     return ae.select("origid", F.col("encounter_date").alias("enc_date"), "encounter_nr",
-                     F.lit("adt").alias("source_system"),
-                     F.struct(enc.alias("_b"), *kids, audit.alias("audit")).alias("_e"))
+                     F.lit("adt").alias("source_system"), F.col("mos_type").alias("setting"),
+                     F.struct(enc.alias("_b"), audit.alias("audit")).alias("_e"))
 
 
 # Claim-only encounter fields — output name, source column, kind.
@@ -514,9 +561,9 @@ def _claim_value(src: str, kind: str) -> Column:
     return {"raw": F.col(src), "flag": C.flag(src), "date": C.iso_date(src)}[kind]
 
 
-def mra1_branch(t: Tables, as_of, children) -> DataFrame:
-    diag, proc, meds = children
-    me = attach(t["mra1_encounter"], "encounter_nr", [diag, proc, meds])
+def mra1_branch(t: Tables, as_of) -> DataFrame:
+    """Claim encounters, without their children."""
+    me = t["mra1_encounter"]
     enc = obj(
         ("id", F.col("encounter_nr")), ("encounter_nr", F.col("encounter_nr")),
         ("source_system", F.lit("mra1")), ("encounter_type", F.col("enc_proc_type")),
@@ -552,40 +599,39 @@ def mra1_branch(t: Tables, as_of, children) -> DataFrame:
                       ("rndrg_prvdr_npi", F.col("m_provider_npi")),
                       ("patient_status_cd", _null("string")),
                       ("prvdr_spclty_cd", F.col("m_prov_spclty_txt")))),
-        ("specialty", F.col("m_prov_spclty_txt")),
+        ("specialty", F.col("m_prov_spclty_txt")), ("specialty_code", _null("string")),
     )
     claim = obj(*[(name, _claim_value(src, kind)) for name, src, kind in CLAIM_FIELDS])
-    kids = _children_cols(F.col("enc_admit_date"), F.lit("mra1"), with_hcc=True)
     audit = obj(("care_status", _null("string")), ("audit_status", _null("string")),
                 ("mos", F.col("enc_proc_type")), ("mos_type", F.col("enc_proc_type")),
                 ("tfu_numerator", F.col("tfu_numer")), ("mif_exclusion", F.lit(False)),
                 ("census_status", _null("string")))
     return me.select("origid", F.col("enc_admit_date").alias("enc_date"), "encounter_nr",
-                     F.lit("mra1").alias("source_system"),
-                     F.struct(enc.alias("_b"), claim.alias("cclf"), *kids,
-                              audit.alias("audit")).alias("_e"))
+                     F.lit("mra1").alias("source_system"), F.col("enc_proc_type").alias("setting"),
+                     F.struct(enc.alias("_b"), claim.alias("cclf"), audit.alias("audit")).alias("_e"))
 
 
-def encounters(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
+def encounters(t: Tables, as_of, part_size: int | str | None = None) -> DataFrame:
     """The encounter spine (U1): both branches unioned by name (the nested
-    claim block is missing on clinical rows and filled with NULL), the claim
-    fields promoted to the encounter's top level, newest first (T5)."""
+    claim block is missing on clinical rows and filled with NULL), gathered
+    with their children by one aggregate on the encounter, the claim fields
+    promoted to the encounter's top level, newest first (T5)."""
+    spine = adt_branch(t, as_of).unionByName(mra1_branch(t, as_of), allowMissingColumns=True)
+    rows = item_rows(spine, "encounter_nr", ["source_system"], [c for c in spine.columns if c != "encounter_nr"], "spine")
     kids = encounter_children(t, as_of)
-    a = adt_branch(t, as_of, kids)
-    b = mra1_branch(t, as_of, kids)
-    u = a.unionByName(b, allowMissingColumns=True)
-    flat = F.struct(F.col("_e._b.*"), F.col("_e.cclf.*"),
-                    F.col("_e.diagnoses").alias("diagnoses"), F.col("_e.procedures").alias("procedures"),
-                    F.col("_e.enc_medications").alias("enc_medications"),
-                    F.col("_e.audit").alias("audit"))
-    u = u.select("origid", "enc_date", "source_system", "encounter_nr", flat.alias("e"))
+    by_key = gather(spine.select("encounter_nr"), "encounter_nr", {}, {"spine": rows, **kids}, desc={"diagnoses": False, "procedures": False})
+    u = by_key.select("encounter_nr", F.explode("spine").alias("e"), *kids)
+    u = u.select("encounter_nr", "e", *_children_cols())
+    flat = F.struct(F.col("e._e._b.*"), F.col("e._e.cclf.*"), "diagnoses", "procedures", "enc_medications",
+                    F.col("e._e.audit").alias("audit"))
+    u = u.select("e.origid", "e.enc_date", "e.source_system", "encounter_nr", flat.alias("e"))
     return person_array(u, ["enc_date", "source_system", "encounter_nr"], ["e.*"], "encounters",
                         part_size, ["source_system", "encounter_nr"])
 
 
 # ── person-level arrays ──────────────────────────────────────────────────
 
-def labs(t: Tables, part_size: int | None = None) -> DataFrame:
+def labs(t: Tables, part_size: int | str | None = None) -> DataFrame:
     """result ⋈ encounter ⟕ values ⟕ item (J9), abnormal set."""
     cr = t["cpoe_result"]
     ae = adt_keys(t).drop("encounter_date")
@@ -601,7 +647,7 @@ def labs(t: Tables, part_size: int | None = None) -> DataFrame:
         C.iso_date("specimen_collection_date").alias("collection_date")], "labs", part_size)
 
 
-def medications(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
+def medications(t: Tables, as_of, part_size: int | str | None = None) -> DataFrame:
     m = t["drfirst_patient_medications"].filter(F.col("delete_status") == LIVE_DELETE_STATUS)
     return person_array(m, ["start_date", "id"], [
         "id", F.col("RxnormID").alias("rxnorm_id"), F.col("NDCID").alias("ndc_id"),
@@ -613,7 +659,7 @@ def medications(t: Tables, as_of, part_size: int | None = None) -> DataFrame:
         "reconciled_status", "risk_indicator", "duration"], "medications", part_size)
 
 
-def assessments(t: Tables, thresholds: DataFrame | None = None, part_size: int | None = None) -> DataFrame:
+def assessments(t: Tables, thresholds: DataFrame | None = None, part_size: int | str | None = None) -> DataFrame:
     """Assessments newest first.  With a ``thresholds`` table
     ``(assessment_tools, score_threshold)`` each item also carries
     ``score_numeric`` and ``above_threshold`` (X2); scores that are not
@@ -631,7 +677,7 @@ def assessments(t: Tables, thresholds: DataFrame | None = None, part_size: int |
         "notes", C.iso_date("created_date").alias("created_date"), *extra], "assessments", part_size)
 
 
-def alerts(t: Tables, part_size: int | None = None) -> DataFrame:
+def alerts(t: Tables, part_size: int | str | None = None) -> DataFrame:
     a = t["mra_scorecard_alerts"].filter(~F.col("original_status").isin(RESOLVED_STATUSES))
     return person_array(a, ["added_date", "nr"], [
         F.col("nr").alias("id"), F.col("type").alias("alert_type"), "ref_description", "ref_detail",
@@ -649,18 +695,18 @@ def food_answers(t: Tables) -> DataFrame:
                     & (F.col("history_value") != ""))
 
 
-def food_insecurity(t: Tables) -> DataFrame:
+def food_insecurity(t: Tables, part_size: int | str | None = None) -> DataFrame:
     """Per (person, year): distinct answers newest first (A15 A16), years
     newest first."""
     h = food_answers(t).withColumn("assessment_year", F.year("created_date"))
     per_year = ordered_distinct_concat(h, ["origid", "assessment_year"], "history_value",
                                        "created_date", "responses", latest_alias="latest")
-    return ordered_array(per_year, ["origid"], ["assessment_year"], [
+    return person_array(per_year, ["assessment_year"], [
         "assessment_year", C.iso_date(F.to_date("latest")).alias("latest_date"), "responses"],
-        "food_insecurity")
+        "food_insecurity", part_size)
 
 
-def meal_plans(t: Tables, part_size: int | None = None) -> DataFrame:
+def meal_plans(t: Tables, part_size: int | str | None = None) -> DataFrame:
     m = t["sdoh_meal_plan"]
     return person_array(m, ["created_date", "nr"], [
         F.col("nr").alias("id"), "meal_type", "product_sku", "order_id", "order_status",
@@ -670,7 +716,7 @@ def meal_plans(t: Tables, part_size: int | None = None) -> DataFrame:
         C.iso_date("updated_date").alias("updated_date")], "meal_plans", part_size, ["nr"])
 
 
-def reward_programs(t: Tables, part_size: int | None = None) -> DataFrame:
+def reward_programs(t: Tables, part_size: int | str | None = None) -> DataFrame:
     r = t["chronic_disease_reward_program"]
     return person_array(r, ["date", "nr"], [
         F.col("nr").alias("id"), "program", "chronic_disease", "criteria", "status",
@@ -680,7 +726,7 @@ def reward_programs(t: Tables, part_size: int | None = None) -> DataFrame:
         "associate_name", "gift_card_to_be_issued"], "reward_programs", part_size, ["nr"])
 
 
-def transport_benefits(t: Tables, part_size: int | None = None) -> DataFrame:
+def transport_benefits(t: Tables, part_size: int | str | None = None) -> DataFrame:
     tb = t["transportation_benefit"]
     return person_array(tb, ["date", "nr"], [
         F.col("nr").alias("id"), "encounter_nr", C.iso_date("date").alias("date"), "mode",
@@ -689,31 +735,21 @@ def transport_benefits(t: Tables, part_size: int | None = None) -> DataFrame:
         "dce_provider_name", "member_type"], "transport_benefits", part_size)
 
 
-def sdoh(persons: DataFrame, t: Tables, flags: DataFrame, part_size: int | None = None) -> DataFrame:
+def sdoh_section() -> Column:
     """Social factors: yearly food answers (``[]`` when none, A13), the
     transport flag, meal plans and reward programs; ``food_insecurity_flag``
-    repeats the rule flag (decision D11).  With ``part_size`` meal plans and
-    reward programs are left out here and attached as parts."""
+    repeats the rule flag (decision D11)."""
     food_t = "array<struct<assessment_year:int,latest_date:string,responses:string>>"
-    lists = [] if part_size else [meal_plans(t), reward_programs(t)]
-    j = attach(persons, "origid", [food_insecurity(t), *lists,
-                                   flags.select("origid", "sdoh_transport_barrier",
-                                                "sdoh_food_insecurity")])
-    if part_size:
-        j = j.withColumn("meal_plans", F.lit(None).cast(meal_plans(t).schema["meal_plans"].dataType)) \
-            .withColumn("reward_programs",
-                        F.lit(None).cast(reward_programs(t).schema["reward_programs"].dataType))
-    return j.select("origid", obj(
+    return obj(
         ("id", F.concat(F.col("origid"), F.lit("_sdoh"))),
         ("food_insecurity", F.coalesce("food_insecurity", F.array().cast(food_t))),
-        ("food_insecurity_flag", F.coalesce("sdoh_food_insecurity", F.lit(False))),
-        ("transport_barrier_flag", F.coalesce("sdoh_transport_barrier", F.lit(False))),
+        ("food_insecurity_flag", F.coalesce("food.sdoh_food_insecurity", F.lit(False))),
+        ("transport_barrier_flag", F.coalesce("rides.sdoh_transport_barrier", F.lit(False))),
         ("housing_instability", F.lit(False)),
-        ("meal_plans", F.col("meal_plans")), ("reward_programs", F.col("reward_programs")),
-    ).alias("sdoh"))
+        ("meal_plans", F.col("meal_plans")), ("reward_programs", F.col("reward_programs")))
 
 
-def emr_appointments(t: Tables, part_size: int | None = None) -> DataFrame:
+def emr_appointments(t: Tables, part_size: int | str | None = None) -> DataFrame:
     """Appointments of the listed types joined to the person's account (J12),
     text times trimmed to 19 characters (F9 F10)."""
     am = t["allergies_medications"].filter(F.col("type").isin(APPOINTMENT_TYPES))
@@ -728,14 +764,13 @@ def emr_appointments(t: Tables, part_size: int | None = None) -> DataFrame:
         part_size)
 
 
-def meta(persons: DataFrame, run_ts, trigger: Column | str = "initial_load",
-         sequence: Column | None = None, source_db: str | None = None) -> DataFrame:
+def meta_section(run_ts, trigger: Column | str = "initial_load",
+                 sequence: Column | None = None, source_db: str | None = None) -> Column:
     """``_meta``: run time, source, schema version, trigger (C16) and the
     change sequence that produced the record (C15)."""
     ts = C.iso_ts(F.lit(str(run_ts)).cast("timestamp"))
     trig = trigger if isinstance(trigger, Column) else F.lit(trigger)
     seq = sequence if sequence is not None else _null("bigint")
-    return persons.select("origid", obj(
+    return obj(
         ("created_at", ts), ("last_modified_at", ts), ("source_db", F.lit(source_db)),
-        ("schema_version", F.lit("2.0")), ("trigger_source", trig), ("cdc_sequence", seq),
-    ).alias("_meta"))
+        ("schema_version", F.lit("2.0")), ("trigger_source", trig), ("cdc_sequence", seq))

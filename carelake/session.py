@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.ui.enabled": "false",
+    # the record plan is thousands of column calls; without call sites it is built in half the time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files of per-batch rebuild sets are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
