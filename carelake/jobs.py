@@ -43,7 +43,7 @@ def build(args) -> None:
     if getattr(args, "store", None):
         if args.part_size:
             raise SystemExit("--store keeps one row per person; leave --part-size out")
-        from carelake.streaming.refresh import RecordStore
+        from carelake.streaming.store import RecordStore
         RecordStore(spark, args.store, n_buckets=args.store_buckets).write(docs)
     key_cols = ["origid", "part_no"] if args.part_size else ["origid"]
     write_documents(docs, f"{args.out}/records", n_buckets=args.buckets)

@@ -134,7 +134,8 @@ def write_documents(docs: DataFrame, path: str, n_buckets: int = 64, fmt: str =
     one JSON object per line, NULL fields kept; a later replace of some
     persons rewrites only their buckets."""
     out = docs.withColumn("bucket", bucket_col(n_buckets))
-    w = out.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+    # a bucket beyond the advisory partition size is split over several tasks and files
+    w = out.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket")
     if fmt == "json":
         w.option("ignoreNullFields", "false").json(path)
     else:

@@ -532,6 +532,12 @@ SELECT CAST(o_custkey AS VARCHAR) AS origid, count(*) AS n_orders,
        strftime(max(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS last_order
 FROM orders GROUP BY o_custkey"""
 
+SQL["stream_compact"] = SQL["stream_replace"]
+
+SQL["stream_trigger"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS origid, count(*) >= 10 AS busy, true AS once
+FROM orders GROUP BY o_custkey HAVING max(o_orderdate) >= TIMESTAMP '1998-01-01'"""
+
 SQL["doc_files"] = """
 WITH n AS (SELECT o_custkey, count(*) AS n_enc, strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS dob
            FROM orders GROUP BY o_custkey),

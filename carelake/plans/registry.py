@@ -62,6 +62,8 @@ QUERIES = {
     "doc_cardinality": A.doc_cardinality,
     "doc_missing": A.doc_missing,
     "stream_replace": A.stream_replace,
+    "stream_compact": A.stream_compact,
+    "stream_trigger": A.stream_trigger,
     "doc_files": A.doc_files,
     "ext_flags": A.ext_flags,
     "ext_threshold": A.ext_threshold,

@@ -7,9 +7,9 @@ each batch, so a hop never misses a parent written after the stream
 started), rebuild those persons' records from the current tables with the
 same batch function, and replace them in the record table.
 
-The record table is bucketed by person hash on the shared file system
-(:class:`RecordStore`): a batch rewrites only the buckets of the persons it
-touches and then swaps a small manifest; the writer is the single
+The record table (:class:`~carelake.streaming.store.RecordStore`) is bucketed by
+person hash on the shared file system: a batch appends the records of the
+persons it touches and then swaps a small manifest; the writer is the single
 ``foreachBatch`` sink, and a batch already committed is skipped when it is
 re-run after a failure.  Checkpoints live under ``spark.checkpoint.dir``.
 """
@@ -23,145 +23,7 @@ from pyspark.sql import functions as F
 
 from carelake.plans.cdc import CHANGE_SCHEMA, Route, affected, persons_to_rebuild
 from carelake.session import shared_dir
-
-
-class RecordStore:
-    """Record table kept current by bucket: ``root/batch=<id>/bucket=<b>/``
-    folders plus a manifest ``root/_manifest/<seq>.json`` naming the live
-    batch of every bucket.
-
-    A replace touches only the buckets holding the affected persons: their
-    live rows minus those persons, plus the fresh records, are written under
-    a new ``batch=<id>`` folder, then the manifest is swapped (atomic rename).
-    A micro-batch rewrites the touched buckets, not the table, and scans the
-    source tables; readers always see a complete manifest.  The manifest has one entry per
-    bucket, so its size is set by the configuration, never by the data.
-    File operations go through the Hadoop FileSystem of the path."""
-
-    def __init__(self, spark: SparkSession, root: str, n_buckets: int = 64, key: str = "origid",
-                 keep_manifests: int = 3):
-        self.spark, self.root, self.n_buckets, self.key = spark, root, n_buckets, key
-        self.keep_manifests = keep_manifests
-        jvm = spark.sparkContext._jvm
-        self._jvm = jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._Path(root).getFileSystem(conf)
-
-    # ── manifest ──
-    def _mdir(self):
-        return self._Path(self.root + "/_manifest")
-
-    def _manifests(self) -> list:
-        if not self._fs.exists(self._mdir()):
-            return []
-        names = [x.getPath().getName() for x in self._fs.listStatus(self._mdir())]
-        return sorted((n for n in names if n.endswith(".json")), key=lambda n: int(n.split(".")[0]))
-
-    def _read_text(self, path) -> str:
-        stream = self._fs.open(path)
-        try:
-            r = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream))
-            lines, line = [], r.readLine()
-            while line is not None:
-                lines.append(line)
-                line = r.readLine()
-            return "\n".join(lines)
-        finally:
-            stream.close()
-
-    def manifest(self) -> dict:
-        ms = self._manifests()
-        if not ms:
-            return {}
-        import json
-        return json.loads(self._read_text(self._Path(f"{self.root}/_manifest/{ms[-1]}")))
-
-    def _write_manifest(self, entries: dict) -> None:
-        import json
-        ms = self._manifests()
-        seq = int(ms[-1].split(".")[0]) + 1 if ms else 0
-        tmp = self._Path(f"{self.root}/_manifest/.{seq}.tmp")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
-        finally:
-            out.close()
-        if not self._fs.rename(tmp, self._Path(f"{self.root}/_manifest/{seq}.json")):
-            raise IOError(f"manifest {seq} of {self.root} could not be put in place")
-        self._prune()
-
-    def _prune(self) -> None:
-        """Keep the last ``keep_manifests`` manifests and the batch folders
-        they reference; delete the rest."""
-        import json
-        ms = self._manifests()
-        live = set()
-        for m in ms[-self.keep_manifests:]:
-            live |= set(json.loads(self._read_text(self._Path(f"{self.root}/_manifest/{m}"))).values())
-        for m in ms[:-self.keep_manifests]:
-            self._fs.delete(self._Path(f"{self.root}/_manifest/{m}"), False)
-        for x in self._fs.listStatus(self._Path(self.root)):
-            name = x.getPath().getName()
-            if x.isDirectory() and name.startswith("batch=") and name.split("=", 1)[1] not in live:
-                self._fs.delete(x.getPath(), True)
-
-    # ── data ──
-    def _paths(self, entries: dict, buckets=None) -> list[str]:
-        return [f"{self.root}/batch={v}/bucket={b}" for b, v in entries.items()
-                if buckets is None or int(b) in buckets]
-
-    def read(self, buckets=None) -> DataFrame | None:
-        entries = self.manifest()
-        paths = self._paths(entries, buckets)
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def bucket(self) -> "Column":
-        return F.pmod(F.xxhash64(self.key), F.lit(self.n_buckets)).cast("int")
-
-    def replace(self, fresh: DataFrame, batch_id: str, persons: DataFrame | None = None) -> None:
-        """Replace the records of ``persons`` (default: the persons in
-        ``fresh``) by ``fresh`` (S9): a routed person without a fresh record —
-        deleted at the source — loses its record."""
-        entries = self.manifest()
-        fresh = fresh.withColumn("bucket", self.bucket())
-        ids = (persons if persons is not None else fresh).select(self.key).distinct()
-        ids = ids.withColumn("bucket", self.bucket())
-        touched = sorted(r[0] for r in ids.select("bucket").distinct().collect())  # ≤ n_buckets values
-        current = self.read(set(touched))
-        if current is not None:
-            keep = current.join(ids.select(self.key), self.key, "left_anti").withColumn("bucket", self.bucket())
-            new = keep.unionByName(fresh)
-        else:
-            new = fresh
-        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
-            .parquet(f"{self.root}/batch={batch_id}")
-        written = self._written_buckets(batch_id)
-        for b in touched:              # a touched bucket left empty (deletes) has no folder
-            if str(b) in written:
-                entries[str(b)] = str(batch_id)
-            else:
-                entries.pop(str(b), None)
-        self._write_manifest(entries)
-
-    def _written_buckets(self, batch_id) -> set[str]:
-        d = self._Path(f"{self.root}/batch={batch_id}")
-        if not self._fs.exists(d):
-            return set()
-        return {x.getPath().getName().split("=", 1)[1] for x in self._fs.listStatus(d)
-                if x.isDirectory() and x.getPath().getName().startswith("bucket=")}
-
-    def write(self, df: DataFrame, batch_id: str = "init") -> None:
-        """Full (initial) load: every bucket written under ``batch=<id>``."""
-        df = df.withColumn("bucket", self.bucket())
-        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \
-            .parquet(f"{self.root}/batch={batch_id}")
-        self._write_manifest({b: str(batch_id) for b in self._written_buckets(batch_id)})
-
-    def applied(self, batch_id) -> bool:
-        """True when some bucket's live version is this batch (a re-run of a
-        committed batch is skipped; its folder is never read and rewritten)."""
-        return str(batch_id) in set(self.manifest().values())
+from carelake.streaming.store import RecordStore
 
 
 def stamp_provenance(fresh: DataFrame, todo: DataFrame, key: str = "origid") -> DataFrame:
@@ -181,7 +43,7 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
                   load_tables: Callable[[], Mapping[str, DataFrame]],
                   build: Callable[[Mapping[str, DataFrame], DataFrame], DataFrame],
                   routes: Sequence[Route], key: str = "origid",
-                  after: Callable[[DataFrame, DataFrame, int], None] | None = None,
+                  after: Callable[[DataFrame, DataFrame, str], None] | None = None,
                   version: str | None = None) -> None:
     """One micro-batch: route → distinct persons → rebuild → replace.
 
@@ -209,7 +71,9 @@ def refresh_batch(changes: DataFrame, batch_id: int, *, store: RecordStore,
     current = store.read() if after is not None else None
     if current is not None:
         # the hook reads the committed records, not a re-computation
-        after(current.join(todo.select(key), key, "left_semi"), aff, batch_id)
+        after(current.join(todo.select(key), key, "left_semi"), aff, version)
+    if not done:
+        store.compact()
 
 
 def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
@@ -241,18 +105,19 @@ def start(spark: SparkSession, change_dir: str, *, store: RecordStore,
     return w.start()
 
 
-def measure_trigger(measure, as_of, out_dir: str, root: str = "patient",
+def measure_trigger(measure, as_of, out_dir: str, root: str | None = "patient",
                     trigger_tables: Sequence[str] = ("adt_encounter", "mra1_encounter"),
-                    key: str = "origid") -> Callable[[DataFrame, DataFrame, int], None]:
+                    key: str = "origid", enrich: bool = True) -> Callable[[DataFrame, DataFrame, str], None]:
     """Event trigger (M23): after a batch, re-evaluate ``measure`` for the
     persons whose change came from an encounter table ("encounter start")
-    and append the results under ``out_dir/batch=<id>`` (idempotent per
-    batch: a re-run overwrites its own folder)."""
+    and write the results under ``out_dir/batch=<version>``.  The version
+    names the stream and the batch, so a re-run overwrites its own output and
+    no other stream's: every triggered person stands there once."""
     from carelake.plans import measures as M
 
-    def hook(docs: DataFrame, aff: DataFrame, batch_id: int) -> None:
+    def hook(docs: DataFrame, aff: DataFrame, version: str) -> None:
         hit = aff.filter(F.col("table").isin(list(trigger_tables))).select(key).distinct()
         d = docs.join(hit, key, "left_semi")
-        ev = M.evaluate(M.enrich_age(d, as_of, root=root), measure, as_of, root=root)
-        ev.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        d = M.enrich_age(d, as_of, root=root) if enrich else d
+        M.evaluate(d, measure, as_of, root=root, keep=(key,)).write.mode("overwrite").parquet(f"{out_dir}/batch={version}")
     return hook
