@@ -11,6 +11,7 @@ sections.  JSON text is produced only at the sink.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,10 @@ SECTION_ORDER = [
     "hedis_measures", "encounters", "labs", "medications", "assessments", "alerts", "sdoh",
     "transport_benefits", "emr_appointments", "_meta",
 ]
+#: what a section reads beside an array of its own name; the flags' needs are those of flags.flag_parts
+NEEDS = {"demographics": ["patient"], "contact": ["patient"], "care_team": ["roster", "patient"], "enrollment": ["patient", "roster"],
+         "raf_profile": ["raf"], "hcc_capture": ["capture"], "uamcc": ["uamcc_summary", "details"], "medication_adherence": ["adherence"],
+         "sdoh": ["food", "rides", "food_insecurity", "meal_plans", "reward_programs"]}
 #: arrays inside a section
 NESTED = {"uamcc": ["details"], "sdoh": ["meal_plans", "reward_programs"]}
 
@@ -54,10 +59,13 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
                     source_db: str | None = None, xref: DataFrame | None = None,
                     measure_dedupe_keys=None, score_thresholds: DataFrame | None = None,
                     stage_dir: str | None = None, part_size: int | None = None, capture_level: str = "hcc",
-                    merge_overlaps: bool = False) -> DataFrame:
+                    merge_overlaps: bool = False, sections: Sequence[str] | None = None) -> DataFrame:
     """``(origid, patient struct)`` — one row per person (V4 holds by
     construction: one aggregate keyed by ``origid``).
 
+    ``sections`` chooses some of :data:`SECTION_ORDER` (P16, C5): only their
+    source tables are read, and the struct holds only them.
+
     ``stage_dir`` (a folder under ``spark.checkpoint.dir``) materialises the
     rows of every section as Parquet before they are gathered.
 
@@ -74,32 +82,40 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     persons, roster = persons_with_roster(t, cc_version, how, xref)
     roster = stage(roster, sp("roster"))
     persons = stage(persons, sp("persons"))
-    rows = {**FL.flag_parts(t, as_of), "capture": S.hcc_capture_counts(t, as_of, capture_level),
-            "adherence": S.adherence_counts(t, as_of, merge_overlaps), "roster": S.roster_rows(t, roster), "raf": S.raf_rows(t, as_of)}
+    wanted = [n for n in SECTION_ORDER if sections is None or n in sections]
+    if sections is not None and set(sections) - set(SECTION_ORDER):
+        raise ValueError(f"no such sections: {sorted(set(sections) - set(SECTION_ORDER))}")
+    flag_rows = FL.flag_parts(t, as_of)
+    rows = {**flag_rows, "capture": lambda: S.hcc_capture_counts(t, as_of, capture_level),
+            "adherence": lambda: S.adherence_counts(t, as_of, merge_overlaps), "roster": lambda: S.roster_rows(t, roster),
+            "raf": lambda: S.raf_rows(t, as_of)}
     items = {
-        "chronic_conditions": S.chronic_conditions(t, as_of, S.ITEMS),
-        "hedis_measures": S.hedis_measures(t, as_of, measure_dedupe_keys, S.ITEMS),
-        "encounters": S.encounters(t, as_of, S.ITEMS), "labs": S.labs(t, S.ITEMS),
-        "medications": S.medications(t, as_of, S.ITEMS), "assessments": S.assessments(t, score_thresholds, S.ITEMS),
-        "alerts": S.alerts(t, S.ITEMS), "transport_benefits": S.transport_benefits(t, S.ITEMS),
-        "emr_appointments": S.emr_appointments(t, S.ITEMS), "details": S.uamcc_details(t, S.ITEMS),
-        "meal_plans": S.meal_plans(t, S.ITEMS), "reward_programs": S.reward_programs(t, S.ITEMS),
-        "food_insecurity": S.food_insecurity(t, S.ITEMS),
+        "chronic_conditions": lambda: S.chronic_conditions(t, as_of, S.ITEMS),
+        "hedis_measures": lambda: S.hedis_measures(t, as_of, measure_dedupe_keys, S.ITEMS),
+        "encounters": lambda: S.encounters(t, as_of, S.ITEMS), "labs": lambda: S.labs(t, S.ITEMS),
+        "medications": lambda: S.medications(t, as_of, S.ITEMS), "assessments": lambda: S.assessments(t, score_thresholds, S.ITEMS),
+        "alerts": lambda: S.alerts(t, S.ITEMS), "transport_benefits": lambda: S.transport_benefits(t, S.ITEMS),
+        "emr_appointments": lambda: S.emr_appointments(t, S.ITEMS), "details": lambda: S.uamcc_details(t, S.ITEMS),
+        "meal_plans": lambda: S.meal_plans(t, S.ITEMS), "reward_programs": lambda: S.reward_programs(t, S.ITEMS),
+        "food_insecurity": lambda: S.food_insecurity(t, S.ITEMS),
     }
-    rows = {k: stage(v, sp(f"rows_{k}")) for k, v in rows.items()}
-    items = {k: stage(v, sp(f"items_{k}")) for k, v in items.items()}
+    needed = {p for n in wanted for p in (flag_rows if n == "rule_flags" else NEEDS.get(n, [n]))}
+    rows = {k: stage(build(), sp(f"rows_{k}")) for k, build in rows.items() if k in needed}
+    items = {k: stage(build(), sp(f"items_{k}")) for k, build in items.items() if k in needed}
     g = gather(persons, "origid", rows, items, part_size)
-    sections = {
-        "id": F.col("origid"), "origid": F.col("origid"),
-        "demographics": S.demographics_section(as_of), "contact": S.contact_section(), "care_team": S.care_team_section(as_of),
-        "enrollment": S.enrollment_section(), "rule_flags": F.struct(*FL.flag_columns(as_of, run)), "raf_profile": S.raf_section(as_of),
-        "hcc_capture": S.hcc_capture_section(as_of), "risk_scores": S.risk_scores_section(as_of), "uamcc": S.uamcc_section(as_of),
-        "medication_adherence": S.adherence_section(as_of), "sdoh": S.sdoh_section(),
-        "_meta": S.meta_section(run, trigger, sequence, source_db),
+    values = {
+        "id": lambda: F.col("origid"), "origid": lambda: F.col("origid"),
+        "demographics": lambda: S.demographics_section(as_of), "contact": S.contact_section,
+        "care_team": lambda: S.care_team_section(as_of), "enrollment": S.enrollment_section,
+        "rule_flags": lambda: F.struct(*FL.flag_columns(as_of, run)), "raf_profile": lambda: S.raf_section(as_of),
+        "hcc_capture": lambda: S.hcc_capture_section(as_of), "risk_scores": lambda: S.risk_scores_section(as_of),
+        "uamcc": lambda: S.uamcc_section(as_of), "medication_adherence": lambda: S.adherence_section(as_of), "sdoh": S.sdoh_section,
+        "_meta": lambda: S.meta_section(run, trigger, sequence, source_db),
     }
+    values = {n: values[n]() if n in values else F.col(n) for n in wanted}
     if part_size:
-        sections = {n: c if n in ("id", "origid") else _first_part(n, c, g) for n, c in sections.items()}
-    fields = [(sections[n] if n in sections else F.col(n)).alias(n) for n in SECTION_ORDER]
+        values = {n: c if n in ("id", "origid") or n in items else _first_part(n, c, g) for n, c in values.items()}
+    fields = [c.alias(n) for n, c in values.items()]
     if not part_size:
         return g.select("origid", F.struct(*fields).alias("patient"))
     return g.select("origid", "part_no", "n_parts", F.struct(*fields).alias("patient"))

@@ -10,6 +10,8 @@ missing values get the value an aggregate over no rows has in the source
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,12 +110,13 @@ def raf_flag(t) -> DataFrame:
     return last.select("origid", F.round("total_score", 4).alias("raf_score"))
 
 
-def flag_parts(t, as_of) -> dict[str, DataFrame]:
-    """What the flags need, one row per person each."""
-    rides, meals = sdoh_flags(t, as_of)
-    return {"patient": t["patient"], "raf_flag": raf_flag(t), "stays": encounter_flags(t, as_of), "awv": awv_flags(t, as_of),
-            "alert_counts": alert_flags(t), "food": food_flag(t), "rides": rides, "meals": meals, "plans": care_plan_flags(t, as_of),
-            "uamcc_summary": S.uamcc_rows(t), "capture": S.hcc_capture_counts(t, as_of), "adherence": S.adherence_counts(t, as_of)}
+def flag_parts(t, as_of) -> dict[str, Callable[[], DataFrame]]:
+    """What the flags need, one row per person each, built when asked for."""
+    return {"patient": lambda: t["patient"], "raf_flag": lambda: raf_flag(t), "stays": lambda: encounter_flags(t, as_of),
+            "awv": lambda: awv_flags(t, as_of), "alert_counts": lambda: alert_flags(t), "food": lambda: food_flag(t),
+            "rides": lambda: sdoh_flags(t, as_of)[0], "meals": lambda: sdoh_flags(t, as_of)[1], "plans": lambda: care_plan_flags(t, as_of),
+            "uamcc_summary": lambda: S.uamcc_rows(t), "capture": lambda: S.hcc_capture_counts(t, as_of),
+            "adherence": lambda: S.adherence_counts(t, as_of)}
 
 
 def flag_columns(as_of, run_ts=None) -> list[Column]:
@@ -151,4 +154,5 @@ def flag_columns(as_of, run_ts=None) -> list[Column]:
 def rule_flags(t, as_of, run_ts=None, persons: DataFrame | None = None) -> DataFrame:
     """``(origid, <26 flags>, <5 extension flags>)`` as flat columns."""
     base = persons if persons is not None else t["patient"]
-    return gather(base.select("origid"), "origid", flag_parts(t, as_of), {}).select("origid", *flag_columns(as_of, run_ts))
+    rows = {name: build() for name, build in flag_parts(t, as_of).items()}
+    return gather(base.select("origid"), "origid", rows, {}).select("origid", *flag_columns(as_of, run_ts))

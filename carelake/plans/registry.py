@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from carelake.plans import analogs as A
+from carelake.plans import domain_oracles, domain_queries
 from carelake.plans.oracles import SQL
 
 QUERIES = {
@@ -69,6 +70,7 @@ QUERIES = {
     "ext_threshold": A.ext_threshold,
     "doc_parts": A.doc_parts,
     "doc_domain": A.doc_domain,
+    **domain_queries.QUERIES,
 }
 
-ORACLES = dict(SQL)
+ORACLES = {**SQL, **domain_oracles.SQL}

@@ -34,6 +34,8 @@ VISIT_FLAGS = ["is_enc_ref_admitdate", "is_readmit", "is_c2_readmit", "is_enc_tr
 ROLES = ["CCM_MNGT", "Outreach", "census_notes", "census_mos"]
 ANSWERS = ["Often true", "Never true", "Sometimes true"]
 AWV_CODE = "G0439"
+AS_OF, PLAN_START = "2001-08-01", "2001-05-01"
+ERAS = [("", "1990-01-01", "2100-01-01"), ("OLD-", "1990-01-01", "2000-01-01"), ("NEXT-", "2050-01-01", "2100-01-01")]
 
 
 def shape(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +65,16 @@ def derive(t: Tables) -> dict[str, DataFrame]:
                     1 + F.col("c_custkey") % 28).alias("birthdate"),
         F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("sex"),
         F.col("c_mktsegment").alias("status"), F.col("c_custkey").cast("string").alias("account_id"),
+        F.when(F.col("c_custkey") % 3 != 0, F.date_sub(F.lit(AS_OF).cast("date"), (F.col("c_custkey") % 800).cast("int"))).alias("Last_PCP_Visit_Date"),
+        (F.col("c_custkey") % 2).cast("int").alias("consent_onfile"), (F.col("c_custkey") % 3).cast("string").alias("ccm_level"),
         (F.col("c_acctbal") > 5000).cast("int").alias("is_ccm_enabled"))
+    k = F.col("c_custkey")
+    out["care_plan_patient"] = c.select(
+        k.cast("string").alias("origid"), (k % 3).cast("int").alias("plan_status"),
+        F.when(k % 4 != 0, F.date_add(F.lit(AS_OF).cast("date"), (k % 60 - 30).cast("int"))).alias("plan_inactive_datetime"),
+        F.when(k % 5 == 1, "abc").when(k % 5 != 0, F.concat((k % 90).cast("string"), F.lit(" days"))).alias("reassessment"),
+        F.when(k % 2 == 0, F.date_add(F.lit(PLAN_START).cast("date"), (k % 80).cast("int"))).alias("updated_date"),
+        F.date_add(F.lit(PLAN_START).cast("date"), (k % 60).cast("int")).alias("plan_start_date"))
     out["dc_bene_alignment_rostr_m01"] = c.select(
         F.col("c_custkey").cast("string").alias("mm_curr_mbi_id"), F.lit("1").alias("cc_version"),
         F.lit("2001-01-01").cast("date").alias("mm_date"), F.lit("AL").alias("ALIGN_STATUS_CODE"),
@@ -79,7 +90,7 @@ def derive(t: Tables) -> dict[str, DataFrame]:
     out["adt_encounter"] = clinical.select(
         F.concat(F.lit("A"), F.col("o_orderkey").cast("string")).alias("encounter_nr"), pid.alias("origid"),
         F.col("o_orderpriority").alias("mos_type"), cls.alias("encounter_class_nr"),
-        F.when(F.col("o_orderstatus") == "F", "closed").alias("encounter_status"),
+        F.when(F.col("o_orderstatus") == "F", "closed").when(F.col("o_orderkey") % 2 == 0, "active").alias("encounter_status"),
         d.alias("encounter_date"),
         F.when(F.col("o_orderstatus") == "F", F.date_add(d, cls)).alias("discharge_date"),
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("m_redmit_flag"))
@@ -112,6 +123,13 @@ def derive(t: Tables) -> dict[str, DataFrame]:
         F.to_date("l_shipdate").alias("onset_date"), F.col("l_linenumber").alias("icd_order"),
         F.when(F.col("l_linestatus") == "O", "Active").alias("status"),
         (F.col("l_returnflag") == "A").cast("int").alias("is_comorbid"))
+    # the newest of a condition is the odd lines', so a condition may have several
+    out["mra_uamcc_details"] = lines.filter(F.col("o_orderstatus") == "P").select(
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("nr"),
+        F.col("o_custkey").cast("string").alias("origid"), F.to_date("l_shipdate").alias("service_date"),
+        F.col("p_type").alias("condition_category"), F.col("p_brand").alias("diagnosis_code"),
+        F.col("l_returnflag").alias("claim_type"), F.col("l_linenumber").alias("version"),
+        (F.col("l_linenumber") % 2).alias("is_most_recent_per_category"))
     out["mra1_encounter_icd_codes"] = lines.filter(F.col("o_orderstatus") == "P").select(
         "encounter_nr", F.col("p_brand").alias("diagnosis_code"))
     out["mra1_encounter_bill_cpts"] = lines.select(
@@ -138,11 +156,15 @@ def derive(t: Tables) -> dict[str, DataFrame]:
         F.when(F.col("l_returnflag") == "R", "H").when(F.col("l_returnflag") == "A", "L")
         .alias("notes_abnormality_flag"))
     out["cpoe_item"] = p.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_name"))
-    out["mra_hcc_coefficients"] = p.groupBy(F.col("p_brand").alias("diagnosis_code")).agg(
+    codes = p.groupBy(F.col("p_brand").alias("diagnosis_code")).agg(
         F.min("p_type").alias("hcc"), F.min("p_type").alias("hcc_nr"),
-        (F.max("p_retailprice") / 1000).alias("community_nondual_aged")).select(
-        "*", F.lit("1990-01-01").cast("timestamp").alias("active_date"),
-        F.lit("2100-01-01").cast("timestamp").alias("inactive_date"))
+        (F.max("p_retailprice") / 1000).alias("community_nondual_aged"))
+    # each code also has a row that is no longer valid and one that isn't yet, of other categories
+    out["mra_hcc_coefficients"] = codes.select("*", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("era"), F.lit(a).cast("timestamp").alias("active_date"), F.lit(b).cast("timestamp").alias("inactive_date"))
+        for n, a, b in ERAS])).alias("e")).select(
+        "diagnosis_code", F.concat("e.era", "hcc").alias("hcc"), F.concat("e.era", "hcc_nr").alias("hcc_nr"),
+        "community_nondual_aged", "e.active_date", "e.inactive_date")
 
     ev = e.select("event_id", F.col("user_id").cast("string").alias("origid"), "event_type", "ts",
                   _k().alias("k"))
@@ -167,8 +189,16 @@ def derive(t: Tables) -> dict[str, DataFrame]:
     out["transportation_benefit"] = ev.filter(F.col("event_type") == "click").select(
         F.col("event_id").alias("nr"), F.col("origid").alias("orig_id"), F.to_date("ts").alias("date"))
     out["sdoh_meal_plan"] = ev.filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("nr"), "origid", F.lit("ordered").alias("order_status"),
+        F.col("event_id").alias("nr"), "origid", F.when(F.col("k") % 5 != 0, "ordered").otherwise("cancelled").alias("order_status"),
+        F.when(F.col("k") % 3 == 1, F.date_add(F.lit("2001-07-01").cast("date"), F.col("k") % 60))
+        .when(F.col("k") % 3 == 2, F.lit("2000-01-01").cast("date")).alias("end_date"),
         F.to_date("ts").alias("created_date"))
+    out["chronic_disease_reward_program"] = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("nr"), "origid", F.concat(F.lit("Program "), (F.col("k") % 3).cast("string")).alias("program"),
+        F.to_date("ts").alias("date"), F.when(F.col("k") % 2 == 0, "yes").alias("gift_card_received"))
+    out["mra_assessments_and_screenings"] = ev.filter(F.col("event_type") == "error").select(
+        F.col("event_id").alias("nr"), "origid", F.concat(F.lit("Tool "), (F.col("k") % 4).cast("string")).alias("assessment_tools"),
+        F.to_date("ts").alias("date_completed"), F.when(F.col("k") % 9 == 0, "n/a").otherwise(F.col("k").cast("string")).alias("score"))
     out["allergies_medications"] = ev.filter(F.col("event_type") == "signup").select(
         F.col("event_id").cast("string").alias("appointmentid"), "origid",
         F.date_format("ts", "yyyy-MM-dd").alias("encounterdate"),

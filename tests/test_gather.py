@@ -47,7 +47,7 @@ def _plan(df):
 
 def test_sections_meet_in_one_aggregate(spark, tables):
     """No section is joined onto the persons, whichever way Spark joins."""
-    docs = build_documents(tables, AS_OF)
+    docs = build_documents(tables, "2023-02-27")     # another day than the cached records
     joins = re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join \[(\w+)#", _plan(docs))
     # the roster meets the patients, appointments the account; encounters meet their codes and results
     assert joins.count("origid") <= 3
@@ -63,3 +63,15 @@ def test_small_memory_and_no_broadcast(spark, tables, docs):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_chosen_sections_read_their_tables_alone(spark, tables, docs):
+    some = ["labs", "rule_flags", "uamcc", "_meta"]
+    part = build_documents(tables, AS_OF, sections=some)
+    assert set(part.schema["patient"].dataType.names) == set(some)
+    as_text = lambda d: sorted(r[0] for r in d.select(F.to_json(F.struct("origid", *[f"patient.{s}" for s in some]))).collect())
+    assert as_text(part) == as_text(docs)
+    lone = build_documents({k: v for k, v in tables.items() if k in ("patient", "dc_bene_alignment_rostr_m01", "sdoh_meal_plan")}, AS_OF, sections=["demographics"])
+    assert lone.select("patient.demographics.age").count() == 2      # no other table is asked for
+    with pytest.raises(ValueError, match="no such sections"):
+        build_documents(tables, AS_OF, sections=["labz"])
