@@ -14,7 +14,9 @@ Writes ``<out>/records`` (JSON lines bucketed by person), ``<out>/records_parque
 must be empty) and ``<out>/profile`` (per-person sizes).
 
 Other commands: ``visits`` (listing by care setting), ``measure`` (a measure
-definition file against stored records), ``refresh`` (the change stream).
+definition file against stored records), ``refresh`` (the change stream),
+``layout`` (sources partitioned by key, so that a refresh scans only the
+partitions of the persons it rebuilds).
 Intermediate sections go to ``spark.checkpoint.dir`` (lineage cut).
 """
 
@@ -26,6 +28,7 @@ import uuid
 from carelake.plans import checks
 from carelake.plans.document import build_documents, to_json, write_documents
 from carelake.session import build_session, shared_dir
+from carelake.sources.schemas import XREF_DDL
 from carelake.sources.tables import read_bucketed, read_tables
 
 ARRAYS = ["encounters", "labs", "medications", "assessments", "alerts", "hedis_measures",
@@ -90,17 +93,41 @@ def measure(args) -> None:
     M.rate(ev, m, ["market"]).write.mode("overwrite").parquet(f"{args.out}/rates")
 
 
+def layout(args) -> None:
+    """Save the source tables partitioned by key, for ``refresh --partitioned``."""
+    from carelake.sources.tables import write_partitioned
+    spark = build_session(args.master, app="carelake-layout")
+    t = read_tables(spark, args.tables, fmt=args.fmt)
+    if args.xref:
+        t["person_xref"] = spark.read.schema(XREF_DDL).format(args.fmt).load(f"{args.tables}/person_xref")
+    write_partitioned(t, args.out, args.parts)
+
+
 def refresh(args):
     """Start the change stream that keeps the records current."""
-    from carelake.plans.routing import ROUTES
-    from carelake.sources.tables import only_persons
-    from carelake.streaming.refresh import RecordStore, start
+    from carelake.plans.routing import ROUTES, with_xref
+    from carelake.sources.tables import PartitionedTables, only_persons
+    from carelake.streaming.refresh import start
+    from carelake.streaming.store import RecordStore
     spark = build_session(args.master, app="carelake-refresh")
     store = RecordStore(spark, args.store, n_buckets=args.buckets)
-    return start(spark, args.changes, store=store, routes=ROUTES, name=args.name,
-                 load_tables=lambda: read_tables(spark, args.tables, fmt=args.fmt),
-                 build=lambda tab, todo: build_documents(only_persons(tab, todo), args.as_of, trigger="cdc",
-                                                            cc_version=getattr(args, "cc_version", None), how=getattr(args, "how", "inner")),
+    option = lambda name, default: getattr(args, name, default)
+    xref = "person_xref" if option("xref", False) else None
+
+    def load_tables():
+        if option("partitioned", False):
+            return PartitionedTables(spark, args.tables)
+        t = read_tables(spark, args.tables, fmt=args.fmt)
+        if xref:
+            t[xref] = spark.read.schema(XREF_DDL).format(args.fmt).load(f"{args.tables}/{xref}")
+        return t
+
+    def build(tab, todo):
+        own = only_persons(tab, todo, xref=xref)
+        return build_documents(own, args.as_of, trigger="cdc", cc_version=option("cc_version", None), how=option("how", "inner"),
+                               xref=own[xref] if xref else None)
+
+    return start(spark, args.changes, store=store, routes=with_xref() if xref else ROUTES, name=args.name, load_tables=load_tables, build=build,
                  available_now=args.once, processing_time=None if args.once else args.every)
 
 
@@ -145,6 +172,8 @@ def main(argv=None) -> None:
     r.add_argument("--store", required=True)
     r.add_argument("--as-of", required=True)
     r.add_argument("--cc-version")
+    r.add_argument("--partitioned", action="store_true", help="--tables was written by layout")
+    r.add_argument("--xref", action="store_true", help="roster ids lead to persons through the table person_xref")
     r.add_argument("--how", default="inner", choices=["inner", "left"])
     r.add_argument("--buckets", type=int, default=4096)
     r.add_argument("--every", default="1 minute")
@@ -152,6 +181,13 @@ def main(argv=None) -> None:
     r.add_argument("--name", default="record-refresh",
                    help="stream name: its checkpoint under spark.checkpoint.dir/streams/<name> is resumed")
     r.add_argument("--master")
+    y = sub.add_parser("layout", help="save the source tables partitioned by key")
+    y.add_argument("--tables", required=True)
+    y.add_argument("--fmt", default="parquet")
+    y.add_argument("--out", required=True)
+    y.add_argument("--parts", type=int, default=4096)
+    y.add_argument("--xref", action="store_true")
+    y.add_argument("--master")
     args = ap.parse_args(argv)
     from pyspark.sql import SparkSession
     if args.cmd == "build":
@@ -160,6 +196,8 @@ def main(argv=None) -> None:
         visits(args)
     elif args.cmd == "measure":
         measure(args)
+    elif args.cmd == "layout":
+        layout(args)
     elif args.cmd == "refresh":
         refresh(args).awaitTermination()
     SparkSession.active().stop()

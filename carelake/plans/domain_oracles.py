@@ -149,3 +149,17 @@ UNION ALL SELECT origid, 'meal_plans', id, date, concat_ws('|', CASE WHEN k % 5
 UNION ALL SELECT origid, 'reward_programs', id, date, 'Program ' || (k % 3) FROM e WHERE event_type = 'purchase'
 UNION ALL SELECT origid, 'details', CAST((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS VARCHAR), strftime(sd, '%Y-%m-%d'), p_type || '|' || code || '|' || rf
     FROM l WHERE st = 'P' AND l_linenumber % 2 = 1"""
+
+SQL["refresh_pruned"] = f"""WITH {BASE},
+who AS (SELECT DISTINCT origid FROM ev WHERE event_type = 'signup' AND k % 10 = 7)
+SELECT origid, CAST((SELECT count(*) FROM o WHERE o.origid = who.origid) AS INTEGER) AS n_encounters,
+       CAST((SELECT count(*) FROM o LEFT JOIN l ON l_orderkey = o.o_orderkey WHERE o.origid = who.origid AND o.st <> 'P') AS INTEGER) AS n_labs,
+       CAST((SELECT count(*) FROM alert WHERE alert.origid = who.origid) AS INTEGER) AS n_alerts
+FROM who"""
+
+SQL["cdc_roster_xref"] = """
+WITH p AS (SELECT c_custkey AS k, c_nationkey AS n FROM customer), r AS (SELECT 'dc_bene_alignment_rostr_m01' AS t)
+SELECT t AS "table", CAST(k AS VARCHAR) AS origid FROM p, r WHERE k % 10 IN (0, 1, 3) AND (k % 10 <> 1 OR k - 1 IN (SELECT k FROM p))
+UNION SELECT 'person_xref', CAST(k AS VARCHAR) FROM p WHERE k % 50 = 7
+UNION SELECT 'person_xref', CAST(k + 1 AS VARCHAR) FROM p WHERE k % 50 = 7
+UNION SELECT 'personell', CAST(k AS VARCHAR) FROM p WHERE n = (SELECT s_nationkey FROM supplier WHERE s_suppkey = 4)"""

@@ -3,13 +3,19 @@ from the benchmark tables, and show its values: every section, every flag."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.plans import sections as S
+from carelake.plans.cdc import affected, persons_to_rebuild, table_changes
 from carelake.plans.document import build_documents
+from carelake.plans.routing import ROUTES, with_xref
+from carelake.session import shared_dir
 from carelake.sources.derived import AS_OF, derive
 from carelake.sources.driver import Tables
+from carelake.sources.tables import PartitionedTables, only_persons, write_partitioned
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
@@ -133,5 +139,48 @@ def doc_lists(spark, sf_dir) -> DataFrame:
     return out
 
 
+def refresh_pruned(spark, sf_dir) -> DataFrame:
+    """S6 and C1 with pruned reads: some alerts change, and their persons'
+    records are built from the source partitions that hold them."""
+    base = shared_dir(spark, "refresh_pruned", uuid.uuid4().hex)
+    some = ["patient", "dc_bene_alignment_rostr_m01", "adt_encounter", "mra1_encounter", "adt_encounter_icd_codes", "mra1_encounter_icd_codes",
+            "mra1_encounter_bill_cpts", "cclf_encounter_patient_medication", "cpoe_result", "cpoe_result_values", "cpoe_item", "mra_hcc_coefficients",
+            "mra_scorecard_alerts"]
+    write_partitioned({n: df for n, df in _tables(spark, sf_dir).items() if n in some}, base, n_parts=16)
+    t = PartitionedTables(spark, base)
+    changed = t["mra_scorecard_alerts"].where("type = 'signup' and ref_id = '7'")
+    ch = table_changes(changed, "mra_scorecard_alerts", F.col("nr"), F.lit("2024-01-01"), cols=["nr", "origid", "added_date"])
+    todo = persons_to_rebuild(affected(ch, ROUTES, t, prune=True)).checkpoint()
+    d = build_documents(only_persons(t, todo), AS_OF, sections=["encounters", "labs", "alerts"]).select("origid", "patient.*")
+    n = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).alias(f"n_{c}")
+    return d.select("origid", n("encounters"), n("labs"), n("alerts"))
+
+
+def cdc_roster_xref(spark, sf_dir) -> DataFrame:
+    """C10 and J15 through the routes: rosters carry foreign ids.  Moved,
+    deleted and new roster rows, changed personnel and a re-pointed
+    cross-reference reach the persons of both images."""
+    t = _tables(spark, sf_dir)
+    roster, patient = "dc_bene_alignment_rostr_m01", t["patient"]
+    foreign = lambda c: F.concat(F.lit("MBI-"), F.reverse(c), F.lit("-"), c)
+    k = F.col("origid").cast("long")
+    t["person_xref"] = patient.select(foreign(F.col("origid")).alias("ref"), "origid")
+    t[roster] = t[roster].withColumn("mm_curr_mbi_id", foreign(F.col("mm_curr_mbi_id")))
+    row = lambda ref, status: F.create_map(F.lit("mm_curr_mbi_id"), ref, F.lit("ALIGN_STATUS_CODE"), F.lit(status))
+    ref, next_ref = foreign(F.col("origid")), foreign((k + 1).cast("string"))
+    none = F.lit(None).cast("map<string,string>")
+    change = lambda df, table, op, before, after: df.select(
+        k.alias("event_id"), k.alias("sequence"), F.lit("2024-01-01").cast("timestamp").alias("change_ts"), F.lit(table).alias("table"),
+        F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
+    ch = change(patient.where(k % 10 == 0), roster, "U", row(ref, "AL"), row(next_ref, "AL")) \
+        .unionByName(change(patient.where(k % 10 == 3), roster, "D", row(ref, "D1Y"), none)) \
+        .unionByName(change(patient.where(k % 10 == 5), roster, "I", none, row(ref, "XX"))) \
+        .unionByName(change(patient.where(k % 50 == 7), "person_xref", "U", F.create_map(F.lit("ref"), ref, F.lit("origid"), F.col("origid")),
+                            F.create_map(F.lit("ref"), ref, F.lit("origid"), (k + 1).cast("string"))))
+    staff = table_changes(t["personell"].where("nr = 4"), "personell", F.col("nr"), F.lit("2024-01-01"), cols=["nr"])
+    aff = affected(ch.unionByName(staff), with_xref(), t, prune=True)
+    return aff.where("section = 'care_team'").select("table", "origid").distinct()
+
+
 QUERIES = {f.__name__: f for f in (doc_person, doc_flags, doc_scores, doc_variants, doc_chronic, doc_encounters, doc_labs, doc_medications, doc_alerts,
-                                   doc_sdoh, doc_lists)}
+                                   doc_sdoh, doc_lists, refresh_pruned, cdc_roster_xref)}

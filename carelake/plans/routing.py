@@ -7,6 +7,8 @@ reference's routing file leaves out; hops follow the source keys
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from carelake.plans.cdc import Hop, Route
 
 ADT = Hop("adt_encounter", "encounter_nr", "origid")
@@ -58,3 +60,19 @@ ROUTES = [
     Route("care_plan_patient", "origid", (), ("rule_flags",), "updated_date"),
     Route("allergies_medications", "origid", (), ("emr_appointments",), "encounterdate"),
 ]
+
+# ── rosters whose ids aren't the persons' (C10, J15, decision D2) ─────────
+
+XREF = Hop("person_xref", "ref", "origid")
+
+
+def with_xref(routes=ROUTES) -> list[Route]:
+    """The routes where the roster carries a foreign id: every chain that ends
+    at a roster id goes on through the cross-reference ``person_xref`` (ref,
+    origid), and a change of the cross-reference itself concerns the persons
+    of both its images."""
+    out = []
+    for r in routes:
+        foreign = r.table == "dc_bene_alignment_rostr_m01" if not r.hops else r.hops[-1] == ROSTER
+        out.append(replace(r, hops=(*r.hops, XREF)) if foreign else r)
+    return [*out, Route("person_xref", "origid", (), ("care_team", "enrollment"))]

@@ -129,6 +129,9 @@ DOMAIN_DDL = {
 
 DOMAIN_TABLES = list(DOMAIN_DDL)
 
+# Not a source of every installation: foreign person ids.
+XREF_DDL = "ref STRING, origid STRING"
+
 # Person-key column of each table where it is not ``origid`` (normalised at load).
 PERSON_KEY_ALIASES = {
     "mra1_encounter": "patient_id",

@@ -51,26 +51,36 @@ def from_frames(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def only_persons(tables: Mapping[str, DataFrame], persons: DataFrame,
-                 encounter_tables=("adt_encounter", "mra1_encounter")) -> dict[str, DataFrame]:
+                 encounter_tables=("adt_encounter", "mra1_encounter"), xref: str | None = None) -> dict[str, DataFrame]:
     """Restrict every person-keyed table to a set of persons (semi-join), so
-    an incremental rebuild joins and groups only the affected persons' rows;
-    the tables themselves are scanned whole.  Tables
-    keyed by encounter or result follow their parent; lookup tables stay
-    whole."""
+    an incremental rebuild joins and groups only the affected persons' rows.
+    Tables keyed by encounter or result follow their parent; lookup tables
+    stay whole.  Of :class:`PartitionedTables` only the partitions of the
+    persons, of their encounters and of their results are scanned; of other
+    tables all rows are.
+
+    ``xref`` names the cross-reference table (ref, origid) through which the
+    roster's ids lead to persons (J15)."""
     ids = persons.select("origid").distinct()
-    out = dict(tables)
-    for n, df in tables.items():
-        if "origid" in df.columns:
-            out[n] = df.join(ids, "origid", "left_semi")
-    out["dc_bene_alignment_rostr_m01"] = tables["dc_bene_alignment_rostr_m01"].join(
-        ids.withColumnRenamed("origid", "mm_curr_mbi_id"), "mm_curr_mbi_id", "left_semi")
+
+    def kept(names: Iterable[str], keys: DataFrame) -> None:
+        """The rows of the tables whose key is among ``keys``."""
+        parts = tables.parts(keys) if isinstance(tables, PartitionedTables) else None
+        for n in names:
+            df = tables[n] if parts is None else tables.scan(n, parts)
+            out[n] = df.join(keys, keys.columns[0], "left_semi")
+
+    out = dict(tables.items())
+    kept([n for n, df in tables.items() if "origid" in df.columns], ids)
+    refs = ids.withColumnRenamed("origid", "mm_curr_mbi_id")
+    if xref:
+        refs = out[xref].select(F.col("ref").alias("mm_curr_mbi_id")).distinct()
+    kept(["dc_bene_alignment_rostr_m01"], refs)
     encs = out[encounter_tables[0]].select("encounter_nr").unionByName(
         out[encounter_tables[1]].select("encounter_nr"))
-    for n in ("adt_encounter_icd_codes", "mra1_encounter_icd_codes", "mra1_encounter_bill_cpts",
-              "cclf_encounter_patient_medication", "cpoe_result"):
-        out[n] = tables[n].join(encs, "encounter_nr", "left_semi")
-    out["cpoe_result_values"] = tables["cpoe_result_values"].join(
-        out["cpoe_result"].select("result_id"), "result_id", "left_semi")
+    kept(["adt_encounter_icd_codes", "mra1_encounter_icd_codes", "mra1_encounter_bill_cpts",
+          "cclf_encounter_patient_medication", "cpoe_result"], encs)
+    kept(["cpoe_result_values"], out["cpoe_result"].select("result_id"))
     return out
 
 
@@ -109,3 +119,63 @@ def read_bucketed(spark: SparkSession, database: str,
                   names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """The tables written by :func:`write_bucketed` (already normalised)."""
     return {n: spark.table(f"{database}.{n}") for n in (names or DOMAIN_TABLES)}
+
+
+# ── sources partitioned by key, for refreshes that read only what changed ──
+
+PART = "_part"
+PART_KEYS = {**BUCKET_KEYS, "cpoe_result_values": "result_id", "person_xref": "origid"}
+
+
+def _part_of(key: str, n_parts: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n_parts)).cast("int")
+
+
+def write_partitioned(tables: Mapping[str, DataFrame], base: str, n_parts: int) -> None:
+    """Save the tables under ``base``, the large ones partitioned by a hash of
+    their key (person, encounter or result).  A partition beyond the advisory
+    size is written by several tasks."""
+    spark = next(iter(tables.values())).sparkSession
+    for name, df in tables.items():
+        w = df
+        if name in PART_KEYS:
+            w = df.withColumn(PART, _part_of(PART_KEYS[name], n_parts)).hint("rebalance", F.col(PART))
+        w = w.write.mode("overwrite")
+        (w.partitionBy(PART) if name in PART_KEYS else w).parquet(f"{base}/{name}")
+    spark.createDataFrame([(n_parts, sorted(tables))], "n_parts int, tables array<string>").write.mode("overwrite").parquet(f"{base}/_layout")
+
+
+class PartitionedTables(Mapping):
+    """The tables written by :func:`write_partitioned` (already normalised).
+    As a mapping it gives whole tables; :meth:`scan` reads the partitions that
+    hold some keys."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base
+        layout = spark.read.parquet(f"{base}/_layout").first()
+        self.n_parts, self.names = layout["n_parts"], layout["tables"]
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/{name}")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        return self._read(name).drop(PART)
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def parts(self, keys: DataFrame) -> list[int]:
+        """Partitions that hold the keys of a one-column frame: at most
+        ``n_parts`` numbers."""
+        found = keys.select(_part_of(keys.columns[0], self.n_parts).alias("p")).where("p is not null").distinct().collect()
+        return sorted(r["p"] for r in found)
+
+    def scan(self, name: str, parts: list[int]) -> DataFrame:
+        """The rows of some partitions; a table that isn't partitioned whole."""
+        df = self._read(name)
+        return df.where(F.col(PART).isin(parts)).drop(PART) if name in PART_KEYS else df
