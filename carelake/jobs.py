@@ -16,7 +16,8 @@ must be empty) and ``<out>/profile`` (per-person sizes).
 Other commands: ``visits`` (listing by care setting), ``measure`` (a measure
 definition file against stored records), ``refresh`` (the change stream),
 ``layout`` (sources partitioned by key, so that a refresh scans only the
-partitions of the persons it rebuilds).
+partitions of the persons it rebuilds), ``refresh-due`` (the records whose
+values change on a day without any change event).
 Intermediate sections go to ``spark.checkpoint.dir`` (lineage cut).
 """
 
@@ -131,6 +132,29 @@ def refresh(args):
                  available_now=args.once, processing_time=None if args.once else args.every)
 
 
+def refresh_due(args) -> int:
+    """Build the records again whose day has come (C11); returns their number.
+    A record carries that day, so nobody else's is read beyond it."""
+    from pyspark.sql import functions as F
+
+    from carelake.sources.tables import PartitionedTables, only_persons
+    from carelake.streaming.store import RecordStore
+    spark = build_session(args.master, app="carelake-refresh-due")
+    store = RecordStore(spark, args.store, n_buckets=args.buckets)
+    version = f"due-{args.as_of}"
+    current = store.read()
+    if current is None or store.applied(version):
+        return 0
+    due = current.where(F.col("patient._meta.next_due") <= args.as_of).select("origid").checkpoint()
+    n = due.count()
+    if n:
+        t = PartitionedTables(spark, args.tables) if args.partitioned else read_tables(spark, args.tables, fmt=args.fmt)
+        fresh = build_documents(only_persons(t, due), args.as_of, trigger="date", cc_version=args.cc_version, how=args.how)
+        store.replace(fresh, version, persons=due)
+        store.compact()
+    return n
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="carelake.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -181,6 +205,16 @@ def main(argv=None) -> None:
     r.add_argument("--name", default="record-refresh",
                    help="stream name: its checkpoint under spark.checkpoint.dir/streams/<name> is resumed")
     r.add_argument("--master")
+    d = sub.add_parser("refresh-due", help="build the records again whose values change on this day without a change event")
+    d.add_argument("--tables", required=True)
+    d.add_argument("--fmt", default="parquet")
+    d.add_argument("--partitioned", action="store_true")
+    d.add_argument("--store", required=True)
+    d.add_argument("--buckets", type=int, default=4096)
+    d.add_argument("--as-of", required=True)
+    d.add_argument("--cc-version")
+    d.add_argument("--how", default="inner", choices=["inner", "left"])
+    d.add_argument("--master")
     y = sub.add_parser("layout", help="save the source tables partitioned by key")
     y.add_argument("--tables", required=True)
     y.add_argument("--fmt", default="parquet")
@@ -196,6 +230,8 @@ def main(argv=None) -> None:
         visits(args)
     elif args.cmd == "measure":
         measure(args)
+    elif args.cmd == "refresh-due":
+        refresh_due(args)
     elif args.cmd == "layout":
         layout(args)
     elif args.cmd == "refresh":

@@ -30,7 +30,7 @@ SECTION_ORDER = [
 #: what a section reads beside an array of its own name; the flags' needs are those of flags.flag_parts
 NEEDS = {"demographics": ["patient"], "contact": ["patient"], "care_team": ["roster", "patient"], "enrollment": ["patient", "roster"],
          "raf_profile": ["raf"], "hcc_capture": ["capture"], "uamcc": ["uamcc_summary", "details"], "medication_adherence": ["adherence"],
-         "sdoh": ["food", "rides", "food_insecurity", "meal_plans", "reward_programs"]}
+         "sdoh": ["food", "rides", "food_insecurity", "meal_plans", "reward_programs"], "_meta": FL.DUE_PARTS}
 #: arrays inside a section
 NESTED = {"uamcc": ["details"], "sdoh": ["meal_plans", "reward_programs"]}
 
@@ -88,7 +88,7 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     flag_rows = FL.flag_parts(t, as_of)
     rows = {**flag_rows, "capture": lambda: S.hcc_capture_counts(t, as_of, capture_level),
             "adherence": lambda: S.adherence_counts(t, as_of, merge_overlaps), "roster": lambda: S.roster_rows(t, roster),
-            "raf": lambda: S.raf_rows(t, as_of)}
+            "raf": lambda: S.raf_rows(t, as_of), "stops": lambda: FL.next_stop(t, as_of)}
     items = {
         "chronic_conditions": lambda: S.chronic_conditions(t, as_of, S.ITEMS),
         "hedis_measures": lambda: S.hedis_measures(t, as_of, measure_dedupe_keys, S.ITEMS),
@@ -110,7 +110,7 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
         "rule_flags": lambda: F.struct(*FL.flag_columns(as_of, run)), "raf_profile": lambda: S.raf_section(as_of),
         "hcc_capture": lambda: S.hcc_capture_section(as_of), "risk_scores": lambda: S.risk_scores_section(as_of),
         "uamcc": lambda: S.uamcc_section(as_of), "medication_adherence": lambda: S.adherence_section(as_of), "sdoh": S.sdoh_section,
-        "_meta": lambda: S.meta_section(run, trigger, sequence, source_db),
+        "_meta": lambda: S.meta_section(run, trigger, sequence, source_db, FL.next_due(as_of)),
     }
     values = {n: values[n]() if n in values else F.col(n) for n in wanted}
     if part_size:

@@ -163,3 +163,24 @@ SELECT t AS "table", CAST(k AS VARCHAR) AS origid FROM p, r WHERE k % 10 IN (0,
 UNION SELECT 'person_xref', CAST(k AS VARCHAR) FROM p WHERE k % 50 = 7
 UNION SELECT 'person_xref', CAST(k + 1 AS VARCHAR) FROM p WHERE k % 50 = 7
 UNION SELECT 'personell', CAST(k AS VARCHAR) FROM p WHERE n = (SELECT s_nationkey FROM supplier WHERE s_suppkey = 4)"""
+
+# the values themselves on every day up to the new year, and the first day on which one differs from the day before
+SQL["cdc_due"] = f"""WITH {BASE},
+day AS (SELECT CAST(unnest(generate_series(DATE '2001-08-01', DATE '2002-01-01', INTERVAL 1 DAY)) AS DATE) AS t),
+stay AS (SELECT origid, od + cls AS dis FROM o WHERE st = 'F' AND pr = '1-URGENT'),
+awv AS (SELECT origid, max(od) AS v FROM l WHERE st <> 'P' AND rf = 'R' AND ls = 'F' GROUP BY 1),
+meal AS (SELECT origid, CASE k % 3 WHEN 1 THEN DATE '2001-07-01' + k % 60 WHEN 2 THEN DATE '2000-01-01' END AS e FROM ev WHERE event_type = 'purchase' AND k % 5 <> 0),
+f AS (
+  SELECT t, origid, 1 AS rule, CAST(max(dis) >= t - 30 AS INTEGER) AS v FROM day, stay GROUP BY t, origid
+  UNION ALL SELECT t, origid, 2, CAST(max(dis) >= t - 90 AS INTEGER) FROM day, stay GROUP BY t, origid
+  UNION ALL SELECT t, origid, 3, CAST(t - v > 365 AS INTEGER) FROM day, awv
+  UNION ALL SELECT t, origid, 4, CAST(t - (DATE '2001-08-01' - CAST(k % 800 AS INTEGER)) > 365 AS INTEGER) FROM day, person WHERE k % 3 <> 0
+  UNION ALL SELECT t, origid, 5, CAST(bool_or(e IS NULL OR e >= t) AS INTEGER) FROM day, meal GROUP BY t, origid
+  UNION ALL SELECT t, origid, 6, CAST(k % 4 = 0 OR DATE '2001-08-01' + CAST(k % 60 - 30 AS INTEGER) >= t AS INTEGER) FROM day, person WHERE k % 3 = 1
+  UNION ALL SELECT t, origid, 7, CAST(DATE '2001-05-01' + CAST(CASE WHEN k % 2 = 0 THEN k % 80 ELSE k % 60 END + CASE WHEN k % 5 = 1 THEN 0 ELSE k % 90 END AS INTEGER) < t AS INTEGER)
+            FROM day, person WHERE k % 3 = 1 AND k % 5 <> 0
+  UNION ALL SELECT t, origid, 8, CAST(date_sub('year', make_date(1930 + c_nationkey, 1 + CAST(k % 12 AS INTEGER), 1 + CAST(k % 28 AS INTEGER)), t) AS INTEGER) FROM day, person
+  UNION ALL SELECT t, origid, 9, CAST(count(*) FILTER (stop >= t) AS INTEGER) FROM day, med WHERE stop IS NOT NULL GROUP BY t, origid
+  UNION ALL SELECT t, origid, 10, CAST(year(t) AS INTEGER) FROM day, person),
+c AS (SELECT origid, t, v <> lag(v) OVER (PARTITION BY origid, rule ORDER BY t) AS changed FROM f)
+SELECT origid, strftime(min(t), '%Y-%m-%d') AS next_due FROM c WHERE changed GROUP BY 1"""

@@ -182,5 +182,11 @@ def cdc_roster_xref(spark, sf_dir) -> DataFrame:
     return aff.where("section = 'care_team'").select("table", "origid").distinct()
 
 
+def cdc_due(spark, sf_dir) -> DataFrame:
+    """C11 (P7 P9 P13 F4): the day on which a person's record next changes by
+    itself, as the record carries it."""
+    return _record(spark, sf_dir, "_meta").select("origid", F.col("_meta.next_due").alias("next_due"))
+
+
 QUERIES = {f.__name__: f for f in (doc_person, doc_flags, doc_scores, doc_variants, doc_chronic, doc_encounters, doc_labs, doc_medications, doc_alerts,
-                                   doc_sdoh, doc_lists, refresh_pruned, cdc_roster_xref)}
+                                   doc_sdoh, doc_lists, refresh_pruned, cdc_roster_xref, cdc_due)}

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
-from carelake.operators.aggregates import any_flags
 from carelake.operators.gather import gather
 from carelake.operators.latest import latest_row
 from carelake.plans import sections as S
@@ -44,6 +43,7 @@ def encounter_flags(t, as_of) -> DataFrame:
     return ae.groupBy("origid").agg(
         C.null_false(F.bool_or(readmit & (F.col("discharge_date") >= F.date_sub(a, 30)))).alias("readmit_30d"),
         C.null_false(F.bool_or(readmit & (F.col("discharge_date") >= F.date_sub(a, 90)))).alias("readmit_90d"),
+        F.max(F.when(readmit, F.col("discharge_date"))).alias("_last_readmit"),
         F.max(F.when(inpatient, F.col("encounter_date"))).alias("_last_adm"),
         F.max(F.when(inpatient & F.col("discharge_date").isNotNull(), F.col("discharge_date"))).alias("_last_dis"),
         C.null_false(F.bool_or(inpatient & F.col("discharge_date").isNull()
@@ -88,7 +88,8 @@ def sdoh_flags(t, as_of) -> DataFrame:
         .withColumn("sdoh_transport_barrier", F.lit(True))
     mp = t["sdoh_meal_plan"].filter((F.col("order_status") == "ordered")
                                     & C.open_ended("end_date", as_of))
-    meal = mp.select("origid").distinct().withColumn("sdoh_meal_plan_active", F.lit(True))
+    meal = mp.groupBy("origid").agg(F.lit(True).alias("sdoh_meal_plan_active"),
+                                    F.when(F.count("end_date") == F.count("*"), F.max("end_date")).alias("_last_meal"))
     return tb, meal
 
 
@@ -97,10 +98,12 @@ def care_plan_flags(t, as_of) -> DataFrame:
     the day count held as text (leading digits, 0 when none) before as_of."""
     cp = t["care_plan_patient"].filter(F.col("plan_status") == 1)
     due = F.date_add(F.coalesce("updated_date", "plan_start_date"), C.numeric_prefix_int("reassessment"))
-    return any_flags(cp, ["origid"], {
-        "care_plan_active": C.open_ended("plan_inactive_datetime", S._ts(as_of)),
-        "care_plan_overdue_reassessment": F.col("reassessment").isNotNull() & (due < C.as_date(as_of)),
-    })
+    end = F.col("plan_inactive_datetime")
+    return cp.groupBy("origid").agg(
+        C.null_false(F.bool_or(C.open_ended(end, S._ts(as_of)))).alias("care_plan_active"),
+        C.null_false(F.bool_or(F.col("reassessment").isNotNull() & (due < C.as_date(as_of)))).alias("care_plan_overdue_reassessment"),
+        F.when(F.count(end) == F.count("*"), F.to_date(F.max(end))).alias("_last_plan"),
+        F.min(F.when(F.col("reassessment").isNotNull(), due)).alias("_first_due"))
 
 
 def raf_flag(t) -> DataFrame:
@@ -119,6 +122,16 @@ def flag_parts(t, as_of) -> dict[str, Callable[[], DataFrame]]:
             "adherence": lambda: S.adherence_counts(t, as_of)}
 
 
+#: what next_due reads
+DUE_PARTS = ["patient", "stays", "awv", "meals", "plans", "stops"]
+
+
+def next_stop(t, as_of) -> DataFrame:
+    """The first day, today or later, that is a live prescription's last."""
+    m = t["drfirst_patient_medications"].filter(F.col("delete_status") == S.LIVE_DELETE_STATUS)
+    return m.where(F.col("stop_date") >= S._ts(as_of)).groupBy("origid").agg(F.to_date(F.min("stop_date")).alias("_next_stop"))
+
+
 def flag_columns(as_of, run_ts=None) -> list[Column]:
     """The 26 flags and the extension flags over the gathered parts."""
     p, stays, alerts, plans, u, c, a = (S.part(x) for x in ("patient", "stays", "alert_counts", "plans", "uamcc_summary", "capture", "adherence"))
@@ -151,6 +164,26 @@ def flag_columns(as_of, run_ts=None) -> list[Column]:
     return [values[n].alias(n) for n in FLAG_ORDER + EXTENSION_FLAGS]
 
 
+def next_due(as_of) -> Column:
+    """The next day on which a value of the record changes though no source
+    does (C11), over the gathered parts: a window behind the day ends (P7), an
+    open end is passed (P9), a visit or reassessment becomes overdue (P13 F4),
+    a birthday, the last day of a prescription, or the new coding year, which
+    concerns everybody.  Numbers that count days change every day and are left
+    to the reader (days since a visit, open stays, covered days)."""
+    p, stays, a = S.part("patient"), S.part("stays"), C.as_date(as_of)
+    born = C.as_date(p("birthdate"))
+    years = C.full_years(born, a) + 1
+    birthday = F.add_months(born, years * 12)
+    # born on the 29th of February: reached on the 1st of March in common years
+    birthday = F.when(C.full_years(born, birthday) < years, F.date_add(birthday, 1)).otherwise(birthday)
+    days = [F.date_add(stays("_last_readmit"), 31), F.date_add(stays("_last_readmit"), 91), F.date_add(F.col("awv._awv_last"), 366),
+            F.date_add(p("Last_PCP_Visit_Date"), 366), F.date_add(F.col("meals._last_meal"), 1), F.date_add(F.col("plans._last_plan"), 1),
+            F.when(~F.col("plans.care_plan_overdue_reassessment"), F.date_add(F.col("plans._first_due"), 1)), birthday,
+            F.date_add(F.col("stops._next_stop"), 1), F.make_date(F.year(a) + 1, F.lit(1), F.lit(1))]
+    return F.least(*[F.when(d > a, d) for d in days], F.lit(None).cast("date"))
+
+
 def rule_flags(t, as_of, run_ts=None, persons: DataFrame | None = None) -> DataFrame:
     """``(origid, <26 flags>, <5 extension flags>)`` as flat columns."""
     base = persons if persons is not None else t["patient"]

@@ -765,12 +765,14 @@ def emr_appointments(t: Tables, part_size: int | str | None = None) -> DataFrame
 
 
 def meta_section(run_ts, trigger: Column | str = "initial_load",
-                 sequence: Column | None = None, source_db: str | None = None) -> Column:
-    """``_meta``: run time, source, schema version, trigger (C16) and the
-    change sequence that produced the record (C15)."""
+                 sequence: Column | None = None, source_db: str | None = None, next_due: Column | None = None) -> Column:
+    """``_meta``: run time, source, schema version, trigger (C16), the
+    change sequence that produced the record (C15) and the day on which it has
+    to be built again without a change (C11)."""
     ts = C.iso_ts(F.lit(str(run_ts)).cast("timestamp"))
     trig = trigger if isinstance(trigger, Column) else F.lit(trigger)
     seq = sequence if sequence is not None else _null("bigint")
     return obj(
         ("created_at", ts), ("last_modified_at", ts), ("source_db", F.lit(source_db)),
-        ("schema_version", F.lit("2.0")), ("trigger_source", trig), ("cdc_sequence", seq))
+        ("schema_version", F.lit("2.0")), ("trigger_source", trig), ("cdc_sequence", seq),
+        ("next_due", C.iso_date(next_due if next_due is not None else _null("date"))))
