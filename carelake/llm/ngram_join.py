@@ -378,7 +378,8 @@ def _within(df: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # rows are told apart by id and text, as an id may be null or repeated
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row"))
 
     # 1: nodes, and the frequent shingles of each batch
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,11 +399,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
                 hot = counts >= LOCAL
                 often[0] = [{"h": int(h), "n": int(c)} for h, c in zip(values[hot].view(np.int64), counts[hot])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                  pa.array(often, pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())])))],
-                names=["doc_id", "n_shingles", "node", "often"])
+                names=["doc_id", "row", "n_shingles", "node", "often"])
 
-    base = cut(docs.mapInArrow(first, "doc_id long, n_shingles long, node long, often array<struct<h: bigint, n: bigint>>"))
+    base = cut(docs.mapInArrow(first, "doc_id long, row long, n_shingles long, node long, often array<struct<h: bigint, n: bigint>>"))
     ids = base.select("doc_id", "n_shingles", "node")
     hot = (base.select(F.explode("often").alias("o")).groupBy("o.h").agg(F.sum("o.n").alias("n")).where(F.col("n") >= GLOBAL)
            .orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).select("h").toPandas()["h"].to_numpy(np.int64))
@@ -442,10 +443,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     n = clusters.count()
 
     # 3: cells of the clusters
-    owner = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    placed = cut(owner.join(small(clusters, MAX_BROADCAST), "node"), n)
+    owner = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.first("n_shingles").alias("n"))
+    # as many tasks as the nodes need, though few of them are written
+    placed = cut(owner.join(small(clusters, MAX_BROADCAST), "node"))
     weights = cut(placed.groupBy("root").agg(F.greatest(F.count("*"), F.sum("n") / SHINGLES_PER_DOC).alias("w")), n)
-    cell_of = _spread(placed, weights, CELL).select("doc_id", "root", "g", "c")
+    cell_of = _spread(placed, weights, CELL).select("row", "root", "g", "c")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -458,9 +460,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
                      pa.array([u.tobytes() for u in us], pa.binary()), *part.columns[2:]],
                     names=["node", "set", "root", "g", "c"])
 
-    chosen = docs.join(small(cell_of, MAX_BROADCAST), "doc_id").mapInArrow(
+    chosen = docs.join(small(cell_of, MAX_BROADCAST), "row").select("row", "text", "root", "g", "c").mapInArrow(
         sets, "node long, set binary, root long, g int, c int").where("node is not null")
-    # a repeated doc_id may bring other texts along
+    # rows that share a hash may bring other texts along
     chosen = chosen.join(small(clusters.select("node", F.col("root").alias("root_of")), MAX_BROADCAST), "node") \
         .where("root = root_of").select("root", "g", "c", "node", "set")
     many = weights.where(F.col("w") > CELL).count() > 0

@@ -321,6 +321,18 @@ def near_copies(n, seed, words=80):
     return out
 
 
+def test_ngram_join_null_ids_in_a_chain(spark):
+    """Links through rows without an id hold: a null between two documents, alone, repeated, and with another id's text."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(400)}" for _ in range(140)]
+    step = lambda n: " ".join(base[:100 + n])
+    docs = [(3, step(0)), (None, step(9)), (8, step(18)), (None, step(9)), (None, "only null " * 3), (None, "only null " * 3), (9, "alone"), (None, None), (5, step(30)),
+            (None, step(34)), (5, "another text of five")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=3, pct=90)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(docs, 3, 90)
+    assert {r["component_id"] for r in got.where("doc_id = 8").collect()} == {3}
+
+
 def test_ngram_join_many_cells(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CELL", 8)
     monkeypatch.setattr(ngram_join, "STRAY_CELL", 16)
