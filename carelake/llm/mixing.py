@@ -8,9 +8,13 @@ agree), documents are sorted by key within their source, and sizes are summed
 up to the rest.  The document on which the rest ends gives as many words as
 are still missing.
 
-No source is sorted in one task: keys fall into ``BUCKETS`` ordered buckets,
-sizes are summed per source and bucket, and only documents of the one bucket
-in which a source's rest ends are sorted.
+No source is sorted in one task: keys fall into ordered buckets, sizes are
+summed per source and bucket, and only documents of the one bucket in which a
+source's rest ends are sorted.  Bucket bounds are quantiles of the slowest key,
+so a bucket holds at most (largest / smallest sampling weight) times its even
+share of a source, and there are as many buckets as the counted documents need
+for about ``PER_BUCKET`` in each.  Rows that repeat a doc_id share its key and
+so its bucket.
 
 Cases: null or empty texts have size 0 and give 0 words; a null source is a
 source of its own, last; repeated rows count as documents of their own; an
@@ -19,13 +23,16 @@ empty table gives an empty result; all sizes 0 give targets of 0.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelake.llm.common import cut, small, table
 
 WORDS = r"[^\x20\x09-\x0D]+"
-BUCKETS = 1024
+#: buckets of sampling keys at least, and documents of the largest source per bucket, about
+BUCKETS, PER_BUCKET = 1024, 100_000
 #: most copies of a document, and so of a source
 MOST = 3
 #: rows up to which the table of sources is broadcast (about 100 bytes each)
@@ -69,13 +76,14 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, most: int = MOST) ->
     """(doc_id, size, source_size, target, taken) per row of ``docs`` (doc_id,
     text, source); ``quality``: (doc_id, quality) labels, may be absent."""
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    weight = F.lit(QUALITY[None])
+    weight, slowest = F.lit(QUALITY[None]), min(QUALITY.values())
     if quality is not None:
         labels = quality.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
         sized = sized.join(labels, "doc_id", "left")
         weight = F.when(F.col("quality") == 1, QUALITY[1]).when(F.col("quality") == 0, QUALITY[0]).otherwise(QUALITY[None])
-    sized = cut(sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), weight).alias("key"))
-                .withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")))
+    sized = cut(sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), weight).alias("key")))
+    buckets = max(BUCKETS, math.ceil(sized.count() * max(QUALITY.values()) / slowest / PER_BUCKET))
+    sized = sized.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key") * slowest)) * buckets), F.lit(buckets - 1)).cast("int"))
     per = cut(source_targets(sized, most).withColumn("words", F.round("target").cast("long"))
               .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(0))
               .withColumn("rest", F.col("words") - F.col("epochs") * F.col("source_size")))
@@ -87,7 +95,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, most: int = MOST) ->
     per = cut(per.join(ends.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "left").select(
         F.col("source").alias("of"), "source_size", "target", "epochs", "rest", "end.bucket", "end.before").withColumnRenamed("bucket", "last"))
     each = sized.join(small(per, MAX_BROADCAST), F.col("source").eqNullSafe(F.col("of")))
-    whole = each.where("last is null or bucket != last").withColumn("part", F.when(F.col("bucket") < F.coalesce("last", F.lit(BUCKETS)), F.col("size")).otherwise(0))
+    whole = each.where("last is null or bucket != last").withColumn("part", F.when(F.col("bucket") < F.coalesce("last", F.lit(buckets)), F.col("size")).otherwise(0))
     so_far = F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ending = each.where("bucket = last").withColumn("upto", F.col("before") + so_far).withColumn(
         "part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - (F.col("upto") - F.col("size"))))).drop("upto")
