@@ -33,7 +33,7 @@ from carelake.llm.common import cut, small, table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path prefix, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: levels of the tree; what is deeper counts as one segment
+#: levels of the tree; the segments from this one on are compared as one, by all their words
 DEPTH = 6
 #: a node with more children than MANY, seen less than RARE times each on average, has a wildcard child
 MANY, RARE = 20, 5
@@ -63,10 +63,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def segments(path: Column) -> Column:
     """Segments of a path with hexadecimal runs of 12 and more characters and
-    digits as wildcards; those beyond DEPTH are one."""
+    digits as wildcards; those from the DEPTH-th on are joined to one."""
     shape = F.regexp_replace(F.regexp_replace(path, "(?<![0-9A-Za-z])(?=[a-f]*[0-9])[0-9a-f-]{12,}(?![0-9A-Za-z])", "*"), "[0-9]+", "*")
     s = F.split(F.regexp_replace(shape, "^/", ""), "/")
-    return F.when(F.size(s) > DEPTH, F.concat(F.slice(s, 1, DEPTH - 1), F.array(F.lit("**")))).otherwise(s)
+    return F.when(F.size(s) > DEPTH, F.concat(F.slice(s, 1, DEPTH - 1), F.array(F.array_join(F.slice(s, DEPTH, F.size(s)), "/")))).otherwise(s)
 
 
 def band(blocked: Column, allowed: Column) -> Column:
@@ -93,7 +93,7 @@ def templates(shapes: DataFrame) -> DataFrame:
         seg = F.get("segs", F.lit(level))
         below = F.xxhash64(F.slice("segs", level + 2, DEPTH))
         children = t.where(deep).groupBy("host", "template", seg.alias("seg")).agg(
-            F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a"), F.sum(F.pmod(below, F.lit(1 << 40))).alias("under"))
+            F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a"), F.sum(F.pmod(below, F.lit(1 << 40)).cast("decimal(13,0)")).alias("under"))
         node = children.groupBy("host", "template").agg(
             F.count("*").alias("kids"), F.sum("n").alias("total"), F.count_if(F.col("b") > F.col("a")).alias("kb"), F.count_if(F.col("b") < F.col("a")).alias("ka"))
         alone = standing(F.col("b"), F.col("a"))
