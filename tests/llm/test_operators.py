@@ -190,6 +190,17 @@ def test_mixing(spark, odd):
     assert all(abs(n - target) <= 1 for (_, target), n in per.items())
 
 
+def test_buckets_of_keys_change_no_result(spark, monkeypatch):
+    docs = [(i, "w " * (i % 7), "hot" if i % 3 else f"s{i % 5}", 0) for i in range(600)] + [(None, "a b", "hot", 0)] * 3
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string, n int")
+    labels = spark.createDataFrame([(i, 0) for i in range(0, 600, 2)], "doc_id long, quality int")
+    want = rows_of(mixing.mix(docs, labels), "doc_id", "size", "target", "taken")
+    for least, per in ((1, 10**6), (7, 10**6), (1, 3)):
+        monkeypatch.setattr(mixing, "BUCKETS", least)
+        monkeypatch.setattr(mixing, "PER_BUCKET", per)
+        assert rows_of(mixing.mix(docs, labels), "doc_id", "size", "target", "taken") == want
+
+
 def test_targets_stop_at_three_times_the_size(spark):
     sized = spark.createDataFrame([("a", 10), ("b", 1000), (None, 1)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sized).collect()}
@@ -248,6 +259,13 @@ def test_templates_learn_from_rules(spark):
     assert got["http://shop.test/buy/999"] == "block" and got["http://shop.test/help/3"] == "allow" and got["http://shop.test/new/1"] == "allow"
 
 
+def test_deep_branches_are_told_apart(spark):
+    rules = (("shop.test", "/a/b/c/d/e/f/bad/", "block"),)
+    urls = ["http://shop.test/a/b/c/d/e/f/bad/1"] + [f"http://shop.test/a/b/c/d/e/f/good/{i}" for i in range(40)] + [f"http://shop.test/{'a/' * 60}{i}" for i in range(5)]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert got == {i: "allow" if i else "block" for i in range(len(urls))}
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(3)
     lengths = np.array([3, 0, 1, 70, 2])
@@ -402,6 +420,21 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in final} == set(got)
 
 
+def test_pipeline_drops_contaminated_rows_by_row(spark, tmp_path):
+    import corpus_pipeline as P
+    passage = " ".join(f"item{i}" for i in range(15))
+    docs = [(1, "clean words"), (1, "more " + passage), (None, passage), (None, "clean too"), (None, None), (2, passage), (3, "")]
+    d = data.write(spark, tmp_path, [(i, t, "en", "s", 1, *"abcdefg") for i, t in docs], [(1, passage, 0)])
+    kept = P.drop_contaminated(spark, spark.read.parquet(f"{d}/documents.parquet"), d)
+    assert kept.columns == spark.read.parquet(f"{d}/documents.parquet").columns
+    assert rows_of(kept, "doc_id", "text") == sorted([(1, "clean words"), (None, "clean too"), (None, None), (3, "")], key=repr)
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline as P
+    assert P.run(spark, data.write(spark, tmp_path, [])).collect() == []
+
+
 def test_bare_less_than_is_text():
     assert html_extract.extract("<p>if a < b then stop</p><p>I <3 it</p>", None) == "if a < b then stop\nI <3 it"
     assert html_extract.extract("<p>1 <2 and no end", None) == "1 <2 and no end"
