@@ -11,7 +11,9 @@ last return the columns of ``documents``.
     group of linked documents the one with the smallest doc_id stays.
     Documents without words are alone and stay; rows with a null doc_id can't
     be named and stay; of rows that repeat a doc_id one stays.
-*   decontamination: documents with a 10-word window of a benchmark item go.
+*   decontamination: documents with a 10-word window of a benchmark item go,
+    row by row: rows without a doc_id too, and of rows that repeat one only
+    those whose own text holds a window.
 *   secrets: secrets are replaced by ``[secret]`` and n_chars is set anew.
 *   mixing: (doc_id, size, source_size, target, taken) per document left.
 """
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from carelake.llm import decontaminate, mixing, ngram_join, secrets, toxicity
 from carelake.llm.common import cut, small, table
 
-#: ids up to which a list of documents that go is broadcast (16 bytes each)
+#: ids up to which a list of documents that go is broadcast (24 bytes each)
 MAX_BROADCAST = 4_000_000
 
 
@@ -47,9 +49,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    gone = cut(found.where("contaminated and doc_id is not null").select("doc_id").distinct())
-    return docs.join(small(gone, MAX_BROADCAST), "doc_id", "left_anti").select(docs.columns)
+    text_hash = F.xxhash64(docs["text"])
+    rows = docs.select(F.struct("doc_id", text_hash.alias("text_hash")).alias("doc_id"), "text")
+    found = decontaminate.decontaminate(rows, table(spark, sf_dir, "benchmark"))
+    gone = small(cut(found.where("contaminated").select("doc_id.*").distinct()), MAX_BROADCAST)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (text_hash == gone["text_hash"]), "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
