@@ -87,7 +87,7 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
         raise ValueError(f"no such sections: {sorted(set(sections) - set(SECTION_ORDER))}")
     flag_rows = FL.flag_parts(t, as_of)
     rows = {**flag_rows, "capture": lambda: S.hcc_capture_counts(t, as_of, capture_level),
-            "adherence": lambda: S.adherence_counts(t, as_of, merge_overlaps), "roster": lambda: S.roster_rows(t, roster),
+            "adherence": lambda: S.adherence_counts(t, as_of, merge_overlaps), "roster": lambda: roster,
             "raf": lambda: S.raf_rows(t, as_of), "stops": lambda: FL.next_stop(t, as_of)}
     items = {
         "chronic_conditions": lambda: S.chronic_conditions(t, as_of, S.ITEMS),
@@ -103,6 +103,8 @@ def build_documents(t, as_of, cc_version: str | None = None, run_ts=None, how: s
     rows = {k: stage(build(), sp(f"rows_{k}")) for k, build in rows.items() if k in needed}
     items = {k: stage(build(), sp(f"items_{k}")) for k, build in items.items() if k in needed}
     g = gather(persons, "origid", rows, items, part_size)
+    if "care_team" in wanted:
+        g = S.with_care_roles(t, g)
     values = {
         "id": lambda: F.col("origid"), "origid": lambda: F.col("origid"),
         "demographics": lambda: S.demographics_section(as_of), "contact": S.contact_section,

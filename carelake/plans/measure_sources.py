@@ -35,6 +35,5 @@ def item_sources(t: S.Tables, as_of) -> dict[str, DataFrame]:
 def measure_persons(t: S.Tables, as_of, cc_version: str | None = None, how: str = "inner", xref: DataFrame | None = None) -> DataFrame:
     """One row per person with the flat paths: demographics and care_team."""
     persons, roster = persons_with_roster(t, cc_version, how, xref)
-    rows = {"patient": t["patient"], "roster": S.roster_rows(t, roster)}
-    g = S.gather(persons, "origid", rows, {})
+    g = S.with_care_roles(t, S.gather(persons, "origid", {"patient": t["patient"], "roster": roster}, {}))
     return g.select("origid", S.demographics_section(as_of).alias("demographics"), S.care_team_section(as_of).alias("care_team"))

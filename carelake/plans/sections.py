@@ -150,21 +150,25 @@ def care_roles(t: Tables) -> DataFrame:
     return named.groupBy("provider_npi").agg(*[pick(k).alias(v) for k, v in CARE_ROLES.items()], members.alias("member_nrs"))
 
 
-def roster_rows(t: Tables, roster: DataFrame) -> DataFrame:
-    """Roster row with the names of the care roles of its provider."""
-    roles = care_roles(t)
-    return roster.join(roles, roster.prov_npi_nr == roles.provider_npi, "left").drop("provider_npi")
+def with_care_roles(t: Tables, gathered: DataFrame) -> DataFrame:
+    """Gathered rows with ``care_roles``, the roles of their roster's provider.
+
+    A provider's members grow with the personnel, so they join the persons
+    after the last exchange: persons × members would grow with the square of
+    the data.  The broadcast side holds each member of a provider once."""
+    roles = care_roles(t).select("provider_npi", F.struct(*CARE_ROLES.values(), "member_nrs").alias("care_roles"))
+    return gathered.join(F.broadcast(roles), F.col("roster.prov_npi_nr") == F.col("provider_npi"), "left").drop("provider_npi")
 
 
 def care_team_section(as_of) -> Column:
-    r, p = part("roster"), part("patient")
+    r, p, roles = part("roster"), part("patient"), part("care_roles")
     return F.when(F.col("roster").isNotNull(), obj(
         ("id", F.concat(F.col("origid"), F.lit("_care_team"))), ("market_id", r("market_id")),
         ("market_name", r("market_names")), ("group_name", r("dce_group_name")),
         ("sub_group_name", r("dce_sub_group_name")), ("subgroup_id", r("dce_sub_group_nr")),
         ("facility_nr", r("dce_group_nr")), ("facility_name", r("dce_group_name")),
         ("dce_provider", r("dce_provider_name")), ("dce_provider_npi", r("prov_npi_nr")),
-        *[(v, r(v)) for v in CARE_ROLES.values()], ("member_nrs", r("member_nrs")),
+        *[(v, roles(v)) for v in CARE_ROLES.values()], ("member_nrs", roles("member_nrs")),
         ("last_pcp_visit", C.iso_date(r("Last_PCP_Visit_Date"))),
         ("next_pcp_visit", C.iso_date(p("Next_Office_Visit"))),
         ("days_since_pcp_visit", C.days_between(as_of, r("Last_PCP_Visit_Date")))))

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from carelake.plans import checks
-from carelake.plans.document import to_json
+from carelake.plans.document import build_documents, to_json
 
 
 def _doc(docs, origid):
@@ -149,3 +149,13 @@ def test_parts_layout_splits_nested_arrays(spark, tables, docs):
     main = [r for r in rows if r.part_no == 0][0]
     assert main.patient.uamcc.summary.condition_count == 2
     assert sum(len(r.patient.sdoh.meal_plans or []) for r in rows if r.patient.sdoh) == 1
+
+
+def test_members_of_a_care_team_join_after_the_gather(tables):
+    """Persons × members must not be shuffled: the roles join above the union of all parts."""
+    d = build_documents(tables, "2026-01-15", sections=["care_team"])
+    plan = d._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, x in enumerate(plan) if "Join LeftOuter" in x and "provider_npi" in x)
+    assert join < next(i for i, x in enumerate(plan) if "Union" in x)
+    team = {r.origid: r.patient.care_team for r in d.collect()}["P1"]
+    assert team.care_manager == "Bob Care" and team.member_nrs == sorted(team.member_nrs)
