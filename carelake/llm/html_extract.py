@@ -1,10 +1,11 @@
 """Main text of web pages by union-free wrappers and counted template texts.
 
-For each host a bounded sample of pages is cut into tokens (tags, and texts).
-Runs that repeat, like list items, are folded into repeated groups; then the
-pages are aligned one after the other with the wrapper so far: where tags
-differ, the tokens of one side become an optional group, where texts differ
-they become a text slot.  The result is a regular expression without unions:
+All pages of a host are cut into tokens (tags, and texts).  Runs that repeat,
+like list items, are folded into repeated groups.  Pages of one structure (equal
+but for texts) are merged where they are read, a partial aggregate; then a
+host's structures are aligned, a few by each task until one wrapper is left:
+where tags differ, the tokens of one side become an optional group, where texts
+differ they become a text slot.  The result is a regular expression without unions:
 tags, fixed texts, slots ``#``, ``( ... )?`` and ``( ... )+``.
 
 The wrapper tells which part of the host's pages holds their own text: the
@@ -17,8 +18,8 @@ article or the wrapper's element don't count where nothing speaks against it:
 an article in a ``div`` of class ``layout with-sidebar`` is the main text unless
 the page has an article without such words around it, or more text outside.
 
-Template texts inside that element go too.  A host's wrapper sees few pages,
-and a page that it doesn't match in every token must still give its texts, so
+Template texts inside that element go too.  A text that differs on one page is
+a slot, and a page must still give its texts where it strays from the others, so
 pages are matched by path instead of token by token: over *all* pages of a host
 it is counted how often a block of text stands at its path (the open elements
 with their classes), and a block is a fixed text of the template if it does so
@@ -41,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -54,8 +56,10 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import cut, small, table
 
-#: pages of a host that its wrapper is made from, longest repeated run in tokens
-SAMPLE, PERIOD = 8, 16
+#: structures of a host that one task aligns (about), longest repeated run in tokens
+GROUP, PERIOD = 8, 16
+#: tokens of structures that a reading task holds before it folds and sends them
+HELD = 200_000
 #: hosts up to which wrappers are broadcast (about 2 KB each)
 MAX_BROADCAST = 20_000
 #: least pages of a host, and share of its pages with the path, on which a block is a template's
@@ -149,20 +153,21 @@ def where(path: tuple) -> str:
     return ">".join(label for label, _ in path)
 
 
-# wrapper nodes: [key, text or None, children or None, path, chars]; key of a text is '#', of a group '+' or '?' with its children's keys
-def _leaf(key: str, text: str | None = None, path: str = "", chars: int = 0) -> list:
-    return [key, text, None, path, chars]
+# wrapper nodes: [key, text or None, children or None, path, chars, marked]; key of a text is '#', of a group '+' or '?' with its children's
+# keys; chars and marked: of texts outside elements that are out, and of those that are out for no other reason than WORDS too
+def _leaf(key: str, text: str | None = None, path: str = "", chars: int = 0, marked: int = 0) -> list:
+    return [key, text, None, path, chars, marked]
 
 
 def _group(sign: str, children: list) -> list:
-    return [sign + "(" + " ".join(c[0] for c in children) + ")", None, children, "", 0]
+    return [sign + "(" + " ".join(c[0] for c in children) + ")", None, children, "", 0, 0]
 
 
 def _same(a: list, b: list) -> list:
     """Two nodes of one key as one: differing texts become a slot."""
     if a[2] is not None:
-        return [a[0], None, [_same(x, y) for x, y in zip(a[2], b[2])], "", 0]
-    return [a[0], a[1] if a[1] == b[1] else None, None, a[3], a[4] + b[4]]
+        return [a[0], None, [_same(x, y) for x, y in zip(a[2], b[2])], "", 0, 0]
+    return [a[0], a[1] if a[1] == b[1] else None, None, min(a[3], b[3]), a[4] + b[4], a[5] + b[5]]
 
 
 def fold(nodes: list) -> list:
@@ -217,16 +222,22 @@ def align(a: list, b: list) -> list:
     return out
 
 
-def nodes_of(page: str, most: int = 0) -> list:
-    """Folded nodes of a page; chars counts texts in elements that are out for
-    no other reason than ``most``."""
+def leaves_of(page: str, most: int = 0) -> list:
+    """Nodes of a page, not folded; chars counts texts in elements that are out
+    for no other reason than ``most``."""
     out = []
     for kind, value, path in parse(page):
         if kind == "#":
-            out.append(_leaf("#", " ".join(value.split()), where(path), len(value) if max((why for _, why in path), default=0) <= most else 0))
+            why = max((why for _, why in path), default=0)
+            out.append(_leaf("#", " ".join(value.split()), where(path), len(value) if why <= most else 0, len(value) if why <= WORDS else 0))
         elif kind != " ":
             out.append(_leaf(kind + value))
-    return fold(out)
+    return out
+
+
+def nodes_of(page: str, most: int = 0) -> list:
+    """Folded nodes of a page."""
+    return fold(leaves_of(page, most))
 
 
 def infer(pages: list[str], most: int = 0) -> list:
@@ -240,7 +251,7 @@ def infer(pages: list[str], most: int = 0) -> list:
 def expression(nodes: list) -> str:
     """The wrapper as a regular expression."""
     parts = []
-    for key, text, children, _, _ in nodes:
+    for key, text, children, *_ in nodes:
         if children is not None:
             parts.append(f"({expression(children)}){key[0]}")
         elif key == "#":
@@ -250,18 +261,18 @@ def expression(nodes: list) -> str:
     return "".join(parts)
 
 
-def main_element(nodes: list, n_pages: int) -> str | None:
+def main_element(nodes: list, n_pages: int, marked: bool = False) -> str | None:
     """Path of the element that holds the pages' own text, if any text counts."""
     slots: dict[str, int] = defaultdict(int)
 
     def gather(part: list) -> None:
-        for key, text, children, path, chars in part:
+        for key, text, children, path, *chars in part:
             if children is not None:
                 gather(children)
             elif key == "#" and (text is None or n_pages == 1):
                 steps = path.split(">")
                 for i in range(1, len(steps) + 1):
-                    slots[">".join(steps[:i])] += chars
+                    slots[">".join(steps[:i])] += chars[marked]
 
     gather(nodes)
     total = max(slots.values(), default=0)
@@ -368,20 +379,82 @@ def template_texts(pages: DataFrame) -> DataFrame:
     return fixed.groupBy("h").agg(F.collect_set("key").alias("fixed"))
 
 
+#: structures: s hash of the keys, n pages, lo and hi the least and greatest hash of a page, nodes as JSON
+STRUCTURE = "host string, s long, n long, lo long, hi long, nodes string"
+
+
+def _merged(rows: pd.DataFrame) -> list:
+    """s, n, lo and hi of several structures as one."""
+    return [int(rows["s"].min()), int(rows["n"].sum()), int(rows["lo"].min()), int(rows["hi"].max())]
+
+
+def structures(pages: DataFrame) -> DataFrame:
+    """The structures of all pages of ``pages`` (host, html), each once per
+    host, with their texts merged."""
+    def add(held: dict, key: tuple, n: int, lo: int, hi: int, nodes: list) -> None:
+        old = held.get(key)
+        held[key] = (n, lo, hi, nodes) if old is None else (old[0] + n, min(old[1], lo), max(old[2], hi), [_same(x, y) for x, y in zip(old[3], nodes)])
+
+    def folded(raw: dict) -> pa.RecordBatch:
+        held: dict = {}
+        for (host, _), (n, lo, hi, nodes) in raw.items():
+            nodes = fold(nodes)
+            add(held, (host, tuple(x[0] for x in nodes)), n, lo, hi, nodes)
+        rows = [(host, _key("", "\0".join(keys)), n, lo, hi, json.dumps(nodes)) for (host, keys), (n, lo, hi, nodes) in held.items()]
+        kinds = [pa.string(), *[pa.int64()] * 4, pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds)], names=["host", "s", "n", "lo", "hi", "nodes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw: dict = {}
+        size = 0
+        for batch in batches:
+            for s in range(0, batch.num_rows, 512):
+                for host, h, page in zip(*(c.to_pylist() for c in batch.slice(s, 512).columns)):
+                    nodes = leaves_of(page)
+                    key = (host, tuple(x[0] for x in nodes))
+                    size += 0 if key in raw else len(nodes) + 1
+                    add(raw, key, 1, h, h, nodes)
+                    if size > HELD:
+                        yield folded(raw)
+                        raw, size = {}, 0
+        if raw:
+            yield folded(raw)
+
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        nodes = json.loads(rows["nodes"].iloc[0])
+        for other in rows["nodes"].iloc[1:]:
+            nodes = [_same(x, y) for x, y in zip(nodes, json.loads(other))]
+        return pd.DataFrame([[key[0], *_merged(rows), json.dumps(nodes)]], columns=["host", "s", "n", "lo", "hi", "nodes"])
+
+    read = pages.where("html is not null").select("host", F.xxhash64("html").alias("h"), "html").mapInArrow(run, STRUCTURE)
+    return read.groupBy("host", "s").applyInPandas(merge, STRUCTURE)
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, root, expression) per host of ``pages`` (host, html), from at most
-    SAMPLE pages each, drawn by a hash of the page."""
-    known = pages.where("html is not null").withColumn("h", F.xxhash64("html")).withColumn("part", F.pmod("h", F.lit(SAMPLE)))
-    drawn = known.groupBy("host", "part").agg(F.min("h").alias("h")).select("host", "h")
-    sample = known.join(small(drawn, MAX_BROADCAST * SAMPLE), ["host", "h"]).groupBy("host", "h").agg(F.first("html").alias("html"))
-
-    def make(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        texts = rows.sort_values("h")["html"].tolist()
-        wrapper = infer(texts)
-        root = main_element(wrapper, len(texts)) or main_element(infer(texts, WORDS), len(texts))
-        return pd.DataFrame({"host": [key[0]], "root": [root], "expression": [expression(wrapper)]})
-
-    return sample.groupBy("host").applyInPandas(make, "host string, root string, expression string")
+    """(host, root, expression) per host of ``pages`` (host, html), from all its
+    pages: rounds of aligning GROUP structures, the ones of most pages first,
+    until each host has one."""
+    def join(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        parts = rows.sort_values(["n", "s"], ascending=[False, True])["nodes"].tolist()
+        nodes = json.loads(parts[0])
+        for other in parts[1:]:
+            nodes = fold(align(nodes, json.loads(other)))
+        return pd.DataFrame([[key[0], *_merged(rows), json.dumps(nodes)]], columns=["host", "s", "n", "lo", "hi", "nodes"])
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for host, lo, hi, nodes in zip(rows["host"], rows["lo"], rows["hi"], map(json.loads, rows["nodes"])):
+                n = 1 if lo == hi else 2     # copies of one page show no template
+                out.append((host, main_element(nodes, n) or main_element(nodes, n, True), expression(nodes)))
+            yield pd.DataFrame(out, columns=["host", "root", "expression"])
+
+    parts, turn = cut(structures(pages)), 0
+    while (most := parts.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
+        turn += 1
+        deal = F.pmod(F.xxhash64("s", F.lit(turn)), F.lit(-(-most // GROUP)))
+        parts = cut(parts.groupBy("host", deal.alias("part")).applyInPandas(join, STRUCTURE))
+    return parts.mapInPandas(finish, "host string, root string, expression string")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -503,3 +503,13 @@ def test_few_labels_block_no_other_branch(spark, n):
     pages = list(enumerate(urls))
     got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
     assert all(got[i] == ("block" if "/de/" in u else "allow") for i, u in pages)
+
+
+def test_wrapper_of_all_pages(spark):
+    page = lambda i: (f"<html><body><div class=top>Site</div><div class=box><div class=txt><p>Own text {i} {'word ' * 20}</p>"
+                      f"<section class=s{i}>Part {i}</section></div></div></body></html>")
+    pages = spark.createDataFrame([("h", page(i)) for i in range(40)] + [("h", None), ("one", "<div class=a><p>x</p></div>"), ("none", "")], "host string, html string")
+    got = {r.host: r for r in html_extract.wrappers(pages.repartition(5)).collect()}
+    assert all(f"<section.s{i}>" in got["h"].expression for i in range(40))
+    assert got["h"].root.endswith("div.box>div.txt") and "Site" in got["h"].expression
+    assert got["one"].root == "div.a" and got["none"].root is None
