@@ -147,13 +147,16 @@ def bucket_col(n_buckets: int, key: str = "origid") -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).alias("bucket")
 
 
-def write_documents(docs: DataFrame, path: str, n_buckets: int = 64, fmt: str = "json") -> None:
+def write_documents(docs: DataFrame, path: str, n_buckets: int = 64, fmt: str = "json", compression: str | None = None) -> None:
     """Document files partitioned by a hash bucket of the person key (S8):
     one JSON object per line, NULL fields kept; a later replace of some
-    persons rewrites only their buckets."""
+    persons rewrites only their buckets.  ``compression`` (e.g. ``gzip``) is
+    that of the files; readers tell it by their names."""
     out = docs.withColumn("bucket", bucket_col(n_buckets))
     # a bucket beyond the advisory partition size is split over several tasks and files
     w = out.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket")
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "json":
         w.option("ignoreNullFields", "false").json(path)
     else:

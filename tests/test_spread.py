@@ -24,3 +24,11 @@ def merging(spark):
 def test_diagnoses(merging):
     n = int(merging.conf.get("spark.sql.shuffle.partitions"))
     assert A.diagnoses(Tables(merging, SF)).rdd.getNumPartitions() == n > 1
+
+
+def test_files_are_written_gzipped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "shared_dir", lambda *parts: str(tmp_path / "files"))
+    df = A.doc_files(spark, SF)
+    files = [f for f in (tmp_path / "files").rglob("*.json*") if f.name[0] != "."]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert df.count() == Tables(spark, SF).customer.count()
