@@ -8,6 +8,7 @@ key, however many parts there are.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 from carelake.operators.arrays import _item
 
 
-def item_rows(df: DataFrame, key: str, order: Sequence, fields: Sequence, alias: str, item_id: Sequence | None = None) -> DataFrame:
+def item_rows(df: DataFrame, key: str, order: Sequence, fields: Sequence, alias: str, item_id: Sequence | None = None,
+              keep: Sequence[str] = ()) -> DataFrame:
     """``(key, _id, alias)``: one row per item of a keyed array; ``alias``
     holds the sort keys and the payload, ``_id`` a hash that deals the items
-    of a hot key to parts."""
+    of a hot key to parts.  ``keep``: further columns, e.g. the ``part_no`` of
+    items that are dealt already."""
     ident = [F.col(c) if isinstance(c, str) else c for c in (item_id or order)]
-    return df.select(key, F.xxhash64(*ident).alias("_id"), _item(order, fields).alias(alias))
+    return df.select(key, *keep, F.xxhash64(*ident).alias("_id"), _item(order, fields).alias(alias))
 
 
 def items_array(items: Column, desc: bool = True) -> Column:
@@ -36,50 +39,70 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def part_numbers(items: Mapping[str, DataFrame], key: str, part_size: int) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Item frames with ``part_no`` by the hash of the item where a key has
-    more than ``part_size`` items in one array, and ``(key, n_parts)`` of those
-    keys.  The counts are partial aggregates over all frames at once; only
-    keys above the size are joined back."""
-    tagged = _union([df.select(key, F.lit(name).alias("_part")) for name, df in items.items()])
-    hot = tagged.groupBy(key, "_part").count().where(F.col("count") > part_size).select(
-        key, "_part", F.ceil(F.col("count") / F.lit(part_size)).cast("int").alias("n_parts"))
-    out = {}
-    for name, df in items.items():
-        j = df.join(hot.where(F.col("_part") == name).select(key, "n_parts"), key, "left")
-        out[name] = j.withColumn("part_no", F.coalesce(F.pmod("_id", F.col("n_parts")).cast("int"), F.lit(0))).drop("n_parts")
-    return out, hot.groupBy(key).agg(F.max("n_parts").alias("n_parts"))
+def hot_keys(df: DataFrame, key: str, part_size: int, n: Column | None = None) -> DataFrame:
+    """``(key, n_parts)`` of the keys with more than ``part_size`` rows.  ``n``
+    (default: the rows) is the count as an aggregate; one that reads the columns
+    a second reader of ``df`` needs makes both share an exchange of ``df``."""
+    c = df.groupBy(key).agg((F.count(F.lit(1)) if n is None else n).alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") > part_size))
+    return c.select(key, F.ceil(F.col("_n") / F.lit(part_size)).cast("int").alias("n_parts"))
+
+
+def deal(df: DataFrame, key: str, hot: DataFrame, ident: Column) -> DataFrame:
+    """``df`` with ``part_no`` by the hash ``ident`` of the item where the key is
+    hot.  Every row is dealt anew by the key where the hot keys are too many
+    to broadcast, so ``df`` had better hold no more than the hash reads."""
+    return df.join(hot, key, "left").withColumn("part_no", F.coalesce(F.pmod(ident, F.col("n_parts")).cast("int"), F.lit(0))).drop("n_parts")
+
+
+def max_parts(hot: Sequence[DataFrame], key: str) -> DataFrame:
+    """``(key, n_parts)`` over the hot keys of several arrays."""
+    return _union(list(hot)).groupBy(key).agg(F.max("n_parts").alias("n_parts"))
 
 
 def gather(present: DataFrame, key: str, rows: Mapping[str, DataFrame], items: Mapping[str, DataFrame], part_size: int | None = None,
-           desc: Mapping[str, bool] | None = None) -> DataFrame:
+           desc: Mapping[str, bool] | None = None, n_parts: DataFrame | None = None) -> DataFrame:
     """One row per key of ``present``: ``rows`` (one row per key each) as
     structs, NULL where a key has none, and ``items`` (see :func:`item_rows`)
     as ordered arrays, NULL where a key has none.
 
     With ``part_size`` a key whose array has more items gives several rows
     ``(key, part_no, n_parts, …)``; structs stand in part 0 only, and no task
-    assembles more than about ``part_size`` items of an array."""
-    desc, n_parts = desc or {}, None
-    if part_size:
-        items, n_parts = part_numbers(items, key, part_size)
+    assembles more than about ``part_size`` items of an array.  Items that
+    have their ``part_no`` already (:func:`deal`) come with ``n_parts``, the
+    parts of the hot keys, and aren't dealt again.
+
+    The parts of a hot key are rows of the union too, so their number needs no
+    join with the gathered rows."""
+    desc = desc or {}
+    if part_size and n_parts is None:
+        hot = {name: hot_keys(df, key, part_size) for name, df in items.items()}
+        items = {name: deal(df, key, hot[name], F.col("_id")) for name, df in items.items()}
+        n_parts = max_parts(list(hot.values()), key) if hot else None
+    split = n_parts is not None
     zero = F.lit(0).alias("part_no")
     frames = {"_here": present.select(key, zero, F.lit(True).alias("_here"))}
     for name, df in rows.items():
         frames[name] = df.select(key, zero, F.struct(*[c for c in df.columns if c != key]).alias(name))
     for name, df in items.items():
-        frames[name] = df.select(key, F.col("part_no") if part_size else zero, name)
+        frames[name] = df.select(key, F.col("part_no") if split else zero, name)
+    if split:
+        hot = n_parts.join(present.select(key).distinct(), key, "left_semi")
+        frames["n_parts"] = hot.select(key, F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part_no"), "n_parts")
     types = {name: df.schema[name].dataType for name, df in frames.items()}
     none = {n: F.lit(None).cast(t).alias(n) for n, t in types.items()}
     union = _union([df.select(key, "part_no", *[n if n == name else none[n] for n in types])
                     for name, df in frames.items()])
     keys = [key, "part_no"] if part_size else [key]
     picked = [F.bool_or("_here").alias("_here"), *[F.min(n).alias(n) for n in rows], *[F.collect_list(n).alias(n) for n in items]]
+    if split:
+        picked.append(F.max("n_parts").alias("n_parts"))
     out = union.groupBy(*keys).agg(*picked)
     arrays = [items_array(F.col(n), desc.get(n, True)).alias(n) for n in items]
     if not part_size:
         return out.where("_here").select(key, *rows, *arrays)
-    # a part beyond the first has no mark of its own; its key has been split, so it has one in part 0
-    hot = n_parts.join(present.select(key).distinct(), key, "left_semi")
-    out = out.join(hot, key, "left").where("_here OR (part_no > 0 AND n_parts IS NOT NULL)")
+    if not split:
+        return out.where("_here").select(key, "part_no", F.lit(1).alias("n_parts"), *rows, *arrays)
+    # a part beyond the first has no mark of its own; the hash may have left it empty, then it is no row
+    some = reduce(lambda a, b: a | b, [F.size(n) > 0 for n in items])
+    out = out.where(F.col("_here") | ((F.col("part_no") > 0) & F.col("n_parts").isNotNull() & some))
     return out.select(key, "part_no", F.coalesce("n_parts", F.lit(1)).alias("n_parts"), *rows, *arrays)

@@ -1,6 +1,7 @@
 """Joins of many narrow rows keep the session's shuffle partitions, so a task's memory doesn't grow with the data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from carelake.plans import analogs as A
 from carelake.sources.driver import Tables
@@ -32,3 +33,27 @@ def test_files_are_written_gzipped(spark, tmp_path, monkeypatch):
     files = [f for f in (tmp_path / "files").rglob("*.json*") if f.name[0] != "."]
     assert files and all(f.name.endswith(".json.gz") for f in files)
     assert df.count() == Tables(spark, SF).customer.count()
+
+
+def _plan(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_split_records_join_narrow_rows_only(merging):
+    """An encounter that has its lines isn't joined any more: not before the gather by person, nor after it."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3)).split("ObjectHashAggregate")
+    assert len(plan) > 4 and not any("Join" in between for between in plan[:3])
+
+
+def test_split_records_hold_the_items_of_whole_ones(spark):
+    t = Tables(spark, SF)
+    parts, whole = A.person_records(t, part_size=4).cache(), A.person_records(t).cache()
+    assert parts.where("part_no >= n_parts").count() == 0 and parts.where("part_no = 0").count() == whole.count()
+    assert parts.groupBy("origid").agg(F.count_distinct("n_parts").alias("n")).where("n > 1").count() == 0
+    for a in ("encounters", "chronic_conditions", "hedis_measures"):
+        items = lambda d: sorted(map(str, d.select("origid", F.explode(a).alias("x")).collect()))
+        assert items(parts) == items(whole) != []
