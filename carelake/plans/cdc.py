@@ -91,15 +91,13 @@ def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFram
     if route.row_filter:
         exposed = c.select("*", *[row_value(x).alias(x) for x in route.row_cols])
         c = exposed.filter(F.expr(route.row_filter)).select(*changes.columns)
-    cur = c.select("event_id", "sequence", "table", "op", change_time(route).alias("change_ts"),
-                   row_value(route.key_col).alias("_key"))
-    for hop in route.hops:
+    cur = c.select("event_id", "sequence", "op", change_time(route).alias("change_ts"), row_value(route.key_col).alias("_key"))
+    for i, hop in enumerate(route.hops, 1):
         if route.collapse:
             # Many changes pointing at one key need one lookup: keep the
             # latest change per key before fanning out (partial aggregate),
             # so a mass change (C9) multiplies distinct keys, not events.
-            cur = latest_row(cur, ["_key"], ["sequence", "event_id"],
-                             ["event_id", "sequence", "table", "op", "change_ts"])
+            cur = cur.groupBy("_key").agg(F.max(F.struct("sequence", "event_id", "op", "change_ts")).alias("_m")).select("_key", "_m.*")
         p = parents[hop.table]
         if hop.filter:
             p = p.filter(F.expr(hop.filter))
@@ -109,9 +107,13 @@ def _route_plan(changes: DataFrame, route: Route, parents: Mapping[str, DataFram
         # the batch's (small) key set, so the parent is filtered during its
         # scan instead of being shuffled whole.
         keys = cur.select(F.col("_key").alias("_ref")).distinct()
-        p = p.join(keys, "_ref", "left_semi").distinct()
+        p = p.join(keys, "_ref", "left_semi")
+        # the next hop's collapse merges equal pairs anyway, at the key they lead to
+        if i == len(route.hops) or not route.collapse:
+            p = p.distinct()
         cur = cur.join(p, cur["_key"] == p["_ref"]).drop("_ref", "_key") \
             .withColumnRenamed("_next", "_key")
+    cur = cur.select("event_id", "sequence", F.lit(route.table).alias("table"), "op", "change_ts", "_key")
     out = cur.filter(F.col("_key").isNotNull()).withColumnRenamed("_key", person_col)
     secs = F.array(*[F.lit(s) for s in route.sections]) if route.sections else F.array(F.lit(None).cast("string"))
     return out.withColumn("section", F.explode(secs))

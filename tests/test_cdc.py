@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -101,3 +102,18 @@ def test_new_year_flips_capture_without_data_change(spark, tables):
     assert o["P1"] == (2, 2, None) and n["P1"] == (2, 1, ["HCC-226"])
     flipped = cdc.changed_rows(old, new, "origid", ["captured_hccs", "gap_hccs"])
     assert [r.origid for r in flipped.collect()] == ["P1"]
+
+
+def test_only_the_last_hop_makes_its_pairs_distinct(spark):
+    """Repeated parent rows multiply nothing, though pairs of a hop before the
+    last aren't shuffled and hashed for it: the next hop's collapse merges them."""
+    ch = _changes(spark, [("codes", "U", None, {"code": "c1"}), ("codes", "D", {"code": "c1"}, None), ("codes", "I", None, {"code": "c2"})])
+    parents = {"lines": spark.createDataFrame([("c1", "e1"), ("c1", "e1"), ("c1", "e2"), ("c2", "e2"), ("c2", None)], "code string, enc string"),
+               "encounters": spark.createDataFrame([("e1", "P1"), ("e1", "P1"), ("e2", "P2"), (None, "P3")], "enc string, origid string")}
+    route = cdc.Route("codes", "code", (cdc.Hop("lines", "code", "enc"), cdc.Hop("encounters", "enc", "origid")), ("a", "b"))
+    aff = cdc.affected(ch, [route], parents)
+    got = sorted((r.event_id, r.sequence, r.table, r.op, r.origid, r.section) for r in aff.collect())
+    assert got == [(i, i, "codes", op, p, s) for i, op, p in [(2, "D", "P1"), (3, "I", "P2")] for s in "ab"]
+    assert aff.schema.names == ["event_id", "sequence", "table", "op", "change_ts", "origid", "section"]
+    plan = aff._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Aggregate \[_ref#\d+, _next#\d+\]", plan)) == 1
