@@ -57,3 +57,13 @@ def test_split_records_hold_the_items_of_whole_ones(spark):
     for a in ("encounters", "chronic_conditions", "hedis_measures"):
         items = lambda d: sorted(map(str, d.select("origid", F.explode(a).alias("x")).collect()))
         assert items(parts) == items(whole) != []
+
+
+def test_texts_of_an_encounter_are_made_after_the_last_exchange(merging):
+    """Dates cross the exchanges as dates, and a procedure without its id and day."""
+    from carelake.plans import sections as S
+    from carelake.sources.derived import AS_OF, derive
+    e = S.encounters(derive(Tables(merging, SF)), AS_OF, S.ITEMS).select("encounters._v.*").schema
+    assert e["dates"].dataType["discharge_date"].dataType.typeName() == "date" and "tcm_7day_deadline" not in e["dates"].dataType.names
+    assert e["procedures"].dataType.elementType.names == ["billing_code", "cpt_modifier", "revenue_code"]
+    assert e["enc_medications"].dataType.elementType["start_date"].dataType.typeName() == "timestamp"
