@@ -42,8 +42,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, part_size: int, n: Column | None = None) -> DataFrame:
     """``(key, n_parts)`` of the keys with more than ``part_size`` rows.  ``n``
     (default: the rows) is the count as an aggregate; one that reads the columns
-    a second reader of ``df`` needs makes both share an exchange of ``df``."""
-    c = df.groupBy(key).agg((F.count(F.lit(1)) if n is None else n).alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") > part_size))
+    a second reader of ``df`` needs makes both share the exchanges of ``df``.
+
+    The key is given as an aggregate: a join on it asks for non-null keys, and
+    below the grouping that filter would make ``df`` another plan than its
+    second reader's, with exchanges of its own."""
+    c = df.groupBy(F.col(key).alias("_k")).agg(F.max(key).alias(key), (F.count(F.lit(1)) if n is None else n).alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") > part_size))
     return c.select(key, F.ceil(F.col("_n") / F.lit(part_size)).cast("int").alias("n_parts"))
 
 
@@ -59,11 +63,12 @@ def max_parts(hot: Sequence[DataFrame], key: str) -> DataFrame:
     return _union(list(hot)).groupBy(key).agg(F.max("n_parts").alias("n_parts"))
 
 
-def gather(present: DataFrame, key: str, rows: Mapping[str, DataFrame], items: Mapping[str, DataFrame], part_size: int | None = None,
+def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], items: Mapping[str, DataFrame], part_size: int | None = None,
            desc: Mapping[str, bool] | None = None, n_parts: DataFrame | None = None) -> DataFrame:
     """One row per key of ``present``: ``rows`` (one row per key each) as
     structs, NULL where a key has none, and ``items`` (see :func:`item_rows`)
-    as ordered arrays, NULL where a key has none.
+    as ordered arrays, NULL where a key has none.  Where one of ``rows`` holds
+    the keys, ``present`` is its name, and no rows cross just to mark them.
 
     With ``part_size`` a key whose array has more items gives several rows
     ``(key, part_no, n_parts, …)``; structs stand in part 0 only, and no task
@@ -80,29 +85,31 @@ def gather(present: DataFrame, key: str, rows: Mapping[str, DataFrame], items: M
         n_parts = max_parts(list(hot.values()), key) if hot else None
     split = n_parts is not None
     zero = F.lit(0).alias("part_no")
-    frames = {"_here": present.select(key, zero, F.lit(True).alias("_here"))}
+    marked = isinstance(present, DataFrame)
+    frames = {"_here": present.select(key, zero, F.lit(True).alias("_here"))} if marked else {}
+    here = F.col("_here") if marked else F.col(present).isNotNull()
     for name, df in rows.items():
         frames[name] = df.select(key, zero, F.struct(*[c for c in df.columns if c != key]).alias(name))
     for name, df in items.items():
         frames[name] = df.select(key, F.col("part_no") if split else zero, name)
     if split:
-        hot = n_parts.join(present.select(key).distinct(), key, "left_semi")
+        hot = n_parts.join((present if marked else rows[present]).select(key).distinct(), key, "left_semi")
         frames["n_parts"] = hot.select(key, F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part_no"), "n_parts")
     types = {name: df.schema[name].dataType for name, df in frames.items()}
     none = {n: F.lit(None).cast(t).alias(n) for n, t in types.items()}
     union = _union([df.select(key, "part_no", *[n if n == name else none[n] for n in types])
                     for name, df in frames.items()])
     keys = [key, "part_no"] if part_size else [key]
-    picked = [F.bool_or("_here").alias("_here"), *[F.min(n).alias(n) for n in rows], *[F.collect_list(n).alias(n) for n in items]]
+    picked = [*([F.bool_or("_here").alias("_here")] if marked else []), *[F.min(n).alias(n) for n in rows], *[F.collect_list(n).alias(n) for n in items]]
     if split:
         picked.append(F.max("n_parts").alias("n_parts"))
     out = union.groupBy(*keys).agg(*picked)
     arrays = [items_array(F.col(n), desc.get(n, True)).alias(n) for n in items]
     if not part_size:
-        return out.where("_here").select(key, *rows, *arrays)
+        return out.where(here).select(key, *rows, *arrays)
     if not split:
-        return out.where("_here").select(key, "part_no", F.lit(1).alias("n_parts"), *rows, *arrays)
+        return out.where(here).select(key, "part_no", F.lit(1).alias("n_parts"), *rows, *arrays)
     # a part beyond the first has no mark of its own; the hash may have left it empty, then it is no row
     some = reduce(lambda a, b: a | b, [F.size(n) > 0 for n in items])
-    out = out.where(F.col("_here") | ((F.col("part_no") > 0) & F.col("n_parts").isNotNull() & some))
+    out = out.where(here | ((F.col("part_no") > 0) & F.col("n_parts").isNotNull() & some))
     return out.select(key, "part_no", F.coalesce("n_parts", F.lit(1)).alias("n_parts"), *rows, *arrays)

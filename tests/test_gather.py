@@ -75,3 +75,12 @@ def test_chosen_sections_read_their_tables_alone(spark, tables, docs):
     assert lone.select("patient.demographics.age").count() == 2      # no other table is asked for
     with pytest.raises(ValueError, match="no such sections"):
         build_documents(tables, AS_OF, sections=["labz"])
+
+
+def test_gather_by_the_name_of_its_rows(frames):
+    """Keys that one of the rows holds need no mark; a row of NULLs alone is one too."""
+    present, one, many = frames
+    items = {"items": item_rows(many, "k", ["o"], ["v"], "items")}
+    as_text = lambda d: sorted(map(str, d.collect()))
+    for size in (None, 2):
+        assert as_text(gather("one", "k", {"one": one}, items, part_size=size)) == as_text(gather(one.select("k"), "k", {"one": one}, items, part_size=size)) != []

@@ -1,5 +1,7 @@
 """Joins of many narrow rows keep the session's shuffle partitions, so a task's memory doesn't grow with the data."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,21 @@ def test_texts_of_an_encounter_are_made_after_the_last_exchange(merging):
     assert e["dates"].dataType["discharge_date"].dataType.typeName() == "date" and "tcm_7day_deadline" not in e["dates"].dataType.names
     assert e["procedures"].dataType.elementType.names == ["billing_code", "cpt_modifier", "revenue_code"]
     assert e["enc_medications"].dataType.elementType["start_date"].dataType.typeName() == "timestamp"
+
+
+def test_hot_keys_share_the_exchanges_of_their_items(merging):
+    """The parts of a person's conditions come from the rows that are dealt to them, not from a second join of lines and orders."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3))
+    own = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(origid#\d+L?, code#", x) and "Reused" not in x]
+    assert len(own) == 1
+
+
+def test_conditions_of_split_records_keep_the_partitions(merging):
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3))
+    assert re.search(r"Exchange hashpartitioning\(origid#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
+
+
+def test_an_encounter_marks_itself(merging):
+    """No rows cross to the encounter just to say that it's there."""
+    t = Tables(merging, SF)
+    assert "_here" not in _plan(merging, A.person_records(t, part_size=3)) + _plan(merging, A.person_records(t))
