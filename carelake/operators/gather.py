@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.aggregates import spread
 from carelake.operators.arrays import _item
 
 
@@ -59,8 +60,10 @@ def deal(df: DataFrame, key: str, hot: DataFrame, ident: Column) -> DataFrame:
 
 
 def max_parts(hot: Sequence[DataFrame], key: str) -> DataFrame:
-    """``(key, n_parts)`` over the hot keys of several arrays."""
-    return _union(list(hot)).groupBy(key).agg(F.max("n_parts").alias("n_parts"))
+    """``(key, n_parts)`` over the hot keys of several arrays, dealt to all
+    partitions: so few bytes would be merged into one, and its task would make
+    the rows of all parts."""
+    return spread(_union(list(hot)), key).groupBy(key).agg(F.max("n_parts").alias("n_parts"))
 
 
 def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], items: Mapping[str, DataFrame], part_size: int | None = None,

@@ -87,3 +87,15 @@ def test_an_encounter_marks_itself(merging):
     """No rows cross to the encounter just to say that it's there."""
     t = Tables(merging, SF)
     assert "_here" not in _plan(merging, A.person_records(t, part_size=3)) + _plan(merging, A.person_records(t))
+
+
+def test_coded_lines(merging):
+    n = int(merging.conf.get("spark.sql.shuffle.partitions"))
+    assert A.coded_lines(Tables(merging, SF)).rdd.getNumPartitions() == n > 1
+
+
+def test_parts_are_made_in_all_partitions(merging):
+    """A few bytes a person become a row for each of their parts, so these tasks aren't merged by their bytes."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3)).splitlines()
+    at = next(i for i, x in enumerate(plan) if "explode(sequence" in x)
+    assert "REPARTITION_BY_NUM" in next(x for x in plan[at:] if "Exchange" in x)
