@@ -20,10 +20,11 @@ def _cols(items) -> list[Column]:
 
 
 def _item(order: Sequence, fields: Sequence) -> Column:
-    """Struct ``(_o0, _o1, …, _v)``: sort keys first, payload last."""
+    """Struct ``(_o0, _o1, …, _v)``: sort keys first, payload last; without
+    ``fields`` there is no payload."""
     order_cols = [c.alias(f"_o{i}") for i, c in enumerate(_cols(order))]
-    payload = F.struct(*_cols(fields)).alias("_v")
-    return F.struct(*order_cols, payload)
+    payload = [F.struct(*_cols(fields)).alias("_v")] if fields else []
+    return F.struct(*order_cols, *payload)
 
 
 def ordered_array(df: DataFrame, keys: Sequence[str], order: Sequence,

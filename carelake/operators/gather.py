@@ -7,7 +7,7 @@ key, however many parts there are.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,9 +27,9 @@ def item_rows(df: DataFrame, key: str, order: Sequence, fields: Sequence, alias:
     return df.select(key, *keep, F.xxhash64(*ident).alias("_id"), _item(order, fields).alias(alias))
 
 
-def items_array(items: Column, desc: bool = True) -> Column:
+def items_array(items: Column, desc: bool = True, unpack: Callable[[Column], Column] | None = None) -> Column:
     """Collected items in order, without their sort keys; NULL when there are none."""
-    return F.when(F.size(items) > 0, F.transform(F.sort_array(items, asc=not desc), lambda x: x["_v"]))
+    return F.when(F.size(items) > 0, F.transform(F.sort_array(items, asc=not desc), unpack or (lambda x: x["_v"])))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -67,11 +67,13 @@ def max_parts(hot: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], items: Mapping[str, DataFrame], part_size: int | None = None,
-           desc: Mapping[str, bool] | None = None, n_parts: DataFrame | None = None) -> DataFrame:
+           desc: Mapping[str, bool] | None = None, n_parts: DataFrame | None = None,
+           unpack: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """One row per key of ``present``: ``rows`` (one row per key each) as
     structs, NULL where a key has none, and ``items`` (see :func:`item_rows`)
-    as ordered arrays, NULL where a key has none.  Where one of ``rows`` holds
-    the keys, ``present`` is its name, and no rows cross just to mark them.
+    as ordered arrays, NULL where a key has none.  Where one of ``rows`` (or, of
+    a key with several rows, of ``items``) holds the keys, ``present`` is its name,
+    and no rows cross just to mark them.
 
     With ``part_size`` a key whose array has more items gives several rows
     ``(key, part_no, n_parts, …)``; structs stand in part 0 only, and no task
@@ -80,8 +82,12 @@ def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], it
     parts of the hot keys, and aren't dealt again.
 
     The parts of a hot key are rows of the union too, so their number needs no
-    join with the gathered rows."""
-    desc = desc or {}
+    join with the gathered rows.
+
+    ``unpack`` makes the element of an array from its item, whose sort keys are
+    ``_o0``, ``_o1``, … and whose payload is ``_v`` (default: the payload), so a
+    value that items are sorted by needn't cross a second time."""
+    desc, unpack = desc or {}, unpack or {}
     if part_size and n_parts is None:
         hot = {name: hot_keys(df, key, part_size) for name, df in items.items()}
         items = {name: deal(df, key, hot[name], F.col("_id")) for name, df in items.items()}
@@ -90,13 +96,13 @@ def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], it
     zero = F.lit(0).alias("part_no")
     marked = isinstance(present, DataFrame)
     frames = {"_here": present.select(key, zero, F.lit(True).alias("_here"))} if marked else {}
-    here = F.col("_here") if marked else F.col(present).isNotNull()
+    here = F.col("_here") if marked else F.size(present) > 0 if present in items else F.col(present).isNotNull()
     for name, df in rows.items():
         frames[name] = df.select(key, zero, F.struct(*[c for c in df.columns if c != key]).alias(name))
     for name, df in items.items():
         frames[name] = df.select(key, F.col("part_no") if split else zero, name)
     if split:
-        hot = n_parts.join((present if marked else rows[present]).select(key).distinct(), key, "left_semi")
+        hot = n_parts.join((present if marked else {**rows, **items}[present]).select(key).distinct(), key, "left_semi")
         frames["n_parts"] = hot.select(key, F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part_no"), "n_parts")
     types = {name: df.schema[name].dataType for name, df in frames.items()}
     none = {n: F.lit(None).cast(t).alias(n) for n, t in types.items()}
@@ -107,7 +113,7 @@ def gather(present: DataFrame | str, key: str, rows: Mapping[str, DataFrame], it
     if split:
         picked.append(F.max("n_parts").alias("n_parts"))
     out = union.groupBy(*keys).agg(*picked)
-    arrays = [items_array(F.col(n), desc.get(n, True)).alias(n) for n in items]
+    arrays = [items_array(F.col(n), desc.get(n, True), unpack.get(n)).alias(n) for n in items]
     if not part_size:
         return out.where(here).select(key, *rows, *arrays)
     if not split:

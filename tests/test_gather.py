@@ -84,3 +84,12 @@ def test_gather_by_the_name_of_its_rows(frames):
     as_text = lambda d: sorted(map(str, d.collect()))
     for size in (None, 2):
         assert as_text(gather("one", "k", {"one": one}, items, part_size=size)) == as_text(gather(one.select("k"), "k", {"one": one}, items, part_size=size)) != []
+
+
+def test_gather_unpacks_sort_keys(frames):
+    """An element can be made of its item's sort keys, which needn't be in the payload, and items can hold the keys."""
+    present, one, many = frames
+    items = {"items": item_rows(many, "k", ["o", "v"], [], "items")}
+    g = gather("items", "k", {"one": one}, items, unpack={"items": lambda x: F.struct(x["_o1"].alias("v"), x["_o0"].alias("o"))})
+    got = {r["k"]: [tuple(x) for x in r["items"]] for r in g.collect()}
+    assert got == {"a": [(f"v{i}", i) for i in reversed(range(7))], "b": [("null order", None)], "x": [("gone", 1)]}

@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,35 @@ def test_parts_are_made_in_all_partitions(merging):
     plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3)).splitlines()
     at = next(i for i, x in enumerate(plan) if "explode(sequence" in x)
     assert "REPARTITION_BY_NUM" in next(x for x in plan[at:] if "Exchange" in x)
+
+
+def test_lines_meet_their_orders_once(merging):
+    """A person's conditions come from the encounters that have their lines: one scan of the lines, moved to part and to encounter."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3))
+    assert plan.count("FileScan parquet [l_orderkey") == 1 and not re.search(r"Exchange hashpartitioning\(l_orderkey#", plan)
+
+
+def test_conditions_are_counted_where_they_are_dealt(merging):
+    """The count of a person's conditions reads the exchange that deals them; only its result moves."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3))
+    assert re.search(r"ReusedExchange \[origid#\d+L?, code#.*REPARTITION_BY_NUM", plan)
+
+
+def test_sort_keys_cross_once(merging):
+    """What an item is sorted by isn't in its payload too."""
+    plan = _plan(merging, A.person_records(Tables(merging, SF), part_size=3))
+    assert "_v, struct(icd_code, code#" in plan and not re.search(r"_v, struct\((id, |icd_code, code#\d+, (onset_date|last_seen_date))", plan)
+
+
+def test_an_order_key_of_two_persons(spark, tmp_path):
+    """Lines count for every order with their key, as the SQL joins them."""
+    from carelake.plans.registry import ORACLES
+    con = duckdb.connect()
+    for name in ("customer", "part", "lineitem", "events", "orders"):
+        rows = f"SELECT * FROM '{SF}/{name}.parquet'"
+        if name == "orders":
+            rows += f" UNION ALL SELECT * REPLACE (1 + o_custkey % (SELECT max(c_custkey) FROM '{SF}/customer.parquet') AS o_custkey) FROM '{SF}/orders.parquet'"
+        con.execute(f"COPY ({rows}) TO '{tmp_path}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = sorted(con.execute(ORACLES["measure_full_parts"]).fetchall())
+    assert sorted(tuple(r) for r in A.measure_full_parts(spark, str(tmp_path)).collect()) == want != []
