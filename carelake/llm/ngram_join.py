@@ -17,7 +17,14 @@ How the work is spread
     its first ``h + 1`` non-empty blocks and nothing else.  Shingles that are
     frequent (counted over all documents) are left out of the blocks; documents
     that keep too few blocks also send the blocks of their full set, so no pair
-    is lost.  Equal keys within an Arrow batch are merged before the shuffle.
+    is lost.  Any order of the blocks will do that their content alone gives: the
+    first equal block has at most ``h`` before it in either document.  So *hot*
+    blocks, which several documents of a share of the corpus have, come last, and
+    before them those of one shingle.  A line that stands in many documents would
+    else tie ever more of them together as the corpus grows, and the pairs of
+    step 4 grow with their square.  Equal keys within an Arrow batch are merged
+    before the shuffle, and its sorted keys cross as differences, with 40 bits of
+    each node: what agrees by chance only makes a cluster larger.
 3.  Nodes connected by keys form clusters.  A cluster is cut into cells of
     bounded weight.  Each cell builds a *signature tree*: leaves are documents,
     inner nodes hold the OR of their token bitmaps and the range of set sizes.
@@ -42,7 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.common import U64, blocks, cut, mix, small, span_hashes, table, utf8, words
@@ -55,6 +62,14 @@ STRAY_CELL = 512
 LOCAL, GLOBAL = 8, 64
 #: frequent shingles kept at most; a shorter list costs time, never results
 MAX_FREQUENT = 200_000
+#: a block is hot if several different documents of one in HOT_SHARE have it
+HOT_SHARE = 16
+#: hot blocks kept at most; a shorter list costs time, never results
+MAX_HOT = 1_000_000
+#: bytes of a node's hash that cross with its keys
+SHORT_BYTES = 5
+#: shingles of all documents for each range of keys that meets at once
+RANGE = 1 << 21
 #: rows up to which a list of ids is broadcast (16 bytes each)
 MAX_BROADCAST = 4_000_000
 
@@ -101,9 +116,16 @@ def size_classes(pct: int, upto: int) -> list[int]:
     return out
 
 
-def block_keys(u: np.ndarray, size: int, cls: int, top: int, pct: int, salt: int) -> tuple[np.ndarray, np.ndarray | None]:
+#: hot blocks, sorted by key: their keys and how many documents of the share have each
+NO_HOT = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def block_keys(u: np.ndarray, size: int, cls: int, top: int, pct: int, salt: int,
+               hot: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Keys of the first h + 1 non-empty blocks of ``u`` in one class, and None.
-    With fewer of them, the keys of all, and those of the empty blocks.
+    With fewer of them, the keys of all, and those of the empty blocks.  Blocks
+    go by how ``hot`` they are, then those of several shingles go first; None
+    asks for all non-empty blocks.
 
     ``size``: of the document's full set; ``top``: the largest size of the
     class.  A document above ``top`` is the larger of each pair it looks for."""
@@ -116,14 +138,22 @@ def block_keys(u: np.ndarray, size: int, cls: int, top: int, pct: int, salt: int
         first = np.flatnonzero(np.concatenate(([True], j[1:] != j[:-1]))) if len(u) else np.zeros(0, np.int64)
         sums = np.add.reduceat(mix(u ^ tag), first) if len(u) else u
         keys = mix(sums ^ mix(j[first] + tag))
+        if hot is None:
+            return keys, None
         if len(keys) > h:
-            return keys[:h + 1], None
+            level = np.zeros(len(keys), np.int64)
+            if len(hot[0]):
+                at = np.minimum(np.searchsorted(hot[0], keys), len(hot[0]) - 1)
+                level = np.where(hot[0][at] == keys, hot[1][at], 0)
+            return keys[np.lexsort((np.diff(np.append(first, len(u))) == 1, level))[:h + 1]], None
         empty = np.setdiff1d(np.arange(b, dtype=np.uint64), j[first])
         return keys, mix(mix(empty + tag) + U64(77))
 
 
-def routing_keys(u: np.ndarray, bounds: list[int], pct: int, frequent: np.ndarray) -> np.ndarray:
-    """All keys of a document (see the module's text)."""
+def routing_keys(u: np.ndarray, bounds: list[int], pct: int, frequent: np.ndarray,
+                 hot: tuple[np.ndarray, np.ndarray] | None = NO_HOT) -> np.ndarray:
+    """All keys of a document (see the module's text); with ``hot`` None those
+    of all its non-empty blocks."""
     size = len(u)
     cls = int(np.searchsorted(bounds, size, side="right")) - 1
     rare = u
@@ -135,16 +165,59 @@ def routing_keys(u: np.ndarray, bounds: list[int], pct: int, frequent: np.ndarra
         top = bounds[c + 1] - 1
         if c < 0 or c < cls and size * pct > 100 * top:
             continue
-        keys, empty = block_keys(rare, size, c, top, pct, 0)
+        keys, empty = block_keys(rare, size, c, top, pct, 0, hot)
         out.append(keys)
         if empty is not None:
-            keys, empty = block_keys(u, size, c, top, pct, 1)
+            keys, empty = block_keys(u, size, c, top, pct, 1, hot)
             out.append(keys)
             if empty is not None:
                 out.append(empty)
     return np.concatenate(out)
 
 
+def pack(keys: np.ndarray, nodes: np.ndarray) -> bytes:
+    """Sorted keys as differences of their 48 upper bits, with 5 bytes of each node."""
+    top = keys >> U64(16)
+    steps = np.diff(top)
+    steps = steps.astype("<u4") if not len(steps) or int(steps.max()) < 1 << 32 else steps.astype("<u8")
+    return b"".join((bytes([steps.itemsize]), top[:1].astype("<u8").tobytes(), steps.tobytes(),
+                     np.ascontiguousarray(nodes.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :SHORT_BYTES]).tobytes()))
+
+
+def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(key, short node) of :func:`pack`."""
+    n = (len(raw) - 9 + raw[0]) // (raw[0] + SHORT_BYTES)
+    steps = np.frombuffer(raw, f"<u{raw[0]}", n - 1, 9)
+    top = np.cumsum(np.concatenate((np.frombuffer(raw, "<u8", 1, 1), steps.astype(np.uint64))), dtype=np.uint64)
+    nodes = np.zeros((n, 8), np.uint8)
+    nodes[:, :SHORT_BYTES] = np.frombuffer(raw, np.uint8, n * SHORT_BYTES, 9 + (n - 1) * raw[0]).reshape(n, SHORT_BYTES)
+    return top, nodes.view("<i8").ravel()
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per partition, sorted by ``p``: neighbours among the different nodes of
+    each key, the pairs of one ``p`` once."""
+    def close() -> Iterator[pa.RecordBatch]:
+        key, node = map(np.concatenate, zip(*map(unpack, here)))
+        at = np.lexsort((node, key))
+        key, node = key[at], node[at]
+        at = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1]))
+        pairs = np.unique(np.stack([node[at], node[at + 1]]), axis=1)
+        if pairs.size:
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    now, here = None, []
+    for batch in batches:
+        for x, raw in zip(*(col.to_pylist() for col in batch.columns)):
+            if x != now and here:
+                yield from close()
+                here = []
+            now = x
+            here.append(raw)
+    if here:
+        yield from close()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): connected components of edges (a, b), root the smallest
     node.  Alternates large-star and small-star steps until nothing changes;
@@ -408,9 +481,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     hot = (base.select(F.explode("often").alias("o")).groupBy("o.h").agg(F.sum("o.n").alias("n")).where(F.col("n") >= GLOBAL)
            .orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).select("h").toPandas()["h"].to_numpy(np.int64))
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    bounds = size_classes(pct, base.agg(F.max("n_shingles")).first()[0] or 1)
+    largest, total = base.agg(F.max("n_shingles"), F.sum("n_shingles")).first()
+    bounds = size_classes(pct, largest or 1)
+    ranges = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total or 0) // RANGE)
+
+    # 2: blocks that several documents of a share have, then routing keys, merged within a batch
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            off, data = utf8(batch.column(0))
+            for i, j in blocks(off):
+                sets = [u for u in shingle_sets(off[i:j + 1], data, k) if len(u)]
+                keys = [np.unique(routing_keys(u, bounds, pct, frequent.value, None)) for u in sets]
+                if keys:
+                    nodes = np.repeat(np.array([node_of(u) for u in sets], np.int64), [len(x) for x in keys])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes)], names=["key", "node"])
+
+    some = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(HOT_SHARE)) == 0).mapInArrow(share, "key long, node long")
+    hot = (some.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")).where("a != b")
+           .orderBy(F.desc("n"), "key").limit(MAX_HOT).select("key", "n").toPandas())
+    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
+    at = np.argsort(keys)
+    crowded = docs.sparkSession.sparkContext.broadcast((keys[at], hot["n"].to_numpy(np.int64)[at]))
 
-    # 2: routing keys, merged within a batch
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(0))
@@ -418,7 +510,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
             for u in shingle_sets(off, data, k):
                 if len(u) and (x := node_of(u)) not in seen:
                     seen[x] = True
-                    keys.append(routing_keys(u, bounds, pct, frequent.value).view(np.int64))
+                    keys.append(routing_keys(u, bounds, pct, frequent.value, crowded.value).view(np.int64))
                     owner.append(np.full(len(keys[-1]), x, np.int64))
             if not keys:
                 continue
@@ -431,21 +523,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
             rest = np.unique(np.stack([center, own])[:, center != own], axis=1)
             tag = mix(np.array([abs(hash((int(own[0]), len(own), int(own[-1]))))], np.uint64))
             local = mix(rest[0].view(np.uint64) ^ tag).view(np.int64)
-            k_out, n_out = np.concatenate((key[new], local, local)), np.concatenate((own[new], rest[0], rest[1]))
-            for s in range(0, len(k_out), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(k_out[s:s + (1 << 18)]), pa.array(n_out[s:s + (1 << 18)])],
-                                                 names=["key", "node"])
-
-    routed = docs.select("text").mapInArrow(route, "key long, node long")
-    by_key = Window.partitionBy("key").orderBy("node")
-    pairs = routed.select("node", F.lag("node").over(by_key).alias("a")).where("a != node").select("a", F.col("node").alias("b"))
-    clusters = connected(pairs)
+            k_out, n_out = np.concatenate((key[new], local, local)).view(np.uint64), np.concatenate((own[new], rest[0], rest[1]))
+            at = np.argsort(k_out)
+            k_out, n_out = k_out[at], n_out[at]
+            p = ((k_out >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int32)
+            cuts = np.concatenate(([0], np.flatnonzero(p[1:] != p[:-1]) + 1, [len(p)]))
+            yield pa.RecordBatch.from_arrays([pa.array(p[cuts[:-1]]), pa.array([pack(k_out[i:j], n_out[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())],
+                                             names=["p", "data"])
+
+    packed = docs.select("text").mapInArrow(route, "p int, data binary")
+    pairs = packed.repartition("p").sortWithinPartitions("p").mapInArrow(_meet, "a long, b long")
+    clusters = connected(pairs).withColumnRenamed("node", "short")
+    short = F.col("node").bitwiseAND(F.lit((1 << 8 * SHORT_BYTES) - 1)).alias("short")
     n = clusters.count()
 
     # 3: cells of the clusters
     owner = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.first("n_shingles").alias("n"))
     # as many tasks as the nodes need, though few of them are written
-    placed = cut(owner.join(small(clusters, MAX_BROADCAST), "node"))
+    placed = cut(owner.select("*", short).join(small(clusters, MAX_BROADCAST), "short").drop("short"))
     weights = cut(placed.groupBy("root").agg(F.greatest(F.count("*"), F.sum("n") / SHINGLES_PER_DOC).alias("w")), n)
     cell_of = _spread(placed, weights, CELL).select("row", "root", "g", "c")
 
@@ -460,15 +555,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
                      pa.array([u.tobytes() for u in us], pa.binary()), *part.columns[2:]],
                     names=["node", "set", "root", "g", "c"])
 
-    chosen = docs.join(small(cell_of, MAX_BROADCAST), "row").select("row", "text", "root", "g", "c").mapInArrow(
-        sets, "node long, set binary, root long, g int, c int").where("node is not null")
-    # rows that share a hash may bring other texts along
-    chosen = chosen.join(small(clusters.select("node", F.col("root").alias("root_of")), MAX_BROADCAST), "node") \
-        .where("root = root_of").select("root", "g", "c", "node", "set")
+    def chosen(cells: DataFrame) -> DataFrame:
+        with_sets = docs.join(small(cells, MAX_BROADCAST), "row").select("row", "text", "root", "g", "c").mapInArrow(
+            sets, "node long, set binary, root long, g int, c int").where("node is not null")
+        # rows that share a hash may bring other texts along
+        return with_sets.select("*", short).join(small(clusters.select("short", F.col("root").alias("root_of")), MAX_BROADCAST), "short") \
+            .where("root = root_of").select("root", "g", "c", "node", "set")
+
     many = weights.where(F.col("w") > CELL).count() > 0
-    if many:
-        chosen = cut(chosen)
-    found = _cells(_within(chosen), pct)
+    found = _cells(_within(chosen(cell_of)), pct)
     links, level = [found.where("b is not null").select("a", "b")], found.where("b is null")
     while many and level.limit(1).count():
         # members of the cells' main components meet, level by level
@@ -479,7 +574,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
         level = found.where("b is null")
     links = cut(functools.reduce(DataFrame.unionByName, links), n)
     if many:
-        links = cut(links.unionByName(_strays(chosen.where("g > 1"), links, pct)), n)
+        links = cut(links.unionByName(_strays(cut(chosen(cell_of.where("g > 1"))), links, pct)), n)
 
     # components of documents
     low = cut(owner.join(small(connected(links), MAX_BROADCAST), "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root")))

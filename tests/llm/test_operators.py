@@ -360,6 +360,51 @@ def test_ngram_join_many_cells(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(docs, 5, 80)
 
 
+def test_ngram_join_lines_of_many_documents_tie_none(spark, monkeypatch):
+    """Different documents with one of some common lines don't become one cluster, though no line is frequent in a batch; links hold."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    lines = [[word() for _ in range(12)] for _ in range(20)]
+    texts = [[word() for _ in range(24)] + lines[i % 20] for i in range(600)]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(texts[i] + ["end"])) for i in range(0, 600, 40)]
+    sizes, inner = [], ngram_join.connected
+    monkeypatch.setattr(ngram_join, "HOT_SHARE", 2, raising=False)
+    monkeypatch.setattr(ngram_join, "connected", lambda edges: [out := inner(edges), sizes.append(out.count())][0])
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=5, pct=80)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(docs, 5, 80)
+    assert sizes[0] < 150
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_routing_keeps_every_link_in_any_order_of_blocks(seed):
+    """Hot blocks come last, whatever the list of hot blocks."""
+    sets = []
+    for _, t in near_copies(120, seed, 40):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        sets.append(next(ngram_join.shingle_sets(np.array([0, len(raw)]), raw, 3)))
+    bounds = ngram_join.size_classes(80, max(map(len, sets)))
+    none = np.zeros(0, np.uint64)
+    every = np.unique(np.concatenate([ngram_join.routing_keys(u, bounds, 80, none, None) for u in sets]))
+    rng = np.random.default_rng(seed)
+    hot = np.sort(rng.choice(every, len(every) // 2, replace=False))
+    levels = rng.integers(2, 9, len(hot))
+    keys = [set(ngram_join.routing_keys(u, bounds, 80, none, (hot, levels)).tolist()) for u in sets]
+    links = [(i, j) for i in range(120) for j in range(i) if ngram_join.linked(sets[i], sets[j], 80)]
+    assert links and all(keys[i] & keys[j] for i, j in links)
+
+
+@pytest.mark.parametrize("gap", [1 << 40, 1 << 62])
+def test_packed_routing_keys(gap):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 500):
+        keys = np.cumsum(rng.integers(0, max(1, gap // n), n).astype(np.uint64), dtype=np.uint64)
+        nodes = rng.integers(-2**63, 2**63, n)
+        raw = ngram_join.pack(keys, nodes)
+        got, short = ngram_join.unpack(raw)
+        assert got.tolist() == (keys >> np.uint64(16)).tolist() and short.tolist() == (nodes & (2**40 - 1)).tolist()
+    assert len(ngram_join.pack(np.arange(500, dtype=np.uint64) << np.uint64(40), nodes)) < 10 * 500
+
+
 @pytest.mark.parametrize("k,pct,words", [(3, 90, 60), (5, 80, 200), (2, 60, 12)])
 def test_routing_keeps_every_link(k, pct, words):
     docs = near_copies(150, 9 + k, words)
