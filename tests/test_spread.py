@@ -132,3 +132,26 @@ def test_an_order_key_of_two_persons(spark, tmp_path):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
     want = sorted(con.execute(ORACLES["measure_full_parts"]).fetchall())
     assert sorted(tuple(r) for r in A.measure_full_parts(spark, str(tmp_path)).collect()) == want != []
+
+
+def test_encounters_cross_once_without_their_children(merging):
+    """To the encounter go its keys and the children's own columns; the rest of an encounter goes to the person, and no
+    exchange stands above a union of parts that are dealt already."""
+    from carelake.plans.document import build_documents
+    from carelake.sources.derived import AS_OF, derive
+    plan = _plan(merging, build_documents(derive(Tables(merging, SF)), AS_OF, sections=["encounters"]))
+    to_encounter = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(encounter_nr#\d+, \d+\), REPARTITION_BY_NUM", x)]
+    assert len(to_encounter) == 4 and not re.search(r"Exchange hashpartitioning\((origid|encounter_nr)#\d+, \d+\), ENSURE_REQUIREMENTS[^\n]*\n[^\n]*Aggregate\(keys=\[\w+#\d+\], functions=\[partial_collect", plan)
+
+
+def test_encounters_apart_equal_whole_ones(spark):
+    from carelake.plans import sections as S
+    from carelake.plans.document import build_documents
+    from carelake.sources.derived import AS_OF, derive
+    t = derive(Tables(spark, SF))
+    whole = S.encounters(t, AS_OF, 10**6).select("origid", F.explode("encounters").alias("x"))
+    for size in (None, 3):
+        apart = build_documents(t, AS_OF, sections=["encounters"], part_size=size).select("origid", F.explode("patient.encounters").alias("x"))
+        assert apart.schema["x"].dataType.names == whole.schema["x"].dataType.names
+        text = lambda d: sorted(map(str, d.select("origid", F.to_json("x")).collect()))
+        assert text(apart) == text(whole) != []
