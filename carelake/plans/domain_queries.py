@@ -85,7 +85,8 @@ def doc_chronic(spark, sf_dir) -> DataFrame:
 
 def doc_encounters(spark, sf_dir) -> DataFrame:
     """D-enc (U1 J14 J3 X3): a row per encounter with its children counted."""
-    x = _items(_record(spark, sf_dir, "encounters"), "encounters")
+    t = derive(Tables(spark, sf_dir), share_lines=True)
+    x = _items(build_documents(t, AS_OF, sections=["encounters"]).select("origid", "patient.*"), "encounters")
     return x.select(
         "origid", "encounter_nr", "source_system", "setting", "encounter_status", F.col("dates.admission_date").alias("admitted"),
         F.col("dates.discharge_date").alias("discharged"), F.col("dates.length_of_stay_days").alias("days"),

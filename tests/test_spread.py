@@ -155,3 +155,16 @@ def test_encounters_apart_equal_whole_ones(spark):
         assert apart.schema["x"].dataType.names == whole.schema["x"].dataType.names
         text = lambda d: sorted(map(str, d.select("origid", F.to_json("x")).collect()))
         assert text(apart) == text(whole) != []
+
+
+def test_tables_of_lines_share_one_exchange(merging):
+    """Lines are dealt to their orders once for all tables made of them, with the same rows in each."""
+    from carelake.plans.document import build_documents
+    from carelake.sources.derived import AS_OF, derive
+    shared, own = derive(Tables(merging, SF), share_lines=True), derive(Tables(merging, SF))
+    plan = _plan(merging, build_documents(shared, AS_OF, sections=["encounters", "labs", "medications"]))
+    dealt = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(l_orderkey#", x) and "Reused" not in x]
+    assert len(dealt) == 1 and plan.count("ReusedExchange") >= 4
+    for n in ("adt_encounter_icd_codes", "mra_uamcc_details", "cclf_encounter_patient_medication", "drfirst_patient_medications", "cpoe_result_values"):
+        hashed = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+        assert hashed(shared[n]) == hashed(own[n]) and hashed(own[n])[0] > 0
