@@ -168,3 +168,18 @@ def test_tables_of_lines_share_one_exchange(merging):
     for n in ("adt_encounter_icd_codes", "mra_uamcc_details", "cclf_encounter_patient_medication", "drfirst_patient_medications", "cpoe_result_values"):
         hashed = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
         assert hashed(shared[n]) == hashed(own[n]) and hashed(own[n])[0] > 0
+
+
+def test_labs_and_medications_cross_once(spark):
+    """Items hold the source's columns, dates as dates and none twice; the elements made of them are those of whole arrays."""
+    from carelake.plans import sections as S
+    from carelake.plans.document import build_documents
+    from carelake.sources.derived import AS_OF, derive
+    t = derive(Tables(spark, SF))
+    d = build_documents(t, AS_OF, sections=["labs", "medications"]).select("origid", "patient.*")
+    for name, items, whole in (("labs", S.labs(t, S.ITEMS), S.labs(t)), ("medications", S.medications(t, AS_OF, S.ITEMS), S.medications(t, AS_OF))):
+        item = items.schema[name].dataType
+        assert not set(item["_v"].dataType.names) & {"id", "result_id", "item_id", "result_date", "start_date"}
+        text = lambda df: sorted(map(str, df.where(F.col(name).isNotNull()).select("origid", F.to_json(name)).collect()))  # noqa: B023, E731
+        assert d.schema[name].dataType.elementType.names == whole.schema[name].dataType.elementType.names
+        assert text(d) == text(whole) != []
